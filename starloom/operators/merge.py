@@ -134,12 +134,9 @@ def soft_delete_customer(customers: DataFrame, customer_id: Any) -> DataFrame:
     )
 
 
-INSERTED, UPDATED, UNCHANGED = "inserted", "updated", "unchanged"
-
-
-def scd2_surrogate(key: str, valid_from: Column) -> Column:
+def scd2_surrogate(key: Column, valid_from: Column) -> Column:
     """Deterministic surrogate key of one version."""
-    return F.sha2(F.concat_ws("|", F.col(key).cast("string"), valid_from.cast("string")), 256)
+    return F.sha2(F.concat_ws("|", key.cast("string"), valid_from.cast("string")), 256)
 
 
 def scd2_merge(history: DataFrame, snapshot: DataFrame, key: str, tracked: Iterable[str], as_of: Column) -> DataFrame:
@@ -163,7 +160,7 @@ def scd2_merge(history: DataFrame, snapshot: DataFrame, key: str, tracked: Itera
     start = as_of.cast(types["valid_from"])
     opened = F.struct(
         *[
-            F.sha2(F.concat_ws("|", F.col(f"s.{key}").cast("string"), start.cast("string")), 256).alias(c)
+            scd2_surrogate(F.col(f"s.{key}"), start).alias(c)
             if c == "surrogate_key"
             else start.alias(c)
             if c == "valid_from"
@@ -194,14 +191,21 @@ def scd2_merge(history: DataFrame, snapshot: DataFrame, key: str, tracked: Itera
     return history.filter(~F.col("is_current")).unionByName(joined.select(F.inline(versions)))
 
 
-def scd2_counts(history: DataFrame, merged: DataFrame, key: str, as_of: Column) -> DataFrame:
-    """Inserted, updated and expired version counts of one merge (one row)."""
-    start = as_of.cast(history.schema["valid_from"].dataType)
-    opened = merged.filter(F.col("is_current") & (F.col("valid_from") == start)).select(F.col(key).alias("__key"))
-    known = history.select(key).distinct()
-    tagged = opened.join(known, F.col("__key") == F.col(key), "left")
-    return tagged.agg(
-        F.count_if(F.col(key).isNull()).alias("scd_inserted_count"),
-        F.count_if(F.col(key).isNotNull()).alias("scd_updated_count"),
-        F.count_if(F.col(key).isNotNull()).alias("scd_expired_count"),
+def scd2_counts(history: DataFrame, snapshot: DataFrame, key: str, tracked: Iterable[str]) -> DataFrame:
+    """What ``scd2_merge`` of the same frames inserts, updates and expires (one row).
+
+    A key without a current version is inserted; a change of a tracked column
+    is an update and expires the version before it.
+    """
+    tracked = list(tracked)
+    current = history.filter("is_current").select(F.col(key).alias("__key"), *[F.col(c).alias(f"__h_{c}") for c in tracked])
+    same = F.lit(True)
+    for c in tracked:
+        same = same & F.col(c).eqNullSafe(F.col(f"__h_{c}"))
+    known = F.col("__key").isNotNull()
+    joined = snapshot.select(key, *tracked).join(current, F.col(key) == F.col("__key"), "left")
+    return joined.agg(
+        F.count_if(~known).alias("scd_inserted_count"),
+        F.count_if(known & ~same).alias("scd_updated_count"),
+        F.count_if(known & ~same).alias("scd_expired_count"),
     )

@@ -48,14 +48,14 @@ from starloom.plans.build import Model, bad_rows, build_table, good_rows, table_
 from starloom.session import stage
 from starloom.sources.files import SOURCE_FILE, match_sources, scan, tables_with_files
 from starloom.sources.tables import BATCH_ID, SnapshotTable
-from starloom.specs import FACT, SourceSpec, TableSpec
+from starloom.specs import FACT, SourceSpec, TableSpec, columns
 
-RUN_LOG_SCHEMA = StructType.fromDDL(
+RUN_LOG_SCHEMA = columns(
     "run_id string, file_name string, total_records bigint, passed_count bigint, duplicate_count bigint, "
     "null_count bigint, orphan_count bigint, quarantined_count bigint, processing_latency_ms bigint, "
     "scd_inserted_count bigint, scd_updated_count bigint, scd_expired_count bigint, file_success boolean, message string"
 )
-ALERT_SCHEMA = StructType.fromDDL(
+ALERT_SCHEMA = columns(
     "file_name string, total_records bigint, orphan_count bigint, orphan_share double, alert string"
 )
 

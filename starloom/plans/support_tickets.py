@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
-
 from starloom.plans.build import Model
 from starloom.specs import (
     DYNAMIC_DIMENSION,
@@ -18,13 +16,10 @@ from starloom.specs import (
     SourceSpec,
     TableSpec,
     Term,
+    columns,
 )
 
 
-def _model(ddl: str) -> StructType:
-    return StructType.fromDDL(ddl)
-
-
 # File names, columns, required and personal fields of the raw files.
 SOURCES = {
     s.name: s
@@ -32,7 +27,7 @@ SOURCES = {
         SourceSpec(
             "agents",
             "agents.csv",
-            _model(
+            columns(
                 "agent_id int, agent_name string, agent_email string, agent_phone bigint, team_id int, "
                 "skill_level string, hire_date date, avg_handle_time_min int, resolution_rate double, "
                 "csat_score double, is_active boolean, created_at timestamp_ntz, updated_at timestamp_ntz"
@@ -41,12 +36,12 @@ SOURCES = {
             pii=("agent_email", "agent_phone"),
         ),
         SourceSpec(
-            "teams", "teams.csv", _model("team_id int, team_name string"), required=("team_id", "team_name"), dynamic=False
+            "teams", "teams.csv", columns("team_id int, team_name string"), required=("team_id", "team_name"), dynamic=False
         ),
         SourceSpec(
             "customers",
             "customers.csv",
-            _model(
+            columns(
                 "customer_id int, full_name string, email string, phone bigint, region_id double, segment_id int, "
                 "signup_date date, gender string, created_at timestamp_ntz, updated_at timestamp_ntz, "
                 "surrogate_key string, is_current boolean, valid_from date, valid_to date"
@@ -57,28 +52,28 @@ SOURCES = {
         SourceSpec(
             "segments",
             "segments.csv",
-            _model("segment_id int, segment_name string, discount_pct int, priority_support boolean"),
+            columns("segment_id int, segment_name string, discount_pct int, priority_support boolean"),
             required=("segment_id", "segment_name", "discount_pct", "priority_support"),
             dynamic=False,
         ),
         SourceSpec(
             "cities",
             "cities.json",
-            _model("city_id int, city_name string, country string, timezone string"),
+            columns("city_id int, city_name string, country string, timezone string"),
             required=("city_id", "city_name", "country", "timezone"),
             dynamic=False,
         ),
         SourceSpec(
             "regions",
             "regions.csv",
-            _model("region_id int, region_name string, city_id int, delivery_base_fee double"),
+            columns("region_id int, region_name string, city_id int, delivery_base_fee double"),
             required=("region_id", "region_name", "city_id", "delivery_base_fee"),
             dynamic=False,
         ),
         SourceSpec(
             "restaurants",
             "restaurants.json",
-            _model(
+            columns(
                 "restaurant_id int, restaurant_name string, region_id int, category_id int, price_tier string, "
                 "rating_avg double, prep_time_avg_min int, is_active boolean, created_at timestamp_ntz, "
                 "updated_at timestamp_ntz, surrogate_key string, is_current boolean, valid_from date, valid_to date"
@@ -88,21 +83,21 @@ SOURCES = {
         SourceSpec(
             "categories",
             "categories.csv",
-            _model("category_id int, category_name string"),
+            columns("category_id int, category_name string"),
             required=("category_id", "category_name"),
             dynamic=False,
         ),
         SourceSpec(
             "channels",
             "channels.csv",
-            _model("channel_id int, channel_name string"),
+            columns("channel_id int, channel_name string"),
             required=("channel_id", "channel_name"),
             dynamic=False,
         ),
         SourceSpec(
             "drivers",
             "drivers.csv",
-            _model(
+            columns(
                 "driver_id int, driver_name string, driver_phone bigint, national_id bigint, region_id int, "
                 "shift string, vehicle_type string, hire_date date, rating_avg double, on_time_rate double, "
                 "cancel_rate double, completed_deliveries int, is_active boolean, created_at timestamp_ntz, "
@@ -114,7 +109,7 @@ SOURCES = {
         SourceSpec(
             "priorities",
             "priorities.csv",
-            _model(
+            columns(
                 "priority_id int, priority_code string, priority_name string, sla_first_response_min int, "
                 "sla_resolution_min int"
             ),
@@ -124,7 +119,7 @@ SOURCES = {
         SourceSpec(
             "reasons",
             "reasons.csv",
-            _model(
+            columns(
                 "reason_id int, reason_name string, reason_category_id int, severity_level int, typical_refund_pct double"
             ),
             required=("reason_id", "reason_name", "reason_category_id", "severity_level", "typical_refund_pct"),
@@ -133,14 +128,14 @@ SOURCES = {
         SourceSpec(
             "reason_categories",
             "reason_categories.csv",
-            _model("reason_category_id int, category_name string"),
+            columns("reason_category_id int, category_name string"),
             required=("reason_category_id", "category_name"),
             dynamic=False,
         ),
         SourceSpec(
             "orders",
             "orders.json",
-            _model(
+            columns(
                 "order_id string, customer_id int, restaurant_id int, driver_id int, region_id int, "
                 "order_amount double, delivery_fee double, discount_amount int, total_amount double, "
                 "order_status string, payment_method string, order_created_at string, delivered_at string"
@@ -153,7 +148,7 @@ SOURCES = {
         SourceSpec(
             "tickets",
             "tickets.csv",
-            _model(
+            columns(
                 "ticket_id string, order_id string, customer_id int, driver_id int, restaurant_id int, agent_id int, "
                 "reason_id int, priority_id int, channel_id int, status string, refund_amount double, "
                 "created_at timestamp_ntz, first_response_at timestamp_ntz, resolved_at timestamp_ntz, "
@@ -168,7 +163,7 @@ SOURCES = {
         SourceSpec(
             "ticket_events",
             "ticket_events.json",
-            _model(
+            columns(
                 "event_id string, ticket_id string, agent_id int, event_ts string, old_status string, "
                 "new_status string, notes string"
             ),

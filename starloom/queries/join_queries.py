@@ -15,7 +15,14 @@ from starloom.operators.joins import (
     snowflake_join,
     star_join,
 )
-from starloom.operators.lookups import MISSING_REFS, ORPHAN_REASON, split_duplicates, split_orphans
+from starloom.operators.lookups import (
+    MISSING_REFS,
+    ORPHAN_REASON,
+    split_duplicates,
+    split_orphans,
+    split_tagged_orphans,
+    tag_orphans_by_missing_keys,
+)
 from starloom.operators.quarantine import pack_list
 from starloom.queries.registry import query
 from starloom.queries.roles import table
@@ -29,28 +36,37 @@ def _customers(spark, sf):
     )
 
 
-def _orders(spark, sf):
-    return table(spark, sf, "orders").select(
+def _named_orders(orders):
+    return orders.select(
         F.col("o_orderkey").alias("orderkey"), F.col("o_custkey").alias("custkey"), F.col("o_totalprice").alias("amount")
     )
 
 
+def _orders(spark, sf):
+    return _named_orders(table(spark, sf, "orders"))
+
+
 # a customer dimension that has not loaded the customers in debt yet
 def _known_customers(spark, sf):
     return _customers(spark, sf).filter(F.col("amount") >= 0)
 
 
 _JOIN_SQL = """
-WITH o AS (SELECT o_orderkey AS orderkey, o_custkey AS custkey, o_totalprice AS amount FROM orders),
+WITH o AS (SELECT o_orderkey AS orderkey, o_custkey AS custkey, o_totalprice AS amount FROM orders {where}),
      c AS (SELECT c_custkey AS custkey, c_name AS name, c_acctbal AS amount FROM customer WHERE c_acctbal >= 0)
 SELECT o.orderkey, {key} AS custkey, o.amount, c.name, c.amount AS amount_customers
 FROM o {how} JOIN c ON o.custkey = c.custkey"""
 
 
-def _chain(how):
+# right and full joins take the partly shipped orders, so that customers without one exist
+_PARTLY = "WHERE o_orderstatus = 'P'"
+
+
+def _chain(how, partly=False):
     def run(spark, sf):
+        orders = table(spark, sf, "orders").filter("o_orderstatus = 'P'") if partly else table(spark, sf, "orders")
         return join_chain(
-            _orders(spark, sf),
+            _named_orders(orders),
             {"customers": _known_customers(spark, sf)},
             [JoinStep("customers", "custkey", "custkey", how)],
         )
@@ -58,10 +74,12 @@ def _chain(how):
     return run
 
 
-query("join_chain_left", _JOIN_SQL.format(how="LEFT", key="o.custkey"))(_chain("left"))
-query("join_chain_inner", _JOIN_SQL.format(how="INNER", key="o.custkey"))(_chain("inner"))
-query("join_chain_right", _JOIN_SQL.format(how="RIGHT", key="c.custkey"))(_chain("right"))
-query("join_chain_full", _JOIN_SQL.format(how="FULL", key="coalesce(o.custkey, c.custkey)"))(_chain("full"))
+query("join_chain_left", _JOIN_SQL.format(how="LEFT", key="o.custkey", where=""))(_chain("left"))
+query("join_chain_inner", _JOIN_SQL.format(how="INNER", key="o.custkey", where=""))(_chain("inner"))
+query("join_chain_right", _JOIN_SQL.format(how="RIGHT", key="c.custkey", where=_PARTLY))(_chain("right", partly=True))
+query("join_chain_full", _JOIN_SQL.format(how="FULL", key="coalesce(o.custkey, c.custkey)", where=_PARTLY))(
+    _chain("full", partly=True)
+)
 
 
 @query(
@@ -296,8 +314,6 @@ def orphan_exploded(spark, sf):
          FROM t WHERE m1 OR m2 OR coalesce(m3, FALSE)""",
 )
 def orphan_rows_by_missing_keys(spark, sf):
-    from starloom.operators.lookups import split_tagged_orphans, tag_orphans_by_missing_keys
-
     bad = split_tagged_orphans(tag_orphans_by_missing_keys(*_fact_and_dims(spark, sf))).bad
     return bad.select("order_id", "line_no", ORPHAN_REASON)
 

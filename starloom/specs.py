@@ -6,13 +6,41 @@ from dataclasses import dataclass, field
 from typing import Callable, NamedTuple, Union
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    BooleanType,
+    DataType,
+    DateType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+)
 
 STATIC_DIMENSION = "static_dimension"
 DYNAMIC_DIMENSION = "dynamic_dimension"
 FACT = "fact"
 QUARANTINE = "quarantine_zone"
 
+TYPES: dict[str, DataType] = {
+    "int": IntegerType(),
+    "bigint": LongType(),
+    "double": DoubleType(),
+    "string": StringType(),
+    "boolean": BooleanType(),
+    "date": DateType(),
+    "timestamp_ntz": TimestampNTZType(),
+}
+
+
+def columns(text: str) -> StructType:
+    """``"id int, name string"`` as a schema, without a running session."""
+    pairs = [c.split() for c in text.split(",")]
+    return StructType([StructField(name, TYPES[kind]) for name, kind in pairs])
+
+
 # dimensions load before facts
 LOAD_ORDER = {STATIC_DIMENSION: 0, DYNAMIC_DIMENSION: 1, FACT: 2, QUARANTINE: 3}
 

@@ -15,16 +15,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
 
 from starloom.plans.build import sources_of
 from starloom.plans.runner import RunReport, Warehouse, run_micro_batch
 from starloom.sources.files import date_of, hour_of, logical_file_of
 from starloom.sources.tables import BATCH_ID, SnapshotTable
-from starloom.specs import FACT
+from starloom.specs import FACT, columns
 
-ARRIVED_SCHEMA = StructType.fromDDL("file_date string, file_hour string, file_name string, path string")
-LOADED_SCHEMA = StructType.fromDDL("file_date string, file_hour string")
+ARRIVED_SCHEMA = columns("file_date string, file_hour string, file_name string, path string")
+LOADED_SCHEMA = columns("file_date string, file_hour string")
 GROUP = ["file_date", "file_hour"]
 
 # Fixed value: seconds between two triggers.
