@@ -72,6 +72,11 @@ class Warehouse:
             self._tables[name] = SnapshotTable(self.spark, f"{self.root}/{name}", schema)
         return self._tables[name]
 
+    def refresh(self) -> None:
+        """Start of a run: see what other processes have published since the last one."""
+        for t in self._tables.values():
+            t.refresh()
+
     def table(self, name: str) -> SnapshotTable:
         spec = self.model.tables[name]
         if name in self._tables:
@@ -116,6 +121,7 @@ class _Run:
     """State of one run; every write is keyed by the batch, so a repeat replaces it."""
 
     def __init__(self, wh: Warehouse, batch_id: str, now: Column | None):
+        wh.refresh()
         self.wh, self.batch_id, self.now = wh, batch_id, _now_or(now)
         self.report = RunReport(batch_id)
         self.rejected: list[DataFrame] = []

@@ -22,9 +22,19 @@ class SnapshotTable:
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema
+        self._version: int | None = None
+
+    def refresh(self) -> None:
+        """Look the current snapshot up again; another process may have published one."""
+        self._version = None
 
     def version(self) -> int:
         """The current snapshot number, 0 before the first write."""
+        if self._version is None:
+            self._version = self._published()
+        return self._version
+
+    def _published(self) -> int:
         try:
             log = self.spark.read.schema("version int").parquet(f"{self.path}/versions")
         except AnalysisException as e:
@@ -35,6 +45,7 @@ class SnapshotTable:
 
     def _publish(self, version: int) -> None:
         self.spark.range(1).select(F.lit(version).alias("version")).write.mode("append").parquet(f"{self.path}/versions")
+        self._version = version
 
     def read_batches(self) -> DataFrame:
         """All rows with the batch that wrote them."""

@@ -26,6 +26,9 @@ ARRIVED_SCHEMA = columns("file_date string, file_hour string, file_name string,
 LOADED_SCHEMA = columns("file_date string, file_hour string")
 GROUP = ["file_date", "file_hour"]
 
+# the columns of Spark's binary file source; the content is never selected
+FILE_COLUMNS = "path string, modificationTime timestamp, length bigint, content binary"
+
 # Fixed value: seconds between two triggers.
 POLL_SECONDS = 20
 
@@ -98,7 +101,7 @@ def arrival_stream(
     spark: SparkSession, root: str, max_files: int | None = None, archive_dir: str | None = None
 ) -> DataFrame:
     """New files below ``root``.  ``archive_dir`` lets Spark move files it has finished with."""
-    reader = spark.readStream.format("binaryFile").option("recursiveFileLookup", "true")
+    reader = spark.readStream.format("binaryFile").schema(FILE_COLUMNS).option("recursiveFileLookup", "true")
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if archive_dir is not None:
