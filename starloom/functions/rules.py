@@ -49,15 +49,19 @@ def type_label(dtype: DataType) -> str:
 
 def type_ok(c: Column, dtype: DataType) -> Column:
     """Does this raw text hold a value of ``dtype``?  Null in, null out."""
+    text = F.trim(c)
+    fits = text.try_cast(dtype).isNotNull()
     if isinstance(dtype, StringType):
-        return F.when(c.isNotNull(), F.lit(True))
-    if isinstance(dtype, _INTEGRAL):
-        return c.rlike(INT_TEXT) & F.trim(c).try_cast(dtype).isNotNull()
-    if isinstance(dtype, _FRACTIONAL):
-        return c.rlike(FLOAT_TEXT) & F.trim(c).try_cast(dtype).isNotNull()
-    if isinstance(dtype, BooleanType):
-        return F.lower(F.trim(c)).isin("true", "false")
-    return F.when(c.isNotNull(), F.trim(c).try_cast(dtype).isNotNull())
+        ok = F.lit(True)
+    elif isinstance(dtype, _INTEGRAL):
+        ok = c.rlike(INT_TEXT) & fits
+    elif isinstance(dtype, _FRACTIONAL):
+        ok = c.rlike(FLOAT_TEXT) & fits
+    elif isinstance(dtype, BooleanType):
+        ok = F.lower(text).isin("true", "false")
+    else:
+        ok = fits
+    return F.when(c.isNotNull(), ok)
 
 
 def cast_text(c: Column, dtype: DataType) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,6 +40,11 @@ def local_session(app: str = "starloom", cpus: int | str = "*", shuffle_partitio
     return apply_runtime_conf(spark)
 
 
+@cache
+def _local_scratch() -> str:
+    return tempfile.mkdtemp(prefix="starloom-")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The folder all executors share, as named by ``spark.checkpoint.dir``.
 
@@ -51,9 +57,7 @@ def scratch_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="starloom-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return _local_scratch()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
