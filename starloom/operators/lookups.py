@@ -43,24 +43,27 @@ def tag_orphans(df: DataFrame, dims: Mapping[str, DataFrame], refs: Iterable[Dim
     return _with_missing(out, df.columns, refs, hits)
 
 
-def tag_orphans_by_missing_keys(df: DataFrame, dims: Mapping[str, DataFrame], refs: Iterable[DimRef]) -> DataFrame:
+def tag_orphans_by_missing_keys(
+    df: DataFrame, dims: Mapping[str, DataFrame], refs: Iterable[DimRef], keys_of: DataFrame | None = None
+) -> DataFrame:
     """Same result as ``tag_orphans`` for large dimensions.
 
     The distinct keys of ``df`` (reduced on the map side, so a hot key costs
     one row per task) are checked against the dimension.  Only the missing
     keys are joined back.  They are staged first, so Spark knows their size:
     few keys are broadcast and the wide rows are not shuffled at all, many
-    keys take an ordinary shuffle join.
+    keys take an ordinary shuffle join.  ``keys_of`` names a cheaper frame
+    with the same keys, where ``df`` is an unstaged plan over it.
     """
     refs = _checked_refs(df, refs)
+    source = df if keys_of is None else keys_of
     out, hits = df, []
     for i, ref in enumerate(refs):
         dim, pk = dims[ref.dim], ref.pk or ref.fk
+        keys = source.select(ref.fk)
         if df.schema[ref.fk].dataType != dim.schema[pk].dataType:
             dim = dim.withColumn(pk, F.col(pk).cast("string"))
-            keys = df.select(F.col(ref.fk).cast("string").alias(ref.fk))
-        else:
-            keys = df
+            keys = keys.withColumn(ref.fk, F.col(ref.fk).cast("string"))
         gone = stage(missing_keys(keys, ref.fk, dim, pk).withColumnRenamed(ref.fk, f"__gone{i}"), f"missing-{ref.dim}")
         same = F.col(ref.fk).cast(gone.schema[0].dataType) == F.col(f"__gone{i}")
         out = out.join(gone, same, "left")

@@ -14,7 +14,7 @@ from starloom.functions.masking import hash_pii
 from starloom.operators.joins import join_chain
 from starloom.operators.shape import drop_repeated_names, keep_columns, rename_present
 from starloom.operators.validation import OUTCOME, PASSED, REASON, tag_rows, to_model, validation_stats
-from starloom.specs import LOAD_ORDER, OpResult, SourceSpec, TableSpec
+from starloom.specs import DYNAMIC_DIMENSION, LOAD_ORDER, OpResult, SourceSpec, TableSpec
 
 
 @dataclass(frozen=True)
@@ -24,18 +24,27 @@ class Model:
     sources: Mapping[str, SourceSpec]
     tables: Mapping[str, TableSpec]
 
-    def ordered_tables(self) -> list[TableSpec]:
-        """Dimensions before facts, parents before the dimensions that refer to them."""
-        out: list[TableSpec] = []
-        todo = sorted(self.tables.values(), key=lambda t: LOAD_ORDER[t.kind])
+    def load_waves(self) -> list[list[TableSpec]]:
+        """Dimensions before facts, parents before the tables that refer to them.
+
+        Tables of one wave do not depend on each other.
+        """
+        waves: list[list[TableSpec]] = []
+        todo = [t for t in self.tables.values() if not t.generated]
         while todo:
             names = {t.name for t in todo}
-            ready = [t for t in todo if not any(r.dim in names and r.dim != t.name for r in t.dims)]
-            if not ready:
+            first = min(LOAD_ORDER[t.kind] for t in todo)
+            wave = [
+                t
+                for t in todo
+                if LOAD_ORDER[t.kind] <= max(first, LOAD_ORDER[DYNAMIC_DIMENSION])
+                and not any(r.dim in names and r.dim != t.name for r in t.dims)
+            ]
+            if not wave:
                 raise ValueError(f"tables refer to each other in a circle: {sorted(names)}")
-            out.extend(ready)
-            todo = [t for t in todo if t not in ready]
-        return sorted(out, key=lambda t: LOAD_ORDER[t.kind])
+            waves.append(wave)
+            todo = [t for t in todo if t not in wave]
+        return waves
 
     def pii_of(self, table: TableSpec) -> list[str]:
         return [c for s in table.sources for c in self.sources[s].pii]

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.errors import PySparkException
@@ -60,6 +61,10 @@ ALERT_SCHEMA = columns(
 )
 
 
+# tables or sources whose jobs are submitted at the same time
+PARALLEL_LOADS = 8
+
+
 class Warehouse:
     """The tables of one model below a root folder."""
 
@@ -177,11 +182,12 @@ class _Run:
         store = self.wh.table(table.name)
         df = stage(built, table.name)
         ignore = [*self.wh.model.pii_of(table), *table.date_columns]
-        tagged = tag_duplicates(df, store.read_batches().filter(F.col(BATCH_ID) != self.batch_id).drop(BATCH_ID), table.key, ignore)
-        tagged = stage(tagged, f"{table.name}-duplicates") if check_refs else tagged
+        # rows this batch wrote in an earlier attempt are not its duplicates
+        stored = store.read_batches().filter(F.col(BATCH_ID) != self.batch_id).drop(BATCH_ID)
+        tagged = tag_duplicates(df, stored, table.key, ignore)
         if check_refs:
             refs = [r for r in table.dims if isinstance(r.fk, str)]
-            tagged = tag_orphans_by_missing_keys(tagged, self.wh.dims_of(table), refs)
+            tagged = tag_orphans_by_missing_keys(tagged, self.wh.dims_of(table), refs, keys_of=df)
         else:
             tagged = tagged.withColumns({MISSING_REFS: F.array(), ORPHAN_REASON: F.lit("")})
         null_reason = required_reason(table.required) if table.required else F.lit(None).cast("string")
@@ -225,32 +231,40 @@ class _Run:
         return self.report
 
 
-def _load(run: _Run, kinds: set[str], paths: Iterable[str], check_dimension_keys: bool) -> None:
-    wh, model = run.wh, run.wh.model
+def _load(run: _Run, facts: bool, paths: Iterable[str], check_dimension_keys: bool) -> None:
+    """Build and store the tables that have arrived files.
+
+    Sources are independent of each other, and so are the tables of a wave;
+    their jobs are submitted together, so small tables share the cluster
+    instead of queueing.
+    """
+    model = run.wh.model
     arrived = match_sources(paths, model.sources.values())
-    prepared: dict[str, DataFrame | None] = {}
-    targets = {t.name for t in tables_with_files(model.tables.values(), arrived)}
-    for table in model.ordered_tables():
-        if table.name not in targets or (table.kind == FACT) != (FACT in kinds):
-            continue
-        started = time.monotonic()
-        try:
-            for s in table.sources:
-                if s in arrived and s not in prepared:
-                    prepared[s] = run.source(model.sources[s], arrived[s])
-            inputs = {s: prepared[s] for s in table.sources if prepared.get(s) is not None}
-            built = build_table(inputs, table)
-            if table.kind == FACT:
-                wh.table(table.name).append(run.split(table, built, True), run.batch_id)
-            else:
-                one = latest_per_key(built, [table.key], _newest_first(built, table))
-                rows = run.split(table, one, check_dimension_keys)
-                store = wh.table(table.name)
-                store.replace(merge_upsert(store.read(), rows, table.key))
-            run.report.loaded.append(table.name)
-        except (PySparkException, ValueError) as e:
-            # a failing table is recorded; the others go on
-            run.fail(table.name, [str(e).splitlines()[0]], started)
+    targets = {t.name for t in tables_with_files(model.tables.values(), arrived) if (t.kind == FACT) == facts}
+    waves = [[t for t in wave if t.name in targets] for wave in model.load_waves()]
+    used = sorted({s for wave in waves for t in wave for s in t.sources if s in arrived})
+    with ThreadPoolExecutor(PARALLEL_LOADS) as pool:
+        prepared = dict(zip(used, pool.map(lambda s: run.source(model.sources[s], arrived[s]), used)))
+        for wave in waves:
+            list(pool.map(lambda t: _load_table(run, t, prepared, check_dimension_keys), wave))
+
+
+def _load_table(run: _Run, table: TableSpec, prepared: Mapping[str, DataFrame | None], check_dimension_keys: bool) -> None:
+    started = time.monotonic()
+    try:
+        inputs = {s: prepared[s] for s in table.sources if prepared.get(s) is not None}
+        built = build_table(inputs, table)
+        store = run.wh.table(table.name)
+        if table.kind == FACT:
+            store.append(run.split(table, built, True), run.batch_id)
+        else:
+            one = latest_per_key(built, [table.key], _newest_first(built, table))
+            rows = run.split(table, one, check_dimension_keys)
+            store.replace(merge_upsert(store.read(), rows, table.key))
+        run.report.loaded.append(table.name)
+    except (PySparkException, ValueError) as e:
+        # a failing table is recorded; the others go on
+        run.fail(table.name, [str(e).splitlines()[0]], started)
 
 
 def _newest_first(df: DataFrame, table: TableSpec) -> list[Column]:
@@ -268,7 +282,7 @@ def run_batch(
 ) -> RunReport:
     """Load the dimensions of one daily snapshot, then retry quarantined facts once."""
     run = _Run(wh, batch_id or f"batch-{uuid.uuid4().hex}", now)
-    _load(run, {"dimensions"}, paths, check_dimension_keys)
+    _load(run, False, paths, check_dimension_keys)
     report = run.finish()
     retry_quarantine(wh)
     return report
@@ -277,7 +291,7 @@ def run_batch(
 def run_micro_batch(wh: Warehouse, paths: Iterable[str], batch_id: str, now: Column | None = None) -> RunReport:
     """Append the facts of the given files; the same ``batch_id`` replaces its own rows."""
     run = _Run(wh, batch_id, now)
-    _load(run, {FACT}, paths, False)
+    _load(run, True, paths, False)
     return run.finish()
 
 
