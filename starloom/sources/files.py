@@ -80,7 +80,8 @@ def text_schema(spec: SourceSpec) -> StructType:
 
 
 def _null_texts_to_null(df: DataFrame) -> DataFrame:
-    return df.select(*[F.when(~F.col(f"`{c}`").isin(*NULL_TEXTS), F.col(f"`{c}`")).alias(c) for c in df.columns])
+    texts = ", ".join(f"'{t}'" for t in NULL_TEXTS)
+    return df.selectExpr(*[f"CASE WHEN `{c}` NOT IN ({texts}) THEN `{c}` END AS `{c}`" for c in df.columns])
 
 
 def read_source(spark: SparkSession, spec: SourceSpec, paths: Sequence[str], with_file: bool = False) -> DataFrame:
@@ -94,10 +95,7 @@ def read_source(spark: SparkSession, spec: SourceSpec, paths: Sequence[str], wit
     extra = [F.col("_metadata.file_path").alias(SOURCE_FILE)] if with_file else []
     if spec.format == "csv":
         df = spark.read.option("header", "true").option("enforceSchema", "false").option("escape", '"').csv(paths)
-        if not with_file:
-            return _null_texts_to_null(df)
-        raw = df.select("*", *extra)
-        return _null_texts_to_null(raw)
+        return _null_texts_to_null(df.select("*", *extra) if with_file else df)
     if spec.format in ("json", "jsonl"):
         lines = spec.json_lines or spec.format == "jsonl"
         df = spark.read.schema(text_schema(spec)).option("multiLine", str(not lines).lower()).json(paths)
