@@ -4,9 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from pyspark.ml.feature import QuantileDiscretizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
+
+from starloom.functions.derive import elapsed_seconds
+
+# The statuses that close a ticket and those that open it again.
+CLOSED = ("resolved", "closed")
+OPENED = ("open", "reopened")
+
+# share of all rows a window group may reach: one in this many
+BUCKETS = 1000
 
 
 def latest_per_key(df: DataFrame, keys: Iterable[str], order: Iterable[Column]) -> DataFrame:
@@ -24,16 +35,51 @@ def dedup_keep_first(df: DataFrame, keys: Iterable[str], order: Iterable[str]) -
     return latest_per_key(df, keys, [F.col(c).asc() for c in order])
 
 
+def _as_double(df: DataFrame, column: str) -> Column:
+    """Order-preserving number for a numeric, date or timestamp column."""
+    dtype, c = df.schema[column].dataType, F.col(column)
+    if isinstance(dtype, (DateType, TimestampNTZType)):
+        return elapsed_seconds(F.lit("1970-01-01"), c)
+    if isinstance(dtype, TimestampType):
+        return F.unix_micros(c).cast("double")
+    if isinstance(dtype, NumericType):
+        return c.cast("double")
+    raise ValueError(f"no even buckets over {column!r} of type {dtype.simpleString()}; pass a bucket")
+
+
+def with_even_buckets(df: DataFrame, column: str, name: str, buckets: int = BUCKETS) -> DataFrame:
+    """Number the rows' buckets so that each holds about the same share of all rows.
+
+    The borders are quantiles of the whole column (one pass over it, a list of
+    ``buckets`` numbers at most), so a bucket, and with it every (key, bucket)
+    group, is bounded by its share of the table however the keys are spread.
+    Rows without a value come first, as they do in an ascending order.
+    """
+    numbered = df.withColumn("__position", _as_double(df, column))
+    split = QuantileDiscretizer(
+        numBuckets=buckets, inputCol="__position", outputCol="__quantile", handleInvalid="keep"
+    ).fit(numbered.select("__position"))
+    bucket = F.when(F.col("__position").isNull(), F.lit(-1.0)).otherwise(F.col("__quantile"))
+    return split.transform(numbered).withColumn(name, bucket).drop("__position", "__quantile")
+
+
 def neighbour_value(
-    df: DataFrame, keys: list[str], order: list[str], value: str, bucket: Column, name: str, following: bool = False
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    value: str,
+    name: str,
+    bucket: Column | None = None,
+    following: bool = False,
 ) -> DataFrame:
     """``lag`` (or ``lead``) of ``value`` per key, without one task per key.
 
-    ``bucket`` must not decrease with ``order`` (a truncated timestamp, for
-    example).  Windows run per (key, bucket); the value that crosses a bucket
-    border comes from a summary of one row per (key, bucket).
+    Windows run per (key, bucket); the value that crosses a bucket border
+    comes from a summary of one row per (key, bucket).  Without a ``bucket``
+    the first order column is cut into even ones.  A given bucket must not
+    decrease along the order.
     """
-    cut = df.withColumn("__bucket", bucket)
+    cut = with_even_buckets(df, order[0], "__bucket") if bucket is None else df.withColumn("__bucket", bucket)
     parts = keys + ["__bucket"]
     w = W.partitionBy(*parts).orderBy(*order)
     step = F.lead if following else F.lag
@@ -58,12 +104,12 @@ def reopened_events(
     key: str,
     order: list[str],
     status: str,
-    bucket: Column,
-    closed: tuple[str, ...] = ("resolved", "closed"),
-    opened: tuple[str, ...] = ("open", "reopened"),
+    bucket: Column | None = None,
+    closed: tuple[str, ...] = CLOSED,
+    opened: tuple[str, ...] = OPENED,
 ) -> DataFrame:
     """Flag events that take a closed ticket back to an open status."""
-    out = neighbour_value(df, [key], order, status, bucket, "previous_status")
+    out = neighbour_value(df, [key], order, status, "previous_status", bucket)
     again = F.col("previous_status").isin(*closed) & F.col(status).isin(*opened)
     return out.withColumn("is_reopened", F.coalesce(again, F.lit(False)))
 
@@ -71,15 +117,15 @@ def reopened_events(
 def reopened_by_transition(
     events: DataFrame,
     key: str,
-    closed: tuple[str, ...] = ("resolved", "closed"),
-    opened: tuple[str, ...] = ("open", "reopened"),
+    closed: tuple[str, ...] = CLOSED,
+    opened: tuple[str, ...] = OPENED,
 ) -> DataFrame:
     """One flag per ticket where the event carries both statuses: a plain aggregate."""
     hit = F.col("old_status").isin(*closed) & F.col("new_status").isin(*opened)
     return events.groupBy(key).agg(F.bool_or(F.coalesce(hit, F.lit(False))).alias("is_reopened"))
 
 
-def validity_ranges(df: DataFrame, key: str, valid_from: str, bucket: Column) -> DataFrame:
+def validity_ranges(df: DataFrame, key: str, valid_from: str, bucket: Column | None = None) -> DataFrame:
     """Versions of a key as ranges: end at the next start; the last is current."""
-    out = neighbour_value(df, [key], [valid_from], valid_from, bucket, "valid_to", following=True)
+    out = neighbour_value(df, [key], [valid_from], valid_from, "valid_to", bucket, following=True)
     return out.withColumn("is_current", F.col("valid_to").isNull())

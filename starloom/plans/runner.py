@@ -72,9 +72,9 @@ class Warehouse:
         self.spark, self.root, self.model = spark, root.rstrip("/"), model
         self._tables: dict[str, SnapshotTable] = {}
 
-    def _open(self, name: str, schema: StructType) -> SnapshotTable:
+    def _open(self, name: str, schema: StructType, partition_by: Sequence[str] = ()) -> SnapshotTable:
         if name not in self._tables:
-            self._tables[name] = SnapshotTable(self.spark, f"{self.root}/{name}", schema)
+            self._tables[name] = SnapshotTable(self.spark, f"{self.root}/{name}", schema, partition_by)
         return self._tables[name]
 
     def refresh(self) -> None:
@@ -86,7 +86,7 @@ class Warehouse:
         spec = self.model.tables[name]
         if name in self._tables:
             return self._tables[name]
-        return self._open(name, table_schema(self.spark, spec, self.model.sources))
+        return self._open(name, table_schema(self.spark, spec, self.model.sources), spec.partition_by)
 
     @property
     def rejected(self) -> SnapshotTable:

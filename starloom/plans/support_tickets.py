@@ -300,6 +300,7 @@ TABLES = {
                 DimRef("DateDim", ("date_key_created", "date_key_first_response", "date_key_resolved"), "date_id"),
             ),
             date_columns=("date_key_created", "date_key_first_response", "date_key_resolved"),
+            partition_by=("date_key_created",),
         ),
     )
 }

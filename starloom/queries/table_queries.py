@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from starloom.functions.derive import date_to_key
 from starloom.operators.finders import (
     all_keys,
     any_true,
@@ -238,7 +239,7 @@ def scd2_counts_query(spark, sf):
 )
 def validity_ranges_query(spark, sf):
     versions = table(spark, sf, "events").select("event_id", "user_id", F.col("ts").alias("valid_from"))
-    return validity_ranges(versions, "user_id", "valid_from", F.to_date("valid_from"))
+    return validity_ranges(versions, "user_id", "valid_from")
 
 
 @query(
@@ -277,7 +278,7 @@ def reopened_events_query(spark, sf):
     events = table(spark, sf, "events").select(
         "event_id", F.col("user_id").alias("ticket_id"), F.col("ts").alias("event_ts"), F.expr(_STATUS).alias("new_status")
     )
-    return reopened_events(events, "ticket_id", ["event_ts", "event_id"], "new_status", F.to_date("event_ts"))
+    return reopened_events(events, "ticket_id", ["event_ts", "event_id"], "new_status")
 
 
 # ---- quarantine
@@ -442,6 +443,19 @@ def append_idempotent(spark, sf):
     return store.read_batches()
 
 
+@query(
+    "stored_date_range",
+    """SELECT event_id, ts, CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS date_key FROM events
+       WHERE CAST(strftime(ts, '%Y%m%d') AS INTEGER) BETWEEN 20240108 AND 20240114""",
+)
+def stored_date_range(spark, sf):
+    """A date range on a table stored by date: only its folders are read."""
+    events = table(spark, sf, "events").select("event_id", "ts", date_to_key("ts").alias("date_key"))
+    store = SnapshotTable(spark, scratch_path(spark, "by-date"), events.schema, partition_by=("date_key",))
+    store.append(events, "all")
+    return in_range(store.read(), "date_key", 20240108, 20240114)
+
+
 @query(
     "upsert_sink",
     _MERGE_SQL + "SELECT * FROM u UNION ALL SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM u WHERE u.c_custkey = t.c_custkey)",

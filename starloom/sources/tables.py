@@ -4,11 +4,14 @@ A table is a folder of snapshots ``v1, v2, ...`` and a small ``versions``
 dataset that names the current one.  Appends go to a folder per batch inside
 the current snapshot, so a repeated batch replaces its own rows.  Updates and
 deletes write the next snapshot and then publish it; a snapshot that is being
-read is never overwritten.  One writer per table.
+read is never overwritten.  One writer per table.  ``partition_by`` columns
+become folders too, so that filters on them skip the other folders.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,10 +21,11 @@ BATCH_ID = "batch_id"
 
 
 class SnapshotTable:
-    def __init__(self, spark: SparkSession, path: str, schema: StructType):
+    def __init__(self, spark: SparkSession, path: str, schema: StructType, partition_by: Sequence[str] = ()):
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema
+        self.partition_by = list(partition_by)
         self._version: int | None = None
 
     def refresh(self) -> None:
@@ -53,7 +57,8 @@ class SnapshotTable:
         version = self.version()
         if version == 0:
             return self.spark.createDataFrame([], with_batch)
-        return self.spark.read.schema(with_batch).parquet(f"{self.path}/v{version}")
+        stored = self.spark.read.schema(with_batch).parquet(f"{self.path}/v{version}")
+        return stored.select(*with_batch.fieldNames())
 
     def read(self) -> DataFrame:
         return self.read_batches().drop(BATCH_ID)
@@ -61,17 +66,21 @@ class SnapshotTable:
     def _fit(self, df: DataFrame) -> DataFrame:
         return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields])
 
+    @staticmethod
+    def _write(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+        df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+
     def append(self, df: DataFrame, batch_id: str) -> None:
         """Add the rows of one batch; running the batch again replaces them."""
         version = self.version()
-        self._fit(df).write.mode("overwrite").parquet(f"{self.path}/v{version or 1}/{BATCH_ID}={batch_id}")
+        self._write(self._fit(df), f"{self.path}/v{version or 1}/{BATCH_ID}={batch_id}", self.partition_by)
         if version == 0:
             self._publish(1)
 
     def replace(self, df: DataFrame, batch_id: str = "snapshot") -> int:
         """Write the next snapshot and make it current; returns its number."""
         version = self.version() + 1
-        self._fit(df).write.mode("overwrite").parquet(f"{self.path}/v{version}/{BATCH_ID}={batch_id}")
+        self._write(self._fit(df), f"{self.path}/v{version}/{BATCH_ID}={batch_id}", self.partition_by)
         self._publish(version)
         return version
 
@@ -79,6 +88,6 @@ class SnapshotTable:
         """Next snapshot from rows that still carry their batch."""
         version = self.version() + 1
         fitted = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields], BATCH_ID)
-        fitted.write.mode("overwrite").partitionBy(BATCH_ID).parquet(f"{self.path}/v{version}")
+        self._write(fitted, f"{self.path}/v{version}", [BATCH_ID, *self.partition_by])
         self._publish(version)
         return version

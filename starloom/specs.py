@@ -152,6 +152,7 @@ class TableSpec:
     date_columns: tuple[str, ...] = ()
     generated: bool = False
     null_safe_joins: bool = False
+    partition_by: tuple[str, ...] = ()
 
 
 class OpResult(NamedTuple):

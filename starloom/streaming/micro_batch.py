@@ -32,6 +32,9 @@ FILE_COLUMNS = "path string, modificationTime timestamp, length bigint, content
 # Fixed value: seconds between two triggers.
 POLL_SECONDS = 20
 
+# files one trigger takes at most; the rest of a backlog waits for the next one
+MAX_FILES = 10_000
+
 
 class Arrivals:
     """Arrived files, loaded folders and late files of one stream."""
@@ -98,12 +101,11 @@ def load_arrivals(
 
 
 def arrival_stream(
-    spark: SparkSession, root: str, max_files: int | None = None, archive_dir: str | None = None
+    spark: SparkSession, root: str, max_files: int = MAX_FILES, archive_dir: str | None = None
 ) -> DataFrame:
     """New files below ``root``.  ``archive_dir`` lets Spark move files it has finished with."""
     reader = spark.readStream.format("binaryFile").schema(FILE_COLUMNS).option("recursiveFileLookup", "true")
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
+    reader = reader.option("maxFilesPerTrigger", max_files)
     if archive_dir is not None:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     return reader.load(root).select("path", "modificationTime")
@@ -115,7 +117,7 @@ def start_stream(
     checkpoint: str,
     name: str = "micro_batch",
     available_now: bool = False,
-    max_files: int | None = None,
+    max_files: int = MAX_FILES,
     archive_dir: str | None = None,
     now: Column | None = None,
     required: Sequence[str] | None = None,

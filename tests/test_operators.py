@@ -25,7 +25,7 @@ from starloom.operators.metrics import batch_rollup, null_counts, quality_metric
 from starloom.operators.quarantine import expire_orphans, retry_orphans, to_orphans, to_rejected, unpack
 from starloom.operators.shape import align_to, drop_repeated_names, filter_not_equal, hierarchy_slicer, keep_columns
 from starloom.operators.validation import schema_errors, split_rows, validate
-from starloom.operators.windows import latest_per_key, neighbour_value, reopened_by_transition, reopened_events
+from starloom.operators.windows import latest_per_key, neighbour_value, reopened_by_transition, reopened_events, with_even_buckets
 from starloom.specs import DimRef, JoinStep, Rule, SourceSpec, columns
 
 slow = settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -286,20 +286,36 @@ def test_latest_per_key_limits_before_the_shuffle(spark):
     assert plan.count("WindowGroupLimit") == 2
 
 
+@pytest.mark.parametrize("even", [False, True])
 @pytest.mark.parametrize("following", [False, True])
-def test_neighbour_value_against_brute_force(spark, following):
+def test_neighbour_value_against_brute_force(spark, following, even):
     rng = random.Random(7)
     # one key holds most of the rows; some buckets are empty, some values null
-    data = [(0 if rng.random() < 0.7 else rng.randrange(1, 5), rng.randrange(0, 60), i, rng.choice(["x", "y", None])) for i in range(400)]
+    data = [
+        (0 if rng.random() < 0.7 else rng.randrange(1, 5), rng.choice([None, *range(60)]), i, rng.choice(["x", "y", None]))
+        for i in range(400)
+    ]
     df = spark.createDataFrame(data, "k int, t int, i int, v string")
-    got = neighbour_value(df, ["k"], ["t", "i"], "v", F.floor(F.col("t") / 10), "n", following)
+    bucket = None if even else F.coalesce(F.floor(F.col("t") / 10), F.lit(-1))
+    got = neighbour_value(df, ["k"], ["t", "i"], "v", "n", bucket, following)
     by_key = defaultdict(list)
-    for r in sorted(data, key=lambda r: (r[1], r[2]), reverse=following):
+    for r in sorted(data, key=lambda r: (-1 if r[1] is None else r[1], r[2]), reverse=following):
         by_key[r[0]].append(r)
     want = {r[2]: (prev[3] if prev else None) for rs in by_key.values() for prev, r in zip([None, *rs], rs)}
     assert {r.i: r.n for r in got.collect()} == want
 
 
+def test_even_buckets_bound_the_groups(spark):
+    # one key has a third of all rows, all of them within one day
+    df = spark.range(3000).selectExpr(
+        "if(id % 3 = 0, 0, id) as k", "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id / 100) as t"
+    )
+    cut = with_even_buckets(df, "t", "b", 30)
+    sizes = [r["count"] for r in cut.groupBy("b").count().collect()]
+    assert len(sizes) == 30 and max(sizes) <= 3000 / 30 * 1.1
+    assert cut.groupBy("k", "b").count().agg(F.max("count")).first()[0] <= 3000 / 30 / 3 * 1.2
+
+
 def test_reopened(spark, rows):
     data = [("t", 1, "open"), ("t", 2, "resolved"), ("t", 3, "open"), ("t", 4, "closed"), ("u", 1, "open")]
     df = spark.createDataFrame(data, "id string, at int, status string")
