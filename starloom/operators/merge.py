@@ -134,6 +134,9 @@ def soft_delete_customer(customers: DataFrame, customer_id: Any) -> DataFrame:
     )
 
 
+SCD2_COLUMNS = ("surrogate_key", "valid_from", "valid_to", "is_current")
+
+
 def scd2_surrogate(key: Column, valid_from: Column) -> Column:
     """Deterministic surrogate key of one version."""
     return F.sha2(F.concat_ws("|", key.cast("string"), valid_from.cast("string")), 256)
@@ -147,8 +150,7 @@ def scd2_merge(history: DataFrame, snapshot: DataFrame, key: str, tracked: Itera
     key.  A change in a tracked column closes the current version at ``as_of``
     and opens a new one; keys missing from the snapshot stay current.
     """
-    system = ("surrogate_key", "valid_from", "valid_to", "is_current")
-    business = [c for c in history.columns if c not in system]
+    business = [c for c in history.columns if c not in SCD2_COLUMNS]
     types = {f.name: f.dataType for f in history.schema.fields}
     current = history.filter("is_current").select(F.struct(*history.columns).alias("h"))
     fresh = snapshot.select(F.struct(*[F.col(c).cast(types[c]).alias(c) for c in business]).alias("s"))

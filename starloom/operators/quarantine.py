@@ -127,16 +127,14 @@ def retry_orphans(
     rows whose reference was found.
     """
     mine = orphans.filter(F.col("fact_table") == fact_table)
-    tagged = mark_resolved(mine, dims).withColumn(
-        "fact_key", F.get_json_object("record_payload", f"$.{fact_key}")
-    )
-    done = tagged.groupBy("fact_key").agg(F.bool_and("ref_found").alias("all_found")).filter("all_found")
-    ready = tagged.join(
-        done.select(F.col("fact_key").alias("__k")), F.col("fact_key").eqNullSafe(F.col("__k")), "left_semi"
-    )
+    tagged = mark_resolved(mine, dims).withColumn("fact_key", F.get_json_object("record_payload", f"$.{fact_key}"))
+    # one row per payload; both branches below read the same aggregate
+    payloads = tagged.groupBy("fact_key", "record_payload").agg(F.bool_and("ref_found").alias("found"))
+    waiting = payloads.filter(~F.col("found")).select(F.col("fact_key").alias("__waiting"))
+    ready = payloads.filter("found").join(waiting, F.col("fact_key").eqNullSafe(F.col("__waiting")), "left_anti")
     others = orphans.filter(~F.col("fact_table").eqNullSafe(F.lit(fact_table)))
     remaining = tagged.filter(~F.col("ref_found")).select(*orphans.columns)
-    return OpResult(ready.select("fact_key", "record_payload").distinct(), remaining.unionByName(others))
+    return OpResult(ready.select("fact_key", "record_payload"), remaining.unionByName(others))
 
 
 def expire(df: DataFrame, column: str, days: int, now: Column, unresolved_only: bool = False) -> DataFrame:

@@ -9,12 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from starloom.functions.calendar import date_dimension, day_range
 from starloom.functions.derive import apply_derived
 from starloom.functions.masking import hash_pii
 from starloom.operators.joins import join_chain
 from starloom.operators.shape import drop_repeated_names, keep_columns, rename_present
 from starloom.operators.validation import OUTCOME, PASSED, REASON, tag_rows, to_model, validation_stats
-from starloom.specs import DYNAMIC_DIMENSION, LOAD_ORDER, OpResult, SourceSpec, TableSpec
+from starloom.specs import DYNAMIC_DIMENSION, LOAD_ORDER, OpResult, SourceSpec, TableSpec, columns
+
+
+HISTORY_COLUMNS = columns("surrogate_key string, valid_from date, valid_to date, is_current boolean")
 
 
 @dataclass(frozen=True)
@@ -86,8 +90,11 @@ def source_schema(spec: SourceSpec) -> StructType:
 
 def table_schema(spark: SparkSession, table: TableSpec, sources: Mapping[str, SourceSpec]) -> StructType:
     """The table's columns and types, from its plan over empty sources."""
+    if table.generated:
+        return date_dimension(day_range(spark, "2000-01-01", "2000-01-01")).schema
     empty = {s: spark.createDataFrame([], source_schema(sources[s])) for s in table.sources}
-    return build_table(empty, table).schema
+    built = build_table(empty, table).schema
+    return StructType([*built.fields, *HISTORY_COLUMNS.fields]) if table.tracked else built
 
 
 def sources_of(tables: Iterable[TableSpec]) -> set[str]:

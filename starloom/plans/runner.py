@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from starloom.functions.calendar import date_dimension, day_range
 from starloom.operators.lookups import (
     IS_DUPLICATE,
     ORPHAN_REASON,
@@ -21,8 +22,8 @@ from starloom.operators.lookups import (
     tag_duplicates,
     tag_orphans_by_missing_keys,
 )
-from starloom.operators.merge import merge_upsert
-from starloom.operators.metrics import batch_rollup, quality_metrics, threshold_alerts, with_rates
+from starloom.operators.merge import SCD2_COLUMNS, merge_upsert, scd2_counts, scd2_merge
+from starloom.operators.metrics import batch_rollup, percent, quality_metrics, threshold_alerts, with_rates
 from starloom.operators.quarantine import (
     ORPHAN_SCHEMA,
     REJECTED_SCHEMA,
@@ -53,7 +54,8 @@ from starloom.specs import FACT, SourceSpec, TableSpec, columns
 
 RUN_LOG_SCHEMA = columns(
     "run_id string, file_name string, total_records bigint, passed_count bigint, duplicate_count bigint, "
-    "null_count bigint, orphan_count bigint, quarantined_count bigint, processing_latency_ms bigint, "
+    "null_count bigint, orphan_count bigint, quarantined_count bigint, null_rate double, orphan_rate double, "
+    "processing_latency_ms bigint, "
     "scd_inserted_count bigint, scd_updated_count bigint, scd_expired_count bigint, file_success boolean, message string"
 )
 ALERT_SCHEMA = columns(
@@ -140,17 +142,29 @@ class _Run:
         )
         self._log(row, started, False)
 
-    def _log(self, metrics: DataFrame, started: float, ok: bool) -> None:
+    def _log(
+        self, metrics: DataFrame, started: float, ok: bool, inserted: Column | None = None, expired: Column | None = None
+    ) -> None:
+        """One row per file or table; dimension loads also say how many rows they changed."""
         ms = int((time.monotonic() - started) * 1000)
         counts = ("total_records", "passed_count", "duplicate_count", "null_count", "orphan_count", "quarantined_count")
+        rates = (("null_count", "null_rate"), ("orphan_count", "orphan_rate"))
         have = set(metrics.columns)
         self.log.append(
             metrics.select(
                 F.lit(self.batch_id).alias("run_id"),
                 "file_name",
                 *[(F.col(c) if c in have else F.lit(0)).cast("long").alias(c) for c in counts],
+                *[percent(F.col(c) if c in have else F.lit(0), F.col("total_records")).alias(n) for c, n in rates],
                 F.lit(ms).cast("long").alias("processing_latency_ms"),
-                *[F.lit(None).cast("long").alias(f"scd_{k}_count") for k in ("inserted", "updated", "expired")],
+                *[
+                    (c if c is not None else F.lit(None)).cast("long").alias(f"scd_{k}_count")
+                    for k, c in (
+                        ("inserted", inserted),
+                        ("updated", None if inserted is None else F.col("passed_count") - inserted),
+                        ("expired", expired),
+                    )
+                ],
                 F.lit(ok).alias("file_success"),
                 (F.col("message") if "message" in have else F.lit(None).cast("string")).alias("message"),
             )
@@ -176,14 +190,15 @@ class _Run:
         self._log(quality_metrics(tagged.withColumn("file_name", F.lit(spec.file))), started, True)
         return good_rows(tagged, spec)
 
-    def split(self, table: TableSpec, built: DataFrame, check_refs: bool) -> DataFrame:
-        """Required fields, duplicates and orphans of a built table; returns the rows to load."""
-        started = time.monotonic()
+    def split(self, table: TableSpec, built: DataFrame, check_refs: bool) -> tuple[DataFrame, DataFrame]:
+        """Required fields, duplicates and orphans of a built table; the rows to load and their counts."""
         store = self.wh.table(table.name)
         df = stage(built, table.name)
         ignore = [*self.wh.model.pii_of(table), *table.date_columns]
         # rows this batch wrote in an earlier attempt are not its duplicates
         stored = store.read_batches().filter(F.col(BATCH_ID) != self.batch_id).drop(BATCH_ID)
+        if table.tracked:
+            stored = stored.filter("is_current").drop(*SCD2_COLUMNS)
         tagged = tag_duplicates(df, stored, table.key, ignore)
         if check_refs:
             refs = [r for r in table.dims if isinstance(r.fk, str)]
@@ -211,8 +226,7 @@ class _Run:
                 to_orphans(lost, table.name, self.now, F.lit(self.wh.model.sources[table.sources[0]].file))
             )
         metrics = quality_metrics(tagged.withColumn("file_name", F.lit(table.name)))
-        self._log(metrics, started, True)
-        return tagged.filter(o == PASSED).select(*cols)
+        return tagged.filter(o == PASSED).select(*cols), metrics
 
     def finish(self) -> RunReport:
         for store, frames in (
@@ -256,11 +270,24 @@ def _load_table(run: _Run, table: TableSpec, prepared: Mapping[str, DataFrame |
         built = build_table(inputs, table)
         store = run.wh.table(table.name)
         if table.kind == FACT:
-            store.append(run.split(table, built, True), run.batch_id)
+            rows, metrics = run.split(table, built, True)
+            store.append(rows, run.batch_id)
+            run._log(metrics, started, True)
         else:
             one = latest_per_key(built, [table.key], _newest_first(built, table))
-            rows = run.split(table, one, check_dimension_keys)
-            store.replace(merge_upsert(store.read(), rows, table.key))
+            rows, metrics = run.split(table, one, check_dimension_keys)
+            before = store.read()
+            if table.tracked:
+                counts = scd2_counts(before, rows, table.key, table.tracked).first()
+                merged = scd2_merge(before, rows, table.key, table.tracked, run.now)
+                new, expired = F.lit(counts.scd_inserted_count), F.lit(counts.scd_expired_count)
+            else:
+                merged, old_rows, expired = merge_upsert(before, rows, table.key), before.count(), F.lit(0)
+            store.replace(merged)
+            if not table.tracked:
+                # row counts come from the file footers
+                new = F.lit(store.read().count() - old_rows)
+            run._log(metrics, started, True, new, expired)
         run.report.loaded.append(table.name)
     except (PySparkException, ValueError) as e:
         # a failing table is recorded; the others go on
@@ -288,6 +315,11 @@ def run_batch(
     return report
 
 
+def load_calendar(wh: Warehouse, start: str, end: str, name: str = "DateDim") -> None:
+    """Fill the generated date dimension."""
+    wh.table(name).replace(date_dimension(day_range(wh.spark, start, end)))
+
+
 def run_micro_batch(wh: Warehouse, paths: Iterable[str], batch_id: str, now: Column | None = None) -> RunReport:
     """Append the facts of the given files; the same ``batch_id`` replaces its own rows."""
     run = _Run(wh, batch_id, now)

@@ -153,6 +153,8 @@ class TableSpec:
     generated: bool = False
     null_safe_joins: bool = False
     partition_by: tuple[str, ...] = ()
+    # a dimension with tracked columns keeps its history (type 2)
+    tracked: tuple[str, ...] = ()
 
 
 class OpResult(NamedTuple):

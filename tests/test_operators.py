@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from starloom.functions.rules import email_ok, in_range, one_of
+from starloom.operators import finders
 from starloom.operators.joins import cross_filter, join_chain, join_step, star_join
 from starloom.operators.lookups import split_duplicates, split_orphans, split_tagged_orphans, tag_orphans_by_missing_keys
 from starloom.operators.measures import Dim, Measure, aggregate, measure_query
@@ -436,6 +437,25 @@ def test_unknown_group_column(spark):
     assert aggregate(spark.range(4), [], ["n"], one).first()[0] == 4
 
 
+# ---- reads
+
+
+def test_finders(spark, rows):
+    agents = spark.createDataFrame(
+        [(1, "Core", "senior", True), (2, "Core", "junior", False), (3, "Night", "junior", None)],
+        "agent_id int, team_name string, skill_level string, is_active boolean",
+    )
+    assert rows(finders.by_team(agents, "Core"), "agent_id") == [(1,), (2,)]
+    assert rows(finders.by_skill_level(agents, "junior"), "agent_id") == [(2,), (3,)]
+    assert rows(finders.active(agents), "agent_id") == [(1,)]
+    assert rows(finders.point_lookup(agents, "agent_id", 2), "team_name") == [("Core",)]
+    assert finders.point_lookup(agents, "agent_id", 9).count() == 0
+    keys = spark.createDataFrame([(1,), (1,), (7,)], "agent_id int")
+    assert rows(finders.columns_by_keys(agents, ["team_name"], keys, "agent_id")) == [("Core",)]
+    orphans = spark.createDataFrame([("CustomersDim",), ("AgentsDim",)], "source_table string")
+    assert rows(finders.by_source_table(orphans, "customersdim")) == [("CustomersDim",)]
+
+
 # ---- shape
 
 

@@ -4,12 +4,13 @@ import csv
 import json
 import os
 import shutil
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
-from starloom.plans.build import build_table, table_schema
-from starloom.plans.runner import Warehouse, apply_retention, batch_summary, run_batch, run_micro_batch
+from starloom.plans.build import Model, build_table, table_schema
+from starloom.plans.runner import Warehouse, apply_retention, batch_summary, load_calendar, run_batch, run_micro_batch
 from starloom.plans.support_tickets import MODEL
 from starloom.sources.files import counted, list_files, logical_file, match_sources, read_source, scan, tables_with_files
 from starloom.sources.tables import SnapshotTable
@@ -145,6 +146,8 @@ def test_batch_micro_batch_and_retry(warehouse, rows):
     ]
     log = {r.file_name: r for r in wh.run_log.read().collect()}
     assert (log["agents.csv"].total_records, log["agents.csv"].passed_count, log["agents.csv"].null_count) == (3, 1, 1)
+    assert log["agents.csv"].null_rate == 33.33
+    assert [log["CustomersDim"][f"scd_{k}_count"] for k in ("inserted", "updated", "expired")] == [2, 0, 0]
     summary = batch_summary(wh, "day1").first()
     assert summary.files_failed == 0 and summary.quarantined_count == 2
 
@@ -182,6 +185,9 @@ def test_batch_micro_batch_and_retry(warehouse, rows):
     assert rows(wh.table("FactTickets").read(), "ticket_id") == [("t1",), ("t2",), ("t3",)]
     assert wh.orphans.read().count() == 0
     assert wh.table("CustomersDim").read().count() == 3
+    day2 = wh.run_log.read_batches().filter("batch_id = 'day2' and file_name = 'CustomersDim'").first()
+    # the two customers sent again are duplicates
+    assert (day2.scd_inserted_count, day2.scd_updated_count, day2.duplicate_count) == (1, 0, 2)
 
 
 def test_alert_and_retention(warehouse, rows):
@@ -239,6 +245,55 @@ def test_stream_of_hour_folders(warehouse, rows):
     ]
 
 
+def test_dimension_keys_are_checked_on_request(spark, tmp_path, rows):
+    wh = Warehouse(spark, str(tmp_path / "wh"), MODEL)
+    folder = str(tmp_path / "b")
+    city = dict(city_id=1, city_name="Cairo", country="Egypt", timezone="Africa/Cairo")
+    region = dict(region_name="R", delivery_base_fee=1.0)
+    paths = [
+        write_json(f"{folder}/cities.json", [city]),
+        write_csv(f"{folder}/regions.csv", [dict(region, region_id=1, city_id=1), dict(region, region_id=2, city_id=5)]),
+    ]
+    run_batch(wh, paths, "day1", moment(), check_dimension_keys=True)
+    assert rows(wh.table("RegionsDim").read(), "region_id") == [(1,)]
+    assert rows(wh.orphans.read(), "fact_table", "source_table", "orphaned_fk_value") == [("RegionsDim", "CitiesDim", "5")]
+
+
+def test_generated_dates(spark, tmp_path, rows):
+    wh = Warehouse(spark, str(tmp_path / "wh"), MODEL)
+    load_calendar(wh, "2024-01-01", "2024-12-31")
+    days = wh.table("DateDim").read()
+    assert days.count() == 366 and days.filter("is_weekend").count() == 104
+    assert rows(days.filter("date_id = 20240229"), "day", "month", "quarter", "year") == [("Thursday", "February", "Q1", 2024)]
+
+
+def test_history_of_tracked_columns(spark, tmp_path, rows):
+    """A dimension with tracked columns keeps its versions."""
+    table = replace(MODEL.tables["ChannelsDim"], tracked=("channel_name",))
+    wh = Warehouse(spark, str(tmp_path / "wh"), Model(MODEL.sources, {"ChannelsDim": table}))
+
+    def load(day, *names):
+        records = [dict(channel_id=i + 1, channel_name=n) for i, n in enumerate(names)]
+        run_batch(wh, [write_csv(f"{tmp_path}/{day}/channels.csv", records)], day, moment(f"{day} 00:00:00"))
+
+    load("2024-01-01", "app", "phone")
+    load("2024-01-02", "app", "call", "chat")
+    load("2024-01-03", "app", "call", "chat")
+    versions = [(r.channel_id, r.channel_name, str(r.valid_from), str(r.valid_to)) for r in wh.table("ChannelsDim").read().collect()]
+    assert sorted(versions) == [
+        (1, "app", "2024-01-01", "None"),
+        (2, "call", "2024-01-02", "None"),
+        (2, "phone", "2024-01-01", "2024-01-02"),
+        (3, "chat", "2024-01-02", "None"),
+    ]
+    log = wh.run_log.read_batches().filter("file_name = 'ChannelsDim'")
+    assert rows(log, "batch_id", "scd_inserted_count", "scd_updated_count", "scd_expired_count") == [
+        ("2024-01-01", 2, 0, 0),
+        ("2024-01-02", 1, 1, 1),
+        ("2024-01-03", 0, 0, 0),
+    ]
+
+
 # ---- sources
 
 
