@@ -114,8 +114,26 @@ def derive_column(step: DeriveStep) -> Column:
     raise TypeError(f"unknown derive step {type(step).__name__}")
 
 
+def _reads(step: DeriveStep) -> set[str] | None:
+    """Columns a step reads; unknown for a free expression."""
+    if isinstance(step, DateDiff):
+        return {step.start, step.end}
+    if isinstance(step, Compare):
+        return {step.left, step.right}
+    if isinstance(step, Arithmetic):
+        return {c for t in step.terms for c in (t.column, t.right_column) if c}
+    return {step.column} if isinstance(step, DateKey) else None
+
+
 def apply_derived(df: DataFrame, steps: Iterable[DeriveStep]) -> DataFrame:
-    """Add derived columns in order; later steps may read earlier ones."""
+    """Add derived columns in order; later steps may read earlier ones.
+
+    Steps that do not read each other share one projection.
+    """
+    group: dict[str, Column] = {}
     for step in steps:
-        df = df.withColumn(step.name, derive_column(step))
-    return df
+        reads = _reads(step)
+        if group and (reads is None or step.name in group or reads & group.keys()):
+            df, group = df.withColumns(group), {}
+        group[step.name] = derive_column(step)
+    return df.withColumns(group) if group else df

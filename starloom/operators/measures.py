@@ -55,6 +55,30 @@ MEASURES: dict[str, Measure] = {
     ),
 }
 
+
+
+def _cents(column: str) -> tuple[str, str]:
+    return (f"cents_{column}", f"sum(cast(rint({column} * 100) as bigint))")
+
+
+def _exact_sum(column: str) -> Measure:
+    return Measure((_cents(column),), f"cents_{column} / 100D")
+
+
+# The same measures with money added up in whole cents: integer sums do not
+# depend on the order of the rows, so a repeated run gives the same digits.
+EXACT_MEASURES: dict[str, Measure] = {
+    **MEASURES,
+    "total_refund_amount": _exact_sum("refund_amount"),
+    "total_sales": _exact_sum("total_amount"),
+    "total_revenue_impact": _exact_sum("revenue_impact"),
+    "net_profit": Measure(
+        (_cents("total_amount"), _cents("revenue_impact")),
+        "case when cents_total_amount is null and cents_revenue_impact is null then null "
+        "else (coalesce(cents_total_amount, 0) - coalesce(cents_revenue_impact, 0)) / 100D end",
+    ),
+}
+
 # The two selectable measure lists, in display order.
 TICKET_MEASURES = ("total_tickets", "total_revenue_impact", "total_refund_amount", "total_sales", "net_profit")
 RESPONSE_MEASURES = ("avg_resolution_time", "first_response_time", "net_profit", "sla_breach_rate")

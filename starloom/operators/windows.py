@@ -59,7 +59,7 @@ def with_even_buckets(df: DataFrame, column: str, name: str, buckets: int = BUCK
     split = QuantileDiscretizer(
         numBuckets=buckets, inputCol="__position", outputCol="__quantile", handleInvalid="keep"
     ).fit(numbered.select("__position"))
-    bucket = F.when(F.col("__position").isNull(), F.lit(-1.0)).otherwise(F.col("__quantile"))
+    bucket = F.when(F.col("__position").isNull(), F.lit(-1)).otherwise(F.col("__quantile").cast("int"))
     return split.transform(numbered).withColumn(name, bucket).drop("__position", "__quantile")
 
 

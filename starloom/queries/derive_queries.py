@@ -20,7 +20,7 @@ from starloom.operators.shape import (
 )
 from starloom.operators.validation import schema_gate, split_rows, tag_rows, validation_stats
 from starloom.queries.registry import query
-from starloom.queries.roles import TICKETS_SQL, money_as_double, table, tickets
+from starloom.queries.roles import TICKETS_SQL, table, tickets
 from starloom.specs import Arithmetic, Compare, DateDiff, DateKey, Expr, Rule, SourceSpec, Term, columns
 
 _UNIT_SQL = {
@@ -461,12 +461,10 @@ def text_keys(spark, sf):
 
 @query(
     "fact_money",
-    f"""WITH {TICKETS_SQL} SELECT ticket_id, line_no, CAST(order_amount AS DOUBLE) AS order_amount,
-        CAST(refund_amount AS DOUBLE) AS refund_amount, coalesce(CAST(refund_amount AS DOUBLE), 0) + CAST(discount_amount AS DOUBLE)
+    f"""WITH {TICKETS_SQL} SELECT ticket_id, line_no, order_amount,
+        refund_amount, coalesce(refund_amount, 0) + discount_amount
         AS revenue_impact FROM tickets""",
 )
 def fact_money(spark, sf):
     step = Arithmetic("revenue_impact", (Term("refund_amount"), Term("discount_amount")))
-    return money_as_double(
-        apply_derived(tickets(spark, sf), [step]).select("ticket_id", "line_no", "order_amount", "refund_amount", "revenue_impact")
-    )
+    return apply_derived(tickets(spark, sf), [step]).select("ticket_id", "line_no", "order_amount", "refund_amount", "revenue_impact")

@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions.calendar import calendar_for, date_dimension, with_hierarchy
 from starloom.operators.lookups import MISSING_REFS, split_orphans, tag_orphans
 from starloom.operators.measures import (
+    EXACT_MEASURES,
     RESPONSE_MEASURES,
     TICKET_MEASURES,
     Dim,
     breach_rate_percent,
     date_rollup,
-    measure_query,
+    measure_query as any_measure_query,
     measures_long,
     pick_measures,
     top_groups,
@@ -21,19 +24,23 @@ from starloom.operators.measures import (
 from starloom.operators.metrics import batch_rollup, null_counts, quality_metrics, threshold_alerts, with_rates
 from starloom.operators.validation import INVALID, NULL_REQUIRED, ORPHAN, OUTCOME, PASSED
 from starloom.queries.registry import query
-from starloom.queries.roles import FACT_SQL, TICKETS_SQL, agents, dims, fact, money_as_double, region_with_city, table
+from starloom.queries.roles import FACT_SQL, TICKETS_SQL, agents, dims, fact, region_with_city, table
 from starloom.specs import DimRef
 
+def _exact(column):
+    return f"CAST(sum(CAST({column} AS DECIMAL(18,2))) AS DOUBLE)"
+
+
 # one SQL text per measure
 _SQL = {
     "total_tickets": "count(ticket_id)",
     "sla_breach_rate": "count(*) FILTER (sla_resolution_breached) / CAST(count(*) AS DOUBLE)",
     "avg_resolution_time": "CAST(sum(resolution_time_min) AS DOUBLE) / count(resolution_time_min)",
     "first_response_time": "CAST(sum(first_response_time_min) AS DOUBLE) / count(first_response_time_min)",
-    "total_refund_amount": "CAST(sum(refund_amount) AS DOUBLE)",
-    "total_sales": "CAST(sum(total_amount) AS DOUBLE)",
-    "total_revenue_impact": "CAST(sum(revenue_impact) AS DOUBLE)",
-    "net_profit": "CAST(sum(total_amount) - sum(revenue_impact) AS DOUBLE)",
+    "total_refund_amount": _exact("refund_amount"),
+    "total_sales": _exact("total_amount"),
+    "total_revenue_impact": _exact("revenue_impact"),
+    "net_profit": "CAST(sum(CAST(total_amount AS DECIMAL(18,2))) - sum(CAST(revenue_impact AS DECIMAL(18,2))) AS DOUBLE)",
 }
 
 
@@ -42,6 +49,7 @@ def _list(names):
 
 
 _ALL = tuple(_SQL)
+measure_query = partial(any_measure_query, registry=EXACT_MEASURES)
 
 _JOINED_SQL = (
     f"WITH {FACT_SQL}, joined AS (SELECT fact.*, n_name AS region_name, r_name AS city_name, p_name AS restaurant_name, "
@@ -53,31 +61,31 @@ _JOINED_SQL = (
 
 @query("measure_cards", f"WITH {FACT_SQL} SELECT {_list(_ALL)} FROM fact")
 def measure_cards(spark, sf):
-    return money_as_double(measure_query(fact(spark, sf), measures=_ALL))
+    return measure_query(fact(spark, sf), measures=_ALL)
 
 
 @query("net_profit", _JOINED_SQL + f"SELECT city_name, {_list(['net_profit'])} FROM joined GROUP BY city_name")
 def net_profit(spark, sf):
-    return money_as_double(measure_query(fact(spark, sf), ["city_name"], ["net_profit"], dims(spark, sf)))
+    return measure_query(fact(spark, sf), ["city_name"], ["net_profit"], dims(spark, sf, "regions"))
 
 
-def _grouped(name, by, measures, order=None):
+def _grouped(name, by, measures, dim):
     keys = ", ".join(by)
 
     @query(name, _JOINED_SQL + f"SELECT {keys}, {_list(measures)} FROM joined GROUP BY {keys}")
     def run(spark, sf):
-        ordering = order or [F.col(measures[0]).desc(), *[F.col(c).asc() for c in by]]
-        return money_as_double(measure_query(fact(spark, sf), by, measures, dims(spark, sf), order=ordering))
+        order = [F.col(measures[0]).desc(), *[F.col(c).asc() for c in by]]
+        return measure_query(fact(spark, sf), by, measures, dims(spark, sf, dim), order=order)
 
     return run
 
 
-_grouped("tickets_by_region", ["region_name"], TICKET_MEASURES)
-_grouped("tickets_by_city", ["city_name"], TICKET_MEASURES)
-_grouped("tickets_by_city_region", ["city_name", "region_name"], ("total_tickets", "sla_breach_rate"))
-_grouped("tickets_by_category", ["category_name"], TICKET_MEASURES)
-_grouped("tickets_by_restaurant", ["restaurant_id", "restaurant_name"], ("total_tickets", "total_sales"))
-_grouped("tickets_by_agent", ["agent_id", "agent_name"], RESPONSE_MEASURES)
+_grouped("tickets_by_region", ["region_name"], TICKET_MEASURES, "regions")
+_grouped("tickets_by_city", ["city_name"], TICKET_MEASURES, "regions")
+_grouped("tickets_by_city_region", ["city_name", "region_name"], ("total_tickets", "sla_breach_rate"), "regions")
+_grouped("tickets_by_category", ["category_name"], TICKET_MEASURES, "restaurants")
+_grouped("tickets_by_restaurant", ["restaurant_id", "restaurant_name"], ("total_tickets", "total_sales"), "restaurants")
+_grouped("tickets_by_agent", ["agent_id", "agent_name"], RESPONSE_MEASURES, "agents")
 
 
 @query(
@@ -106,16 +114,14 @@ def tickets_by_driver(spark, sf):
           WHERE city_name IN ('ASIA', 'EUROPE') AND price_tier = 'ECONOMY' AND refund_amount IS NOT NULL GROUP BY region_name""",
 )
 def measures_with_slicers(spark, sf):
-    return money_as_double(
-        measure_query(
+    return measure_query(
             fact(spark, sf),
             ["region_name"],
             RESPONSE_MEASURES,
-            dims(spark, sf),
+            dims(spark, sf, "regions", "restaurants"),
             where=F.col("refund_amount").isNotNull(),
             dim_filters={"regions": F.col("city_name").isin("ASIA", "EUROPE"), "restaurants": F.col("price_tier") == "ECONOMY"},
         )
-    )
 
 
 @query(
@@ -127,7 +133,7 @@ def measures_with_slicers(spark, sf):
     ),
 )
 def measures_long_query(spark, sf):
-    wide = measure_query(fact(spark, sf), ["region_name"], TICKET_MEASURES, dims(spark, sf))
+    wide = measure_query(fact(spark, sf), ["region_name"], TICKET_MEASURES, dims(spark, sf, "regions"))
     return measures_long(wide, ["region_name"], TICKET_MEASURES)
 
 
@@ -137,7 +143,7 @@ def measures_long_query(spark, sf):
 )
 def measures_picked(spark, sf):
     names = pick_measures(["total_sales", "total_revenue_impact"], TICKET_MEASURES)
-    return money_as_double(measure_query(fact(spark, sf), ["category_name"], names, dims(spark, sf)))
+    return measure_query(fact(spark, sf), ["category_name"], names, dims(spark, sf, "restaurants"))
 
 
 @query(
@@ -147,7 +153,7 @@ def measures_picked(spark, sf):
          FROM joined WHERE city_name IS NOT NULL GROUP BY city_name""",
 )
 def breach_rate_by_city(spark, sf):
-    return breach_rate_percent(fact(spark, sf), ["city_name"], dims(spark, sf), "sla_resolution_breached")
+    return breach_rate_percent(fact(spark, sf), ["city_name"], dims(spark, sf, "regions"), "sla_resolution_breached")
 
 
 _REASONS_SQL = _JOINED_SQL + "SELECT price_tier AS reason_name, category_name, count(*) AS ticket_count FROM joined GROUP BY 1, 2"
@@ -212,7 +218,7 @@ def measures_by_resolved_year(spark, sf):
         FROM d GROUP BY ROLLUP (year, quarter, month, day)""",
 )
 def date_rollup_query(spark, sf):
-    return money_as_double(date_rollup(fact(spark, sf), "created_at", ["total_tickets", "avg_resolution_time", "net_profit"]))
+    return date_rollup(fact(spark, sf), "created_at", ["total_tickets", "avg_resolution_time", "net_profit"], EXACT_MEASURES)
 
 
 # ---- calendars

@@ -12,13 +12,31 @@ from pyspark.sql import functions as F
 from starloom.functions.derive import apply_derived
 from starloom.operators.joins import join_chain
 from starloom.operators.measures import Dim
-from starloom.specs import Arithmetic, Compare, DateDiff, DateKey, JoinStep, Term
-
-MONEY = "decimal(18,2)"
+from starloom.specs import Arithmetic, Compare, DateDiff, DateKey, JoinStep, Term, columns
+
+# The columns of the given tables.  With a declared schema Spark
+# opens no file before the query runs.
+SCHEMAS = {
+    "region": columns("r_regionkey int, r_name string"),
+    "nation": columns("n_nationkey int, n_name string, n_regionkey int"),
+    "customer": columns("c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"),
+    "supplier": columns("s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double"),
+    "part": columns("p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"),
+    "orders": columns(
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, "
+        "o_orderpriority string"
+    ),
+    "lineitem": columns(
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+        "l_shipdate timestamp_ntz"
+    ),
+    "events": columns("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"),
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,7 +48,7 @@ def tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
-        F.col("o_totalprice").cast(MONEY).alias("total_amount"),
+        F.col("o_totalprice").alias("total_amount"),
         F.col("o_orderdate").alias("created_at"),
         F.substring("o_orderpriority", 1, 1).cast("int").alias("sla_days"),
     )
@@ -47,10 +65,10 @@ def tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_partkey").alias("restaurant_id"),
         F.col("l_linestatus").alias("status"),
         F.col("l_returnflag").alias("reason_code"),
-        F.col("l_extendedprice").cast(MONEY).alias("order_amount"),
-        F.col("l_quantity").cast(MONEY).alias("discount_amount"),
+        F.col("l_extendedprice").alias("order_amount"),
+        F.col("l_quantity").alias("discount_amount"),
         F.col("l_tax").alias("delivery_fee"),
-        F.when(F.col("l_returnflag") == "R", F.col("l_extendedprice").cast(MONEY)).alias("refund_amount"),
+        F.when(F.col("l_returnflag") == "R", F.col("l_extendedprice")).alias("refund_amount"),
         F.col("l_shipdate").alias("resolved_at"),
     )
     joined = join_chain(lines, {"orders": orders}, [JoinStep("orders", "order_id", "order_id")])
@@ -67,10 +85,9 @@ def tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
 TICKETS_SQL = """tickets AS (
   SELECT l_orderkey AS ticket_id, l_linenumber AS line_no, l_orderkey AS order_id, l_suppkey AS agent_id,
          l_suppkey AS driver_id, l_partkey AS restaurant_id, l_linestatus AS status, l_returnflag AS reason_code,
-         CAST(l_extendedprice AS DECIMAL(18,2)) AS order_amount, CAST(l_quantity AS DECIMAL(18,2)) AS discount_amount,
-         l_tax AS delivery_fee,
-         CASE WHEN l_returnflag = 'R' THEN CAST(l_extendedprice AS DECIMAL(18,2)) END AS refund_amount,
-         l_shipdate AS resolved_at, o_custkey AS customer_id, CAST(o_totalprice AS DECIMAL(18,2)) AS total_amount,
+         l_extendedprice AS order_amount, l_quantity AS discount_amount, l_tax AS delivery_fee,
+         CASE WHEN l_returnflag = 'R' THEN l_extendedprice END AS refund_amount,
+         l_shipdate AS resolved_at, o_custkey AS customer_id, o_totalprice AS total_amount,
          o_orderdate AS created_at, c_nationkey AS region_id,
          o_orderdate + to_hours(l_linenumber) AS first_response_at,
          o_orderdate + INTERVAL 4 HOUR AS sla_first_due_at,
@@ -89,9 +106,8 @@ DERIVED = (
 
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tickets with the derived fact columns; money as exact decimals."""
-    out = apply_derived(tickets(spark, sf_dir), DERIVED)
-    return out.withColumn("revenue_impact", F.col("revenue_impact").cast(MONEY))
+    """Tickets with the derived fact columns."""
+    return apply_derived(tickets(spark, sf_dir), DERIVED)
 
 
 FACT_SQL = (
@@ -103,7 +119,7 @@ FACT_SQL = (
            AS first_response_time_min,
          coalesce(first_response_at > sla_first_due_at, FALSE) AS sla_first_response_breached,
          coalesce(resolved_at > sla_resolve_due_at, FALSE) AS sla_resolution_breached,
-         CAST(coalesce(refund_amount, 0) + coalesce(discount_amount, 0) AS DECIMAL(18,2)) AS revenue_impact,
+         coalesce(refund_amount, 0) + coalesce(discount_amount, 0) AS revenue_impact,
          CAST(strftime(created_at, '%Y%m%d') AS INTEGER) AS date_key_created,
          CAST(strftime(resolved_at, '%Y%m%d') AS INTEGER) AS date_key_resolved
   FROM tickets)"""
@@ -144,16 +160,11 @@ def agents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def dims(spark: SparkSession, sf_dir: str) -> dict[str, Dim]:
-    return {
-        "regions": Dim(region_with_city(spark, sf_dir), "region_id", "region_id"),
-        "restaurants": Dim(restaurants(spark, sf_dir).drop("rating_avg"), "restaurant_id", "restaurant_id"),
-        "agents": Dim(agents(spark, sf_dir).select("agent_id", "agent_name"), "agent_id", "agent_id"),
+def dims(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, Dim]:
+    """The named dimensions as a measure query takes them."""
+    build = {
+        "regions": lambda: Dim(region_with_city(spark, sf_dir), "region_id", "region_id"),
+        "restaurants": lambda: Dim(restaurants(spark, sf_dir).drop("rating_avg"), "restaurant_id", "restaurant_id"),
+        "agents": lambda: Dim(agents(spark, sf_dir).select("agent_id", "agent_name"), "agent_id", "agent_id"),
     }
-
-
-def money_as_double(df: DataFrame) -> DataFrame:
-    """Exact sums leave as doubles."""
-    return df.select(
-        *[F.col(n).cast("double").alias(n) if t.startswith("decimal") else F.col(n) for n, t in df.dtypes]
-    )
+    return {n: build[n]() for n in names}

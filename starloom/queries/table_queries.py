@@ -33,7 +33,7 @@ from starloom.operators.quarantine import expire_orphans, expire_rejected, retry
 from starloom.operators.shape import filter_equal, filter_not_equal, filter_not_null, hierarchy_slicer, slicer
 from starloom.operators.windows import dedup_keep_first, latest_per_key, reopened_events, validity_ranges
 from starloom.queries.registry import query
-from starloom.queries.roles import FACT_SQL, TICKETS_SQL, fact, money_as_double, table, tickets
+from starloom.queries.roles import FACT_SQL, TICKETS_SQL, fact, table, tickets
 from starloom.session import scratch_path
 from starloom.sources.tables import SnapshotTable
 from starloom.specs import DimRef, columns
@@ -544,20 +544,20 @@ def equality_filter(spark, sf):
 
 @query(
     "not_equal_filter",
-    f"""WITH {TICKETS_SQL} SELECT ticket_id, line_no, CAST(refund_amount AS DOUBLE) AS refund_amount FROM tickets
+    f"""WITH {TICKETS_SQL} SELECT ticket_id, line_no, refund_amount FROM tickets
         WHERE refund_amount IS DISTINCT FROM 30000""",
 )
 def not_equal_filter(spark, sf):
     rows = filter_not_equal(tickets(spark, sf), "refund_amount", 30000)
-    return money_as_double(rows.select("ticket_id", "line_no", "refund_amount"))
+    return rows.select("ticket_id", "line_no", "refund_amount")
 
 
 @query(
     "exclude_null",
-    f"WITH {TICKETS_SQL} SELECT ticket_id, line_no, CAST(refund_amount AS DOUBLE) AS refund_amount FROM tickets WHERE refund_amount IS NOT NULL",
+    f"WITH {TICKETS_SQL} SELECT ticket_id, line_no, refund_amount FROM tickets WHERE refund_amount IS NOT NULL",
 )
 def exclude_null(spark, sf):
-    return money_as_double(filter_not_null(tickets(spark, sf), "refund_amount").select("ticket_id", "line_no", "refund_amount"))
+    return filter_not_null(tickets(spark, sf), "refund_amount").select("ticket_id", "line_no", "refund_amount")
 
 
 @query("slicer", "SELECT p_partkey, p_brand FROM part WHERE p_brand IN ('Brand#2', 'Brand#17', 'Brand#4')")

@@ -16,6 +16,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a hot join key even where the split costs one more exchange
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # hash join instead of sorting both sides where every partition is known to fit
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     # bloom filter from a small join side into the scan of a large one
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
 }
