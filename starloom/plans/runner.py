@@ -8,7 +8,6 @@ from collections.abc import Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -48,7 +47,7 @@ from starloom.operators.validation import (
 from starloom.operators.windows import latest_per_key
 from starloom.plans.build import Model, bad_rows, build_table, good_rows, table_schema
 from starloom.session import stage
-from starloom.sources.files import SOURCE_FILE, match_sources, scan, tables_with_files
+from starloom.sources.files import SPARK_ERRORS, error_text, match_sources, scan, tables_with_files
 from starloom.sources.tables import BATCH_ID, SnapshotTable
 from starloom.specs import FACT, SourceSpec, TableSpec, columns
 
@@ -112,11 +111,17 @@ class Warehouse:
 
 @dataclass
 class RunReport:
-    """What a run did: loaded tables, failures by name, small metric rows."""
+    """What a run did.
+
+    ``failed`` names everything that was not loaded and why.  ``errors`` are
+    those of them where a job broke, so that the same run may succeed later;
+    the others are faults of the data, which is in quarantine.
+    """
 
     batch_id: str
     loaded: list[str] = field(default_factory=list)
     failed: dict[str, list[str]] = field(default_factory=dict)
+    errors: list[str] = field(default_factory=list)
 
 
 def _now_or(now: Column | None) -> Column:
@@ -170,26 +175,40 @@ class _Run:
             )
         )
 
+    def broken(self, name: str, error: Exception, started: float) -> None:
+        self.report.errors.append(name)
+        self.fail(name, [error_text(error)], started)
+
     def source(self, spec: SourceSpec, paths: Sequence[str]) -> DataFrame | None:
         """Read, gate, split and mask one source; None if the file is rejected."""
         started = time.monotonic()
-        read = scan(self.wh.spark, spec, paths)
-        if not read.ok:
-            self.fail(spec.name, read.errors, started)
+        try:
+            read = scan(self.wh.spark, spec, paths)
+            if not read.ok:
+                self.report.errors.append(spec.file)
+                self.fail(spec.file, read.errors, started)
+                return None
+            raw = read.df
+            errors = schema_errors(raw, spec) if spec.validate else []
+            if errors:
+                # the whole file is quarantined under the shared reason
+                self.rejected.append(to_rejected(raw, spec.file, self.now, F.lit("; ".join(errors))))
+                self.fail(spec.file, errors, started)
+                return None
+            # the frame forks into good rows, bad rows and counts: compute it once
+            tagged = stage(tag_rows(raw, spec), spec.name)
+        except SPARK_ERRORS as e:
+            self.broken(spec.file, e, started)
             return None
-        raw = read.df
-        errors = schema_errors(raw, spec) if spec.validate else []
-        if errors:
-            # the whole file is quarantined under the shared reason
-            self.rejected.append(to_rejected(raw, spec.file, self.now, F.lit("; ".join(errors))))
-            self.fail(spec.file, errors, started)
-            return None
-        # the frame forks into good rows, bad rows and counts: compute it once
-        tagged = stage(tag_rows(raw, spec), spec.name)
         self.rejected.append(to_rejected(bad_rows(tagged), spec.file, self.now))
         self._log(quality_metrics(tagged.withColumn("file_name", F.lit(spec.file))), started, True)
         return good_rows(tagged, spec)
 
+    def set_aside(self, table: TableSpec, inputs: Mapping[str, DataFrame], why: str) -> None:
+        """Quarantine the sound sources of a fact that cannot be built; nobody sends them again."""
+        for s, df in inputs.items():
+            self.rejected.append(to_rejected(df, self.wh.model.sources[s].file, self.now, F.lit(f"{table.name} not built: {why}")))
+
     def split(self, table: TableSpec, built: DataFrame, check_refs: bool) -> tuple[DataFrame, DataFrame]:
         """Required fields, duplicates and orphans of a built table; the rows to load and their counts."""
         store = self.wh.table(table.name)
@@ -265,8 +284,8 @@ def _load(run: _Run, facts: bool, paths: Iterable[str], check_dimension_keys: bo
 
 def _load_table(run: _Run, table: TableSpec, prepared: Mapping[str, DataFrame | None], check_dimension_keys: bool) -> None:
     started = time.monotonic()
+    inputs = {s: prepared[s] for s in table.sources if prepared.get(s) is not None}
     try:
-        inputs = {s: prepared[s] for s in table.sources if prepared.get(s) is not None}
         built = build_table(inputs, table)
         store = run.wh.table(table.name)
         if table.kind == FACT:
@@ -289,9 +308,13 @@ def _load_table(run: _Run, table: TableSpec, prepared: Mapping[str, DataFrame |
                 new = F.lit(store.read().count() - old_rows)
             run._log(metrics, started, True, new, expired)
         run.report.loaded.append(table.name)
-    except (PySparkException, ValueError) as e:
-        # a failing table is recorded; the others go on
-        run.fail(table.name, [str(e).splitlines()[0]], started)
+    # a failing table is recorded; the others go on
+    except ValueError as e:
+        if table.kind == FACT:
+            run.set_aside(table, inputs, str(e))
+        run.fail(table.name, [str(e)], started)
+    except SPARK_ERRORS as e:
+        run.broken(table.name, e, started)
 
 
 def _newest_first(df: DataFrame, table: TableSpec) -> list[Column]:

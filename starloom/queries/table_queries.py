@@ -34,7 +34,7 @@ from starloom.operators.shape import filter_equal, filter_not_equal, filter_not_
 from starloom.operators.windows import dedup_keep_first, latest_per_key, reopened_events, validity_ranges
 from starloom.queries.registry import query
 from starloom.queries.roles import FACT_SQL, TICKETS_SQL, fact, table, tickets
-from starloom.session import scratch_path
+from starloom.session import scratch_path, stage
 from starloom.sources.tables import SnapshotTable
 from starloom.specs import DimRef, columns
 
@@ -342,7 +342,7 @@ def _retry(spark, sf):
         "CustomersDim": (_loaded_customers(spark, sf, 0), "customer_id"),
         "TypesDim": (_types(spark, sf, ["click", "view", "purchase", "signup"]), "event_type"),
     }
-    return retry_orphans(_quarantine(spark, sf), dims, "FactEvents", "event_id")
+    return retry_orphans(stage(_quarantine(spark, sf), "quarantine"), dims, "FactEvents", "event_id")
 
 
 _RETRY_SQL = (

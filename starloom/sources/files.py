@@ -6,6 +6,7 @@ import re
 from collections.abc import Iterable, Sequence
 from typing import NamedTuple
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -106,6 +107,16 @@ def read_source(spark: SparkSession, spec: SourceSpec, paths: Sequence[str], wit
     raise ValueError(f"unsupported file type {spec.format!r} of source {spec.name!r}")
 
 
+# failures of a job come as either of them
+SPARK_ERRORS = (PySparkException, Py4JJavaError)
+
+
+def error_text(e: Exception) -> str:
+    """The first line that says what went wrong."""
+    text = str(e.java_exception.getMessage()) if isinstance(e, Py4JJavaError) else str(e)
+    return (text.splitlines() or [""])[0]
+
+
 class Scan(NamedTuple):
     ok: bool
     df: DataFrame | None
@@ -118,8 +129,8 @@ def scan(spark: SparkSession, spec: SourceSpec, paths: Sequence[str], with_file:
         return Scan(False, None, [f"no file for source {spec.name!r}"])
     try:
         return Scan(True, read_source(spark, spec, paths, with_file), [])
-    except (PySparkException, ValueError) as e:
-        return Scan(False, None, [f"read failed for source {spec.name!r}: {str(e).splitlines()[0]}"])
+    except (*SPARK_ERRORS, ValueError) as e:
+        return Scan(False, None, [f"read failed for source {spec.name!r}: {error_text(e)}"])
 
 
 def counted(df: DataFrame, name: str = "total_in_records") -> tuple[DataFrame, Observation]:

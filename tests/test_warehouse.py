@@ -7,6 +7,7 @@ import shutil
 from dataclasses import replace
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from starloom.plans.build import Model, build_table, table_schema
@@ -218,6 +219,39 @@ def test_bad_file_is_rejected_others_go_on(spark, tmp_path, rows):
     shared = wh.rejected.read().filter("batch_source = 'channels.csv'")
     assert rows(shared, "rejected_reason") == [("Column 'channel_id' type mismatch. Expected int, got str",)] * 2
     assert wh.run_log.read().filter("not file_success").count() == 5
+    assert report.errors == []
+
+
+def test_fact_with_a_rejected_source_is_set_aside(warehouse, rows):
+    wh, _, tmp_path = warehouse
+    folder = str(tmp_path / "h")
+    paths = fact_files_in(folder, [1, 2])
+    write_json(f"{folder}/orders.json", [dict(r, order_amount="much") for r in fact_records([1, 2])["orders.json"]])
+    report = run_micro_batch(wh, paths, "h", moment())
+    assert set(report.failed) == {"orders.json", "FactTickets"} and report.errors == []
+    bad = wh.rejected.read_batches().filter("batch_id = 'h'").groupBy("batch_source").count()
+    assert rows(bad) == [("orders.json", 2), ("ticket_events.json", 2), ("tickets.csv", 2)]
+
+
+def test_unreadable_files_stop_the_stream_before_anything_is_noted(warehouse, rows):
+    wh, _, tmp_path = warehouse
+    root, hour = str(tmp_path / "stream"), str(tmp_path / "stream/2024-01-01/10")
+    fact_files_in(hour, [1, 2])
+    # a second folder whose header does not fit the first one's
+    other = f"{root}/2024-01-01/11"
+    fact_files_in(other, [1], first=3, only={"orders.json", "ticket_events.json"})
+    write_csv(f"{other}/tickets.csv", [dict(reversed(list(ticket(3, 1).items())))])
+
+    def run():
+        start_stream(wh, root, str(tmp_path / "cp"), "tickets", available_now=True, now=moment()).awaitTermination()
+
+    with pytest.raises(StreamingQueryException, match="incomplete"):
+        run()
+    assert Arrivals(wh.spark, f"{wh.root}/stream_tickets", fact_files(wh)).loaded.read().count() == 0
+    # repaired, the same trigger loads both folders
+    write_csv(f"{other}/tickets.csv", [ticket(3, 1)])
+    run()
+    assert rows(wh.table("FactTickets").read(), "ticket_id") == [("t1",), ("t2",), ("t3",)]
 
 
 def test_stream_of_hour_folders(warehouse, rows):
