@@ -111,6 +111,29 @@ def comparable_columns(df: DataFrame, ignore: Iterable[str]) -> list[str]:
     return [c for c in df.columns if c not in ignore]
 
 
+def stored_candidates(df: DataFrame, stored: DataFrame, key: str, folders: Iterable[str] = ()) -> DataFrame:
+    """The stored rows whose key occurs in ``df``, for tables too large to scan whole.
+
+    First only the key column is scanned.  With no hit, as for a batch of new
+    rows, that is all.  Otherwise the wide scan is limited to the hit keys and
+    to the ``folders`` (partition columns of the stored table) they lie in.
+    """
+    folders = list(folders)
+    keys = df.select(F.col(key).alias("__key")).dropna().distinct()
+    hits = stage(
+        stored.select(key, *folders).join(keys, F.col(key) == F.col("__key"), "left_semi").distinct(), "stored-keys"
+    )
+    if hits.isEmpty():
+        return stored.filter(F.lit(False))
+    for c in folders:
+        # one value per folder of the table, not per row
+        values = [r[0] for r in hits.select(c).distinct().collect()]
+        known = F.col(c).isin(*[v for v in values if v is not None])
+        stored = stored.filter(known | F.col(c).isNull() if None in values else known)
+    wanted = hits.select(F.col(key).alias("__hit")).distinct()
+    return stored.join(wanted, F.col(key) == F.col("__hit"), "left_semi")
+
+
 def tag_duplicates(df: DataFrame, stored: DataFrame, key: str, ignore: Iterable[str] = ()) -> DataFrame:
     """Flag rows that equal a stored row in every compared column, null equal to null.
 

@@ -18,6 +18,7 @@ from starloom.operators.lookups import (
     ORPHAN_REASON,
     MISSING_REFS,
     duplicate_reason,
+    stored_candidates,
     tag_duplicates,
     tag_orphans_by_missing_keys,
 )
@@ -216,6 +217,8 @@ class _Run:
         ignore = [*self.wh.model.pii_of(table), *table.date_columns]
         # rows this batch wrote in an earlier attempt are not its duplicates
         stored = store.read_batches().filter(F.col(BATCH_ID) != self.batch_id).drop(BATCH_ID)
+        if table.kind == FACT:
+            stored = stored_candidates(df, stored, table.key, table.partition_by)
         if table.tracked:
             stored = stored.filter("is_current").drop(*SCD2_COLUMNS)
         tagged = tag_duplicates(df, stored, table.key, ignore)

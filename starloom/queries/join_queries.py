@@ -21,6 +21,7 @@ from starloom.operators.lookups import (
     split_duplicates,
     split_orphans,
     split_tagged_orphans,
+    stored_candidates,
     tag_orphans_by_missing_keys,
 )
 from starloom.operators.quarantine import pack_list
@@ -358,3 +359,11 @@ def duplicate_rows(spark, sf):
 @query("nonduplicate_rows", _DUP_SQL.format(neg="NOT"))
 def nonduplicate_rows(spark, sf):
     return split_duplicates(_incoming_lines(spark, sf), _stored_lines(spark, sf), "l_orderkey", ["l_shipdate"]).good
+
+
+@query("duplicate_rows_of_candidates", _DUP_SQL.format(neg=""))
+def duplicate_rows_of_candidates(spark, sf):
+    """The stored side narrowed by a scan of its keys first, as for a large stored fact."""
+    incoming = _incoming_lines(spark, sf)
+    known = stored_candidates(incoming, _stored_lines(spark, sf), "l_orderkey")
+    return split_duplicates(incoming, known, "l_orderkey", ["l_shipdate"]).bad

@@ -9,7 +9,13 @@ from pyspark.sql import functions as F
 from starloom.functions.rules import email_ok, in_range, one_of
 from starloom.operators import finders
 from starloom.operators.joins import cross_filter, join_chain, join_step, star_join
-from starloom.operators.lookups import split_duplicates, split_orphans, split_tagged_orphans, tag_orphans_by_missing_keys
+from starloom.operators.lookups import (
+    split_duplicates,
+    split_orphans,
+    split_tagged_orphans,
+    stored_candidates,
+    tag_orphans_by_missing_keys,
+)
 from starloom.operators.measures import Dim, Measure, aggregate, measure_query
 from starloom.operators.merge import (
     delete_by_id,
@@ -27,6 +33,7 @@ from starloom.operators.quarantine import expire_orphans, retry_orphans, to_orph
 from starloom.operators.shape import align_to, drop_repeated_names, filter_not_equal, hierarchy_slicer, keep_columns
 from starloom.operators.validation import schema_errors, split_rows, validate
 from starloom.operators.windows import latest_per_key, neighbour_value, reopened_by_transition, reopened_events, with_even_buckets
+from starloom.sources.tables import SnapshotTable
 from starloom.specs import DimRef, JoinStep, Rule, SourceSpec, columns
 
 slow = settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -206,6 +213,22 @@ def test_duplicate_split_is_null_safe(spark, rows):
     assert rows(out.good, "k") == sorted([(2,), (4,), (None,)], key=repr)
 
 
+def test_stored_candidates_read_only_the_hit_folders(spark, tmp_path, rows):
+    store = SnapshotTable(spark, str(tmp_path / "t"), columns("k int, day int, v string"), partition_by=("day",))
+    data = [(1, 20240101, "a"), (2, 20240102, "b"), (3, 20240103, "c"), (4, None, "d")]
+    store.append(spark.createDataFrame(data, "k int, day int, v string"), "b1")
+    new = spark.createDataFrame([(2, 20240109, "b"), (4, None, "d"), (9, 20240101, "x"), (None, None, "n")], "k int, day int, v string")
+    found = stored_candidates(new, store.read(), "k", ["day"])
+    assert rows(found) == sorted([(2, 20240102, "b"), (4, None, "d")], key=repr)
+    only = stored_candidates(new.filter("k = 2"), store.read(), "k", ["day"])
+    assert rows(only) == [(2, 20240102, "b")]
+    assert "PartitionFilters: [isnotnull(day" in only._jdf.queryExecution().executedPlan().toString()
+    assert stored_candidates(new.filter("k = 9"), store.read(), "k", ["day"]).count() == 0
+    # the date is not compared, so a row moved to another day is still a duplicate
+    out = split_duplicates(new, found, "k", ["day"])
+    assert rows(out.bad, "k") == [(2,), (4,)]
+
+
 @slow
 @given(st.lists(st.tuples(st.integers(0, 4), st.one_of(st.none(), st.integers(0, 2))), max_size=20), st.data())
 def test_splits_keep_every_row(spark, data, more):
