@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 
-from pyspark.ml.feature import QuantileDiscretizer
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -16,8 +17,8 @@ from starloom.functions.derive import elapsed_seconds
 CLOSED = ("resolved", "closed")
 OPENED = ("open", "reopened")
 
-# share of all rows a window group may reach: one in this many
-BUCKETS = 1000
+# bounds of the number of window buckets
+MIN_BUCKETS, MAX_BUCKETS = 64, 10_000
 
 
 def latest_per_key(df: DataFrame, keys: Iterable[str], order: Iterable[Column]) -> DataFrame:
@@ -47,20 +48,32 @@ def _as_double(df: DataFrame, column: str) -> Column:
     raise ValueError(f"no even buckets over {column!r} of type {dtype.simpleString()}; pass a bucket")
 
 
-def with_even_buckets(df: DataFrame, column: str, name: str, buckets: int = BUCKETS) -> DataFrame:
+def bucket_count(df: DataFrame) -> int:
+    """A few buckets per shuffle partition, so groups shrink as the cluster's settings grow."""
+    return min(MAX_BUCKETS, max(MIN_BUCKETS, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+
+
+def with_even_buckets(df: DataFrame, column: str, name: str, buckets: int | None = None) -> DataFrame:
     """Number the rows' buckets so that each holds about the same share of all rows.
 
     The borders are quantiles of the whole column (one pass over it, a list of
-    ``buckets`` numbers at most), so a bucket, and with it every (key, bucket)
-    group, is bounded by its share of the table however the keys are spread.
-    Rows without a value come first, as they do in an ascending order.
+    at most ``buckets`` numbers), so a bucket, and with it every (key, bucket)
+    group, is bounded by 1.5 times its share of the table however the keys are
+    spread.  Rows without a value come first, as they do in an ascending order.
     """
+    n = buckets or bucket_count(df)
     numbered = df.withColumn("__position", _as_double(df, column))
-    split = QuantileDiscretizer(
-        numBuckets=buckets, inputCol="__position", outputCol="__quantile", handleInvalid="keep"
-    ).fit(numbered.select("__position"))
+    borders = numbered.approxQuantile("__position", [i / n for i in range(1, n)], 1 / (4 * n))
+    if not borders:
+        return df.withColumn(name, F.lit(0))
+    cut = Bucketizer(
+        splits=[-math.inf, *sorted(set(borders)), math.inf],
+        inputCol="__position",
+        outputCol="__quantile",
+        handleInvalid="keep",
+    )
     bucket = F.when(F.col("__position").isNull(), F.lit(-1)).otherwise(F.col("__quantile").cast("int"))
-    return split.transform(numbered).withColumn(name, bucket).drop("__position", "__quantile")
+    return cut.transform(numbered).withColumn(name, bucket).drop("__position", "__quantile")
 
 
 def neighbour_value(

@@ -329,6 +329,13 @@ def test_neighbour_value_against_brute_force(spark, following, even):
     assert {r.i: r.n for r in got.collect()} == want
 
 
+def test_neighbour_of_nothing(spark, rows):
+    none = spark.createDataFrame([], "k int, t int, v string")
+    assert neighbour_value(none, ["k"], ["t"], "v", "n").count() == 0
+    blank = spark.createDataFrame([(1, None, "a"), (1, None, "b")], "k int, t int, v string")
+    assert rows(neighbour_value(blank, ["k"], ["t", "v"], "v", "n"), "v", "n") == [("a", None), ("b", "a")]
+
+
 def test_even_buckets_bound_the_groups(spark):
     # one key has a third of all rows, all of them within one day
     df = spark.range(3000).selectExpr(
@@ -336,8 +343,8 @@ def test_even_buckets_bound_the_groups(spark):
     )
     cut = with_even_buckets(df, "t", "b", 30)
     sizes = [r["count"] for r in cut.groupBy("b").count().collect()]
-    assert len(sizes) == 30 and max(sizes) <= 3000 / 30 * 1.1
-    assert cut.groupBy("k", "b").count().agg(F.max("count")).first()[0] <= 3000 / 30 / 3 * 1.2
+    assert len(sizes) == 30 and max(sizes) <= 3000 / 30 * 1.5
+    assert cut.groupBy("k", "b").count().agg(F.max("count")).first()[0] <= 3000 / 30 / 3 * 1.5
 
 
 def test_reopened(spark, rows):
