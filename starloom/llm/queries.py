@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from starloom.llm.fingerprints import edited_fingerprints
+from starloom.llm.ngram_jaccard import jaccard_links
 from starloom.llm.runtime import prepare, table
+from starloom.llm.substring_dedup import remove_repeats
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -25,3 +29,16 @@ def query(name):
 def op8(spark, sf_dir):
     """MinHash fingerprints of each text and of its edited text."""
     return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query("op1_ngram_jaccard_join")
+def op1(spark, sf_dir):
+    """Class and number of links of each document at a Jaccard index of 0.8 over five-word shingles."""
+    return jaccard_links(table(spark, sf_dir, "documents"))
+
+
+@query("op4_substring_dedup")
+def op4(spark, sf_dir):
+    """Words that remain when 13-word windows of smaller documents are removed."""
+    made = remove_repeats(table(spark, sf_dir, "documents"))
+    return made.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))

@@ -87,3 +87,42 @@ def _fields(schema: str) -> list:
 def crc_mod(column: str, mod: int) -> F.Column:
     """crc32 of the value's text, modulo ``mod``: the fold that a row belongs to (null: no fold)."""
     return F.pmod(F.crc32(F.col(column).cast("string")), F.lit(mod))
+
+
+def runs(batches, keys: tuple[str, ...]):
+    """(key, table) for each run of rows with equal keys in a stream that is sorted by them."""
+    held, last = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+        new = columns[0][1:] != columns[0][:-1]
+        for c in columns[1:]:
+            new = new | (c[1:] != c[:-1])
+        bounds = [0, *(new.nonzero()[0] + 1).tolist(), batch.num_rows]
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            key = tuple(c[a] for c in columns)
+            if held and key != last:
+                yield last, pa.Table.from_batches(held).combine_chunks()
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = key
+    if held:
+        yield last, pa.Table.from_batches(held).combine_chunks()
+
+
+def map_runs(df: DataFrame, keys: tuple[str, ...], f: Callable, schema: str) -> DataFrame:
+    """``f(key, table)`` of all rows with equal keys; it returns a dict of columns, or None."""
+    names = [x.name for x in _fields(schema)]
+
+    def run(batches):
+        for key, rows in runs(batches, keys):
+            if (out := f(key, rows)) is not None:
+                yield pa.RecordBatch.from_arrays([_array(out[n]) for n in names], names=names)
+
+    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+
+
+def scratch_partitions(spark: SparkSession) -> int:
+    """Tasks that a shuffle of this session has at least."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
