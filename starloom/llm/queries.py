@@ -6,8 +6,12 @@ from pyspark.sql import functions as F
 
 from starloom.llm.fingerprints import edited_fingerprints
 from starloom.llm.ngram_jaccard import jaccard_links
+from starloom.llm.orc_tokens import checksums, read_tokens, write_tokens
+from starloom.llm.packing import pieces
+from starloom.llm.piece_viterbi import round_trip
 from starloom.llm.runtime import prepare, table
 from starloom.llm.substring_dedup import remove_repeats
+from starloom.session import scratch_path
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -42,3 +46,23 @@ def op4(spark, sf_dir):
     """Words that remain when 13-word windows of smaller documents are removed."""
     made = remove_repeats(table(spark, sf_dir, "documents"))
     return made.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op2_packing")
+def op2(spark, sf_dir):
+    """Pieces of documents in sequences of 1024 ids."""
+    return pieces(table(spark, sf_dir, "documents"))
+
+
+@query("op5_orc_tokens")
+def op5(spark, sf_dir):
+    """Token ids written to ORC files in order of doc_id, and read back."""
+    path = scratch_path(spark, "token-files")
+    write_tokens(table(spark, sf_dir, "documents"), path)
+    return checksums(read_tokens(spark, path))
+
+
+@query("op10_sentencepiece")
+def op10(spark, sf_dir):
+    """SentencePiece ids of each text, decoded again."""
+    return round_trip(table(spark, sf_dir, "documents"))
