@@ -95,6 +95,15 @@ def candidate_forest(signs: np.ndarray, needed: dict[int, int]) -> list[tuple[in
     return edges
 
 
+def connected(ids: np.ndarray, edges: list[tuple[int, int]]) -> np.ndarray:
+    """The smallest id that edges connect each id to; all buckets of a group then name the same few ids."""
+    root = ids.copy()
+    for i, j in edges:
+        a, b = root[i], root[j]
+        root[(root == a) | (root == b)] = min(a, b)
+    return root
+
+
 def exact_links(sets: list[np.ndarray], threshold: float, columns: int = 8192) -> np.ndarray:
     """Matrix of the pairs whose Jaccard index is at least ``threshold``."""
     sizes = np.array([len(s) for s in sets])
@@ -186,10 +195,9 @@ def _candidate_edges(heads: DataFrame, needed: dict[int, int]) -> DataFrame:
     def connect(_, group):
         signs = text_bytes(group.column("signature"))[0].view(np.uint32).reshape(-1, PERMUTATIONS).astype(np.uint8)
         ids = group.column("head").to_numpy()
-        edges = candidate_forest(signs, needed)
-        if edges:
-            a, b = ids[np.array(edges).T]
-            return {"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))}
+        root = connected(ids, candidate_forest(signs, needed))
+        if (away := root != ids).any():
+            return {"a": pa.array(root[away]), "b": pa.array(ids[away])}
         return None
 
     return stage(map_runs(members, ("bucket", "low", "high"), connect, "a long, b long").distinct(), "jaccard-edges")
