@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from starloom.llm.fingerprints import edited_fingerprints
+from starloom.llm.language_crf import languages
 from starloom.llm.ngram_jaccard import jaccard_links
 from starloom.llm.orc_tokens import checksums, read_tokens, write_tokens
 from starloom.llm.packing import pieces
 from starloom.llm.piece_viterbi import round_trip
 from starloom.llm.runtime import prepare, table
 from starloom.llm.substring_dedup import remove_repeats
+from starloom.llm.toxicity import toxicity
 from starloom.session import scratch_path
 
 QUERIES = {}
@@ -66,3 +68,15 @@ def op5(spark, sf_dir):
 def op10(spark, sf_dir):
     """SentencePiece ids of each text, decoded again."""
     return round_trip(table(spark, sf_dir, "documents"))
+
+
+@query("op3_toxicity")
+def op3(spark, sf_dir):
+    """Toxicity score of each text."""
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op6_language_id")
+def op6(spark, sf_dir):
+    """Language of each text."""
+    return languages(table(spark, sf_dir, "documents"))
