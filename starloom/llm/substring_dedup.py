@@ -5,13 +5,13 @@ first maximal runs of one symbol, then neighbouring pairs (the symbol's bits say
 right halves) are replaced by new symbols.  A new symbol's name is a 64-bit hash of its parts, so equal runs and pairs
 have the same name in every text and every task, without a dictionary to exchange.  Each symbol also knows the range
 of words that its name and borders depend on; where a window of ``WINDOW`` words holds that range, every other
-occurrence of the window holds the same symbol.  A window is filed under the smallest such symbol (a window that holds
-none, as among long runs, under itself).
+occurrence of the window holds the same symbol.  A window is filed under the smallest name of two such symbols side by
+side, or of one; a window that holds none, as among long runs, under itself.
 
 1. ``_pages``: texts are packed into pages of about a megabyte, compressed, with fixed page numbers.
 2. Spark groups the symbols of all pages: which of them are in two documents or more?
-3. Windows under shared symbols are verified: 96 bits of two independent hashes of their words are grouped over all
-   pages, with the smallest doc_id of each page.
+3. Windows under shared symbols are verified: they are dealt to parts by one hash of all their words and compared by
+   another of 64 bits, with the smallest doc_id of each page.  Parts do not grow with the data, their number does.
 4. A window is a repeat if a smaller doc_id has it; the words under repeats go.
 
 A page names each symbol and each window once, and the answers that come back are single bits, so a passage that a
@@ -23,7 +23,6 @@ from each other; a null doc_id is larger than any other; repeated rows stay; ext
 
 from __future__ import annotations
 
-import hashlib
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +41,9 @@ PAGE_BYTES = 1 << 20
 PAGES_OF_SYMBOLS = 64
 PAGES_OF_WINDOWS = 24
 NO_ID = np.iinfo(np.int64).max
+NONE = np.iinfo(np.uint64).max
+#: Level of the compression of pages.
+PACKING = 3
 
 
 class Page:
@@ -61,27 +63,31 @@ class Page:
         return at[at + size <= self.first[1:][self.row[at]]]
 
     def names(self, size: int, rounds: int) -> tuple[np.ndarray, np.ndarray]:
-        """Windows, and the name of the symbol that each is filed under."""
+        """Windows, and the name that each is filed under: that of two neighbouring symbols, of one, or its own."""
         at = self.windows(size)
-        keys = window_hashes(self.words, size)
         if not len(at):
             return at, np.zeros(0, U64)
-        best = np.full(len(self.words), np.iinfo(np.uint64).max, U64)
-        name, left, right = recompress(self.words, self.row, rounds)
-        # the windows that hold all the words a symbol depends on
-        low, high = np.maximum(right - size, 0), left
-        reach = high - low
-        for t in range(size):
-            use = reach >= t
-            if not use.any():
-                break
-            np.minimum.at(best, low[use] + t, name[use])
-        own = best[at] == np.iinfo(np.uint64).max
-        return at, np.where(own, keys[at], best[at])
-
-
-def recompress(words: np.ndarray, row: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Names of the symbols after so many rounds, and the range of words that each depends on."""
+        filed = window_hashes(self.words, size)[at]
+        name, left, right, doc = recompress(self.words, self.row, rounds)
+        both = mix(name[:-1] * U64(BASES[1]) + name[1:] * U64(BASES[0]) + U64(1))
+        same = doc[1:] == doc[:-1]
+        for names, low, high in ((name, left, right), (both[same], np.minimum(left[:-1], left[1:])[same], np.maximum(right[:-1], right[1:])[same])):
+            best = _smallest(names, np.maximum(high - size, 0), low, len(self.words))[at]
+            filed = np.where(best == NONE, filed, best)
+        return at, filed
+
+
+def _smallest(names: np.ndarray, low: np.ndarray, high: np.ndarray, n: int) -> np.ndarray:
+    """For each window the smallest name among those that it holds: those with low <= window <= high."""
+    best = np.full(n, NONE, U64)
+    for t in range(int((high - low).max(initial=-1)) + 1):
+        use = low + t <= high
+        np.minimum.at(best, low[use] + t, names[use])
+    return best
+
+
+def recompress(words: np.ndarray, row: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Names of the symbols after so many rounds, the range of words that each depends on, and its row."""
     n = len(words)
     name, doc = words.copy(), row
     left, right = np.arange(n), np.arange(1, n + 1)
@@ -109,7 +115,7 @@ def recompress(words: np.ndarray, row: np.ndarray, rounds: int) -> tuple[np.ndar
         name[where] = mix(name[where] * U64(BASES[0]) + name[where + 1] * U64(BASES[1]) + U64(r + 3))
         left[where], right[where] = np.minimum(left[where], left[where + 1]), np.maximum(right[where], right[where + 1])
         name, left, right, doc = name[~second], left[~second], right[~second], doc[~second]
-    return name, left, right
+    return name, left, right, doc
 
 
 def _neighbours(left: np.ndarray, right: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -129,7 +135,7 @@ def _pages(docs: DataFrame, page_bytes: int) -> DataFrame:
             nonlocal count
             ids = np.concatenate([h[0] for h in held])
             lengths = np.concatenate([np.diff(h[2]) for h in held])
-            blob = zstandard.compress(b"".join(h[1].tobytes() for h in held), 1)
+            blob = zstandard.compress(b"".join(h[1].tobytes() for h in held), PACKING)
             count += 1
             offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
             return pa.RecordBatch.from_arrays(
@@ -150,62 +156,55 @@ def _pages(docs: DataFrame, page_bytes: int) -> DataFrame:
     return stage(docs.mapInArrow(pack, "page long, ids binary, offsets binary, blob binary"), "dedup-pages", compression="uncompressed")
 
 
-def _parts(keys: np.ndarray, count: int) -> list[tuple[int, slice]]:
-    """Order of ``keys`` by part and key is the caller's; here the slice of each part."""
-    part = (keys % U64(count)).astype(np.int64)
-    bounds = np.searchsorted(part, np.arange(count + 1))
-    return [(p, slice(int(bounds[p]), int(bounds[p + 1]))) for p in range(count) if bounds[p] < bounds[p + 1]]
-
-
-def _by_part(keys: np.ndarray, count: int) -> np.ndarray:
-    return np.lexsort((keys, keys % U64(count)))
+def _by_part(part: np.ndarray, keys: np.ndarray, count: int) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+    """Order of the keys by part and key, and the slice of each part."""
+    part = (part % U64(count)).astype(np.int64)
+    order = np.lexsort((keys, part))
+    bounds = np.searchsorted(part[order], np.arange(count + 1))
+    return order, [(p, slice(int(bounds[p]), int(bounds[p + 1]))) for p in range(count) if bounds[p] < bounds[p + 1]]
 
 
 def _asked(page: Page, size: int, rounds: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Windows, index of each one's name, the page's names in order of value, and whether two documents have them."""
     at, name = page.names(size, rounds)
     names, which = np.unique(name, return_inverse=True)
-    who = page.ids[page.row[at]]
     low, high = np.full(len(names), NO_ID, np.int64), np.full(len(names), np.iinfo(np.int64).min, np.int64)
+    who = page.ids[page.row[at]]
     np.minimum.at(low, which, who)
     np.maximum.at(high, which, who)
     return at, which, names, low < high
 
 
-def _bits(answers: list[dict] | None, order: np.ndarray, keys: np.ndarray, count: int) -> np.ndarray:
+def _short(names: np.ndarray) -> np.ndarray:
+    """Names within a part; two that are taken for one only add candidates, and parts do not grow with the data."""
+    return (names >> U64(32)).astype(np.uint32)
+
+
+def _bits(answers: list[dict] | None, order: np.ndarray, parts: list[tuple[int, slice]]) -> np.ndarray:
     """Answers of all parts, put at the keys they belong to."""
-    out = np.zeros(len(keys), bool)
+    out = np.zeros(len(order), bool)
     given = {a["part"]: a["bits"] for a in answers or []}
-    for p, where in _parts(keys[order], count):
-        n = where.stop - where.start
-        out[order[where]] = np.unpackbits(np.frombuffer(given[p], np.uint8), count=n).astype(bool)
+    for p, where in parts:
+        out[order[where]] = np.unpackbits(np.frombuffer(given[p], np.uint8), count=where.stop - where.start).astype(bool)
     return out
 
 
 def _verify(page: Page, size: int, rounds: int, answers: list[dict] | None, count: int) -> dict[str, np.ndarray]:
-    """Candidate windows of a page: where they start, their key, and for each key the smallest doc_id here."""
+    """Candidate windows of a page, their two keys, and for each distinct pair of keys the smallest doc_id here."""
     at, which, names, _ = _asked(page, size, rounds)
-    shared = _bits(answers, _by_part(names, count), names, count)
+    shared = _bits(answers, *_by_part(names, _short(names), count))
     at = at[shared[which]]
     key = window_hashes(page.words, size)[at]
-    check = (window_hashes(Spans(page.body, BASES[1]).of(page.starts, page.ends), size, BASES[1])[at] >> U64(32)).astype(np.uint32)
-    keys, index = _unique_pairs(key, check)
+    other = window_hashes(Spans(page.body, BASES[1]).of(page.starts, page.ends), size, BASES[1])[at]
+    order = np.lexsort((other, key))
+    new = np.ones(len(at), bool)
+    new[1:] = (key[order][1:] != key[order][:-1]) | (other[order][1:] != other[order][:-1])
+    index = np.empty(len(at), np.int64)
+    index[order] = np.cumsum(new) - 1
     who = page.ids[page.row[at]]
-    low = np.full(len(keys), NO_ID, np.int64)
+    low = np.full(int(new.sum()), NO_ID, np.int64)
     np.minimum.at(low, index, who)
-    return {"at": at, "index": index, "key": keys["key"], "check": keys["check"], "low": low, "who": who}
-
-
-def _unique_pairs(key: np.ndarray, check: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.lexsort((check, key))
-    k, c = key[order], check[order]
-    new = np.ones(len(k), bool)
-    new[1:] = (k[1:] != k[:-1]) | (c[1:] != c[:-1])
-    index = np.empty(len(k), np.int64)
-    index[order] = np.cumsum(new) - 1
-    out = np.empty(int(new.sum()), [("key", U64), ("check", np.uint32)])
-    out["key"], out["check"] = k[new], c[new]
-    return out, index
+    return {"at": at, "index": index, "key": key[order][new], "other": other[order][new], "low": low, "who": who}
 
 
 def _narrow(values: np.ndarray) -> tuple[int, bytes, int]:
@@ -231,22 +230,21 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS,
         for batch in batches:
             for r, page in of(batch):
                 _, _, names, multi = _asked(page, window, rounds)
-                order = _by_part(names, n_names)
-                names, multi = names[order], multi[order]
-                parts = _parts(names, n_names)
+                order, parts = _by_part(names, _short(names), n_names)
+                short, multi = _short(names)[order], multi[order]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([p for p, _ in parts], pa.int32()),
                         pa.array([r["page"]] * len(parts), pa.int64()),
-                        pa.array([names[s].tobytes() for _, s in parts], pa.binary()),
+                        pa.array([short[s].tobytes() for _, s in parts], pa.binary()),
                         pa.array([np.packbits(multi[s]).tobytes() for _, s in parts], pa.binary()),
                     ],
                     names=["part", "page", "names", "multi"],
                 )
 
     def shared(key, group):
-        sizes = [len(x) // 8 for x in group.column("names").to_pylist()]
-        names = text_bytes(group.column("names"))[0].view(U64)
+        sizes = [len(x) // 4 for x in group.column("names").to_pylist()]
+        names = text_bytes(group.column("names"))[0].view(np.uint32)
         multi = np.concatenate([np.unpackbits(np.frombuffer(m, np.uint8), count=n) for m, n in zip(group.column("multi").to_pylist(), sizes, strict=True)])
         _, which, count = np.unique(names, return_inverse=True, return_counts=True)
         known = (count + np.bincount(which, multi, len(count)))[which] > 1
@@ -261,21 +259,19 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS,
         for batch in batches:
             for r, page in of(batch):
                 found = _verify(page, window, rounds, r["first"], n_names)
-                order = _by_part(found["key"], n_windows)
-                key, check, low = (found[c][order] for c in ("key", "check", "low"))
-                parts = _parts(key, n_windows)
+                order, parts = _by_part(found["other"], found["key"], n_windows)
+                key, low = found["key"][order], found["low"][order]
                 docs_ = [_narrow(low[s]) for _, s in parts]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([p for p, _ in parts], pa.int32()),
                         pa.array([r["page"]] * len(parts), pa.int64()),
                         pa.array([key[s].tobytes() for _, s in parts], pa.binary()),
-                        pa.array([check[s].tobytes() for _, s in parts], pa.binary()),
                         pa.array([d[0] for d in docs_], pa.int64()),
                         pa.array([d[1] for d in docs_], pa.binary()),
                         pa.array([d[2] for d in docs_], pa.int32()),
                     ],
-                    names=["part", "page", "keys", "checks", "base", "lows", "width"],
+                    names=["part", "page", "keys", "base", "lows", "width"],
                 )
 
     def repeated(key, group):
@@ -283,12 +279,12 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS,
         low = np.concatenate(
             [np.frombuffer(x, f"<u{w}").astype(np.int64) + b for x, w, b in zip(*(group.column(c).to_pylist() for c in ("lows", "width", "base")), strict=True)]
         )
-        pairs, index = _unique_pairs(text_bytes(group.column("keys"))[0].view(U64), text_bytes(group.column("checks"))[0].view(np.uint32))
-        least_ = np.full(len(pairs), NO_ID, np.int64)
+        keys, index = np.unique(text_bytes(group.column("keys"))[0].view(U64), return_inverse=True)
+        least_ = np.full(len(keys), NO_ID, np.int64)
         np.minimum.at(least_, index, low)
         return _answer(key, group, sizes, least_[index] < low)
 
-    sent = candidates.mapInArrow(verify, "part int, page long, keys binary, checks binary, base long, lows binary, width int")
+    sent = candidates.mapInArrow(verify, "part int, page long, keys binary, base long, lows binary, width int")
     answers = map_runs(sent, ("part",), repeated, "part int, page long, bits binary")
     second = _collected(stage(answers, "dedup-repeated"), "second")
 
@@ -296,7 +292,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS,
         for batch in batches:
             for r, page in of(batch):
                 found = _verify(page, window, rounds, r["first"], n_names)
-                bits = _bits(r["second"], _by_part(found["key"], n_windows), found["key"], n_windows)
+                bits = _bits(r["second"], *_by_part(found["other"], found["key"], n_windows))
                 # the smallest document of this page goes by what other pages have
                 gone = bits[found["index"]] | (found["low"][found["index"]] < found["who"])
                 yield _cut(page, found["at"][gone], window)
