@@ -10,7 +10,9 @@ from starloom.llm.ngram_jaccard import jaccard_links
 from starloom.llm.orc_tokens import checksums, read_tokens, write_tokens
 from starloom.llm.packing import pieces
 from starloom.llm.piece_viterbi import round_trip
+from starloom.llm.quality_ledger import verdicts
 from starloom.llm.runtime import prepare, table
+from starloom.llm.secret_scan import listed, scan
 from starloom.llm.substring_dedup import remove_repeats
 from starloom.llm.toxicity import toxicity
 from starloom.session import scratch_path
@@ -80,3 +82,17 @@ def op3(spark, sf_dir):
 def op6(spark, sf_dir):
     """Language of each text."""
     return languages(table(spark, sf_dir, "documents"))
+
+
+@query("op7_quality_rules")
+def op7(spark, sf_dir):
+    """Measurements, failed rules and verdict of each text."""
+    columns = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed", "policy")
+    return verdicts(table(spark, sf_dir, "documents")).select(*columns)
+
+
+@query("op9_secret_scans")
+def op9(spark, sf_dir):
+    """Secrets in each text."""
+    found = scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", listed().alias("spans"), "n_markov")
