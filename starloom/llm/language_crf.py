@@ -25,7 +25,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from starloom.llm.kernels import U64, Spans, text_bytes, word_spans
-from starloom.llm.runtime import crc_mod, map_texts
+from starloom.llm.runtime import chunks, crc_mod, map_texts
 
 #: Texts of each language that the fit looks at.
 MAX_PER_LANGUAGE = 300
@@ -37,6 +37,8 @@ STRETCH = 24
 EPOCHS = 2
 FOLDS, HELD_OUT = 4, 2
 UNKNOWN = "und"
+#: Below this, no language has the greater part of a text.
+LEAST_SCORE = 0.5
 
 _GAP = np.ones(256, bool)
 _GAP[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
@@ -251,6 +253,19 @@ def languages(docs: DataFrame, model: Crf | None = None) -> DataFrame:
     return told.select("doc_id", F.coalesce(crc_mod("doc_id", FOLDS) == HELD_OUT, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def accepted(docs: DataFrame, model: Crf | None = None, least: float = LEAST_SCORE) -> DataFrame:
+    """The rows of ``docs``, as they are, whose language is known with a score of ``least`` at least."""
+    sent = docs.sparkSession.sparkContext.broadcast(model or learn(docs))
+
+    def run(batches):
+        for batch in batches:
+            for part in chunks(batch, "text"):
+                names, score, _, _ = sent.value.texts(part.column("text"))
+                yield part.filter(pa.array([n != UNKNOWN and x >= least for n, x in zip(names, score, strict=True)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def stretches(docs: DataFrame, model: Crf) -> DataFrame:
     """doc_id, lang, first_word, n_words, score: runs of words of one language in each text."""
     sent = docs.sparkSession.sparkContext.broadcast(model)

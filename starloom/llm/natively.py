@@ -26,15 +26,23 @@ def let(value: Column, then: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), then)[0]
 
 
-def running_sum(lengths: Column) -> Column:
-    """Inclusive prefix sums of an array of longs: each round adds what stands 1, 2, 4, ... places before."""
+def running(values: Column, combine: Callable[[Column, Column], Column], neutral: int = 0) -> Column:
+    """Inclusive running sums, or maxima, of an array of longs: each round combines with 1, 2, 4, ... places before."""
 
-    def add(sums: Column, k: Column) -> Column:
-        shifted = F.slice(F.concat(F.array_repeat(F.lit(0).cast("long"), F.call_function("shiftleft", F.lit(1), k)), sums), F.lit(1), F.size(sums))
-        return F.zip_with(sums, shifted, lambda a, b: a + b)
+    def round_(sums: Column, k: Column) -> Column:
+        shifted = F.slice(F.concat(F.array_repeat(F.lit(neutral).cast("long"), F.call_function("shiftleft", F.lit(1), k)), sums), F.lit(1), F.size(sums))
+        return F.zip_with(sums, shifted, combine)
 
-    rounds = F.ceil(F.log2(F.greatest(F.size(lengths), F.lit(1)))).cast("int")
-    return F.when(F.size(lengths) < 2, lengths).otherwise(F.aggregate(F.sequence(F.lit(0), rounds - 1), lengths, add))
+    rounds = F.ceil(F.log2(F.greatest(F.size(values), F.lit(1)))).cast("int")
+    return F.when(F.size(values) < 2, values).otherwise(F.aggregate(F.sequence(F.lit(0), rounds - 1), values, round_))
+
+
+def running_sum(values: Column) -> Column:
+    return running(values, lambda a, b: a + b)
+
+
+def running_max(values: Column) -> Column:
+    return running(values, lambda a, b: F.greatest(a, b))
 
 
 def pairs(values: Column, then: Callable[[Column, Column], Column]) -> Column:

@@ -230,3 +230,16 @@ def _checked(docs: DataFrame, heads: DataFrame, near: DataFrame, threshold: floa
         return {"head": pa.array(heads), "links": pa.array((linked * copies[None, :]).sum(axis=1)), "root": pa.array(root)}
 
     return stage(map_runs(dealt, ("component", "low", "high"), check, "head long, links long, root long"), "jaccard-links")
+
+
+def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` without those that links connect to a smaller doc_id; rows that repeat stay once.
+
+    Rows without doc_id, and texts without words, stay.
+    """
+    links = stage(jaccard_links(docs, threshold), "jaccard-classes")
+    heads = links.filter("doc_id = class_id").groupBy("doc_id").agg(F.count("*").alias("_rows"), F.max("n_links").alias("_links"))
+    kept = docs.join(heads, "doc_id")
+    again = F.expr("_rows > 1 and _links > 0")
+    columns = docs.columns
+    return kept.filter(~again).select(columns).union(kept.filter(again).dropDuplicates(["doc_id"]).select(columns)).union(docs.filter("doc_id is null"))

@@ -23,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.natively import let, pairs, running_sum, words
+from starloom.llm.natively import let, pairs, running_max, running_sum, words
 
 #: The patterns of the three base kinds, in the order in which equal starts are listed.
 ASSIGN = r"""((?i)password|passwd|secret|token|api_?key)(?-i)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -63,13 +63,14 @@ def _none() -> Column:
 
 
 def base_matches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, text, and the matches of each kind as arrays."""
+    """doc_id, text, the matches of each kind as arrays, and the whole row."""
     t = F.col("text")
-    df = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    df = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.struct("*").alias("row"))
     assigned = F.filter(_matches(t, ASSIGN, 2), lambda m: F.length(m["value"]) >= LEAST_VALUE)
     return df.select(
         "doc_id",
         "text",
+        "row",
         F.when(t.rlike(KEYWORD), assigned).otherwise(_none()).alias("assign"),
         F.when(t.contains("AKIA"), _matches(t, ACCESS)).otherwise(_none()).alias("access"),
         F.when(t.rlike(HEX), _matches(t, HEX)).otherwise(_none()).alias("hex"),
@@ -138,7 +139,7 @@ def _spans(matches: Column, kind: str) -> Column:
 
 
 def scan(docs: DataFrame, table: list[float] | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, n_markov, base_sha256, spans (array of start, order, end, kind) of each text."""
+    """doc_id, n_assign, n_access, n_hex, n_markov, base_sha256, spans (start, order, end, kind), row (as it was) of each text."""
     matched = base_matches(docs, doc_id, text)
     table = table or train(matched)
     ratios = F.split(F.lit(",".join(f"{x:.6g}" for x in table)), ",").cast("array<double>")
@@ -146,12 +147,13 @@ def scan(docs: DataFrame, table: list[float] | None = None, doc_id: str = "doc_i
     base = F.concat(_spans(F.col("assign"), "assign"), _spans(F.col("access"), "access"), _spans(F.col("hex"), "hex"))
     df = matched.select(
         "doc_id",
+        "row",
         *(F.size(k).cast("long").alias(f"n_{k}") for k in KINDS[:3]),
         base.alias("base"),
         F.when(F.size("assign") + F.size("access") + F.size("hex") > 0, _blanked(_blanked(_blanked(t, ASSIGN), ACCESS), HEX)).otherwise(t).alias("rest"),
     )
     tokens = F.when(F.col("rest").rlike(TOKEN), _matches(F.col("rest"), TOKEN)).otherwise(_none())
-    df = df.select("doc_id", "n_assign", "n_access", "n_hex", "base", F.filter(tokens, lambda m: m["match"].rlike("[A-Za-z]")).alias("tokens"))
+    df = df.select("doc_id", "row", "n_assign", "n_access", "n_hex", "base", F.filter(tokens, lambda m: m["match"].rlike("[A-Za-z]")).alias("tokens"))
     odd = F.filter("tokens", lambda m: let(_ratio(m["match"], ratios), lambda r: (r >= LEAST_RATIO) & (r >= LEAST_MEAN * (F.length(m["match"]) - 1))))
     df = df.withColumn("markov", odd)
     return df.select(
@@ -162,9 +164,27 @@ def scan(docs: DataFrame, table: list[float] | None = None, doc_id: str = "doc_i
         F.size("markov").cast("long").alias("n_markov"),
         F.sha2(_listed(F.col("base")), 256).alias("base_sha256"),
         F.array_sort(F.concat("base", _spans(F.col("markov"), "markov"))).alias("spans"),
+        "row",
     )
 
 
 def listed(spans: str = "spans") -> Column:
     """Spans as kind:start:end, joined by commas."""
     return _listed(F.col(spans))
+
+
+def redacted(docs: DataFrame, table: list[float] | None = None, doc_id: str = "doc_id", text: str = "text", mark: str = "[secret]") -> DataFrame:
+    """The rows of ``docs`` with ``mark`` in place of each span, and of spans that overlap."""
+    whole = F.col("text")
+
+    def cut(spans: Column) -> Column:
+        def between(ends: Column) -> Column:
+            before = F.concat(F.array(F.lit(0).cast("long")), F.slice(ends, F.lit(1), F.size(ends) - 1))
+            kept = F.zip_with(spans, before, lambda s, p: F.when(s["start"] >= p, F.concat(F.substr(whole, (p + 1).cast("int"), (s["start"] - p).cast("int")), F.lit(mark))).otherwise(F.lit("")))
+            return F.concat(F.array_join(kept, ""), F.substr(whole, (F.element_at(ends, -1) + 1).cast("int")))
+
+        return let(running_max(F.transform(spans, lambda s: s["end"])), between)
+
+    found = scan(docs, table, doc_id, text).select("row", "spans", F.col(f"row.{text}").alias("text"))
+    found = found.withColumn("clean", F.when(F.size("spans") > 0, cut(F.col("spans"))).otherwise(whole))
+    return found.select(*(F.col("clean").alias(c) if c == text else F.col(f"row.`{c}`") for c in docs.columns))

@@ -30,6 +30,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom.llm.kernels import BASES, U64, Spans, mix, text_bytes, window_hashes, word_spans
 from starloom.llm.runtime import chunks, map_runs, scratch_partitions, stage
@@ -128,6 +129,9 @@ def _neighbours(left: np.ndarray, right: np.ndarray, doc: np.ndarray) -> tuple[n
 
 
 def _pages(docs: DataFrame, page_bytes: int) -> DataFrame:
+    """Rows (page, ids, offsets, blob, rest): the texts of a page, and its other columns as an Arrow stream."""
+    others = [c for c in docs.columns if c not in ("_doc_id", "_text")]
+
     def pack(batches):
         part, count, held, size = TaskContext.get().partitionId(), 0, [], 0
 
@@ -138,14 +142,21 @@ def _pages(docs: DataFrame, page_bytes: int) -> DataFrame:
             blob = zstandard.compress(b"".join(h[1].tobytes() for h in held), PACKING)
             count += 1
             offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+            rest = b""
+            if others:
+                rows = pa.Table.from_batches([h[3] for h in held]).combine_chunks()
+                with pa.ipc.new_stream(sink := pa.BufferOutputStream(), rows.schema) as out:
+                    out.write_table(rows)
+                rest = zstandard.compress(sink.getvalue().to_pybytes(), PACKING)
             return pa.RecordBatch.from_arrays(
-                [pa.array([(part << 32) + count - 1]), *(pa.array([x], pa.binary()) for x in (ids.tobytes(), offsets.tobytes(), blob))], names=["page", "ids", "offsets", "blob"]
+                [pa.array([(part << 32) + count - 1]), *(pa.array([x], pa.binary()) for x in (ids.tobytes(), offsets.tobytes(), blob, rest))],
+                names=["page", "ids", "offsets", "blob", "rest"],
             )
 
         for batch in batches:
-            for piece in chunks(batch, "text", page_bytes):
-                body, offsets = text_bytes(piece.column("text"))
-                held.append((piece.column("doc_id").fill_null(NO_ID).to_numpy(), body, offsets))
+            for piece in chunks(batch, "_text", page_bytes):
+                body, offsets = text_bytes(piece.column("_text"))
+                held.append((piece.column("_doc_id").fill_null(NO_ID).to_numpy(), body, offsets, piece.select(others)))
                 size += len(body)
                 if size >= page_bytes:
                     yield page()
@@ -153,7 +164,7 @@ def _pages(docs: DataFrame, page_bytes: int) -> DataFrame:
         if held:
             yield page()
 
-    return stage(docs.mapInArrow(pack, "page long, ids binary, offsets binary, blob binary"), "dedup-pages", compression="uncompressed")
+    return stage(docs.mapInArrow(pack, "page long, ids binary, offsets binary, blob binary, rest binary"), "dedup-pages", compression="uncompressed")
 
 
 def _by_part(part: np.ndarray, keys: np.ndarray, count: int) -> tuple[np.ndarray, list[tuple[int, slice]]]:
@@ -215,9 +226,11 @@ def _narrow(values: np.ndarray) -> tuple[int, bytes, int]:
     return base, gap.astype(f"<u{width}").tobytes(), width
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS, page_bytes: int = PAGE_BYTES, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_words, n_removed, kept (text of the kept words, joined by one space)."""
-    pages = _pages(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), page_bytes)
+def remove_repeats(
+    docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS, page_bytes: int = PAGE_BYTES, doc_id: str = "doc_id", text: str = "text", carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """doc_id, n_words, n_removed, kept (text of the kept words, joined by one space), and the columns to carry along."""
+    pages = _pages(docs.select(F.col(doc_id).cast("long").alias("_doc_id"), F.col(text).alias("_text"), *carry), page_bytes)
     n_pages = pages.select("page").count()
     least = scratch_partitions(docs.sparkSession)
     n_names, n_windows = (max(least, -(-n_pages // each)) for each in (PAGES_OF_SYMBOLS, PAGES_OF_WINDOWS))
@@ -295,9 +308,14 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS,
                 bits = _bits(r["second"], *_by_part(found["other"], found["key"], n_windows))
                 # the smallest document of this page goes by what other pages have
                 gone = bits[found["index"]] | (found["low"][found["index"]] < found["who"])
-                yield _cut(page, found["at"][gone], window)
+                made = _cut(page, found["at"][gone], window)
+                if carry:
+                    rows = pa.ipc.open_stream(zstandard.decompress(r["rest"])).read_all().combine_chunks()
+                    made = pa.RecordBatch.from_arrays([*made.columns, *(rows.column(c).combine_chunks() for c in carry)], names=[*made.schema.names, *carry])
+                yield made
 
-    return pages.join(first, "page", "left").join(second, "page", "left").mapInArrow(cut, "doc_id long, n_words long, n_removed long, kept string")
+    schema = T.StructType([*T._parse_datatype_string("doc_id long, n_words long, n_removed long, kept string").fields, *docs.select(*carry).schema.fields])
+    return pages.join(first, "page", "left").join(second, "page", "left").mapInArrow(cut, schema)
 
 
 def _answer(key: tuple, group: pa.Table, sizes: list[int], bits: np.ndarray) -> dict:
@@ -330,3 +348,14 @@ def _cut(page: Page, gone: np.ndarray, window: int) -> pa.RecordBatch:
         [ids, pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
         names=["doc_id", "n_words", "n_removed", "kept"],
     )
+
+
+def deduplicated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text, ...) without repeated passages; texts that keep all words stay as they are.
+
+    Rows of which nothing is left are gone.
+    """
+    others = tuple(c for c in docs.columns if c != "doc_id")
+    cut = remove_repeats(docs, window, carry=others)
+    left = cut.filter("n_words = 0 or n_removed < n_words")
+    return left.withColumn("text", F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))).select(docs.columns)
