@@ -8,7 +8,7 @@ import pytest
 
 import corpus_pipeline
 from conftest import CLASHES
-from starloom.llm.language_crf import UNKNOWN, learn
+from starloom.llm.language_crf import LEAST_SCORE, UNKNOWN, learn
 from starloom.llm.secret_scan import base_matches, scan, train
 from starloom.llm.tokens import encoder
 from starloom.llm.packing import TOKENIZER
@@ -33,7 +33,7 @@ def expected(docs, llm):
     """Texts after each stage, from plain rows."""
     rows = texts(docs)
     told, score, *_ = learn(docs).texts(pa.array([t for _, t in rows], pa.large_string()))
-    rows = [r for r, n, s in zip(rows, told, score, strict=True) if n != UNKNOWN and s >= 0.5]
+    rows = [r for r, n, s in zip(rows, told, score, strict=True) if n != UNKNOWN and s >= LEAST_SCORE]
     yield rows
     heads = {}
     for (d, c, _), (i, t) in zip(classes(rows), sorted(rows), strict=True):
