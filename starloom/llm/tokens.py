@@ -1,12 +1,13 @@
 """Token ids of whole texts with a public tokenizer, from a bounded table of the words seen so far.
 
 Both vocabularies split a text before a space that is followed by something other than white space, whatever stands
-around it.  So a text is cut at single spaces, each distinct piece goes through the tokenizer once, and texts are put
-together from the table.  Texts with white space after a space go through the tokenizer whole.
+around it, and a line break between other characters stands alone.  So a text is cut there, each distinct piece goes through the tokenizer once (many at a time, as
+one text), and texts are put together from the table.  Texts with white space after a space go through the tokenizer whole.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from functools import cache
@@ -14,8 +15,13 @@ from functools import cache
 import numpy as np
 
 #: Pieces that a Python worker keeps; beyond that it starts anew.
-TABLE_ENTRIES = 150_000
+TABLE_ENTRIES = 400_000
+#: New pieces that go through the tokenizer as one text.
+JOINED = 4000
 _JOINED_SPACE = re.compile(r" \s")
+_JOINED_WHITE = re.compile(r"\s\s")
+#: Letters, then ASCII marks: one or two words' ends.  One capital, left out, turns into two characters.
+_PLAIN = re.compile(r"([^\W\d_\u0130]+)([!-&(-/:-@\[-`{-~]*)")
 
 
 class Encoder:
@@ -24,28 +30,72 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
+        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.starts: dict[str, bytes] = {}
         self.rest: dict[str, bytes] = {}
+        self.line_break = self._ids(["\n"])[0]
+        spec = json.loads(self.tokenizer.to_str())
+        # what tells where a piece ends among the ids of several: bytes, or marks at the ends of words
+        self.bytes_kept = spec["normalizer"] is None and spec["pre_tokenizer"]["type"] == "ByteLevel" and not spec["pre_tokenizer"]["add_prefix_space"]
+        suffix = spec["model"].get("end_of_word_suffix")
+        self.extent = np.zeros(size, np.int64)
+        added = {t["id"] for t in spec["added_tokens"]}
+        for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
+            if self.bytes_kept:
+                self.extent[i] = len(token.encode()) if i in added else len(token)
+            elif suffix:
+                self.extent[i] = token.endswith(suffix)
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _extent(self, piece: str) -> int:
+        """Bytes, or ends of words, that the ids of " " + piece have; 0 if that is not known beforehand."""
+        if self.bytes_kept:
+            return 1 + len(piece.encode()) if piece and not piece[0].isspace() else 0
+        found = _PLAIN.fullmatch(piece)
+        return 0 if found is None or not found[1].isalpha() else 1 + bool(found[2])
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Ids of " " + piece for each piece: many of them as one text, where the ids tell which is whose."""
+        extents = [self._extent(p) for p in pieces]
+        alone = [p for p, x in zip(pieces, extents, strict=True) if not x]
+        self.rest.update(zip(alone, self._ids([" " + p for p in alone]), strict=True))
+        many = [(p, x) for p, x in zip(pieces, extents, strict=True) if x]
+        groups = [many[i : i + JOINED] for i in range(0, len(many), JOINED)]
+        texts = ["".join(" " + p for p, _ in g) for g in groups]
+        for group, made in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            ids = np.array(made.ids, self.dtype)
+            seen, wanted = np.cumsum(self.extent[ids]), np.cumsum([x for _, x in group])
+            if len(ids) and seen[-1] == wanted[-1] and self.extent[ids[-1]]:
+                ends = np.searchsorted(seen, wanted) + 1
+                if (seen[ends - 1] == wanted).all():
+                    raw, width = ids.tobytes(), self.dtype.itemsize
+                    cuts = [0, *(ends * width).tolist()]
+                    self.rest.update((p, raw[a:b]) for (p, _), a, b in zip(group, cuts[:-1], cuts[1:], strict=True))
+                    continue
+            words = [p for p, _ in group]
+            self.rest.update(zip(words, self._ids([" " + p for p in words]), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as bytes of ``dtype``."""
         if len(self.rest) + len(self.starts) > TABLE_ENTRIES:
             self.starts, self.rest = {}, {}
-        cut = [None if _JOINED_SPACE.search(t) else t.split(" ") for t in texts]
-        first = {p[0] for p in cut if p} - self.starts.keys()
-        later = set().union(*(p[1:] for p in cut if p)) - self.rest.keys()
-        whole = [t for t, p in zip(texts, cut, strict=True) if p is None]
-        asked = [*first, *(" " + x for x in later), *whole]
-        made = self._ids(asked) if asked else []
-        self.starts.update(zip(first, made, strict=False))
-        self.rest.update(zip(later, made[len(first) :], strict=False))
-        whole = iter(made[len(first) + len(later) :])
-        table = self.rest.__getitem__
-        return [next(whole) if p is None else self.starts[p[0]] + b"".join(map(table, p[1:])) for p in cut]
+        cut = [self._cut(t) for t in texts]
+        first = list({line[0] for lines in cut if lines for line in lines} - self.starts.keys())
+        self.starts.update(zip(first, self._ids(first), strict=True))
+        self._learn(list(set().union(*(line[1:] for lines in cut if lines for line in lines)) - self.rest.keys()))
+        whole = iter(self._ids([t for t, lines in zip(texts, cut, strict=True) if lines is None]))
+        start, table = self.starts, self.rest.__getitem__
+        return [next(whole) if lines is None else self.line_break.join([start[x[0]] + b"".join(map(table, x[1:])) for x in lines]) for lines in cut]
+
+    @staticmethod
+    def _cut(text: str) -> list[list[str]] | None:
+        """Pieces of a text by lines; of a text with empty lines as one line; None where a space meets white space."""
+        if _JOINED_WHITE.search(text) is None:
+            return [line.split(" ") for line in text.split("\n")]
+        return None if _JOINED_SPACE.search(text) else [text.split(" ")]
 
 
 @cache
