@@ -15,9 +15,11 @@ from functools import cache
 import numpy as np
 
 #: Pieces that a Python worker keeps; beyond that it starts anew.
-TABLE_ENTRIES = 400_000
+TABLE_ENTRIES = 900_000
 #: New pieces that go through the tokenizer as one text.
 JOINED = 4000
+#: Marks the piece that a text starts with.
+START = "\0"
 _JOINED_SPACE = re.compile(r" \s")
 _JOINED_WHITE = re.compile(r"\s\s")
 #: Letters, then ASCII marks: one or two words' ends.  One capital, left out, turns into two characters.
@@ -32,9 +34,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
-        self.starts: dict[str, bytes] = {}
-        self.rest: dict[str, bytes] = {}
-        self.line_break = self._ids(["\n"])[0]
+        self.table: dict[str, bytes] = {}
         spec = json.loads(self.tokenizer.to_str())
         # what tells where a piece ends among the ids of several: bytes, or marks at the ends of words
         self.bytes_kept = spec["normalizer"] is None and spec["pre_tokenizer"]["type"] == "ByteLevel" and not spec["pre_tokenizer"]["add_prefix_space"]
@@ -51,51 +51,55 @@ class Encoder:
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _extent(self, piece: str) -> int:
-        """Bytes, or ends of words, that the ids of " " + piece have; 0 if that is not known beforehand."""
+        """Bytes, or ends of words, that the ids of a piece have; 0 if that is not known beforehand."""
+        word = piece[1:]
         if self.bytes_kept:
-            return 1 + len(piece.encode()) if piece and not piece[0].isspace() else 0
-        found = _PLAIN.fullmatch(piece)
-        return 0 if found is None or not found[1].isalpha() else 1 + bool(found[2])
+            return len(piece.encode()) if piece[0] != START and word and not word[0].isspace() else 0
+        found = _PLAIN.fullmatch(word)
+        return 0 if found is None or piece[0] == START or not found[1].isalpha() else 1 + bool(found[2])
 
-    def _learn(self, pieces: list[str]) -> None:
-        """Ids of " " + piece for each piece: many of them as one text, where the ids tell which is whose."""
-        extents = [self._extent(p) for p in pieces]
-        alone = [p for p, x in zip(pieces, extents, strict=True) if not x]
-        self.rest.update(zip(alone, self._ids([" " + p for p in alone]), strict=True))
-        many = [(p, x) for p, x in zip(pieces, extents, strict=True) if x]
+    def _learn(self, keys: list[str]) -> None:
+        """Ids of new pieces: of many as one text, where the ids tell which is whose."""
+        pieces = [k if k[:1] in ("\n", START) else " " + k for k in keys]
+        extents = list(map(self._extent, pieces))
+        alone = [(k, p) for k, p, x in zip(keys, pieces, extents, strict=True) if not x]
+        self.table.update(zip([k for k, _ in alone], self._ids([p.lstrip(START) for _, p in alone]), strict=True))
+        many = [(k, p, x) for k, p, x in zip(keys, pieces, extents, strict=True) if x]
         groups = [many[i : i + JOINED] for i in range(0, len(many), JOINED)]
-        texts = ["".join(" " + p for p, _ in g) for g in groups]
+        texts = ["".join([p for _, p, _ in g]) for g in groups]
         for group, made in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
             ids = np.array(made.ids, self.dtype)
-            seen, wanted = np.cumsum(self.extent[ids]), np.cumsum([x for _, x in group])
+            seen, wanted = np.cumsum(self.extent[ids]), np.cumsum([x for *_, x in group])
             if len(ids) and seen[-1] == wanted[-1] and self.extent[ids[-1]]:
                 ends = np.searchsorted(seen, wanted) + 1
                 if (seen[ends - 1] == wanted).all():
                     raw, width = ids.tobytes(), self.dtype.itemsize
                     cuts = [0, *(ends * width).tolist()]
-                    self.rest.update((p, raw[a:b]) for (p, _), a, b in zip(group, cuts[:-1], cuts[1:], strict=True))
+                    self.table.update(zip([k for k, *_ in group], map(raw.__getitem__, map(slice, cuts[:-1], cuts[1:])), strict=True))
                     continue
-            words = [p for p, _ in group]
-            self.rest.update(zip(words, self._ids([" " + p for p in words]), strict=True))
+            self.table.update(zip([k for k, *_ in group], self._ids([p for _, p, _ in group]), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as bytes of ``dtype``."""
-        if len(self.rest) + len(self.starts) > TABLE_ENTRIES:
-            self.starts, self.rest = {}, {}
+        if len(self.table) > TABLE_ENTRIES:
+            self.table = {}
         cut = [self._cut(t) for t in texts]
-        first = list({line[0] for lines in cut if lines for line in lines} - self.starts.keys())
-        self.starts.update(zip(first, self._ids(first), strict=True))
-        self._learn(list(set().union(*(line[1:] for lines in cut if lines for line in lines)) - self.rest.keys()))
-        whole = iter(self._ids([t for t, lines in zip(texts, cut, strict=True) if lines is None]))
-        start, table = self.starts, self.rest.__getitem__
-        return [next(whole) if lines is None else self.line_break.join([start[x[0]] + b"".join(map(table, x[1:])) for x in lines]) for lines in cut]
+        self._learn(list(set().union(*(p for p in cut if p)) - self.table.keys()))
+        whole = iter(self._ids([t for t, p in zip(texts, cut, strict=True) if p is None]))
+        table = self.table.__getitem__
+        return [next(whole) if p is None else b"".join(map(table, p)) for p in cut]
 
     @staticmethod
-    def _cut(text: str) -> list[list[str]] | None:
-        """Pieces of a text by lines; of a text with empty lines as one line; None where a space meets white space."""
+    def _cut(text: str) -> list[str] | None:
+        """Pieces of a text, without the space before each; None where a space meets white space."""
+        if START in text or _JOINED_SPACE.search(text):
+            return None
         if _JOINED_WHITE.search(text) is None:
-            return [line.split(" ") for line in text.split("\n")]
-        return None if _JOINED_SPACE.search(text) else [text.split(" ")]
+            text = text.replace("\n", " \n")
+        pieces = text.split(" ")
+        # a line break at the start has no space before it either
+        pieces[0] = START + pieces[0]
+        return pieces
 
 
 @cache
