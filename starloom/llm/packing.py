@@ -29,6 +29,8 @@ from starloom.llm.tokens import encoder
 SIZE = 1024
 END_ID = 0
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+#: Text that is tokenized at once; the more, the fewer of its words are distinct.
+CHUNK_BYTES = 3 << 20
 
 
 def tokenized(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int = END_ID, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -36,17 +38,17 @@ def tokenized(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int = END_ID,
 
     def run(batches):
         coder, part, begin = encoder(tokenizer), TaskContext.get().partitionId(), 0
-        end = np.array([end_id], coder.dtype).tobytes()
+        width = coder.dtype.itemsize
         for batch in batches:
-            for piece in chunks(batch, "text"):
-                ids = [x + end for x in coder.encode(piece.column("text").fill_null("").to_pylist())]
-                count = np.array([len(x) for x in ids], np.int64) // coder.dtype.itemsize
-                starts = begin + np.cumsum(count) - count
-                begin += int(count.sum())
+            for piece in chunks(batch, "text", CHUNK_BYTES):
+                ids, at = coder.column(piece.column("text"), end_id)
+                count = np.diff(at)
+                raw = pa.Array.from_buffers(pa.binary(), len(count), [None, pa.py_buffer((at * width).astype(np.int32)), pa.py_buffer(ids)])
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column("doc_id"), pa.array([part] * len(ids), pa.int32()), pa.array(starts), pa.array(count), pa.array([coder.dtype.itemsize] * len(ids), pa.int32()), pa.array(ids, pa.binary())],
+                    [piece.column("doc_id"), pa.array([part] * len(count), pa.int32()), pa.array(begin + at[:-1]), pa.array(count), pa.array([width] * len(count), pa.int32()), raw],
                     names=["doc_id", "part", "begin", "n_tokens", "width", "ids"],
                 )
+                begin += len(ids)
 
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return docs.mapInArrow(run, "doc_id long, part int, begin long, n_tokens long, width int, ids binary")

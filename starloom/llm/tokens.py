@@ -1,8 +1,10 @@
-"""Token ids of whole texts with a public tokenizer, from a bounded table of the words seen so far.
+"""Token ids of whole texts with a public tokenizer, each distinct piece of a batch tokenized once.
 
 Both vocabularies split a text before a space that is followed by something other than white space, whatever stands
-around it, and a line break between other characters stands alone.  So a text is cut there, each distinct piece goes through the tokenizer once (many at a time, as
-one text), and texts are put together from the table.  Texts with white space after a space go through the tokenizer whole.
+around it, and a line break between other characters stands alone.  So texts are cut there (by their bytes, for a whole
+batch at once), the distinct pieces of the batch are looked up in a bounded table, and new ones go through the
+tokenizer, many at a time, as one text.  Pieces of one batch are told apart by 64-bit hashes, those of the table by
+their bytes.  Texts with white space after a space go through the tokenizer whole.
 """
 
 from __future__ import annotations
@@ -13,17 +15,24 @@ import re
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
+
+from starloom.llm.kernels import Spans, text_bytes
 
 #: Pieces that a Python worker keeps; beyond that it starts anew.
-TABLE_ENTRIES = 900_000
+TABLE_ENTRIES = 600_000
 #: New pieces that go through the tokenizer as one text.
 JOINED = 4000
 #: Marks the piece that a text starts with.
-START = "\0"
+START = b"\0"
 _JOINED_SPACE = re.compile(r" \s")
 _JOINED_WHITE = re.compile(r"\s\s")
 #: Letters, then ASCII marks: one or two words' ends.  One capital, left out, turns into two characters.
-_PLAIN = re.compile(r"([^\W\d_\u0130]+)([!-&(-/:-@\[-`{-~]*)")
+_PLAIN = re.compile(r"([^\W\d_İ]+)([!-&(-/:-@\[-`{-~]*)")
+#: First two bytes of the characters above ASCII that may be white space.
+_WIDE = ((0xC2, 0xA0), (0xC2, 0x85), (0xE1, 0x9A), (0xE2, 0x80), (0xE2, 0x81), (0xE3, 0x80))
+_ODD = np.zeros(256, bool)  # white space for Python or the tokenizer, and the mark
+_ODD[[*range(0x09, 0x0E), 0x20, *range(0x1C, 0x20)]] = True
 
 
 class Encoder:
@@ -34,7 +43,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
-        self.table: dict[str, bytes] = {}
+        self.table: dict[bytes, bytes] = {}
         spec = json.loads(self.tokenizer.to_str())
         # what tells where a piece ends among the ids of several: bytes, or marks at the ends of words
         self.bytes_kept = spec["normalizer"] is None and spec["pre_tokenizer"]["type"] == "ByteLevel" and not spec["pre_tokenizer"]["add_prefix_space"]
@@ -53,53 +62,97 @@ class Encoder:
     def _extent(self, piece: str) -> int:
         """Bytes, or ends of words, that the ids of a piece have; 0 if that is not known beforehand."""
         word = piece[1:]
+        if piece[:1] not in (" ", "\n"):
+            return 0
         if self.bytes_kept:
-            return len(piece.encode()) if piece[0] != START and word and not word[0].isspace() else 0
+            return len(piece.encode()) if word and not word[0].isspace() else 0
         found = _PLAIN.fullmatch(word)
-        return 0 if found is None or piece[0] == START or not found[1].isalpha() else 1 + bool(found[2])
+        return 0 if found is None or not found[1].isalpha() else 1 + bool(found[2])
 
-    def _learn(self, keys: list[str]) -> None:
+    def _learn(self, keys: list[bytes]) -> None:
         """Ids of new pieces: of many as one text, where the ids tell which is whose."""
-        pieces = [k if k[:1] in ("\n", START) else " " + k for k in keys]
-        extents = list(map(self._extent, pieces))
-        alone = [(k, p) for k, p, x in zip(keys, pieces, extents, strict=True) if not x]
-        self.table.update(zip([k for k, _ in alone], self._ids([p.lstrip(START) for _, p in alone]), strict=True))
-        many = [(k, p, x) for k, p, x in zip(keys, pieces, extents, strict=True) if x]
+        pieces = [k.removeprefix(START).decode() if k[:1] == START else k.decode() for k in keys]
+        extents = [0 if k[:1] == START else self._extent(p) for k, p in zip(keys, pieces, strict=True)]
+        alone = [i for i, x in enumerate(extents) if not x]
+        self.table.update(zip([keys[i] for i in alone], self._ids([pieces[i] for i in alone]), strict=True))
+        many = [i for i, x in enumerate(extents) if x]
         groups = [many[i : i + JOINED] for i in range(0, len(many), JOINED)]
-        texts = ["".join([p for _, p, _ in g]) for g in groups]
+        texts = ["".join([pieces[i] for i in g]) for g in groups]
         for group, made in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            own = [keys[i] for i in group]
             ids = np.array(made.ids, self.dtype)
-            seen, wanted = np.cumsum(self.extent[ids]), np.cumsum([x for *_, x in group])
+            seen, wanted = np.cumsum(self.extent[ids]), np.cumsum([extents[i] for i in group])
             if len(ids) and seen[-1] == wanted[-1] and self.extent[ids[-1]]:
                 ends = np.searchsorted(seen, wanted) + 1
                 if (seen[ends - 1] == wanted).all():
-                    raw, width = ids.tobytes(), self.dtype.itemsize
-                    cuts = [0, *(ends * width).tolist()]
-                    self.table.update(zip([k for k, *_ in group], map(raw.__getitem__, map(slice, cuts[:-1], cuts[1:])), strict=True))
+                    cuts = [0, *(ends * self.dtype.itemsize).tolist()]
+                    self.table.update(zip(own, map(ids.tobytes().__getitem__, map(slice, cuts[:-1], cuts[1:])), strict=True))
                     continue
-            self.table.update(zip([k for k, *_ in group], self._ids([p for _, p, _ in group]), strict=True))
+            self.table.update(zip(own, self._ids([pieces[i] for i in group]), strict=True))
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, as bytes of ``dtype``."""
+    def column(self, column: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of a text column, and where each row begins in them; with ``end_id``, that id after each row."""
+        body, offsets = text_bytes(column)
+        # bytes before which a piece begins; a row's first piece has the mark instead
+        whole, lines = self._odd_rows(body, offsets, column)
+        row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+        cut = (body == 0x20) | ((body == 0x0A) & lines[row])
+        cut &= ~whole[row]
+        filled = np.diff(offsets) > 0
+        first = np.zeros(len(body), bool)
+        first[offsets[:-1][filled]] = True
+        starts = np.flatnonzero(cut | first)
+        ends = np.append(starts[1:], len(body))
+        heads = first[starts]
+        spans = Spans(body)
+        # a row that begins with a space or a line break: its first piece is that, and no mark is needed to tell it
+        hashes = spans.of(starts, ends) ^ (heads.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        hashes, at, which = np.unique(hashes, return_index=True, return_inverse=True)
+        raw = body.tobytes()
+        keys = [raw[a:b] if not h else START + raw[a:b] for a, b, h in zip(starts[at].tolist(), ends[at].tolist(), heads[at].tolist(), strict=True)]
         if len(self.table) > TABLE_ENTRIES:
             self.table = {}
-        cut = [self._cut(t) for t in texts]
-        self._learn(list(set().union(*(p for p in cut if p)) - self.table.keys()))
-        whole = iter(self._ids([t for t, p in zip(texts, cut, strict=True) if p is None]))
-        table = self.table.__getitem__
-        return [next(whole) if p is None else b"".join(map(table, p)) for p in cut]
-
-    @staticmethod
-    def _cut(text: str) -> list[str] | None:
-        """Pieces of a text, without the space before each; None where a space meets white space."""
-        if START in text or _JOINED_SPACE.search(text):
-            return None
-        if _JOINED_WHITE.search(text) is None:
-            text = text.replace("\n", " \n")
-        pieces = text.split(" ")
-        # a line break at the start has no space before it either
-        pieces[0] = START + pieces[0]
-        return pieces
+        found = list(map(self.table.get, keys))
+        new = [i for i, x in enumerate(found) if x is None]
+        self._learn([keys[i] for i in new])
+        for i in new:
+            found[i] = self.table[keys[i]]
+        if end_id is not None:
+            found.append(np.array([end_id], self.dtype).tobytes())
+        sizes = np.array(list(map(len, found)), np.int64) // self.dtype.itemsize
+        flat = np.frombuffer(b"".join(found), self.dtype)
+        begins = np.cumsum(sizes) - sizes
+        pieces_of = np.searchsorted(starts, offsets)
+        if end_id is not None:
+            which = np.insert(which, pieces_of[1:], len(found) - 1)
+            pieces_of = pieces_of + np.arange(len(pieces_of))
+        count = sizes[which]
+        total = np.concatenate([[0], np.cumsum(count)])
+        ids = flat[np.arange(total[-1]) + np.repeat(begins[which] - total[:-1], count)]
+        return ids.astype(self.dtype, copy=False), total[pieces_of]
+
+    def _odd_rows(self, body: np.ndarray, offsets: np.ndarray, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Rows that cannot be cut, and rows that are also cut at line breaks."""
+        rows = len(offsets) - 1
+        whole, lines = np.zeros(rows, bool), np.ones(rows, bool)
+        odd = _ODD[body]
+        doubt = np.zeros(len(body), bool)
+        doubt[:-1] = odd[:-1] & odd[1:]
+        for a, b in _WIDE:
+            doubt[:-1] |= (body[:-1] == a) & (body[1:] == b)
+        for r in np.unique(np.searchsorted(offsets, np.flatnonzero(doubt), "right") - 1):
+            text = column[int(r)].as_py()
+            whole[r] = _JOINED_SPACE.search(text) is not None
+            lines[r] = _JOINED_WHITE.search(text) is None
+        marked = np.flatnonzero(body == 0)
+        whole[np.searchsorted(offsets, marked, "right") - 1] = True
+        return whole, lines
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text, as bytes of ``dtype``."""
+        ids, begins = self.column(pa.array(texts, pa.large_string()))
+        raw, width = ids.tobytes(), self.dtype.itemsize
+        return [raw[a * width : b * width] for a, b in zip(begins[:-1].tolist(), begins[1:].tolist(), strict=True)]
 
 
 @cache
