@@ -44,7 +44,11 @@ def tag_orphans(df: DataFrame, dims: Mapping[str, DataFrame], refs: Iterable[Dim
 
 
 def tag_orphans_by_missing_keys(
-    df: DataFrame, dims: Mapping[str, DataFrame], refs: Iterable[DimRef], keys_of: DataFrame | None = None
+    df: DataFrame,
+    dims: Mapping[str, DataFrame],
+    refs: Iterable[DimRef],
+    keys_of: DataFrame | None = None,
+    scratch: str | None = None,
 ) -> DataFrame:
     """Same result as ``tag_orphans`` for large dimensions.
 
@@ -53,7 +57,8 @@ def tag_orphans_by_missing_keys(
     keys are joined back.  They are staged first, so Spark knows their size:
     few keys are broadcast and the wide rows are not shuffled at all, many
     keys take an ordinary shuffle join.  ``keys_of`` names a cheaper frame
-    with the same keys, where ``df`` is an unstaged plan over it.
+    with the same keys, where ``df`` is an unstaged plan over it.  The missing
+    keys are computed by this call, into ``scratch``.
     """
     refs = _checked_refs(df, refs)
     source = df if keys_of is None else keys_of
@@ -64,7 +69,7 @@ def tag_orphans_by_missing_keys(
         if df.schema[ref.fk].dataType != dim.schema[pk].dataType:
             dim = dim.withColumn(pk, F.col(pk).cast("string"))
             keys = keys.withColumn(ref.fk, F.col(ref.fk).cast("string"))
-        gone = stage(missing_keys(keys, ref.fk, dim, pk).withColumnRenamed(ref.fk, f"__gone{i}"), f"missing-{ref.dim}")
+        gone = stage(missing_keys(keys, ref.fk, dim, pk).withColumnRenamed(ref.fk, f"__gone{i}"), f"missing-{ref.dim}", scratch)
         same = F.col(ref.fk).cast(gone.schema[0].dataType) == F.col(f"__gone{i}")
         out = out.join(gone, same, "left")
         hits.append(F.col(f"__gone{i}").isNotNull())
@@ -83,7 +88,7 @@ def _with_missing(joined: DataFrame, columns: list[str], refs: list[DimRef], hit
         )
         for ref, hit in zip(refs, hits)
     ]
-    reasons = [F.when(hit, F.lit(f"Missing {ref.dim} Key ({ref.fk}); ")) for ref, hit in zip(refs, hits)]
+    reasons = [F.when(hit, F.lit(f"{ref.fk} is not in {ref.dim}; ")) for ref, hit in zip(refs, hits)]
     if not refs:
         empty = F.array().cast("array<struct<dim:string,fk_column:string,fk_value:string>>")
         return joined.select(*columns, empty.alias(MISSING_REFS), F.lit("").alias(ORPHAN_REASON))
@@ -111,17 +116,20 @@ def comparable_columns(df: DataFrame, ignore: Iterable[str]) -> list[str]:
     return [c for c in df.columns if c not in ignore]
 
 
-def stored_candidates(df: DataFrame, stored: DataFrame, key: str, folders: Iterable[str] = ()) -> DataFrame:
+def stored_candidates(
+    df: DataFrame, stored: DataFrame, key: str, folders: Iterable[str] = (), scratch: str | None = None
+) -> DataFrame:
     """The stored rows whose key occurs in ``df``, for tables too large to scan whole.
 
     First only the key column is scanned.  With no hit, as for a batch of new
     rows, that is all.  Otherwise the wide scan is limited to the hit keys and
     to the ``folders`` (partition columns of the stored table) they lie in.
+    The hits are computed by this call, into ``scratch``.
     """
     folders = list(folders)
     keys = df.select(F.col(key).alias("__key")).dropna().distinct()
     hits = stage(
-        stored.select(key, *folders).join(keys, F.col(key) == F.col("__key"), "left_semi").distinct(), "stored-keys"
+        stored.select(key, *folders).join(keys, F.col(key) == F.col("__key"), "left_semi").distinct(), "stored-keys", scratch
     )
     if hits.isEmpty():
         return stored.filter(F.lit(False))
@@ -171,5 +179,5 @@ def split_duplicates(df: DataFrame, stored: DataFrame, key: str, ignore: Iterabl
 
 def duplicate_reason(key: str, table: str) -> Column:
     return F.concat(
-        F.lit(f"Duplicate record found with {key}="), F.col(key).cast("string"), F.lit(f" on dimension '{table}'")
+        F.lit(f"{table} already holds this row of {key} "), F.col(key).cast("string")
     )

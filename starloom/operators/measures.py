@@ -31,8 +31,13 @@ def _avg(column: str) -> Measure:
     )
 
 
+def _money(column: str) -> tuple[str, str]:
+    """Decimal sums do not depend on the order of the rows, so a repeated run gives the same digits."""
+    return (f"sum_{column}", f"sum(cast({column} as decimal(28, 6)))")
+
+
 def _sum(column: str) -> Measure:
-    return Measure(((f"sum_{column}", f"sum({column})"),), f"sum_{column}")
+    return Measure((_money(column),), f"cast(sum_{column} as double)")
 
 
 # The measures of the semantic model.
@@ -48,34 +53,10 @@ MEASURES: dict[str, Measure] = {
     "total_sales": _sum("total_amount"),
     "total_revenue_impact": _sum("revenue_impact"),
     "net_profit": Measure(
-        (("sum_total_amount", "sum(total_amount)"), ("sum_revenue_impact", "sum(revenue_impact)")),
+        (_money("total_amount"), _money("revenue_impact")),
         # a blank operand counts as 0, two blanks stay blank
         "case when sum_total_amount is null and sum_revenue_impact is null then null "
-        "else coalesce(sum_total_amount, 0) - coalesce(sum_revenue_impact, 0) end",
-    ),
-}
-
-
-
-def _cents(column: str) -> tuple[str, str]:
-    return (f"cents_{column}", f"sum(cast(rint({column} * 100) as bigint))")
-
-
-def _exact_sum(column: str) -> Measure:
-    return Measure((_cents(column),), f"cents_{column} / 100D")
-
-
-# The same measures with money added up in whole cents: integer sums do not
-# depend on the order of the rows, so a repeated run gives the same digits.
-EXACT_MEASURES: dict[str, Measure] = {
-    **MEASURES,
-    "total_refund_amount": _exact_sum("refund_amount"),
-    "total_sales": _exact_sum("total_amount"),
-    "total_revenue_impact": _exact_sum("revenue_impact"),
-    "net_profit": Measure(
-        (_cents("total_amount"), _cents("revenue_impact")),
-        "case when cents_total_amount is null and cents_revenue_impact is null then null "
-        "else (coalesce(cents_total_amount, 0) - coalesce(cents_revenue_impact, 0)) / 100D end",
+        "else cast(coalesce(sum_total_amount, 0) - coalesce(sum_revenue_impact, 0) as double) end",
     ),
 }
 
@@ -138,14 +119,20 @@ def measure_query(
         out = aggregate(fact, by, measures, registry)
     else:
         sums = _partials(measures, registry)
+        # filtered dimensions cut the fact before it is aggregated
+        tables = {n: d.table.filter(dim_filters[n]) if n in dim_filters else d.table for n, d in used.items()}
+        for name in dim_filters:
+            keys = tables[name].select(F.col(used[name].pk).alias("__wanted"))
+            fact = fact.join(keys, F.col(used[name].fk) == F.col("__wanted"), "left_semi")
+        # a dimension that only filters is not joined again
+        used = {n: d for n, d in used.items() if any(c in d.table.columns for c in wanted)}
         keys = list(dict.fromkeys([*from_fact, *[d.fk for d in used.values()]]))
         out = fact.groupBy(*keys).agg(*[F.expr(e).alias(p) for p, e in sums.items()])
         left = list(wanted)
         for name, d in used.items():
             attrs = [c for c in left if c in d.table.columns]
             left = [c for c in left if c not in attrs]
-            table = d.table.filter(dim_filters[name]) if name in dim_filters else d.table
-            table = table.select(F.col(d.pk).alias(f"__pk_{name}"), *attrs)
+            table = tables[name].select(F.col(d.pk).alias(f"__pk_{name}"), *attrs)
             how = "inner" if inner or name in dim_filters else "left"
             out = out.join(table, F.col(d.fk) == F.col(f"__pk_{name}"), how)
         out = out.groupBy(*by).agg(*[F.sum(p).alias(p) for p in sums])

@@ -70,6 +70,30 @@ def batch_rollup(file_metrics: DataFrame, by: Iterable[str] = ("batch_id",)) ->
     )
 
 
+def batch_totals(log: DataFrame, by: Iterable[str] = ("batch_id",)) -> DataFrame:
+    """Run log rows added up by batch.
+
+    Files say what came in, tables what became of it; a row is rejected in one
+    of the two.  No record is counted at both.
+    """
+    is_file, is_table = F.col("stage") == "file", F.col("stage") == "table"
+    ok = F.coalesce(F.col("file_success"), F.lit(True))
+    total = lambda c, where: F.coalesce(F.sum(F.when(where, F.col(c))), F.lit(0))
+    return log.groupBy(*by).agg(
+        F.count_if(is_file).alias("files_processed"),
+        F.count_if(~ok & (is_file | is_table)).alias("files_failed"),
+        F.count_if(ok & is_file & (F.col("quarantined_count") > 0)).alias("files_with_issues"),
+        total("total_records", is_file).alias("total_records"),
+        total("total_records", is_table).alias("table_records"),
+        total("passed_count", is_table).alias("passed_count"),
+        total("duplicate_count", is_file | is_table).alias("duplicate_count"),
+        total("null_count", is_file | is_table).alias("null_count"),
+        total("orphan_count", is_table).alias("orphan_count"),
+        total("quarantined_count", is_file | is_table).alias("quarantined_count"),
+        F.max(F.when(F.col("stage") == "batch", F.col("processing_latency_ms"))).alias("batch_latency_ms"),
+    )
+
+
 def null_counts(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
     """One row per column with its null count, from a single pass."""
     columns = list(columns or df.columns)

@@ -6,9 +6,11 @@ from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType, TimestampNTZType
 
+from starloom.functions.masking import hash_pii
 from starloom.operators.lookups import MISSING_REFS, ORPHAN_REASON
 from starloom.operators.validation import REASON
 from starloom.specs import OpResult
@@ -57,10 +59,16 @@ def unpack(df: DataFrame, column: str, schema: StructType) -> DataFrame:
     return df.select(F.from_json(F.col(column), schema, JSON_OPTIONS).alias("__row")).select("__row.*")
 
 
-def to_rejected(bad: DataFrame, batch_source: str, now: Column, reason: Column | None = None) -> DataFrame:
-    """Every bad row with its own reason; ``reason`` overrides (one shared by a whole file)."""
+def to_rejected(
+    bad: DataFrame, batch_source: str, now: Column, reason: Column | None = None, pii: Iterable[str] = ()
+) -> DataFrame:
+    """Every bad row with its own reason; ``reason`` overrides (one shared by a whole file).
+
+    ``pii`` names personal columns that are still in plain text; they are hashed.
+    """
     why = reason if reason is not None else F.col(REASON)
     body = [c for c in bad.columns if c != REASON]
+    bad = hash_pii(bad, [c for c in pii if c in bad.columns])
     return bad.select(
         F.expr("uuid()").alias("rejected_id"),
         payload(body).alias("record_payload"),
@@ -117,32 +125,50 @@ def mark_resolved(orphans: DataFrame, dims: Mapping[str, tuple[DataFrame, str]])
     return orphans.join(known, on, "left").select(*orphans.columns, F.col("key_text").isNotNull().alias("ref_found"))
 
 
+FACT_KEY = "fact_key"
+READY = "ready"
+
+
+def tag_retry(
+    orphans: DataFrame, dims: Mapping[str, tuple[DataFrame, str]], fact_table: str, fact_key: str
+) -> DataFrame:
+    """Quarantine rows of one fact: is this reference found, and are all references of the payload (``ready``)?
+
+    Each payload is judged by itself, so one that can be loaded does not wait
+    for, and is not lost to, another payload of the same fact key.
+    """
+    mine = orphans.filter(F.col("fact_table") == fact_table)
+    tagged = mark_resolved(mine, dims).withColumn(FACT_KEY, F.get_json_object("record_payload", f"$.{fact_key}"))
+    whole = W.partitionBy(FACT_KEY, "record_payload")
+    return tagged.withColumn(READY, F.min("ref_found").over(whole))
+
+
 def retry_orphans(
     orphans: DataFrame, dims: Mapping[str, tuple[DataFrame, str]], fact_table: str, fact_key: str
 ) -> OpResult:
     """Orphans of one fact that can be loaded now, and the quarantine rows that stay.
 
-    ``good``: one row per distinct payload (``record_payload``) of the fact
-    keys whose references all exist now.  ``bad``: the quarantine without the
-    rows whose reference was found.
+    ``good``: one row per distinct payload (``record_payload``) whose
+    references all exist now.  ``bad``: the quarantine without the rows whose
+    reference was found.
     """
-    mine = orphans.filter(F.col("fact_table") == fact_table)
-    tagged = mark_resolved(mine, dims).withColumn("fact_key", F.get_json_object("record_payload", f"$.{fact_key}"))
-    # one row per payload; both branches below read the same aggregate
-    payloads = tagged.groupBy("fact_key", "record_payload").agg(F.bool_and("ref_found").alias("found"))
-    waiting = payloads.filter(~F.col("found")).select(F.col("fact_key").alias("__waiting"))
-    ready = payloads.filter("found").join(waiting, F.col("fact_key").eqNullSafe(F.col("__waiting")), "left_anti")
+    tagged = tag_retry(orphans, dims, fact_table, fact_key)
     others = orphans.filter(~F.col("fact_table").eqNullSafe(F.lit(fact_table)))
     remaining = tagged.filter(~F.col("ref_found")).select(*orphans.columns)
-    return OpResult(ready.select("fact_key", "record_payload"), remaining.unionByName(others))
+    return OpResult(tagged.filter(READY).select(FACT_KEY, "record_payload").distinct(), remaining.unionByName(others))
 
 
-def expire(df: DataFrame, column: str, days: int, now: Column, unresolved_only: bool = False) -> DataFrame:
-    """Drop rows older than the retention; rows without a time stay."""
+def outdated(df: DataFrame, column: str, days: int, now: Column, unresolved_only: bool = False) -> Column:
+    """True for rows older than the retention; rows without a time are not."""
     old = F.col(column) < now.cast("timestamp_ntz") - F.expr(f"interval {int(days)} days")
     if unresolved_only:
         old = old & (F.col("resolved") == F.lit(False))
-    return df.filter(~F.coalesce(old, F.lit(False)))
+    return F.coalesce(old, F.lit(False))
+
+
+def expire(df: DataFrame, column: str, days: int, now: Column, unresolved_only: bool = False) -> DataFrame:
+    """Drop rows older than the retention; rows without a time stay."""
+    return df.filter(~outdated(df, column, days, now, unresolved_only))
 
 
 def expire_orphans(orphans: DataFrame, now: Column, days: int = ORPHAN_DAYS) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from starloom.functions.rules import cast_text, type_label, type_ok
+from starloom.sources.files import CORRUPT
 from starloom.specs import OpResult, Rule, SourceSpec
 
 REASON = "rejected_reason"
@@ -59,17 +60,17 @@ def schema_errors(df: DataFrame, spec: SourceSpec) -> list[str]:
     """Why the whole file must be rejected; empty if it may go on."""
     missing = missing_columns(df, spec)
     if missing:
-        return [f"has missing columns: {missing}"]
+        return [f"lacks the columns {missing}"]
     # one row per column of the model: bounded by the schema, not by the data
     failed = schema_gate(df, spec.schema).filter(~F.col("passes")).collect()
-    return [f"Column '{r.column_name}' type mismatch. Expected {r.expected_type}, got str" for r in failed]
+    return [f"no value of {r.column_name} is of type {r.expected_type}" for r in failed]
 
 
 def required_reason(required: Iterable[str]) -> Column:
     """Reason text naming the null required fields, or null."""
-    names = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(f"'{c}'")) for c in required]))
+    names = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in required]))
     return F.when(
-        F.size(names) > 0, F.concat(F.lit("Missing required fields: ["), F.array_join(names, ", "), F.lit("]"))
+        F.size(names) > 0, F.concat(F.lit("no value in "), F.array_join(names, ", "))
     )
 
 
@@ -79,7 +80,7 @@ def type_reason(columns: Iterable[str], model: StructType) -> Column:
     checks = [
         F.when(
             ~type_ok(F.col(f.name), f.dataType),
-            F.lit(f"Column '{f.name}' type mismatch. Expected {type_label(f.dataType)}, got str"),
+            F.lit(f"{f.name} is not of type {type_label(f.dataType)}"),
         )
         for f in model.fields
         if f.name in columns
@@ -93,15 +94,20 @@ def rule_reason(rules: Iterable[Rule]) -> Column:
 
 
 def tag_rows(df: DataFrame, spec: SourceSpec) -> DataFrame:
-    """Every row with its outcome and, unless it passed, the first reason."""
+    """Every row with its outcome and, unless it passed, the first reason.
+
+    Rows of records that did not parse (``malformed_record``) are invalid,
+    whatever else they hold.
+    """
+    broken = F.col(CORRUPT).isNotNull() if CORRUPT in df.columns else F.lit(False)
     null_reason = required_reason(spec.required) if spec.required else F.lit(None).cast("string")
     other = F.coalesce(type_reason(df.columns, spec.schema), rule_reason(spec.rules))
     return (
         df.withColumn("__null", null_reason)
-        .withColumn(REASON, F.coalesce(F.col("__null"), other))
+        .withColumn(REASON, F.when(broken, F.lit("the record does not parse")).otherwise(F.coalesce(F.col("__null"), other)))
         .withColumn(
             OUTCOME,
-            F.when(F.col("__null").isNotNull(), NULL_REQUIRED).when(F.col(REASON).isNotNull(), INVALID).otherwise(PASSED),
+            F.when(broken, INVALID).when(F.col("__null").isNotNull(), NULL_REQUIRED).when(F.col(REASON).isNotNull(), INVALID).otherwise(PASSED),
         )
         .drop("__null")
     )

@@ -17,8 +17,8 @@ from starloom.functions.derive import elapsed_seconds
 CLOSED = ("resolved", "closed")
 OPENED = ("open", "reopened")
 
-# bounds of the number of window buckets
-MIN_BUCKETS, MAX_BUCKETS = 64, 10_000
+# window buckets for each shuffle partition
+BUCKETS_PER_PARTITION = 4
 
 
 def latest_per_key(df: DataFrame, keys: Iterable[str], order: Iterable[Column]) -> DataFrame:
@@ -50,7 +50,7 @@ def _as_double(df: DataFrame, column: str) -> Column:
 
 def bucket_count(df: DataFrame) -> int:
     """A few buckets per shuffle partition, so groups shrink as the cluster's settings grow."""
-    return min(MAX_BUCKETS, max(MIN_BUCKETS, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    return BUCKETS_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def with_even_buckets(df: DataFrame, column: str, name: str, buckets: int | None = None) -> DataFrame:

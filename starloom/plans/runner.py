@@ -23,13 +23,15 @@ from starloom.operators.lookups import (
     tag_orphans_by_missing_keys,
 )
 from starloom.operators.merge import SCD2_COLUMNS, merge_upsert, scd2_counts, scd2_merge
-from starloom.operators.metrics import batch_rollup, percent, quality_metrics, threshold_alerts, with_rates
+from starloom.operators.metrics import batch_totals, percent, quality_metrics, threshold_alerts, with_rates
 from starloom.operators.quarantine import (
+    ORPHAN_DAYS,
     ORPHAN_SCHEMA,
+    READY,
+    REJECTED_DAYS,
     REJECTED_SCHEMA,
-    expire_orphans,
-    expire_rejected,
-    retry_orphans,
+    outdated,
+    tag_retry,
     to_orphans,
     to_rejected,
     unpack,
@@ -47,13 +49,13 @@ from starloom.operators.validation import (
 )
 from starloom.operators.windows import latest_per_key
 from starloom.plans.build import Model, bad_rows, build_table, good_rows, table_schema
-from starloom.session import stage
-from starloom.sources.files import SPARK_ERRORS, error_text, match_sources, scan, tables_with_files
-from starloom.sources.tables import BATCH_ID, SnapshotTable
+from starloom.session import delete_folder, scratch_path, stage
+from starloom.sources.files import CORRUPT, SPARK_ERRORS, error_text, match_sources, scan, tables_with_files
+from starloom.sources.tables import BATCH_ID, SnapshotTable, StaleSnapshot
 from starloom.specs import FACT, SourceSpec, TableSpec, columns
 
 RUN_LOG_SCHEMA = columns(
-    "run_id string, file_name string, total_records bigint, passed_count bigint, duplicate_count bigint, "
+    "run_id string, stage string, file_name string, total_records bigint, passed_count bigint, duplicate_count bigint, "
     "null_count bigint, orphan_count bigint, quarantined_count bigint, null_rate double, orphan_rate double, "
     "processing_latency_ms bigint, "
     "scd_inserted_count bigint, scd_updated_count bigint, scd_expired_count bigint, file_success boolean, message string"
@@ -61,7 +63,14 @@ RUN_LOG_SCHEMA = columns(
 ALERT_SCHEMA = columns(
     "file_name string, total_records bigint, orphan_count bigint, orphan_share double, alert string"
 )
+# what a retry is going to load and take out of the quarantine, written before it does either
+RETRY_SCHEMA = columns("quarantine_id string, fact_table string, record_payload string, loads boolean")
 
+# what a row of the run log is about
+FILE, TABLE, BATCH = "file", "table", "batch"
+
+
+_ROW, _NEWEST = "__row", "__newest"
 
 # tables or sources whose jobs are submitted at the same time
 PARALLEL_LOADS = 8
@@ -70,13 +79,16 @@ PARALLEL_LOADS = 8
 class Warehouse:
     """The tables of one model below a root folder."""
 
-    def __init__(self, spark: SparkSession, root: str, model: Model):
-        self.spark, self.root, self.model = spark, root.rstrip("/"), model
+    def __init__(self, spark: SparkSession, root: str, model: Model, store_repeats: bool = False):
+        """``store_repeats`` also keeps the dimension rows that a snapshot only sends again; they are always counted."""
+        self.spark, self.root, self.model, self.store_repeats = spark, root.rstrip("/"), model, store_repeats
         self._tables: dict[str, SnapshotTable] = {}
 
-    def _open(self, name: str, schema: StructType, partition_by: Sequence[str] = ()) -> SnapshotTable:
+    def _open(
+        self, name: str, schema: StructType, partition_by: Sequence[str] = (), key: str | None = None
+    ) -> SnapshotTable:
         if name not in self._tables:
-            self._tables[name] = SnapshotTable(self.spark, f"{self.root}/{name}", schema, partition_by)
+            self._tables[name] = SnapshotTable(self.spark, f"{self.root}/{name}", schema, partition_by, key)
         return self._tables[name]
 
     def refresh(self) -> None:
@@ -92,11 +104,15 @@ class Warehouse:
 
     @property
     def rejected(self) -> SnapshotTable:
-        return self._open("RejectedRecords", REJECTED_SCHEMA)
+        return self._open("RejectedRecords", REJECTED_SCHEMA, key="rejected_id")
 
     @property
     def orphans(self) -> SnapshotTable:
-        return self._open("OrphanRecords", ORPHAN_SCHEMA)
+        return self._open("OrphanRecords", ORPHAN_SCHEMA, key="quarantine_id")
+
+    @property
+    def retries(self) -> SnapshotTable:
+        return self._open("OrphanRetries", RETRY_SCHEMA)
 
     @property
     def run_log(self) -> SnapshotTable:
@@ -136,20 +152,28 @@ class _Run:
     def __init__(self, wh: Warehouse, batch_id: str, now: Column | None):
         wh.refresh()
         self.wh, self.batch_id, self.now = wh, batch_id, _now_or(now)
+        self.started = time.monotonic()
+        self.scratch = scratch_path(wh.spark, "run")
         self.report = RunReport(batch_id)
         self.rejected: list[DataFrame] = []
         self.orphans: list[DataFrame] = []
         self.log: list[DataFrame] = []
 
-    def fail(self, name: str, errors: Sequence[str], started: float) -> None:
+    def fail(self, name: str, errors: Sequence[str], started: float, what: str = FILE) -> None:
         self.report.failed.setdefault(name, []).extend(errors)
         row = self.wh.spark.range(1).select(
             F.lit(name).alias("file_name"), F.lit(0).alias("total_records"), F.lit("; ".join(errors)).alias("message")
         )
-        self._log(row, started, False)
+        self._log(row, started, False, what)
 
     def _log(
-        self, metrics: DataFrame, started: float, ok: bool, inserted: Column | None = None, expired: Column | None = None
+        self,
+        metrics: DataFrame,
+        started: float,
+        ok: bool,
+        what: str,
+        inserted: Column | None = None,
+        expired: Column | None = None,
     ) -> None:
         """One row per file or table; dimension loads also say how many rows they changed."""
         ms = int((time.monotonic() - started) * 1000)
@@ -159,6 +183,7 @@ class _Run:
         self.log.append(
             metrics.select(
                 F.lit(self.batch_id).alias("run_id"),
+                F.lit(what).alias("stage"),
                 "file_name",
                 *[(F.col(c) if c in have else F.lit(0)).cast("long").alias(c) for c in counts],
                 *[percent(F.col(c) if c in have else F.lit(0), F.col("total_records")).alias(n) for c, n in rates],
@@ -176,72 +201,89 @@ class _Run:
             )
         )
 
-    def broken(self, name: str, error: Exception, started: float) -> None:
+    def broken(self, name: str, error: Exception, started: float, what: str = FILE) -> None:
         self.report.errors.append(name)
-        self.fail(name, [error_text(error)], started)
+        self.fail(name, [error_text(error)], started, what)
 
     def source(self, spec: SourceSpec, paths: Sequence[str]) -> DataFrame | None:
         """Read, gate, split and mask one source; None if the file is rejected."""
         started = time.monotonic()
         try:
-            read = scan(self.wh.spark, spec, paths)
+            read = scan(self.wh.spark, spec, paths, with_corrupt=True)
             if not read.ok:
                 self.report.errors.append(spec.file)
                 self.fail(spec.file, read.errors, started)
                 return None
             raw = read.df
-            errors = schema_errors(raw, spec) if spec.validate else []
+            errors = schema_errors(raw.drop(CORRUPT), spec) if spec.validate else []
             if errors:
                 # the whole file is quarantined under the shared reason
-                self.rejected.append(to_rejected(raw, spec.file, self.now, F.lit("; ".join(errors))))
+                self.rejected.append(to_rejected(raw, spec.file, self.now, F.lit("; ".join(errors)), spec.pii))
                 self.fail(spec.file, errors, started)
                 return None
             # the frame forks into good rows, bad rows and counts: compute it once
-            tagged = stage(tag_rows(raw, spec), spec.name)
+            tagged = stage(tag_rows(raw, spec), spec.name, self.scratch)
         except SPARK_ERRORS as e:
             self.broken(spec.file, e, started)
             return None
-        self.rejected.append(to_rejected(bad_rows(tagged), spec.file, self.now))
-        self._log(quality_metrics(tagged.withColumn("file_name", F.lit(spec.file))), started, True)
-        return good_rows(tagged, spec)
+        self.rejected.append(to_rejected(bad_rows(tagged), spec.file, self.now, pii=spec.pii))
+        self._log(quality_metrics(tagged.withColumn("file_name", F.lit(spec.file))), started, True, FILE)
+        return good_rows(tagged, spec).drop(CORRUPT)
 
     def set_aside(self, table: TableSpec, inputs: Mapping[str, DataFrame], why: str) -> None:
         """Quarantine the sound sources of a fact that cannot be built; nobody sends them again."""
         for s, df in inputs.items():
             self.rejected.append(to_rejected(df, self.wh.model.sources[s].file, self.now, F.lit(f"{table.name} not built: {why}")))
 
-    def split(self, table: TableSpec, built: DataFrame, check_refs: bool) -> tuple[DataFrame, DataFrame]:
-        """Required fields, duplicates and orphans of a built table; the rows to load and their counts."""
+    def split(
+        self, table: TableSpec, built: DataFrame, check_refs: bool, newest: Sequence[Column] = ()
+    ) -> tuple[DataFrame, DataFrame]:
+        """Required fields, duplicates and orphans of a built table; the rows to load and their counts.
+
+        With ``newest``, of several rows of one key only the first in that
+        order is loaded; the others are counted and quarantined as duplicates.
+        """
         store = self.wh.table(table.name)
-        df = stage(built, table.name)
-        ignore = [*self.wh.model.pii_of(table), *table.date_columns]
+        df = stage(built.withColumn(_ROW, F.monotonically_increasing_id()), table.name, self.scratch)
+        if newest:
+            # one row a key and task is shuffled; the join back is on unique row numbers
+            first = latest_per_key(df.filter(F.col(table.key).isNotNull()), [table.key], newest).select(_ROW, F.lit(True).alias(_NEWEST))
+            df = stage(df.join(first, _ROW, "left"), table.name, self.scratch)
+        else:
+            df = df.withColumn(_NEWEST, F.lit(True))
+        ignore = [*self.wh.model.pii_of(table), *table.date_columns, _ROW, _NEWEST]
         # rows this batch wrote in an earlier attempt are not its duplicates
         stored = store.read_batches().filter(F.col(BATCH_ID) != self.batch_id).drop(BATCH_ID)
         if table.kind == FACT:
-            stored = stored_candidates(df, stored, table.key, table.partition_by)
+            stored = stored_candidates(df, stored, table.key, table.partition_by, self.scratch)
         if table.tracked:
             stored = stored.filter("is_current").drop(*SCD2_COLUMNS)
         tagged = tag_duplicates(df, stored, table.key, ignore)
         if check_refs:
             refs = [r for r in table.dims if isinstance(r.fk, str)]
-            tagged = tag_orphans_by_missing_keys(tagged, self.wh.dims_of(table), refs, keys_of=df)
+            tagged = tag_orphans_by_missing_keys(tagged, self.wh.dims_of(table), refs, df, self.scratch)
         else:
             tagged = tagged.withColumns({MISSING_REFS: F.array(), ORPHAN_REASON: F.lit("")})
-        null_reason = required_reason(table.required) if table.required else F.lit(None).cast("string")
+        required = list(dict.fromkeys([*table.required, *([table.key] if newest else [])]))
+        null_reason = required_reason(required) if required else F.lit(None).cast("string")
         tagged = tagged.withColumn(REASON, null_reason).withColumn(
             OUTCOME,
             F.when(F.col(REASON).isNotNull(), NULL_REQUIRED)
-            .when(F.col(IS_DUPLICATE), DUPLICATE)
+            .when(F.col(IS_DUPLICATE) | F.col(_NEWEST).isNull(), DUPLICATE)
             .when(F.size(MISSING_REFS) > 0, ORPHAN)
             .otherwise(PASSED),
         )
-        tagged = stage(tagged, f"{table.name}-tagged")
+        tagged = stage(tagged, f"{table.name}-tagged", self.scratch)
 
         cols = built.columns
         o = F.col(OUTCOME)
         self.rejected.append(to_rejected(tagged.filter(o == NULL_REQUIRED).select(*cols, REASON), table.name, self.now))
-        repeats = tagged.filter(o == DUPLICATE).select(*cols)
-        self.rejected.append(to_rejected(repeats, table.name, self.now, duplicate_reason(table.key, table.name)))
+        repeats = tagged.filter((o == DUPLICATE) & F.col(_NEWEST).isNotNull()).select(*cols)
+        if table.kind == FACT or self.wh.store_repeats:
+            self.rejected.append(to_rejected(repeats, table.name, self.now, duplicate_reason(table.key, table.name)))
+        if newest:
+            older = tagged.filter((o == DUPLICATE) & F.col(_NEWEST).isNull()).select(*cols)
+            self.rejected.append(to_rejected(older, table.name, self.now, F.lit(f"a newer row of the same {table.key} came with it")))
         if check_refs:
             lost = tagged.filter(o == ORPHAN).select(*cols, MISSING_REFS)
             self.orphans.append(
@@ -251,6 +293,8 @@ class _Run:
         return tagged.filter(o == PASSED).select(*cols), metrics
 
     def finish(self) -> RunReport:
+        whole = self.wh.spark.range(1).select(F.lit(self.batch_id).alias("file_name"), F.lit(0).alias("total_records"))
+        self._log(whole, self.started, not self.report.failed, BATCH)
         for store, frames in (
             (self.wh.rejected, self.rejected),
             (self.wh.orphans, self.orphans),
@@ -261,9 +305,11 @@ class _Run:
                 for f in frames[1:]:
                     out = out.unionByName(f)
                 store.append(out, self.batch_id)
-        if self.log:
-            mine = self.wh.run_log.read_batches().filter(F.col(BATCH_ID) == self.batch_id)
-            self.wh.alerts.append(threshold_alerts(mine), self.batch_id)
+        # the share of orphans among the rows of all tables of the batch
+        totals = batch_summary(self.wh, self.batch_id).withColumn("total_records", F.col("table_records"))
+        self.wh.alerts.append(threshold_alerts(totals.withColumnRenamed(BATCH_ID, "file_name")), self.batch_id)
+        # all that the run has staged is written by now
+        delete_folder(self.wh.spark, self.scratch)
         return self.report
 
 
@@ -294,10 +340,9 @@ def _load_table(run: _Run, table: TableSpec, prepared: Mapping[str, DataFrame |
         if table.kind == FACT:
             rows, metrics = run.split(table, built, True)
             store.append(rows, run.batch_id)
-            run._log(metrics, started, True)
+            run._log(metrics, started, True, TABLE)
         else:
-            one = latest_per_key(built, [table.key], _newest_first(built, table))
-            rows, metrics = run.split(table, one, check_dimension_keys)
+            rows, metrics = run.split(table, built, check_dimension_keys, _newest_first(built, table))
             before = store.read()
             if table.tracked:
                 counts = scd2_counts(before, rows, table.key, table.tracked).first()
@@ -309,15 +354,15 @@ def _load_table(run: _Run, table: TableSpec, prepared: Mapping[str, DataFrame |
             if not table.tracked:
                 # row counts come from the file footers
                 new = F.lit(store.read().count() - old_rows)
-            run._log(metrics, started, True, new, expired)
+            run._log(metrics, started, True, TABLE, new, expired)
         run.report.loaded.append(table.name)
     # a failing table is recorded; the others go on
     except ValueError as e:
         if table.kind == FACT:
             run.set_aside(table, inputs, str(e))
-        run.fail(table.name, [str(e)], started)
-    except SPARK_ERRORS as e:
-        run.broken(table.name, e, started)
+        run.fail(table.name, [str(e)], started, TABLE)
+    except (*SPARK_ERRORS, StaleSnapshot) as e:
+        run.broken(table.name, e, started, TABLE)
 
 
 def _newest_first(df: DataFrame, table: TableSpec) -> list[Column]:
@@ -353,38 +398,66 @@ def run_micro_batch(wh: Warehouse, paths: Iterable[str], batch_id: str, now: Col
     return run.finish()
 
 
+def _apply_retry(wh: Warehouse, plan: DataFrame, retry_id: str) -> None:
+    """Load a planned retry and take its rows out of the quarantine; doing it again changes nothing."""
+    loads = plan.filter("loads").select("fact_table", "record_payload").distinct()
+    for table in wh.model.tables.values():
+        if table.kind == FACT:
+            store = wh.table(table.name)
+            ready = loads.filter(F.col("fact_table") == table.name)
+            if not ready.isEmpty():
+                store.append(unpack(ready, "record_payload", store.schema), retry_id)
+    wh.orphans.remove(plan.select("quarantine_id"), retry_id)
+
+
 def retry_quarantine(wh: Warehouse) -> None:
     """Load orphans whose dimensions have arrived.
 
-    The retry is named after the quarantine snapshot it worked on: if it stops
-    between loading and rewriting the quarantine, running it again replaces
-    what it had loaded.
+    What is going to be loaded is written down first, under a name of its own.
+    A retry that stops halfway is finished by the next one under that name, so
+    nothing is loaded twice; rows quarantined meanwhile are not touched.  One
+    retry runs at a time.
     """
-    version = wh.orphans.version()
-    if version == 0:
-        return
+    held = wh.orphans.read()
+    open_ids = held.select("quarantine_id")
+    begun = wh.retries.read_batches().join(open_ids, "quarantine_id", "left_semi").select(BATCH_ID).distinct()
+    for r in begun.collect():  # the retries that did not finish
+        _apply_retry(wh, wh.retries.read_batches().filter(F.col(BATCH_ID) == r[0]), r[0])
+    scratch = scratch_path(wh.spark, "retry")
+    plans = []
     for table in wh.model.tables.values():
-        if table.kind != FACT:
-            continue
-        refs = {r.dim: (wh.table(r.dim).read(), r.pk or r.fk) for r in table.dims if isinstance(r.fk, str)}
-        orphans = wh.orphans.read_batches()
-        result = retry_orphans(orphans, refs, table.name, table.key)
-        store = wh.table(table.name)
-        ready = stage(unpack(result.good, "record_payload", store.schema), f"{table.name}-retry")
-        if ready.isEmpty() and result.bad.count() == orphans.count():
-            continue
-        store.append(ready, f"retry-{version}-{wh.orphans.version()}")
-        wh.orphans.replace_batches(result.bad)
+        if table.kind == FACT:
+            refs = {r.dim: (wh.table(r.dim).read(), r.pk or r.fk) for r in table.dims if isinstance(r.fk, str)}
+            if refs:
+                tagged = tag_retry(wh.orphans.read(), refs, table.name, table.key).filter("ref_found")
+                plans.append(tagged.select("quarantine_id", "fact_table", "record_payload", F.col(READY).alias("loads")))
+    if not plans:
+        return
+    plan = plans[0]
+    for p in plans[1:]:
+        plan = plan.unionByName(p)
+    plan = stage(plan, "plan", scratch)
+    if not plan.isEmpty():
+        retry_id = f"retry-{uuid.uuid4().hex}"
+        wh.retries.append(plan, retry_id)
+        _apply_retry(wh, wh.retries.read_batches().filter(F.col(BATCH_ID) == retry_id), retry_id)
+    delete_folder(wh.spark, scratch)
 
 
 def apply_retention(wh: Warehouse, now: Column) -> None:
-    """Drop old unresolved orphans and old rejected rows."""
-    for store, rule in ((wh.orphans, expire_orphans), (wh.rejected, expire_rejected)):
-        if store.version():
-            store.replace_batches(rule(store.read_batches(), now))
+    """Leave out old unresolved orphans and old rejected rows from now on; rows appended meanwhile stay."""
+    removal = f"retention-{uuid.uuid4().hex}"
+    for store, column, days, unresolved in (
+        (wh.orphans, "quarantined_at", ORPHAN_DAYS, True),
+        (wh.rejected, "rejected_at", REJECTED_DAYS, False),
+    ):
+        held = store.read()
+        old = held.filter(outdated(held, column, days, now, unresolved)).select(store.key)
+        if not old.isEmpty():
+            store.remove(old, removal)
 
 
 def batch_summary(wh: Warehouse, batch_id: str) -> DataFrame:
-    """Totals and rates of one run over its files."""
+    """Totals and rates of one run: what its files held, what became of the rows of its tables, and how long it took."""
     mine = wh.run_log.read_batches().filter(F.col(BATCH_ID) == batch_id)
-    return with_rates(batch_rollup(mine, [BATCH_ID]))
+    return with_rates(batch_totals(mine)).withColumn("orphan_rate", percent(F.col("orphan_count"), F.col("table_records")))

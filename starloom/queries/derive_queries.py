@@ -205,13 +205,13 @@ _RAW_SQL = (
     + " FROM orders)"
 )
 _TAGGED_SQL = f"""WITH {_RAW_SQL}, tagged AS (SELECT *, CASE
-    WHEN customer_id IS NULL OR price IS NULL THEN 'Missing required fields: [' || concat_ws(', ',
-         CASE WHEN customer_id IS NULL THEN '''customer_id''' END, CASE WHEN price IS NULL THEN '''price''' END) || ']'
-    WHEN NOT regexp_matches(order_id, '{INT_TEXT}') THEN 'Column ''order_id'' type mismatch. Expected int, got str'
-    WHEN NOT regexp_matches(customer_id, '{INT_TEXT}') THEN 'Column ''customer_id'' type mismatch. Expected int, got str'
-    WHEN NOT regexp_matches(price, '{FLOAT_TEXT}') THEN 'Column ''price'' type mismatch. Expected float, got str'
-    WHEN try_strptime(ordered_at, '%Y-%m-%d %H:%M:%S') IS NULL THEN 'Column ''ordered_at'' type mismatch. Expected datetime, got str'
-    WHEN lower(urgent) NOT IN ('true', 'false') THEN 'Column ''urgent'' type mismatch. Expected bool, got str'
+    WHEN customer_id IS NULL OR price IS NULL THEN 'no value in ' || concat_ws(', ',
+         CASE WHEN customer_id IS NULL THEN 'customer_id' END, CASE WHEN price IS NULL THEN 'price' END)
+    WHEN NOT regexp_matches(order_id, '{INT_TEXT}') THEN 'order_id is not of type int'
+    WHEN NOT regexp_matches(customer_id, '{INT_TEXT}') THEN 'customer_id is not of type int'
+    WHEN NOT regexp_matches(price, '{FLOAT_TEXT}') THEN 'price is not of type float'
+    WHEN try_strptime(ordered_at, '%Y-%m-%d %H:%M:%S') IS NULL THEN 'ordered_at is not of type datetime'
+    WHEN lower(urgent) NOT IN ('true', 'false') THEN 'urgent is not of type bool'
     END AS rejected_reason FROM raw)
 """
 
@@ -234,7 +234,7 @@ def type_split_bad(spark, sf):
 
 @query(
     "required_null_split",
-    _TAGGED_SQL + "SELECT order_id, rejected_reason FROM tagged WHERE rejected_reason LIKE 'Missing required fields%'",
+    _TAGGED_SQL + "SELECT order_id, rejected_reason FROM tagged WHERE rejected_reason LIKE 'no value in %'",
 )
 def required_null_split(spark, sf):
     tagged = tag_rows(_raw_orders(spark, sf), _SPEC)

@@ -52,35 +52,39 @@ def _known_customers(spark, sf):
     return _customers(spark, sf).filter(F.col("amount") >= 0)
 
 
-_JOIN_SQL = """
-WITH o AS (SELECT o_orderkey AS orderkey, o_custkey AS custkey, o_totalprice AS amount FROM orders {where}),
-     c AS (SELECT c_custkey AS custkey, c_name AS name, c_acctbal AS amount FROM customer WHERE c_acctbal >= 0)
-SELECT o.orderkey, {key} AS custkey, o.amount, c.name, c.amount AS amount_customers
-FROM o {how} JOIN c ON o.custkey = c.custkey"""
+# whole tables, with keys that make rows without partner on both sides
+_ORDER_KEY = "CASE WHEN o_custkey % 10 = 3 THEN -o_custkey ELSE o_custkey END"
+_CUSTOMER_KEY = "CASE WHEN c_custkey % 10 = 7 THEN 1000000000 + c_custkey ELSE c_custkey END"
 
 
-# right and full joins take the partly shipped orders, so that customers without one exist
-_PARTLY = "WHERE o_orderstatus = 'P'"
+def _moved(spark, sf):
+    orders = table(spark, sf, "orders").withColumn("o_custkey", F.expr(_ORDER_KEY))
+    customers = table(spark, sf, "customer").select(
+        F.expr(_CUSTOMER_KEY).alias("custkey"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("amount")
+    )
+    return _named_orders(orders), customers
 
 
-def _chain(how, partly=False):
-    def run(spark, sf):
-        orders = table(spark, sf, "orders").filter("o_orderstatus = 'P'") if partly else table(spark, sf, "orders")
-        return join_chain(
-            _named_orders(orders),
-            {"customers": _known_customers(spark, sf)},
-            [JoinStep("customers", "custkey", "custkey", how)],
-        )
+_JOIN_SQL = f"""
+WITH o AS (SELECT o_orderkey AS orderkey, {_ORDER_KEY} AS custkey, o_totalprice AS amount FROM orders),
+     c AS (SELECT {_CUSTOMER_KEY} AS custkey, c_name AS name, c_acctbal AS amount FROM customer)
+"""
+_JOIN_SQL += """
+SELECT o.orderkey, {key} AS custkey, o.amount, c.name, c.amount AS amount_customers
+FROM o {how} JOIN c ON o.custkey = c.custkey"""
 
-    return run
 
+def _chain(how, key):
+    @query(f"join_chain_{how}", _JOIN_SQL.format(how=how.upper(), key=key))
+    def run(spark, sf):
+        orders, customers = _moved(spark, sf)
+        return join_chain(orders, {"customers": customers}, [JoinStep("customers", "custkey", "custkey", how)])
 
-query("join_chain_left", _JOIN_SQL.format(how="LEFT", key="o.custkey", where=""))(_chain("left"))
-query("join_chain_inner", _JOIN_SQL.format(how="INNER", key="o.custkey", where=""))(_chain("inner"))
-query("join_chain_right", _JOIN_SQL.format(how="RIGHT", key="c.custkey", where=_PARTLY))(_chain("right", partly=True))
-query("join_chain_full", _JOIN_SQL.format(how="FULL", key="coalesce(o.custkey, c.custkey)", where=_PARTLY))(
-    _chain("full", partly=True)
-)
+
+_chain("left", "o.custkey")
+_chain("inner", "o.custkey")
+_chain("right", "c.custkey")
+_chain("full", "coalesce(o.custkey, c.custkey)")
 
 
 @query(
@@ -276,9 +280,9 @@ def orphan_clean(spark, sf):
                      CASE WHEN m3 THEN 'DriversDim' END) AS orphan_dim,
            concat_ws('|', CASE WHEN m1 THEN 'customer_id' END, CASE WHEN m2 THEN 'restaurant_id' END,
                      CASE WHEN m3 THEN 'driver_id' END) AS orphan_fk,
-           concat_ws('', CASE WHEN m1 THEN 'Missing CustomersDim Key (customer_id); ' END,
-                     CASE WHEN m2 THEN 'Missing RestaurantsDim Key (restaurant_id); ' END,
-                     CASE WHEN m3 THEN 'Missing DriversDim Key (driver_id); ' END) AS orphan_reason
+           concat_ws('', CASE WHEN m1 THEN 'customer_id is not in CustomersDim; ' END,
+                     CASE WHEN m2 THEN 'restaurant_id is not in RestaurantsDim; ' END,
+                     CASE WHEN m3 THEN 'driver_id is not in DriversDim; ' END) AS orphan_reason
          FROM t WHERE m1 OR m2 OR coalesce(m3, FALSE)""",
 )
 def orphan_rows(spark, sf):
@@ -309,9 +313,9 @@ def orphan_exploded(spark, sf):
     "orphan_rows_by_missing_keys",
     _ORPHAN_SQL
     + """SELECT order_id, line_no,
-           concat_ws('', CASE WHEN m1 THEN 'Missing CustomersDim Key (customer_id); ' END,
-                     CASE WHEN m2 THEN 'Missing RestaurantsDim Key (restaurant_id); ' END,
-                     CASE WHEN m3 THEN 'Missing DriversDim Key (driver_id); ' END) AS orphan_reason
+           concat_ws('', CASE WHEN m1 THEN 'customer_id is not in CustomersDim; ' END,
+                     CASE WHEN m2 THEN 'restaurant_id is not in RestaurantsDim; ' END,
+                     CASE WHEN m3 THEN 'driver_id is not in DriversDim; ' END) AS orphan_reason
          FROM t WHERE m1 OR m2 OR coalesce(m3, FALSE)""",
 )
 def orphan_rows_by_missing_keys(spark, sf):

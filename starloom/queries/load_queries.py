@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from starloom.operators.validation import to_model
 from starloom.plans.build import Model, build_table, prepare_source
-from starloom.plans.runner import Warehouse, run_batch
+from starloom.plans.runner import Warehouse, batch_summary, run_batch
 from starloom.queries.registry import query
 from starloom.queries.roles import FACT_SQL, table
 from starloom.session import scratch_path
@@ -63,6 +63,47 @@ def json_roundtrip(spark, sf):
     return to_model(raw, EVENTS_JSON.schema)
 
 
+_BROKEN_LINE = "o_orderpriority || chr(10) || o_orderstatus"
+
+
+@query("csv_multiline_roundtrip", f"SELECT o_orderkey, {_BROKEN_LINE} AS note FROM orders")
+def csv_multiline_roundtrip(spark, sf):
+    """Fields with line breaks stay one record."""
+    path = f"{scratch_path(spark, 'csv-lines')}/notes.csv"
+    notes = table(spark, sf, "orders").select("o_orderkey", F.expr(_BROKEN_LINE.replace("chr(10)", "'\n'")).alias("note"))
+    notes.write.option("header", "true").csv(path)
+    spec = SourceSpec("notes", "notes.csv", columns("o_orderkey bigint, note string"), multiline=True)
+    return to_model(read_source(spark, spec, [path]), spec.schema)
+
+
+@query("json_array_roundtrip", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
+def json_array_roundtrip(spark, sf):
+    """Files that hold one array of records each, one file a day."""
+    path = scratch_path(spark, "json-arrays")
+    day = F.date_format("ts", "yyyy-MM-dd").alias("dt")
+    arrays = table(spark, sf, "events").groupBy(day).agg(F.to_json(F.collect_list(F.struct("*")), {"timestampNTZFormat": TIMESTAMP}).alias("value"))
+    arrays.write.partitionBy("dt").text(path)
+    spec = SourceSpec("events", "events.json", EVENTS_JSON.schema)
+    return to_model(read_source(spark, spec, [f"{path}/*"]), spec.schema)
+
+
+_EXTRA_SQL = "CAST(o_orderkey AS VARCHAR) || ',' || o_orderstatus || CASE WHEN o_orderkey % 7 = 0 THEN ',extra' ELSE '' END"
+
+
+@query(
+    "corrupt_rows",
+    f"""SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 7 = 0 THEN {_EXTRA_SQL} END AS malformed_record FROM orders""",
+)
+def corrupt_rows(spark, sf):
+    """Records with a field too many keep their text."""
+    path = f"{scratch_path(spark, 'csv-extra')}/orders.csv"
+    lines = table(spark, sf, "orders").select(F.expr(_EXTRA_SQL.replace("VARCHAR", "STRING")).alias("o_orderkey,o_orderstatus"))
+    # written as one column under a header of two; nothing is quoted
+    lines.write.options(header="true", quote="", sep="|").csv(path)
+    spec = SourceSpec("orders", "orders.csv", columns("o_orderkey bigint, o_orderstatus string"))
+    return to_model(read_source(spark, spec, [path], with_corrupt=True), spec.schema)
+
+
 def _write_folders(events: DataFrame, root: str, hours: int = 6) -> None:
     """Events as arrival folders ``<date>/<hour>/events.json``, one per ``hours`` hours."""
     hour = (F.floor(F.hour("ts") / hours) * hours).cast("string")
@@ -226,8 +267,8 @@ _STREAM_SQL = """SELECT event_id, user_id AS customer_id, event_type, value, ts,
   FROM events WHERE user_id IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)"""
 
 
-def _stream(spark: SparkSession, wh: Warehouse, root: str, checkpoint: str) -> None:
-    stream = start_stream(wh, root, f"{wh.root}-{checkpoint}", available_now=True, now=F.expr(NOW), name=checkpoint)
+def _stream(spark: SparkSession, wh: Warehouse, root: str, checkpoint: str, name: str | None = None) -> None:
+    stream = start_stream(wh, root, f"{wh.root}-{checkpoint}", available_now=True, now=F.expr(NOW), name=name or checkpoint)
     stream.awaitTermination()
 
 
@@ -242,6 +283,20 @@ def stream_micro_batch(spark, sf):
     return wh.table("FactEvents").read()
 
 
+@query("stream_restart_new_checkpoint", _STREAM_SQL)
+def stream_restart_new_checkpoint(spark, sf):
+    """A stream of the same name with a new checkpoint adds to what the first one has loaded."""
+    wh = _warehouse(spark, "restart")
+    _stored_dims(spark, sf, wh)
+    events, hours = table(spark, sf, "events"), f"{wh.root}-raw/stream"
+    early = F.col("ts") < F.expr("timestamp_ntz '2024-01-15 00:00:00'")
+    _write_folders(events.filter(early), f"{hours}/a")
+    _stream(spark, wh, hours, "first", "events")
+    _write_folders(events.filter(~early), f"{hours}/b")
+    _stream(spark, wh, hours, "second", "events")
+    return wh.table("FactEvents").read()
+
+
 @query("stream_replay_idempotent", _STREAM_SQL)
 def stream_replay_idempotent(spark, sf):
     """The same folders sent again by a second stream: its rows are duplicates."""
@@ -288,5 +343,25 @@ def run_log_metrics(spark, sf):
     hours = f"{wh.root}-raw/stream"
     _write_folders(table(spark, sf, "events"), hours)
     _stream(spark, wh, hours, "first")
-    log = wh.run_log.read_batches().filter(F.col("batch_id").startswith("first"))
+    log = wh.run_log.read_batches().filter(F.col("batch_id").startswith("first") & (F.col("stage") != "batch"))
     return log.select("file_name", "total_records", "passed_count", "orphan_count")
+
+
+@query(
+    "batch_summary",
+    """SELECT count(*) AS total_records, count(*) AS table_records,
+          count(*) FILTER (user_id IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)) AS passed_count,
+          count(*) FILTER (user_id NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)) AS orphan_count,
+          round(count(*) FILTER (user_id NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)) * 100.0 / count(*), 2) AS orphan_rate
+       FROM events""",
+)
+def batch_summary_query(spark, sf):
+    """Totals of a streamed load: every record counts once."""
+    wh = _warehouse(spark, "summary")
+    _stored_dims(spark, sf, wh)
+    hours = f"{wh.root}-raw/stream"
+    _write_folders(table(spark, sf, "events"), hours)
+    _stream(spark, wh, hours, "first")
+    batches = wh.run_log.read_batches().select("batch_id").distinct().filter(F.col("batch_id").startswith("first"))
+    summary = batch_summary(wh, batches.first()[0])
+    return summary.select("total_records", "table_records", "passed_count", "orphan_count", "orphan_rate")

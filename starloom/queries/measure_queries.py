@@ -2,21 +2,18 @@
 
 from __future__ import annotations
 
-from functools import partial
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.functions.calendar import calendar_for, date_dimension, with_hierarchy
 from starloom.operators.lookups import MISSING_REFS, split_orphans, tag_orphans
 from starloom.operators.measures import (
-    EXACT_MEASURES,
     RESPONSE_MEASURES,
     TICKET_MEASURES,
     Dim,
     breach_rate_percent,
     date_rollup,
-    measure_query as any_measure_query,
+    measure_query,
     measures_long,
     pick_measures,
     top_groups,
@@ -28,7 +25,7 @@ from starloom.queries.roles import FACT_SQL, TICKETS_SQL, agents, dims, fact, re
 from starloom.specs import DimRef
 
 def _exact(column):
-    return f"CAST(sum(CAST({column} AS DECIMAL(18,2))) AS DOUBLE)"
+    return f"CAST(sum(CAST({column} AS DECIMAL(28,6))) AS DOUBLE)"
 
 
 # one SQL text per measure
@@ -40,7 +37,7 @@ _SQL = {
     "total_refund_amount": _exact("refund_amount"),
     "total_sales": _exact("total_amount"),
     "total_revenue_impact": _exact("revenue_impact"),
-    "net_profit": "CAST(sum(CAST(total_amount AS DECIMAL(18,2))) - sum(CAST(revenue_impact AS DECIMAL(18,2))) AS DOUBLE)",
+    "net_profit": "CAST(sum(CAST(total_amount AS DECIMAL(28,6))) - sum(CAST(revenue_impact AS DECIMAL(28,6))) AS DOUBLE)",
 }
 
 
@@ -49,7 +46,6 @@ def _list(names):
 
 
 _ALL = tuple(_SQL)
-measure_query = partial(any_measure_query, registry=EXACT_MEASURES)
 
 _JOINED_SQL = (
     f"WITH {FACT_SQL}, joined AS (SELECT fact.*, n_name AS region_name, r_name AS city_name, p_name AS restaurant_name, "
@@ -64,6 +60,17 @@ def measure_cards(spark, sf):
     return measure_query(fact(spark, sf), measures=_ALL)
 
 
+@query(
+    "measures_below_cents",
+    """SELECT l_returnflag, CAST(sum(CAST(l_extendedprice * l_discount * l_tax AS DECIMAL(28,6))) AS DOUBLE) AS total_sales
+       FROM lineitem GROUP BY l_returnflag""",
+)
+def measures_below_cents(spark, sf):
+    """Derived money with fractions of a cent: nothing is rounded to cents before it is added."""
+    lines = table(spark, sf, "lineitem").select("l_returnflag", F.expr("l_extendedprice * l_discount * l_tax").alias("total_amount"))
+    return measure_query(lines, ["l_returnflag"], ["total_sales"])
+
+
 @query("net_profit", _JOINED_SQL + f"SELECT city_name, {_list(['net_profit'])} FROM joined GROUP BY city_name")
 def net_profit(spark, sf):
     return measure_query(fact(spark, sf), ["city_name"], ["net_profit"], dims(spark, sf, "regions"))
@@ -218,7 +225,7 @@ def measures_by_resolved_year(spark, sf):
         FROM d GROUP BY ROLLUP (year, quarter, month, day)""",
 )
 def date_rollup_query(spark, sf):
-    return date_rollup(fact(spark, sf), "created_at", ["total_tickets", "avg_resolution_time", "net_profit"], EXACT_MEASURES)
+    return date_rollup(fact(spark, sf), "created_at", ["total_tickets", "avg_resolution_time", "net_profit"])
 
 
 # ---- calendars

@@ -16,6 +16,7 @@ from starloom.operators.finders import (
 )
 from starloom.operators.lookups import split_duplicates, split_orphans
 from starloom.operators.merge import (
+    delete_orphaned_fk,
     delete_by_id,
     delete_keys,
     delete_matching,
@@ -29,7 +30,7 @@ from starloom.operators.merge import (
     update_by_id,
     update_where,
 )
-from starloom.operators.quarantine import expire_orphans, expire_rejected, retry_orphans, to_orphans, to_rejected, union_bad_rows, unpack
+from starloom.operators.quarantine import expire_orphans, expire_rejected, outdated, retry_orphans, to_orphans, to_rejected, union_bad_rows, unpack
 from starloom.operators.shape import filter_equal, filter_not_equal, filter_not_null, hierarchy_slicer, slicer
 from starloom.operators.windows import dedup_keep_first, latest_per_key, reopened_events, validity_ranges
 from starloom.queries.registry import query
@@ -370,6 +371,84 @@ def orphan_retry_remaining(spark, sf):
     )
 
 
+# lines of one order are payloads of one fact key; half of the parts and of the suppliers arrive late
+_LATE_SQL = "l_partkey % 5 = 0 OR l_suppkey % 4 = 0"
+
+
+def _line_retries(spark, sf):
+    """Two retries: the suppliers arrive first, then the parts."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
+    parts = table(spark, sf, "part").select("p_partkey")
+    suppliers = table(spark, sf, "supplier").select("s_suppkey")
+    refs = [DimRef("PartsDim", "l_partkey", "p_partkey"), DimRef("SuppliersDim", "l_suppkey", "s_suppkey")]
+    early = {"PartsDim": parts.filter("p_partkey % 5 <> 0"), "SuppliersDim": suppliers.filter("s_suppkey % 4 <> 0")}
+    held = stage(to_orphans(split_orphans(lines, early, refs).bad, "FactLines", _now()), "lines-held")
+    first = retry_orphans(held, {"PartsDim": (early["PartsDim"], "p_partkey"), "SuppliersDim": (suppliers, "s_suppkey")}, "FactLines", "l_orderkey")
+    rest = stage(first.bad, "lines-rest")
+    second = retry_orphans(rest, {"PartsDim": (parts, "p_partkey"), "SuppliersDim": (suppliers, "s_suppkey")}, "FactLines", "l_orderkey")
+    loaded = first.good.withColumn("retry", F.lit(1)).unionByName(second.good.withColumn("retry", F.lit(2)))
+    return loaded, second.bad
+
+
+@query(
+    "orphan_retry_by_payload",
+    f"""SELECT DISTINCT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, CASE WHEN l_partkey % 5 = 0 THEN 2 ELSE 1 END AS retry
+        FROM lineitem WHERE {_LATE_SQL}""",
+)
+def orphan_retry_by_payload(spark, sf):
+    """Fact keys with several payloads: each is loaded when its own references are there, none is lost."""
+    loaded, _ = _line_retries(spark, sf)
+    schema = columns("l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double")
+    rows = loaded.select("retry", F.from_json("record_payload", schema).alias("r"))
+    return rows.select("r.*", "retry")
+
+
+@query(
+    "delete_orphaned_fk",
+    _QUARANTINE_SQL + "SELECT event_id, source_table, orphaned_fk_value FROM q WHERE NOT (orphaned_fk_column = 'event_type' AND orphaned_fk_value = 'error')",
+)
+def delete_orphaned_fk_query(spark, sf):
+    """The quarantine without one foreign key, written and read back."""
+    held = stage(_quarantine(spark, sf), "held")
+    store = SnapshotTable(spark, scratch_path(spark, "orphans"), held.schema, key="quarantine_id")
+    store.append(held, "all")
+    store.replace(delete_orphaned_fk(store.read(), "event_type", "error"))
+    return store.read().select(F.get_json_object("record_payload", "$.event_id").cast("long").alias("event_id"), "source_table", "orphaned_fk_value")
+
+
+@query(
+    "retention_keeps_later_appends",
+    """SELECT event_id, ts AS rejected_at, CASE WHEN event_id % 2 = 0 THEN 'first' ELSE 'later' END AS batch_id FROM events
+       WHERE NOT (event_id % 2 = 0 AND ts < timestamp '2024-02-05' - INTERVAL 30 DAY)""",
+)
+def retention_keeps_later_appends(spark, sf):
+    """One writer expires what it has read while another appends."""
+    rows = table(spark, sf, "events").select("event_id", F.col("ts").alias("rejected_at"))
+    path = scratch_path(spark, "rejected")
+    one, two = (SnapshotTable(spark, path, rows.schema, key="event_id") for _ in range(2))
+    one.append(rows.filter("event_id % 2 = 0"), "first")
+    seen = two.read()
+    old = seen.filter(outdated(seen, "rejected_at", 30, F.expr("timestamp_ntz '2024-02-05 00:00:00'"))).select("event_id")
+    one.append(rows.filter("event_id % 2 = 1"), "later")
+    two.remove(old, "expired")
+    return one.read_batches()
+
+
+@query(
+    "table_update_delete",
+    """SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_acctbal < 0 THEN 0 ELSE c_acctbal END AS c_acctbal, c_mktsegment
+       FROM customer WHERE c_mktsegment <> 'BUILDING'""",
+)
+def table_update_delete(spark, sf):
+    """An update and a delete, each a snapshot that is read back."""
+    customers = table(spark, sf, "customer")
+    store = SnapshotTable(spark, scratch_path(spark, "customers"), customers.schema)
+    store.replace(customers)
+    store.replace(update_where(store.read(), F.col("c_acctbal") < 0, {"c_acctbal": 0.0}))
+    store.replace(delete_where(store.read(), F.col("c_mktsegment") == "BUILDING"))
+    return store.read()
+
+
 @query(
     "rejected_rows",
     """SELECT event_id, 'Rule ''value'' failed on ''value''' AS rejected_reason, 'events' AS batch_source,
@@ -470,12 +549,15 @@ def upsert_sink(spark, sf):
 
 @query(
     "replay_adds_nothing",
-    "SELECT count(*) AS new_rows FROM orders WHERE FALSE",
+    "SELECT *, o_totalprice > 400000 AS is_new FROM orders",
 )
 def replay_adds_nothing(spark, sf):
-    """A batch sent again meets its own stored rows."""
+    """A batch sent again, with some prices changed: its own stored rows are known, the changed ones are new."""
     orders = table(spark, sf, "orders")
-    return split_duplicates(orders, orders, "o_orderkey", ["o_orderdate"]).good.agg(F.count("*").alias("new_rows"))
+    again = orders.withColumn("o_totalprice", F.expr("if(o_totalprice > 400000, o_totalprice + 1, o_totalprice)"))
+    new, known = split_duplicates(again, orders, "o_orderkey", ["o_orderdate"])[:2]
+    back = new.withColumn("o_totalprice", F.expr("o_totalprice - 1"))
+    return back.withColumn("is_new", F.lit(True)).unionByName(known.withColumn("is_new", F.lit(False)))
 
 
 # ---- reads
@@ -545,10 +627,10 @@ def equality_filter(spark, sf):
 @query(
     "not_equal_filter",
     f"""WITH {TICKETS_SQL} SELECT ticket_id, line_no, refund_amount FROM tickets
-        WHERE refund_amount IS DISTINCT FROM 30000""",
+        WHERE refund_amount IS DISTINCT FROM 25""",
 )
 def not_equal_filter(spark, sf):
-    rows = filter_not_equal(tickets(spark, sf), "refund_amount", 30000)
+    rows = filter_not_equal(tickets(spark, sf), "refund_amount", 25)
     return rows.select("ticket_id", "line_no", "refund_amount")
 
 

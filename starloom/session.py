@@ -67,15 +67,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/starloom/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store Spark writes to; an absent one is fine."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def stage(df: DataFrame, name: str, scratch: str | None = None) -> DataFrame:
     """Write ``df`` to the shared scratch area and read it back.
 
+    ``scratch`` is the folder of a run that deletes it in the end; without it
+    the folder stays until the scratch area is cleared.
+
     Cuts the lineage in a way that survives lost executors, computes a plan
     that forks into several outputs once, and gives the planner the true size
     of the result, so the later choice between broadcast and shuffle rests on
     a measured size.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = scratch_path(spark, name) if scratch is None else f"{scratch}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -15,6 +15,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 from starloom.specs import SourceSpec, TableSpec
 
 SOURCE_FILE = "source_file"
+# the text of a record that does not parse
+CORRUPT = "malformed_record"
 
 # Texts a CSV field may use for null.
 NULL_TEXTS = (
@@ -80,31 +82,58 @@ def text_schema(spec: SourceSpec) -> StructType:
     return StructType([StructField(f.name, StringType()) for f in spec.schema.fields])
 
 
-def _null_texts_to_null(df: DataFrame) -> DataFrame:
+def _null_texts_to_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     texts = ", ".join(f"'{t}'" for t in NULL_TEXTS)
-    return df.selectExpr(*[f"CASE WHEN `{c}` NOT IN ({texts}) THEN `{c}` END AS `{c}`" for c in df.columns])
-
-
-def read_source(spark: SparkSession, spec: SourceSpec, paths: Sequence[str], with_file: bool = False) -> DataFrame:
+    named = set(columns)
+    return df.selectExpr(*[f"CASE WHEN `{c}` NOT IN ({texts}) THEN `{c}` END AS `{c}`" if c in named else f"`{c}`" for c in df.columns])
+
+
+def _csv(spark: SparkSession, spec: SourceSpec, paths: list[str]) -> DataFrame:
+    """Columns of the header; a record with more fields than the header is malformed, missing fields are null."""
+    options = {"escape": '"', "multiLine": str(spec.multiline).lower()}
+    reader = spark.read.options(header="true", enforceSchema="false", columnNameOfCorruptRecord=CORRUPT, **options)
+    names = reader.csv(paths[0]).columns
+    schema = StructType([StructField(c, StringType()) for c in [*names, CORRUPT]])
+    # Spark marks short records too; only those that fill one column more are malformed
+    wider = StructType([StructField(f"c{i}", StringType()) for i in range(len(names) + 1)])
+    parsed = F.from_csv(F.regexp_replace(CORRUPT, r"[\r\n]+$", ""), wider.simpleString()[7:-1].replace(":", " "), options)
+    extra_field = F.when(F.col(CORRUPT).isNotNull() & parsed[f"c{len(names)}"].isNotNull(), F.col(CORRUPT))
+    return reader.schema(schema).csv(paths).withColumn(CORRUPT, extra_field)
+
+
+def read_source(
+    spark: SparkSession, spec: SourceSpec, paths: Sequence[str], with_file: bool = False, with_corrupt: bool = False
+) -> DataFrame:
     """All columns as text, nothing inferred.
 
     CSV takes its column names from the header, which must agree between the
     files of one call.  JSON is one array of records per file, or one record
-    per line where the source says so (such files are read in splits).
+    per line where the source says so (such files are read in splits).  A
+    record that does not parse is in the column ``malformed_record`` with
+    ``with_corrupt``; without it the read fails there, as it must not lose it.
     """
     paths = list(paths)
-    extra = [F.col("_metadata.file_path").alias(SOURCE_FILE)] if with_file else []
     if spec.format == "csv":
-        df = spark.read.option("header", "true").option("enforceSchema", "false").option("escape", '"').csv(paths)
-        return _null_texts_to_null(df.select("*", *extra) if with_file else df)
-    if spec.format in ("json", "jsonl"):
+        df = _csv(spark, spec, paths)
+    elif spec.format in ("json", "jsonl"):
         lines = spec.json_lines or spec.format == "jsonl"
-        df = spark.read.schema(text_schema(spec)).option("multiLine", str(not lines).lower()).json(paths)
-        return df.select("*", *extra)
-    if spec.format == "parquet":
+        schema = StructType([*text_schema(spec).fields, StructField(CORRUPT, StringType())])
+        df = spark.read.schema(schema).options(multiLine=str(not lines).lower(), columnNameOfCorruptRecord=CORRUPT).json(paths)
+    elif spec.format == "parquet":
         df = spark.read.parquet(*paths)
-        return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns], *extra)
-    raise ValueError(f"unsupported file type {spec.format!r} of source {spec.name!r}")
+        df = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns], F.lit(None).cast("string").alias(CORRUPT))
+    else:
+        raise ValueError(f"unsupported file type {spec.format!r} of source {spec.name!r}")
+    columns = [c for c in df.columns if c != CORRUPT]
+    extra = [F.col("_metadata.file_path").alias(SOURCE_FILE)] if with_file else []
+    df = df.select(*columns, CORRUPT, *extra)
+    if spec.format == "csv":
+        df = _null_texts_to_null(df, columns)
+    if with_corrupt:
+        return df
+    why = F.concat(F.lit(f"malformed record in source {spec.name!r}: "), F.col(CORRUPT))
+    checked = F.when(F.col(CORRUPT).isNotNull(), F.raise_error(why).cast("string")).otherwise(F.col(columns[0]))
+    return df.withColumn(columns[0], checked).drop(CORRUPT)
 
 
 # failures of a job come as either of them
@@ -123,12 +152,14 @@ class Scan(NamedTuple):
     errors: list[str]
 
 
-def scan(spark: SparkSession, spec: SourceSpec, paths: Sequence[str], with_file: bool = False) -> Scan:
+def scan(
+    spark: SparkSession, spec: SourceSpec, paths: Sequence[str], with_file: bool = False, with_corrupt: bool = False
+) -> Scan:
     """``read_source`` with a status instead of an exception."""
     if not paths:
         return Scan(False, None, [f"no file for source {spec.name!r}"])
     try:
-        return Scan(True, read_source(spark, spec, paths, with_file), [])
+        return Scan(True, read_source(spark, spec, paths, with_file, with_corrupt), [])
     except (*SPARK_ERRORS, ValueError) as e:
         return Scan(False, None, [f"read failed for source {spec.name!r}: {error_text(e)}"])
 

@@ -1,15 +1,18 @@
-"""Warehouse tables as parquet snapshots.
-
-A table is a folder of snapshots ``v1, v2, ...`` and a small ``versions``
-dataset that names the current one.  Appends go to a folder per batch inside
-the current snapshot, so a repeated batch replaces its own rows.  Updates and
-deletes write the next snapshot and then publish it; a snapshot that is being
-read is never overwritten.  One writer per table.  ``partition_by`` columns
-become folders too, so that filters on them skip the other folders.
+"""Warehouse tables as parquet folders that several writers may use at once.
+
+Appended rows lie in a folder per batch, so a repeated batch replaces its own
+rows and no other writer's.  Rows are never rewritten to drop some of them:
+``remove`` appends their keys, and reads leave these out.  ``replace`` writes a
+snapshot into a folder of its own name and then publishes it; it stands for
+the earlier snapshot and the batches that were there when it was made, so
+batches appended meanwhile stay.  A writer that computed a snapshot from an old
+one is refused (``StaleSnapshot``).  ``partition_by`` columns become folders
+too, so that filters on them skip the other folders.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -17,48 +20,78 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from starloom.session import delete_folder
+
 BATCH_ID = "batch_id"
+SNAPSHOT = "snapshot"
+_REMOVED = "__removed_key"
+
+
+class StaleSnapshot(RuntimeError):
+    """Another writer published a snapshot since this one's input was read."""
 
 
 class SnapshotTable:
-    def __init__(self, spark: SparkSession, path: str, schema: StructType, partition_by: Sequence[str] = ()):
+    def __init__(self, spark: SparkSession, path: str, schema: StructType, partition_by: Sequence[str] = (), key: str | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema
         self.partition_by = list(partition_by)
-        self._version: int | None = None
+        # rows can be removed by this column
+        self.key = key
+        self._current: tuple[int, str] | None = None
 
     def refresh(self) -> None:
         """Look the current snapshot up again; another process may have published one."""
-        self._version = None
+        self._current = None
 
     def version(self) -> int:
-        """The current snapshot number, 0 before the first write."""
-        if self._version is None:
-            self._version = self._published()
-        return self._version
+        """The current snapshot number, 0 before the first one."""
+        if self._current is None:
+            self._current = self._published()
+        return self._current[0]
 
-    def _published(self) -> int:
+    def _stored(self, folder: str, schema: StructType | str) -> DataFrame | None:
         try:
-            log = self.spark.read.schema("version int").parquet(f"{self.path}/versions")
+            return self.spark.read.schema(schema).parquet(f"{self.path}/{folder}")
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return 0
-        return log.agg(F.max("version")).first()[0] or 0
+            return None
 
-    def _publish(self, version: int) -> None:
-        self.spark.range(1).select(F.lit(version).alias("version")).write.mode("append").parquet(f"{self.path}/versions")
-        self._version = version
+    def _published(self) -> tuple[int, str]:
+        log = self._stored("versions", "version int, folder string")
+        # of two writers of one number the first folder name counts, for everyone
+        last = None if log is None else log.orderBy(F.desc("version"), "folder").first()
+        return (last.version, last.folder) if last else (0, "")
+
+    def _with_batch(self) -> StructType:
+        return StructType([*self.schema.fields, StructField(BATCH_ID, StringType())])
 
     def read_batches(self) -> DataFrame:
         """All rows with the batch that wrote them."""
-        with_batch = StructType([*self.schema.fields, StructField(BATCH_ID, StringType())])
+        names = self._with_batch().fieldNames()
         version = self.version()
-        if version == 0:
-            return self.spark.createDataFrame([], with_batch)
-        stored = self.spark.read.schema(with_batch).parquet(f"{self.path}/v{version}")
-        return stored.select(*with_batch.fieldNames())
+        rows = self._stored("batches", self._with_batch())
+        if rows is not None:
+            rows = rows.select(*names)
+        if version:
+            folder = self._current[1]
+            absorbed = self._stored(f"absorbed/{folder}", f"{BATCH_ID} string")
+            if rows is not None and absorbed is not None:
+                rows = rows.join(absorbed, BATCH_ID, "left_anti").select(*names)
+            kept = self._stored(f"snapshots/{folder}", self.schema).withColumn(BATCH_ID, F.lit(SNAPSHOT)).select(*names)
+            rows = kept if rows is None else kept.unionByName(rows)
+        if rows is None:
+            return self.spark.createDataFrame([], self._with_batch())
+        removed = self._removed()
+        return rows if removed is None else rows.join(removed, F.col(self.key) == F.col(_REMOVED), "left_anti")
+
+    def _removed(self) -> DataFrame | None:
+        if self.key is None:
+            return None
+        stored = self._stored("removed", StructType([StructField(_REMOVED, self.schema[self.key].dataType)]))
+        return None if stored is None else stored.select(_REMOVED)
 
     def read(self) -> DataFrame:
         return self.read_batches().drop(BATCH_ID)
@@ -66,28 +99,58 @@ class SnapshotTable:
     def _fit(self, df: DataFrame) -> DataFrame:
         return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields])
 
-    @staticmethod
-    def _write(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    def _write(self, df: DataFrame, path: str) -> None:
+        out = self._fit(df)
+        if self.partition_by:
+            # few files per folder; a folder that is too large for one is split
+            out = out.hint("rebalance", *self.partition_by)
+        out.write.mode("overwrite").partitionBy(*self.partition_by).parquet(path)
 
     def append(self, df: DataFrame, batch_id: str) -> None:
         """Add the rows of one batch; running the batch again replaces them."""
-        version = self.version()
-        self._write(self._fit(df), f"{self.path}/v{version or 1}/{BATCH_ID}={batch_id}", self.partition_by)
-        if version == 0:
-            self._publish(1)
+        self._write(df, f"{self.path}/batches/{BATCH_ID}={batch_id}")
 
-    def replace(self, df: DataFrame, batch_id: str = "snapshot") -> int:
-        """Write the next snapshot and make it current; returns its number."""
-        version = self.version() + 1
-        self._write(self._fit(df), f"{self.path}/v{version}/{BATCH_ID}={batch_id}", self.partition_by)
-        self._publish(version)
-        return version
+    def remove(self, keys: DataFrame, batch_id: str) -> None:
+        """Leave out the rows with these keys (one column) from now on."""
+        if self.key is None:
+            raise ValueError(f"{self.path} has no key to remove rows by")
+        named = keys.select(F.col(keys.columns[0]).cast(self.schema[self.key].dataType).alias(_REMOVED))
+        named.distinct().write.mode("overwrite").parquet(f"{self.path}/removed/removal={batch_id}")
 
-    def replace_batches(self, df: DataFrame) -> int:
-        """Next snapshot from rows that still carry their batch."""
+    def replace(self, df: DataFrame) -> int:
+        """Write the next snapshot and make it current; returns its number.
+
+        ``df`` is taken to come from the snapshot that this object last read.
+        """
         version = self.version() + 1
-        fitted = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields], BATCH_ID)
-        self._write(fitted, f"{self.path}/v{version}", [BATCH_ID, *self.partition_by])
-        self._publish(version)
+        self._check(version - 1)
+        folder = f"v{version}-{uuid.uuid4().hex}"
+        batches = self._stored("batches", self._with_batch())
+        seen = None if batches is None else [r[0] for r in batches.select(BATCH_ID).distinct().collect()]  # one value a batch
+        self._write(df, f"{self.path}/snapshots/{folder}")
+        if seen:
+            self.spark.createDataFrame([(b,) for b in seen], f"{BATCH_ID} string").write.parquet(f"{self.path}/absorbed/{folder}")
+        self._check(version - 1)
+        row = self.spark.range(1).select(F.lit(version).alias("version"), F.lit(folder).alias("folder"))
+        row.write.mode("append").parquet(f"{self.path}/versions")
+        self._current = self._published()
+        if self._current != (version, folder):
+            self.refresh()
+            raise StaleSnapshot(f"{self.path}: another writer published snapshot {version}")
         return version
+
+    def _check(self, read: int) -> None:
+        published = self._published()[0]
+        if published != read:
+            self.refresh()
+            raise StaleSnapshot(f"{self.path}: snapshot {read} was read, {published} is published")
+
+    def expire_snapshots(self, keep: int = 2) -> list[str]:
+        """Delete all but the last snapshots; returns the folders.  No reader may use them any more."""
+        log = self._stored("versions", "version int, folder string")
+        last = self._published()[0]
+        old = [] if log is None else [r.folder for r in log.filter(F.col("version") <= last - keep).collect()]  # one row a snapshot
+        for folder in old:
+            delete_folder(self.spark, f"{self.path}/snapshots/{folder}")
+            delete_folder(self.spark, f"{self.path}/absorbed/{folder}")
+        return old

@@ -67,6 +67,8 @@ class SourceSpec:
     validate: bool = True
     rules: tuple[Rule, ...] = ()
     json_lines: bool = False
+    # CSV fields may hold line breaks (then a file is read by one task)
+    multiline: bool = False
 
     @property
     def format(self) -> str:

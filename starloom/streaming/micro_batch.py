@@ -4,12 +4,14 @@ Only the arrivals are streamed (paths, not contents).  An hour folder is
 loaded as one unit once all its files are there; each trigger reads the files
 of all complete folders together, one scan per source.  Two append-only tables
 carry the state: the arrived files and the loaded folders.  Both are keyed by
-the trigger, so a repeated trigger sees the state of before it and replaces
-its own rows.
+the trigger (stream name, the query id that its checkpoint holds, and epoch),
+so a repeated trigger sees the state of before it and replaces its own rows,
+while a new checkpoint adds to what earlier ones have loaded.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -53,7 +55,11 @@ class Arrivals:
             logical_file_of(path).alias("file_name"),
             "path",
         )
-        self.files.append(found, batch_id)
+        # a stream with a new checkpoint lists the same files again
+        seen = self.files.read_batches().filter(F.col(BATCH_ID) != batch_id)
+        seen = seen.select(F.col("file_date").alias("__date"), F.col("path").alias("__path"))
+        known = F.col("file_date").eqNullSafe(F.col("__date")) & (F.col("path") == F.col("__path"))
+        self.files.append(found.join(seen, known, "left_anti"), batch_id)
         # files of a folder loaded earlier are noted, never deleted
         mine = self.files.read_batches().filter(F.col(BATCH_ID) == batch_id)
         self.late.append(mine.join(self._loaded_before(batch_id), GROUP, "left_semi"), batch_id)
@@ -114,6 +120,12 @@ def arrival_stream(
     return reader.load(root).select("path", "modificationTime")
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark has given the query of this checkpoint; it stays when the query is started again."""
+    line = spark.read.text(f"{checkpoint}/metadata").first()
+    return json.loads(line[0])["id"]
+
+
 def start_stream(
     wh: Warehouse,
     root: str,
@@ -129,7 +141,7 @@ def start_stream(
     arrivals = Arrivals(wh.spark, f"{wh.root}/stream_{name}", required or fact_files(wh))
 
     def on_trigger(batch: DataFrame, epoch: int) -> None:
-        load_arrivals(wh, arrivals, batch, f"{name}-{epoch:010d}", now)
+        load_arrivals(wh, arrivals, batch, f"{name}-{stream_id(wh.spark, checkpoint)}-{epoch:010d}", now)
 
     writer = (
         arrival_stream(wh.spark, root, max_files, archive_dir)

@@ -8,11 +8,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from starloom.queries import catalogue
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events".split()
 
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLES = catalogue.QUERIES, catalogue.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -39,6 +40,8 @@ def table_rows(columns, records):
 
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
+    assert QUERIES.items() <= contract.queries().items() and ORACLES.items() <= contract.oracle_sql().items()
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

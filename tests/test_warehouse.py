@@ -14,7 +14,7 @@ from starloom.plans.build import Model, build_table, table_schema
 from starloom.plans.runner import Warehouse, apply_retention, batch_summary, load_calendar, run_batch, run_micro_batch
 from starloom.plans.support_tickets import MODEL
 from starloom.sources.files import counted, list_files, logical_file, match_sources, read_source, scan, tables_with_files
-from starloom.sources.tables import SnapshotTable
+from starloom.sources.tables import SnapshotTable, StaleSnapshot
 from starloom.specs import SourceSpec, columns
 from starloom.streaming.micro_batch import Arrivals, fact_files, start_stream
 
@@ -142,8 +142,8 @@ def test_batch_micro_batch_and_retry(warehouse, rows):
     assert rows(wh.table("CustomersDim").read(), "customer_id", "segment_name", "discount_pct") == [(1, "gold", 10), (2, "gold", 10)]
     reasons = rows(wh.rejected.read(), "batch_source", "rejected_reason")
     assert reasons == [
-        ("agents.csv", "Column 'agent_id' type mismatch. Expected int, got str"),
-        ("agents.csv", "Missing required fields: ['agent_name']"),
+        ("agents.csv", "agent_id is not of type int"),
+        ("agents.csv", "no value in agent_name"),
     ]
     log = {r.file_name: r for r in wh.run_log.read().collect()}
     assert (log["agents.csv"].total_records, log["agents.csv"].passed_count, log["agents.csv"].null_count) == (3, 1, 1)
@@ -176,8 +176,8 @@ def test_batch_micro_batch_and_retry(warehouse, rows):
     assert wh.table("FactTickets").read().count() == 2
     again = wh.rejected.read_batches().filter("batch_id = 'hour10-again'")
     assert rows(again, "rejected_reason") == [
-        ("Duplicate record found with ticket_id=t1 on dimension 'FactTickets'",),
-        ("Duplicate record found with ticket_id=t2 on dimension 'FactTickets'",),
+        ("FactTickets already holds this row of ticket_id t1",),
+        ("FactTickets already holds this row of ticket_id t2",),
     ]
     assert wh.orphans.read().count() == 2
 
@@ -195,7 +195,9 @@ def test_alert_and_retention(warehouse, rows):
     wh, _, tmp_path = warehouse
     run_micro_batch(wh, fact_files_in(str(tmp_path / "h"), [1, 8, 9]), "bad", moment())
     alert = wh.alerts.read().first()
-    assert (alert.file_name, alert.orphan_count, alert.total_records) == ("FactTickets", 2, 3)
+    assert (alert.file_name, alert.orphan_count, alert.total_records) == ("bad", 2, 3)
+    s = batch_summary(wh, "bad").first()
+    assert (s.total_records, s.table_records, s.passed_count, s.orphan_count, s.orphan_rate) == (9, 3, 1, 2, 66.67)
     apply_retention(wh, moment("2024-01-04 00:00:00"))
     assert wh.orphans.read().count() == 2
     apply_retention(wh, moment("2024-01-05 00:00:01"))
@@ -217,8 +219,8 @@ def test_bad_file_is_rejected_others_go_on(spark, tmp_path, rows):
     assert set(report.failed) == {"channels.csv", "ChannelsDim", "drivers.csv", "DriversDim", "CustomersDim"}
     assert "AgentsDim" in report.loaded and "CustomersDim" not in report.loaded
     shared = wh.rejected.read().filter("batch_source = 'channels.csv'")
-    assert rows(shared, "rejected_reason") == [("Column 'channel_id' type mismatch. Expected int, got str",)] * 2
-    assert wh.run_log.read().filter("not file_success").count() == 5
+    assert rows(shared, "rejected_reason") == [("no value of channel_id is of type int",)] * 2
+    assert wh.run_log.read().filter("not file_success and stage <> 'batch'").count() == 5
     assert report.errors == []
 
 
@@ -352,6 +354,17 @@ def test_csv_reading(spark, tmp_path, rows):
     assert with_file.select("source_file").first()[0].endswith("/t.csv")
 
 
+def test_csv_with_line_breaks_and_extra_fields(spark, tmp_path, rows):
+    spec = SourceSpec("t", "t.csv", columns("id int, name string"), multiline=True)
+    path = tmp_path / "t.csv"
+    path.write_text('id,name\n1,"line one\nline two"\n2,"a, b"\n3\n4,x,EXTRA\n')
+    df = read_source(spark, spec, [str(path)], with_corrupt=True)
+    got = sorted((r.id, r.name, r.malformed_record is not None) for r in df.collect())
+    assert got == [("1", "line one\nline two", False), ("2", "a, b", False), ("3", None, False), ("4", "x", True)]
+    with pytest.raises(Exception, match="malformed record"):
+        read_source(spark, spec, [str(path)]).collect()
+
+
 def test_json_reading(spark, tmp_path, rows):
     array = write_json(str(tmp_path / "a.json"), [dict(id=1, ok=True, x=1.5), dict(id=2, ok=None, x="t")])
     spec = SourceSpec("a", "a.json", columns("id int, ok boolean, x double, gone string"))
@@ -379,7 +392,7 @@ def test_list_files(spark, tmp_path, rows):
 
 
 def test_snapshot_table(spark, tmp_path, rows):
-    store = SnapshotTable(spark, str(tmp_path / "t"), columns("id int, v string"))
+    store = SnapshotTable(spark, str(tmp_path / "t"), columns("id int, v string"), key="id")
     assert store.version() == 0 and store.read().count() == 0
     a = spark.createDataFrame([(1, "a")], "id int, v string")
     store.append(a, "b1")
@@ -387,14 +400,130 @@ def test_snapshot_table(spark, tmp_path, rows):
     store.append(a.withColumn("id", F.lit(2)), "b2")
     assert rows(store.read_batches()) == [(1, "a", "b1"), (2, "a", "b2")]
     # a snapshot computed from the table itself
-    assert store.replace(store.read().filter("id = 2")) == 2
+    assert store.replace(store.read().filter("id = 2")) == 1
     assert rows(store.read()) == [(2, "a")]
-    other = SnapshotTable(spark, store.path, store.schema)
-    assert other.version() == 2
-    store.replace_batches(store.read_batches().filter("false"))
-    assert store.read().count() == 0 and other.read().count() == 1
-    other.refresh()
-    assert other.read().count() == 0
+    other = SnapshotTable(spark, store.path, store.schema, key="id")
+    assert other.version() == 1
+    store.append(a.withColumn("id", F.lit(3)), "b3")
+    assert rows(other.read(), "id") == [(2,), (3,)]
+    store.remove(store.read().filter("id = 3").select("id"), "r1")
+    store.remove(store.read().filter("id = 3").select("id"), "r1")
+    assert rows(store.read(), "id") == [(2,), (3,)]  # the same removal again replaces the first one: here it was empty
+    store.remove(a.select((F.col("id") + 2).alias("id")), "r2")
+    assert rows(other.read(), "id") == [(2,)]
+
+
+def test_two_writers(spark, tmp_path, rows):
+    """Appends of one writer survive snapshots, removals and retention of another."""
+    path, schema = str(tmp_path / "t"), columns("id int, v string")
+    one, two = (SnapshotTable(spark, path, schema, key="id") for _ in range(2))
+    row = lambda i: spark.createDataFrame([(i, "x")], "id int, v string")
+    one.append(row(1), "b1")
+    seen = two.read()
+    one.append(row(2), "b2")
+    two.remove(seen.select("id"), "expired")
+    one.append(row(3), "b3")
+    assert rows(one.read(), "id") == rows(two.read(), "id") == [(2,), (3,)]
+    # a snapshot hides what was there when it was made, not what comes later
+    two.replace(two.read().filter("id = 2"))
+    one.append(row(4), "b4")
+    one.refresh()
+    assert rows(one.read(), "id") == rows(two.read(), "id") == [(2,), (4,)]
+    # a writer that worked on an older snapshot is refused
+    assert one.replace(one.read()) == 2
+    with pytest.raises(StaleSnapshot):
+        two.replace(row(9))
+    assert two.replace(two.read()) == 3 and rows(two.read(), "id") == [(2,), (4,)]
+    assert len(two.expire_snapshots(keep=1)) == 2 and rows(two.read(), "id") == [(2,), (4,)]
+
+
+def test_retry_and_retention_keep_what_another_run_appends(warehouse, rows):
+    wh, _, tmp_path = warehouse
+    other = Warehouse(wh.spark, wh.root, MODEL)
+    other.orphans.read(), other.rejected.read(), other.table("FactTickets").read()
+    run_micro_batch(wh, fact_files_in(str(tmp_path / "a"), [1, 9]), "a", moment())
+    held = other.orphans.read()
+    run_micro_batch(wh, fact_files_in(str(tmp_path / "b"), [2, 8], first=3), "b", moment())
+    assert held.count() == 1
+    apply_retention(other, moment("2024-01-04 00:00:00"))
+    run_batch(other, dimension_files(str(tmp_path / "batch/2024-01-02"), (1, 2, 9)), "day2", moment())
+    run_micro_batch(wh, fact_files_in(str(tmp_path / "c"), [1], first=5), "c", moment())
+    assert rows(wh.table("FactTickets").read(), "ticket_id") == [("t1",), ("t2",), ("t3",), ("t5",)]
+    assert rows(wh.orphans.read(), "orphaned_fk_value") == [("8",)]
+
+
+def test_interrupted_retry_is_finished_once(warehouse, rows, monkeypatch):
+    wh, _, tmp_path = warehouse
+    run_micro_batch(wh, fact_files_in(str(tmp_path / "a"), [1, 9]), "a", moment())
+    broken = lambda self, keys, batch_id: (_ for _ in ()).throw(OSError("lost"))
+    with monkeypatch.context() as m:
+        m.setattr(SnapshotTable, "remove", broken)
+        with pytest.raises(OSError):
+            run_batch(wh, dimension_files(str(tmp_path / "batch/2024-01-02"), (1, 2, 9)), "day2", moment())
+    assert wh.orphans.read().count() == 1
+    run_batch(wh, dimension_files(str(tmp_path / "batch/2024-01-03"), (1, 2, 9)), "day3", moment())
+    assert rows(wh.table("FactTickets").read(), "ticket_id") == [("t1",), ("t2",)]
+    assert wh.orphans.read().count() == 0
+
+
+def test_new_checkpoint_adds(warehouse, rows):
+    wh, _, tmp_path = warehouse
+    root = str(tmp_path / "stream")
+
+    def run(checkpoint, **options):
+        start_stream(wh, root, str(tmp_path / checkpoint), "tickets", available_now=True, now=moment(), **options).awaitTermination()
+        return rows(wh.table("FactTickets").read(), "ticket_id")
+
+    fact_files_in(f"{root}/2024-01-01/10", [1, 2])
+    assert run("c1") == [("t1",), ("t2",)]
+    fact_files_in(f"{root}/2024-01-01/11", [1], first=3)
+    assert run("c2") == [("t1",), ("t2",), ("t3",)]
+    arrivals = Arrivals(wh.spark, f"{wh.root}/stream_tickets", fact_files(wh))
+    assert arrivals.files.read().count() == 6 and arrivals.late.read().count() == 0
+    # Spark moves files that a later trigger no longer needs; the facts stay
+    fact_files_in(f"{root}/2024-01-01/12", [2], first=4)
+    archive = str(tmp_path / "archive")
+    assert run("c3", archive_dir=archive, max_files=3) == [("t1",), ("t2",), ("t3",), ("t4",)]
+    assert run("c4", archive_dir=archive) == [("t1",), ("t2",), ("t3",), ("t4",)]
+
+
+def test_malformed_records_are_kept_as_text(spark, tmp_path, rows):
+    wh = Warehouse(spark, str(tmp_path / "wh"), MODEL)
+    folder = tmp_path / "b"
+    folder.mkdir()
+    (folder / "channels.csv").write_text("channel_id,channel_name\n1,app\n2,web,EXTRA\n3\n")
+    (folder / "cities.json").write_text('[{"city_id": 1, "city_name": "Cairo", "country": "E", "timezone": "T"}, {"city_id": 2, "ci')
+    run_batch(wh, [str(folder / "channels.csv"), str(folder / "cities.json")], "day1", moment())
+    assert rows(wh.table("ChannelsDim").read()) == [(1, "app")]
+    bad = {r.batch_source: (r.rejected_reason, r.record_payload) for r in wh.rejected.read().collect() if "parse" in r.rejected_reason}
+    assert bad["channels.csv"][0] == "the record does not parse" and "2,web,EXTRA" in bad["channels.csv"][1]
+    assert "Cairo" in bad["cities.json"][1]
+    log = {r.file_name: r for r in wh.run_log.read().collect()}
+    assert (log["channels.csv"].total_records, log["channels.csv"].passed_count, log["channels.csv"].quarantined_count) == (3, 1, 2)
+
+
+def test_rejected_rows_hold_no_personal_data(warehouse):
+    wh, *_ = warehouse
+    text = " ".join(r.record_payload for r in wh.rejected.read().collect())
+    assert "agent_email" in text and "@" not in text and "20111111" not in text
+
+
+def test_older_rows_of_a_key_are_counted(spark, tmp_path, rows):
+    wh = Warehouse(spark, str(tmp_path / "wh"), MODEL)
+    records = [dict(channel_id=1, channel_name="a"), dict(channel_id=1, channel_name="b"), dict(channel_id=2, channel_name="c")]
+    run_batch(wh, [write_csv(str(tmp_path / "channels.csv"), records)], "day1", moment())
+    assert rows(wh.table("ChannelsDim").read()) == [(1, "b"), (2, "c")]
+    assert rows(wh.rejected.read(), "rejected_reason") == [("a newer row of the same channel_id came with it",)]
+    s = batch_summary(wh, "day1").first()
+    assert (s.total_records, s.table_records, s.passed_count, s.duplicate_count) == (3, 3, 2, 1)
+    assert s.batch_latency_ms > 0
+
+
+def test_no_scratch_is_left(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("starloom.plans.runner.scratch_path", lambda _, name: str(tmp_path / "scratch" / name))
+    wh = Warehouse(spark, str(tmp_path / "wh"), MODEL)
+    run_batch(wh, [write_csv(str(tmp_path / "channels.csv"), [dict(channel_id=1, channel_name="a")])], "day1", moment())
+    assert wh.table("ChannelsDim").read().count() == 1 and not any((tmp_path / "scratch").iterdir())
 
 
 def test_table_schema(spark):
