@@ -10,7 +10,7 @@ from starloom.llm.ngram_jaccard import jaccard_links
 from starloom.llm.orc_tokens import checksums, read_tokens, write_tokens
 from starloom.llm.packing import pieces
 from starloom.llm.piece_viterbi import round_trip
-from starloom.llm.quality_ledger import verdicts
+from starloom.llm.quality_ledger import BASE_RULES, DEFAULT, RULES, mask, verdicts
 from starloom.llm.runtime import prepare, table
 from starloom.llm.secret_scan import listed, scan
 from starloom.llm.substring_dedup import remove_repeats
@@ -45,6 +45,17 @@ def op1(spark, sf_dir):
     return jaccard_links(table(spark, sf_dir, "documents"))
 
 
+ORACLES["op4_substring_dedup"] = r"""WITH w AS (SELECT row_number() OVER () AS r, doc_id,
+      list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+  windows AS (SELECT r, doc_id, i, list_slice(words, i, i + 12) AS g FROM (SELECT *, unnest(range(1, len(words) - 11)) AS i FROM w)),
+  gone AS (SELECT r, i FROM (SELECT r, i, doc_id, min(doc_id) OVER (PARTITION BY g) AS low FROM windows) WHERE low < doc_id),
+  covered AS (SELECT DISTINCT r, unnest(range(i, i + 13)) AS j FROM gone),
+  kept AS (SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY j) AS kept
+           FROM (SELECT r, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS j FROM w) ANTI JOIN covered USING (r, j) GROUP BY r)
+SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (r)"""
+
+
 @query("op4_substring_dedup")
 def op4(spark, sf_dir):
     """Words that remain when 13-word windows of smaller documents are removed."""
@@ -84,6 +95,29 @@ def op6(spark, sf_dir):
     return languages(table(spark, sf_dir, "documents"))
 
 
+_WORDS_SQL = r"""WITH d AS (SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS t FROM documents),
+  w AS (SELECT *, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+               list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+  windows AS (SELECT r, i, [words[i], words[i + 1], words[i + 2]] AS g FROM (SELECT r, words, unnest(range(1, len(words) - 1)) AS i FROM w)),
+  twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM windows) WHERE n > 1),
+  covered AS (SELECT r, count(DISTINCT j) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS j FROM twice) GROUP BY r),
+  m AS (SELECT doc_id, len(words) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+          length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(lines) AS n_lines,
+          len(lines) - len(list_distinct(lines)) AS n_dup_lines, length(regexp_replace(t, '[^A-Z]', '', 'g')) AS n_capitals,
+          length(regexp_replace(t, '[^!?]', '', 'g')) AS n_exclamations, coalesce(n, 0) AS n_repeat_words FROM w LEFT JOIN covered USING (r)),
+"""
+
+
+def _quality_sql() -> str:
+    bits = " + ".join(f"CASE WHEN {rule} THEN {1 << k} ELSE 0 END" for k, rule in enumerate(RULES.values()))
+    return f"""{_WORDS_SQL} bits AS (SELECT *, {bits} AS failed FROM m)
+      SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed & {mask(*BASE_RULES)} <> 0 AS base_failed,
+             failed & {DEFAULT.mask} = 0 AS kept, CAST(failed AS BIGINT) AS failed, '{DEFAULT.version}' AS policy FROM bits"""
+
+
+ORACLES["op7_quality_rules"] = _quality_sql()
+
+
 @query("op7_quality_rules")
 def op7(spark, sf_dir):
     """Measurements, failed rules and verdict of each text."""
