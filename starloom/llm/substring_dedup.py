@@ -229,7 +229,10 @@ def _narrow(values: np.ndarray) -> tuple[int, bytes, int]:
 def remove_repeats(
     docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS, page_bytes: int = PAGE_BYTES, doc_id: str = "doc_id", text: str = "text", carry: tuple[str, ...] = ()
 ) -> DataFrame:
-    """doc_id, n_words, n_removed, kept (text of the kept words, joined by one space), and the columns to carry along."""
+    """doc_id, n_words, n_removed, kept (text of the kept words, joined by one space).
+
+    With ``carry``, also the columns of that name, and ``original``, the text as it was (null: empty).
+    """
     pages = _pages(docs.select(F.col(doc_id).cast("long").alias("_doc_id"), F.col(text).alias("_text"), *carry), page_bytes)
     n_pages = pages.select("page").count()
     least = scratch_partitions(docs.sparkSession)
@@ -311,10 +314,15 @@ def remove_repeats(
                 made = _cut(page, found["at"][gone], window)
                 if carry:
                     rows = pa.ipc.open_stream(zstandard.decompress(r["rest"])).read_all().combine_chunks()
-                    made = pa.RecordBatch.from_arrays([*made.columns, *(rows.column(c).combine_chunks() for c in carry)], names=[*made.schema.names, *carry])
+                    text_ = page.body.tobytes()
+                    at = page.offsets.tolist()
+                    original = pa.array([text_[a:b] for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary()).cast(pa.string())
+                    more = [original, *(rows.column(c).combine_chunks() for c in carry)]
+                    made = pa.RecordBatch.from_arrays([*made.columns, *more], names=[*made.schema.names, "original", *carry])
                 yield made
 
-    schema = T.StructType([*T._parse_datatype_string("doc_id long, n_words long, n_removed long, kept string").fields, *docs.select(*carry).schema.fields])
+    fixed = "doc_id long, n_words long, n_removed long, kept string" + (", original string" if carry else "")
+    schema = T.StructType([*T._parse_datatype_string(fixed).fields, *docs.select(*carry).schema.fields])
     return pages.join(first, "page", "left").join(second, "page", "left").mapInArrow(cut, schema)
 
 
@@ -355,7 +363,11 @@ def deduplicated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     Rows of which nothing is left are gone.
     """
-    others = tuple(c for c in docs.columns if c != "doc_id")
-    cut = remove_repeats(docs, window, carry=others)
+    # names of its own, so that no column of the table can clash; pages hold the text once
+    names = {c: f"_{i}" for i, c in enumerate(c for c in docs.columns if c not in ("doc_id", "text"))}
+    rows = docs.select("doc_id", "text", F.col("text").isNull().alias("_null"), *(F.col(c).alias(n) for c, n in names.items()))
+    cut = remove_repeats(rows, window, carry=("_null", *names.values()))
     left = cut.filter("n_words = 0 or n_removed < n_words")
-    return left.withColumn("text", F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))).select(docs.columns)
+    text = F.when(F.col("n_removed") > 0, F.col("kept")).when(~F.col("_null"), F.col("original"))
+    made = {"doc_id": F.col("doc_id").cast(docs.schema["doc_id"].dataType), "text": text, **{c: F.col(n) for c, n in names.items()}}
+    return left.select(*(made[c].alias(c) for c in docs.columns))
