@@ -94,10 +94,13 @@ def _csv(spark: SparkSession, spec: SourceSpec, paths: list[str]) -> DataFrame:
     reader = spark.read.options(header="true", enforceSchema="false", columnNameOfCorruptRecord=CORRUPT, **options)
     names = reader.csv(paths[0]).columns
     schema = StructType([StructField(c, StringType()) for c in [*names, CORRUPT]])
-    # Spark marks short records too; only those that fill one column more are malformed
-    wider = StructType([StructField(f"c{i}", StringType()) for i in range(len(names) + 1)])
-    parsed = F.from_csv(F.regexp_replace(CORRUPT, r"[\r\n]+$", ""), wider.simpleString()[7:-1].replace(":", " "), options)
-    extra_field = F.when(F.col(CORRUPT).isNotNull() & parsed[f"c{len(names)}"].isNotNull(), F.col(CORRUPT))
+    # Spark marks short records too.  A text longer than the record is put behind its last field; it is among the columns
+    # of the header only if the record is short.  An empty field is null like an absent one, so their values do not tell
+    columns = ", ".join(f"c{i} string" for i in range(len(names)))
+    behind = F.concat(F.regexp_replace(CORRUPT, r"[\r\n]+$", ""), F.lit(","), F.repeat(F.lit("x"), F.length(CORRUPT) + 1))
+    parsed = F.from_csv(behind, columns, options)
+    short = F.exists(F.array(*[parsed[f"c{i}"] for i in range(len(names))]), lambda v: F.length(v) > F.length(CORRUPT))
+    extra_field = F.when(F.col(CORRUPT).isNotNull() & ~F.coalesce(short, F.lit(False)), F.col(CORRUPT))
     return reader.schema(schema).csv(paths).withColumn(CORRUPT, extra_field)
 
 

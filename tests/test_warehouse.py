@@ -365,6 +365,25 @@ def test_csv_with_line_breaks_and_extra_fields(spark, tmp_path, rows):
         read_source(spark, spec, [str(path)]).collect()
 
 
+@pytest.mark.parametrize("multiline", [False, True])
+def test_empty_surplus_fields_make_a_record_malformed(spark, tmp_path, rows, multiline):
+    spec = SourceSpec("s", "s.csv", columns("id int, name string, kind string"), multiline=multiline)
+    long = ["1,a,b,,EXTRA", "2,a,b,", "3,a,b,,", "4,,,,", '5,a,b,""', '6,"a,1","b""2",,"x, y"', '7,a,b,"open', "8,a,b,,x,,"]
+    short = ["11", "12,a", "13,", '14,"a, b"', '15,"a ""quoted"" word"', "16,xxxxxxxxxxxx"]
+    whole = ["21,a,b", "22,,", '23,"a,,b",c']
+    path = tmp_path / "s.csv"
+    # an open quote takes in what follows where fields may have line breaks
+    long = [x for x in long if not multiline or "open" not in x]
+    path.write_text("\n".join(["id,name,kind", *whole[:1], *long, *short, *whole[1:], ""]))
+    got = {r.id: r for r in read_source(spark, spec, [str(path)], with_corrupt=True).collect()}
+    assert {i: r.malformed_record.rstrip("\r\n") for i, r in got.items() if r.malformed_record is not None} == {x.split(",")[0]: x for x in long}
+    assert len(got) == len(long) + len(short) + len(whole)
+    assert (got["14"].name, got["14"].kind, got["15"].name, got["23"].name) == ("a, b", None, 'a "quoted" word', "a,,b")
+    path.write_text("id,name,kind\n1,a,b,,EXTRA\n")
+    with pytest.raises(Exception, match="malformed record"):
+        read_source(spark, spec, [str(path)]).collect()
+
+
 def test_json_reading(spark, tmp_path, rows):
     array = write_json(str(tmp_path / "a.json"), [dict(id=1, ok=True, x=1.5), dict(id=2, ok=None, x="t")])
     spec = SourceSpec("a", "a.json", columns("id int, ok boolean, x double, gone string"))
