@@ -4,8 +4,8 @@ Appended rows lie in a folder per batch, so a repeated batch replaces its own
 rows and no other writer's.  Rows are never rewritten to drop some of them:
 ``remove`` appends their keys, and reads leave these out.  ``replace`` writes a
 snapshot into a folder of its own name and then publishes it; it stands for
-the earlier snapshot and the batches that were there when it was made, so
-batches appended meanwhile stay.  A writer that computed a snapshot from an old
+the earlier snapshot and the batches that were there when its input was read,
+so batches appended since then stay.  A writer that computed a snapshot from an old
 one is refused (``StaleSnapshot``).  ``partition_by`` columns become folders
 too, so that filters on them skip the other folders.
 """
@@ -40,10 +40,12 @@ class SnapshotTable:
         # rows can be removed by this column
         self.key = key
         self._current: tuple[int, str] | None = None
+        # the batches as the last read listed them, absorbed ones too
+        self._listed: DataFrame | None = None
 
     def refresh(self) -> None:
         """Look the current snapshot up again; another process may have published one."""
-        self._current = None
+        self._current = self._listed = None
 
     def version(self) -> int:
         """The current snapshot number, 0 before the first one."""
@@ -68,11 +70,17 @@ class SnapshotTable:
     def _with_batch(self) -> StructType:
         return StructType([*self.schema.fields, StructField(BATCH_ID, StringType())])
 
+    def _list_batches(self) -> DataFrame | None:
+        rows = self._stored("batches", self._with_batch())
+        # files are listed when a frame is made, so it stays without the batches that come later
+        self._listed = self.spark.createDataFrame([], self._with_batch()) if rows is None else rows
+        return rows
+
     def read_batches(self) -> DataFrame:
         """All rows with the batch that wrote them."""
         names = self._with_batch().fieldNames()
         version = self.version()
-        rows = self._stored("batches", self._with_batch())
+        rows = self._list_batches()
         if rows is not None:
             rows = rows.select(*names)
         if version:
@@ -120,20 +128,22 @@ class SnapshotTable:
     def replace(self, df: DataFrame) -> int:
         """Write the next snapshot and make it current; returns its number.
 
-        ``df`` is taken to come from the snapshot that this object last read.
+        ``df`` is taken to come from the last read of this object, and stands for the snapshot and the batches of that
+        read.  Without a read since the last snapshot or ``refresh`` it stands for the batches there are now.
         """
         version = self.version() + 1
         self._check(version - 1)
         folder = f"v{version}-{uuid.uuid4().hex}"
-        batches = self._stored("batches", self._with_batch())
-        seen = None if batches is None else [r[0] for r in batches.select(BATCH_ID).distinct().collect()]  # one value a batch
+        if self._listed is None:
+            self._list_batches()
+        seen = [r[0] for r in self._listed.select(BATCH_ID).distinct().collect()]  # one value a batch
         self._write(df, f"{self.path}/snapshots/{folder}")
         if seen:
             self.spark.createDataFrame([(b,) for b in seen], f"{BATCH_ID} string").write.parquet(f"{self.path}/absorbed/{folder}")
         self._check(version - 1)
         row = self.spark.range(1).select(F.lit(version).alias("version"), F.lit(folder).alias("folder"))
         row.write.mode("append").parquet(f"{self.path}/versions")
-        self._current = self._published()
+        self._current, self._listed = self._published(), None
         if self._current != (version, folder):
             self.refresh()
             raise StaleSnapshot(f"{self.path}: another writer published snapshot {version}")

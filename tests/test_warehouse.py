@@ -456,6 +456,32 @@ def test_two_writers(spark, tmp_path, rows):
     assert len(two.expire_snapshots(keep=1)) == 2 and rows(two.read(), "id") == [(2,), (4,)]
 
 
+def test_appends_between_read_and_replace_stay(spark, tmp_path, rows):
+    path, schema = str(tmp_path / "t"), columns("id int, v string")
+    one, two = (SnapshotTable(spark, path, schema, key="id") for _ in range(2))
+    row = lambda i: spark.createDataFrame([(i, "x")], "id int, v string")
+    # the table has no batch yet when it is read
+    before = two.read()
+    one.append(row(1), "b1")
+    assert two.replace(before) == 1
+    one.refresh()
+    assert rows(one.read(), "id") == rows(two.read(), "id") == [(1,)]
+    # a batch that comes after the read is not in the snapshot, one that was read is not there twice
+    before = two.read().filter("id > 0")
+    one.append(row(2), "b2")
+    assert two.replace(before) == 2
+    one.refresh()
+    assert rows(one.read(), "id") == rows(two.read(), "id") == [(1,), (2,)]
+    # batches of earlier snapshots stay absorbed
+    before = two.read().filter("id = 2")
+    one.append(row(3), "b3")
+    assert two.replace(before) == 3 and rows(two.read(), "id") == [(2,), (3,)]
+    # without a read, the rows stand for all there is
+    assert two.replace(row(9)) == 4
+    two.refresh()
+    assert two.replace(row(8)) == 5 and rows(two.read(), "id") == [(8,)]
+
+
 def test_retry_and_retention_keep_what_another_run_appends(warehouse, rows):
     wh, _, tmp_path = warehouse
     other = Warehouse(wh.spark, wh.root, MODEL)
