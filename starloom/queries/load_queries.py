@@ -46,6 +46,9 @@ EVENTS_JSON = SourceSpec(
 )
 TIMESTAMP = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
+# Fixed value: records of one array; a power of two, so that no chunk holds rows of two tasks.
+ARRAY_ROWS = 8192
+
 
 @query("csv_roundtrip", "SELECT * FROM orders")
 def csv_roundtrip(spark, sf):
@@ -78,11 +81,17 @@ def csv_multiline_roundtrip(spark, sf):
 
 @query("json_array_roundtrip", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def json_array_roundtrip(spark, sf):
-    """Files that hold one array of records each, one file a day."""
+    """Files that hold one array of records each; a day has as many as it takes."""
     path = scratch_path(spark, "json-arrays")
-    day = F.date_format("ts", "yyyy-MM-dd").alias("dt")
-    arrays = table(spark, sf, "events").groupBy(day).agg(F.to_json(F.collect_list(F.struct("*")), {"timestampNTZFormat": TIMESTAMP}).alias("value"))
-    arrays.write.partitionBy("dt").text(path)
+    events = table(spark, sf, "events")
+    days = events.select(F.date_format("ts", "yyyy-MM-dd").alias("dt"), F.struct("*").alias("event"))
+    # a busy day is split over tasks; rows are numbered within a task, sorted so that a repeated task numbers them alike
+    by = ["dt", *[f"event.{c}" for c in events.columns]]
+    numbered = days.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("n", F.monotonically_increasing_id())
+    arrays = numbered.groupBy("dt", F.floor(F.col("n") / ARRAY_ROWS).alias("chunk")).agg(
+        F.to_json(F.collect_list("event"), {"timestampNTZFormat": TIMESTAMP}).alias("value")
+    )
+    arrays.select("dt", "value").write.partitionBy("dt").option("maxRecordsPerFile", 1).text(path)
     spec = SourceSpec("events", "events.json", EVENTS_JSON.schema)
     return to_model(read_source(spark, spec, [f"{path}/*"]), spec.schema)
 

@@ -13,11 +13,13 @@ from pyspark.sql import functions as F
 from starloom.plans.build import Model, build_table, table_schema
 from starloom.plans.runner import Warehouse, apply_retention, batch_summary, load_calendar, run_batch, run_micro_batch
 from starloom.plans.support_tickets import MODEL
+from starloom.queries import load_queries
 from starloom.sources.files import counted, list_files, logical_file, match_sources, read_source, scan, tables_with_files
 from starloom.sources.tables import SnapshotTable, StaleSnapshot
 from starloom.specs import SourceSpec, columns
 from starloom.streaming.micro_batch import Arrivals, fact_files, start_stream
 
+SF_DIR = "/root/testdata/sf0.001"
 STAMP = "2024-01-01 08:00:00"
 
 
@@ -532,6 +534,17 @@ def test_new_checkpoint_adds(warehouse, rows):
     assert run("c4", archive_dir=archive) == [("t1",), ("t2",), ("t3",), ("t4",)]
 
 
+def test_json_arrays_are_bounded(spark, tmp_path, rows, monkeypatch):
+    events = spark.read.parquet(f"{SF_DIR}/events.parquet").limit(100).withColumn("ts", F.expr("timestamp_ntz '2024-01-05 01:02:03'"))
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    events = spark.read.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(load_queries, "ARRAY_ROWS", 16, raising=False)
+    monkeypatch.setattr(load_queries, "scratch_path", lambda spark, name: str(tmp_path / name))
+    assert rows(load_queries.json_array_roundtrip(spark, str(tmp_path)), *events.columns) == rows(events)
+    arrays = [json.loads(f.read_text()) for f in tmp_path.glob("json-arrays/dt=2024-01-05/part-*")]
+    assert sum(map(len, arrays)) == 100 and max(map(len, arrays)) <= 16
+
+
 def test_malformed_records_are_kept_as_text(spark, tmp_path, rows):
     wh = Warehouse(spark, str(tmp_path / "wh"), MODEL)
     folder = tmp_path / "b"
