@@ -459,5 +459,14 @@ def apply_retention(wh: Warehouse, now: Column) -> None:
 
 def batch_summary(wh: Warehouse, batch_id: str) -> DataFrame:
     """Totals and rates of one run: what its files held, what became of the rows of its tables, and how long it took."""
-    mine = wh.run_log.read_batches().filter(F.col(BATCH_ID) == batch_id)
-    return with_rates(batch_totals(mine)).withColumn("orphan_rate", percent(F.col("orphan_count"), F.col("table_records")))
+    return _summary(wh.run_log.read_batches().filter(F.col(BATCH_ID) == batch_id))
+
+
+def stream_summary(wh: Warehouse, name: str) -> DataFrame:
+    """The same over all triggers of the streams of one name; the latency is that of the slowest trigger."""
+    stream = F.regexp_replace(BATCH_ID, r"-[0-9a-f-]{36}-\d{10,}$", "")
+    return _summary(wh.run_log.read_batches().filter((stream == name) & (stream != F.col(BATCH_ID))), by=())
+
+
+def _summary(log: DataFrame, by: Sequence[str] = (BATCH_ID,)) -> DataFrame:
+    return with_rates(batch_totals(log, by)).withColumn("orphan_rate", percent(F.col("orphan_count"), F.col("table_records")))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from starloom.operators.validation import to_model
 from starloom.plans.build import Model, build_table, prepare_source
-from starloom.plans.runner import Warehouse, batch_summary, run_batch
+from starloom.plans.runner import Warehouse, run_batch, stream_summary
 from starloom.queries.registry import query
 from starloom.queries.roles import FACT_SQL, table
 from starloom.session import scratch_path
@@ -371,6 +371,5 @@ def batch_summary_query(spark, sf):
     hours = f"{wh.root}-raw/stream"
     _write_folders(table(spark, sf, "events"), hours)
     _stream(spark, wh, hours, "first")
-    batches = wh.run_log.read_batches().select("batch_id").distinct().filter(F.col("batch_id").startswith("first"))
-    summary = batch_summary(wh, batches.first()[0])
+    summary = stream_summary(wh, "first")
     return summary.select("total_records", "table_records", "passed_count", "orphan_count", "orphan_rate")

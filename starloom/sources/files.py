@@ -43,6 +43,11 @@ def logical_file_of(path: Column) -> Column:
     return F.when(parts != "", parts).otherwise(F.regexp_extract(path, BASENAME, 1))
 
 
+def parts_folder(path: Column) -> Column:
+    """The directory of a file written in parts, null for other files."""
+    return F.when(path.rlike(IN_PARTS), F.regexp_extract(path, r"^(.*)/[^/]*$", 1))
+
+
 def date_of(path: Column) -> Column:
     return F.nullif(F.regexp_extract(path, DATE_DIR, 1), F.lit(""))
 
@@ -56,8 +61,8 @@ def date_hour_from_path(df: DataFrame, path: str = SOURCE_FILE) -> DataFrame:
     return df.withColumns({"file_date": date_of(F.col(path)), "file_hour": hour_of(F.col(path))})
 
 
-def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """Paths below a directory; the file contents are not read."""
+def list_files(spark: SparkSession, root: str | list[str]) -> DataFrame:
+    """Paths below a directory, or several; the file contents are not read."""
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path")
 
 

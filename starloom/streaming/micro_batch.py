@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from starloom.plans.build import sources_of
 from starloom.plans.runner import RunReport, Warehouse, run_micro_batch
-from starloom.sources.files import date_of, hour_of, logical_file_of
+from starloom.sources.files import date_of, hour_of, list_files, logical_file_of, parts_folder
 from starloom.sources.tables import BATCH_ID, SnapshotTable
 from starloom.specs import FACT, columns
 
@@ -47,9 +47,19 @@ class Arrivals:
         self.loaded = SnapshotTable(spark, f"{root}/LoadedFolders", LOADED_SCHEMA)
         self.late = SnapshotTable(spark, f"{root}/LateFiles", ARRIVED_SCHEMA)
 
+    def _with_all_parts(self, batch: DataFrame) -> DataFrame:
+        """The paths of the trigger; of a file in parts also those that wait for a later trigger, so that it is loaded whole."""
+        paths = batch.select("path")
+        # directories only, bounded by the files per trigger
+        folders = [r[0] for r in paths.select(parts_folder(F.col("path"))).distinct().collect() if r[0] is not None]
+        if not folders:
+            return paths
+        listed = list_files(batch.sparkSession, folders)
+        return paths.union(listed.filter(parts_folder(F.col("path")).isNotNull())).distinct()
+
     def record(self, batch: DataFrame, batch_id: str) -> None:
         path = F.col("path")
-        found = batch.select(
+        found = self._with_all_parts(batch).select(
             date_of(path).alias("file_date"),
             hour_of(path).alias("file_hour"),
             logical_file_of(path).alias("file_name"),

@@ -534,6 +534,28 @@ def test_new_checkpoint_adds(warehouse, rows):
     assert run("c4", archive_dir=archive) == [("t1",), ("t2",), ("t3",), ("t4",)]
 
 
+def test_summary_of_several_triggers(spark, monkeypatch):
+    """More files than a trigger takes, and a file whose parts come in two triggers."""
+    seen = []
+
+    def folders(events, root):
+        for i, parts in enumerate((3, 1, 1)):
+            hour = events.filter(F.col("event_id") % 3 == i).repartition(parts, "event_id")
+            hour.write.option("timestampNTZFormat", load_queries.TIMESTAMP).json(f"{root}/dt=2024-01-01/hr=0{i}/file=events.json")
+
+    def start(wh, *args, **options):
+        seen.append(wh)
+        return start_stream(wh, *args, max_files=2, **options)
+
+    monkeypatch.setattr(load_queries, "_write_folders", folders)
+    monkeypatch.setattr(load_queries, "start_stream", start)
+    got = load_queries.batch_summary_query(spark, SF_DIR).collect()
+    total = spark.read.parquet(f"{SF_DIR}/events.parquet").count()
+    loads = seen[0].run_log.read_batches().filter("stage = 'table'")
+    assert loads.filter("batch_id like 'first-%'").select("batch_id").distinct().count() > 1
+    assert [(r.total_records, r.table_records, r.passed_count + r.orphan_count) for r in got] == [(total, total, total)]
+
+
 def test_json_arrays_are_bounded(spark, tmp_path, rows, monkeypatch):
     events = spark.read.parquet(f"{SF_DIR}/events.parquet").limit(100).withColumn("ts", F.expr("timestamp_ntz '2024-01-05 01:02:03'"))
     events.write.parquet(str(tmp_path / "events.parquet"))
