@@ -1,4 +1,4 @@
-"""The ten operators as queries over their whole tables, and the pipeline."""
+"""The operators as queries over their whole tables."""
 
 from __future__ import annotations
 
@@ -13,6 +13,7 @@ from starloom.llm.piece_viterbi import round_trip
 from starloom.llm.quality_ledger import BASE_RULES, DEFAULT, RULES, mask, verdicts
 from starloom.llm.runtime import prepare, table
 from starloom.llm.secret_scan import listed, scan
+from starloom.llm.subspace_join import near_vectors
 from starloom.llm.substring_dedup import remove_repeats
 from starloom.llm.toxicity import toxicity
 from starloom.session import scratch_path
@@ -130,3 +131,9 @@ def op9(spark, sf_dir):
     """Secrets in each text."""
     found = scan(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", listed().alias("spans"), "n_markov")
+
+
+@query("op11_subspace_join")
+def op11(spark, sf_dir):
+    """Links and components of vectors at a cosine of 0.9."""
+    return near_vectors(table(spark, sf_dir, "embeddings"))
