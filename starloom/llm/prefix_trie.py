@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.runtime import map_runs, runs, stage
+from starloom.llm.runtime import map_runs, stage
 
 #: Distinct sequences, and bytes of them, that a container may hold.
 CONTAINER = 2048
@@ -61,8 +61,8 @@ def shared_openings(lists: DataFrame, every: int = 100, most: int = 6) -> DataFr
     base = F.col("conv_id") - F.col("conv_id") % every
     first = lists.filter(F.col("conv_id") % every == 0).select(F.col("conv_id").alias("base"), F.slice("turns", 1, most - 1).alias("opening"))
     joined = lists.withColumn("h", h).withColumn("base", base).join(first, "base", "left")
-    own = F.when(F.size("turns") > F.col("h"), F.slice("turns", F.col("h") + 1, F.greatest(F.size("turns") - F.col("h"), F.lit(0)))).otherwise(F.slice("turns", 1, 0))
-    opening = F.when(F.col("opening").isNull(), F.slice("turns", 1, 0)).otherwise(F.slice("opening", F.lit(1), F.col("h")))
+    own = F.slice("turns", F.col("h") + 1, F.size("turns"))
+    opening = F.coalesce(F.slice("opening", F.lit(1), F.col("h")), F.slice("turns", 1, 0))
     return joined.select("conv_id", F.concat(opening, own).alias("turns"))
 
 
@@ -142,63 +142,48 @@ def _common() -> Column:
     return differ[0]
 
 
-def _swept(least: int):
-    """All nodes of one container, and a last row (depth -1) that says what its head's parent needs to know."""
-
-    def sweep(_, group: pa.Table) -> dict:
-        group = group.sort_by([("seq", "ascending")])
-        seqs, sizes, counts, lows, ends = (group.column(c).to_pylist() for c in ("seq", "sizes", "n", "low", "ends"))
-        top, above = group.column("depth")[0].as_py(), group.column("parent_low")[0].as_py()
-        out: list[list] = []
-        # open nodes of the path: depth, size of the last text, members, smallest, children, leaves, saved, ends, own rows
-        stack: list[list] = []
-        rows_of: list[list[int]] = []
-
-        def close() -> None:
-            depth, size, n, low, children, leaves, saved, digest = stack.pop()
-            waiting = rows_of.pop()
-            leaves = leaves if children else 1
-            saved += (n - 1) * size
-            here = len(out)
-            out.append([low, depth, above, n, children, leaves, saved, digest])
-            for r in waiting:
-                out[r][2] = low
-            if stack:
-                up = stack[-1]
-                up[2] += n
-                up[3] = low if up[3] is None else min(up[3], low)
-                up[4] += 1
-                up[5] += leaves
-                up[6] += saved
-                rows_of[-1].append(here)
-
-        last = None
-        for seq, size, n, low, digest in zip(seqs, sizes, counts, lows, ends, strict=True):
-            depth = len(seq) // ID_BYTES
-            if last is None:
-                shared = top - 1
-            else:
-                a, b = np.frombuffer(last, np.uint8), np.frombuffer(seq, np.uint8)
-                m = min(len(a), len(b))
-                differ = np.flatnonzero(a[:m] != b[:m])
-                shared = (int(differ[0]) if len(differ) else m) // ID_BYTES
-            while stack and stack[-1][0] > shared:
-                close()
-            for d in range(shared + 1, depth + 1):
-                stack.append([d, size[d - 1] if d else 0, 0, None, 0, 0, 0, NO_ENDS])
-                rows_of.append([])
-            own = stack[-1]  # sequences are distinct and sorted, so this one's end is a new node
-            own[2] += n
-            own[3] = low if own[3] is None else min(own[3], low)
-            own[7] = digest
-            last = seq
-        while stack:
+def _sweep(_, group: pa.Table) -> dict:
+    """All nodes of one container, in one pass over its sorted sequences; ``top`` marks the highest."""
+    group = group.sort_by([("seq", "ascending")])
+    seqs, sizes, counts, lows, ends = (group.column(c).to_pylist() for c in ("seq", "sizes", "n", "low", "ends"))
+    top, above, up = (group.column(c)[0].as_py() for c in ("depth", "parent_low", "up"))
+    out: list[list] = []
+    # nodes of the path that is open: [depth, size of the last text, members, smallest, children, leaves, saved, ends, rows of the children]
+    path: list[list] = []
+
+    def close() -> None:
+        depth, size, n, low, children, leaves, saved, digest, below = path.pop()
+        leaves, saved = leaves if children else 1, saved + (n - 1) * size
+        for r in below:
+            out[r][2] = low
+        if path:
+            over = path[-1]
+            over[2:7] = over[2] + n, min(over[3], low), over[4] + 1, over[5] + leaves, over[6] + saved
+            over[8].append(len(out))
+        out.append([low, depth, above, n, children, leaves, saved, digest])
+
+    last = None
+    for seq, size, n, low, digest in zip(seqs, sizes, counts, lows, ends, strict=True):
+        shared = top - 1 if last is None else _shared(last, seq)
+        while path and path[-1][0] > shared:
             close()
-        names = [c.split()[0] for c in NODE.split(", ")]
-        made = {c: pa.array([r[k] for r in out], pa.string() if c == "ends_sha256" else pa.int64()) for k, c in enumerate(names)}
-        return made | {"up": pa.array([group.column("up")[0].as_py()] * len(out), pa.binary()), "top": pa.array([r[1] == top for r in out])}
+        # sequences are distinct and sorted, so the last of these is where this one ends
+        path.extend([d, size[d - 1] if d else 0, 0, low, 0, 0, 0, NO_ENDS, []] for d in range(shared + 1, len(seq) // ID_BYTES + 1))
+        own = path[-1]
+        own[2:4], own[7] = (own[2] + n, min(own[3], low)), digest
+        last = seq
+    while path:
+        close()
+    names = [c.split()[0] for c in NODE.split(", ")]
+    made = {c: pa.array([r[k] for r in out], pa.string() if c == "ends_sha256" else pa.int64()) for k, c in enumerate(names)}
+    return made | {"up": pa.array([up] * len(out), pa.binary()), "top": pa.array([r[1] == top for r in out])}
 
-    return sweep
+
+def _shared(one: bytes, other: bytes) -> int:
+    """Turns that two sequences begin with alike."""
+    n = min(len(one), len(other))
+    differ = np.flatnonzero(np.frombuffer(one, np.uint8, n) != np.frombuffer(other, np.uint8, n))
+    return (int(differ[0]) if len(differ) else n) // ID_BYTES
 
 
 def trie_nodes(lists: DataFrame, container: int = CONTAINER, container_bytes: int = CONTAINER_BYTES) -> DataFrame:
@@ -221,17 +206,16 @@ def trie_nodes(lists: DataFrame, container: int = CONTAINER, container_bytes: in
         met = stage(rows.join(marks, "head", "left"), f"trie-rows-{len(bursts)}")
         settled.append(met.filter("until is null").select(rows.columns))
         ended = met.filter(F.length("seq") == F.col("until") * ID_BYTES).select("head", "ends")
-        bursts.append(over.drop("seq").join(over.select("head", F.col("seq").alias("some")), "head").join(ended, "head", "left"))
+        sample = met.filter("until is not null").groupBy("head").agg(F.first("sizes").alias("sizes"))
+        bursts.append(stage(over.drop("seq").join(sample, "head").join(ended, "head", "left"), f"trie-heads-{len(bursts)}"))
         # what is left is dealt by one more turn
         deeper = met.filter(F.length("seq") > F.col("until") * ID_BYTES)
         rows = deeper.select("seq", "sizes", "n", "low", "ends", _path(F.col("until") + 1).alias("head"), (F.col("until") + 1).alias("depth"), F.col("chain").alias("up"), F.col("new_low").alias("parent_low"))
-        some = met.filter("until is not null").groupBy("head").agg(F.first("sizes").alias("sizes"))
-        bursts[-1] = stage(bursts[-1].join(some, "head"), f"trie-heads-{len(bursts)}")
 
     held = settled[0]
     for part in settled[1:]:
         held = held.unionByName(part)
-    nodes = stage(map_runs(held, ("head",), _swept(0), f"{NODE}, up binary, top boolean"), "trie-nodes")
+    nodes = stage(map_runs(held, ("head",), _sweep, f"{NODE}, up binary, top boolean"), "trie-nodes")
     columns = [c.split()[0] for c in NODE.split(", ")]
     result = nodes.select(columns)
     # tops of containers, and then of bursts, count at the burst above them

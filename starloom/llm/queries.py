@@ -10,6 +10,7 @@ from starloom.llm.ngram_jaccard import jaccard_links
 from starloom.llm.orc_tokens import checksums, read_tokens, write_tokens
 from starloom.llm.packing import pieces
 from starloom.llm.piece_viterbi import round_trip
+from starloom.llm.prefix_trie import shared_openings, trie_nodes, turn_lists
 from starloom.llm.quality_ledger import BASE_RULES, DEFAULT, RULES, mask, verdicts
 from starloom.llm.runtime import prepare, table
 from starloom.llm.secret_scan import listed, scan
@@ -137,3 +138,38 @@ def op9(spark, sf_dir):
 def op11(spark, sf_dir):
     """Links and components of vectors at a cosine of 0.9."""
     return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+# crc32 as a fold over bytes; the table of 256 entries comes from its rule
+_CRC_SQL = """crc AS (SELECT list_transform(range(256), lambda v: list_reduce(list_concat([v], range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t)"""
+
+
+def _crc32_sql(text: str) -> str:
+    """crc32 of the UTF-8 bytes of an SQL text, where ``t`` is the table."""
+    digits = f"hex(encode({text}))"
+    values = f"list_transform(range(length({digits}) // 2), lambda k: ('0x' || substr({digits}, 2 * k + 1, 2))::BIGINT)"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {values}), lambda c, b: xor(t[xor(c, b) % 256 + 1], c >> 8)), 4294967295)"
+
+
+ORACLES["op12_prefix_trie"] = f"""WITH {_CRC_SQL},
+  own AS (SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn NULLS FIRST) AS turns FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+  h AS (SELECT conv_id, turns, ({_crc32_sql("conv_id::VARCHAR")} % 6)::INT AS h FROM own, crc),
+  made AS (SELECT c.conv_id, list_concat(coalesce(list_slice(b.turns, 1, c.h), []), list_slice(c.turns, c.h + 1, len(c.turns))) AS turns
+           FROM h c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 100),
+  paths AS (SELECT conv_id, len(turns) AS n, unnest(range(len(turns) + 1)) AS depth, turns FROM made),
+  nodes AS (SELECT list_slice(turns, 1, depth) AS path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+              sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE n = depth), '')) AS ends_sha256 FROM paths GROUP BY ALL),
+  sized AS (SELECT *, CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * length(path[depth].text) END AS own_saved,
+              list_slice(path, 1, depth - 1) AS above FROM nodes),
+  children AS (SELECT above AS path, count(*) AS n_children FROM sized WHERE depth > 0 GROUP BY ALL),
+  counted AS (SELECT s.*, coalesce(c.n_children, 0) AS n_children FROM sized s LEFT JOIN children c USING (path)),
+  ups AS (SELECT list_slice(path, 1, unnest(range(depth + 1))) AS path, (n_children = 0)::INT AS leaf, own_saved FROM counted),
+  sums AS (SELECT path, sum(leaf) AS n_leaves, sum(own_saved) AS saved_tokens FROM ups GROUP BY path)
+SELECT c.conv_id, c.depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children, s.n_leaves::BIGINT AS n_leaves, s.saved_tokens::BIGINT AS saved_tokens, c.ends_sha256
+FROM counted c JOIN sums s USING (path) LEFT JOIN nodes p ON p.path = c.above AND c.depth > 0"""
+
+
+@query("op12_prefix_trie")
+def op12(spark, sf_dir):
+    """Nodes of the trie of conversations that share the opening of their hundred."""
+    return trie_nodes(shared_openings(turn_lists(table(spark, sf_dir, "conversations"))))
