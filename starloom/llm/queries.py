@@ -17,6 +17,7 @@ from starloom.llm.secret_scan import listed, scan
 from starloom.llm.subspace_join import near_vectors
 from starloom.llm.substring_dedup import remove_repeats
 from starloom.llm.toxicity import toxicity
+from starloom.llm.variant_trie import corpus_words, spelling_variants
 from starloom.session import scratch_path
 
 QUERIES = {}
@@ -173,3 +174,28 @@ FROM counted c JOIN sums s USING (path) LEFT JOIN nodes p ON p.path = c.above AN
 def op12(spark, sf_dir):
     """Nodes of the trie of conversations that share the opening of their hundred."""
     return trie_nodes(shared_openings(turn_lists(table(spark, sf_dir, "conversations"))))
+
+
+ORACLES["op13_spelling_variants"] = f"""WITH {_CRC_SQL},
+  runs AS (SELECT doc_id, run, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(
+             translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\\x{{C0}}-\\x{{FF}}]+')) AS run FROM documents)
+           WHERE length(run) >= 5 GROUP BY ALL),
+  hashed AS (SELECT run, n, {_crc32_sql("concat(doc_id, ':', run)")} AS h FROM runs, crc),
+  words AS (SELECT CASE WHEN h % 97 = 0 THEN concat(left(run, (h % length(run))::INT), substr(run, (h % length(run))::INT + 2)) ELSE run END AS word, n FROM hashed),
+  v AS (SELECT word, sum(n)::BIGINT AS n FROM words WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+  less AS (SELECT word, k, concat(left(word, k - 1), substr(word, k + 1)) AS rest FROM (SELECT word, unnest(range(1, length(word) + 1)) AS k FROM v)),
+  pairs AS (SELECT a.word AS a, b.word AS b FROM less a JOIN less b USING (k, rest) WHERE a.word <> b.word
+            UNION SELECT l.word, v.word FROM less l JOIN v ON v.word = l.rest UNION SELECT v.word, l.word FROM less l JOIN v ON v.word = l.rest),
+  best AS (SELECT a AS word, count(*) AS n_near, list(struct_pack(n := -n, w := b) ORDER BY -n, b)[1] AS top FROM pairs JOIN v ON v.word = b GROUP BY a),
+  forms AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN -top.n >= 2 * v.n THEN top.w END AS form, CASE WHEN -top.n >= 2 * v.n THEN -top.n END AS form_n
+            FROM v LEFT JOIN best USING (word))
+SELECT f.word, f.form, coalesce(r.root, f.word) AS root, f.n, f.n_near, f.form_n FROM forms f LEFT JOIN (
+  WITH RECURSIVE way AS (SELECT word, form AS root FROM forms WHERE form IS NOT NULL
+    UNION ALL SELECT way.word, forms.form FROM way JOIN forms ON forms.word = way.root WHERE forms.form IS NOT NULL)
+  SELECT way.word, way.root FROM way JOIN forms ON forms.word = way.root WHERE forms.form IS NULL) r USING (word)"""
+
+
+@query("op13_spelling_variants")
+def op13(spark, sf_dir):
+    """Words of the corpus with their more frequent spelling at one edit, and the last one of that way."""
+    return spelling_variants(corpus_words(table(spark, sf_dir, "documents")))
