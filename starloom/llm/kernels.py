@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from functools import cache
 
 import numpy as np
@@ -14,9 +15,12 @@ U64 = np.uint64
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
-#: Odd bases of the two polynomial hashes; with both, a key has 128 bits.
+#: Odd numbers: seeds of the hashes of words, and factors where hashes are combined.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
+#: Bytes beyond which a word is hashed by BLAKE2 and compared as a whole.
+LONG = 64
+
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a text column and the offset of each row in them; a null text is empty."""
@@ -82,7 +86,10 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class Spans:
-    """Hash of any byte range of a buffer in constant time."""
+    """Hash of any byte range of a buffer in constant time, for features of models.
+
+    It is linear in the bytes: periodic ranges of some hundred bytes may collide.  ``span_hashes`` names things.
+    """
 
     def __init__(self, body: np.ndarray, base: int = BASES[0]):
         up, self.down = _powers(base, len(body))
@@ -93,8 +100,70 @@ class Spans:
         return mix((self.sums[ends] - self.sums[starts]) * self.down[starts])
 
 
+#: Keeps so many low bytes of eight.
+_KEEP = np.array([(1 << 8 * n) - 1 for n in range(8)] + [0xFFFFFFFFFFFFFFFF], U64)
+
+
+def _eights(body: np.ndarray) -> np.ndarray:
+    """The eight bytes that begin at each place, zeros behind the end."""
+    padded = np.zeros(len(body) + 8, np.uint8)
+    padded[: len(body)] = body
+    return np.ndarray((len(body) + 1,), "<u8", padded, strides=(1,))
+
+
+def span_hashes(body: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = BASES[0]) -> np.ndarray:
+    """Hash of each byte range: eight bytes at a time are mixed into a state that is not linear in them."""
+    size = ends - starts
+    eights = _eights(body)
+    state = mix(size.astype(U64) * U64(seed) + U64(seed >> 7))
+    state = mix(state ^ (eights[starts] & _KEEP[np.minimum(size, 8)]))
+    live, done = np.flatnonzero((size > 8) & (size <= LONG)), 8
+    while len(live):
+        block = eights[starts[live] + done] & _KEEP[np.minimum(size[live] - done, 8)]
+        state[live] = mix(state[live] * U64(BASES[1]) ^ block)
+        done += 8
+        live = live[size[live] > done]
+    for i in np.flatnonzero(size > LONG).tolist():
+        digest = hashlib.blake2b(body[starts[i] : ends[i]], digest_size=8, key=seed.to_bytes(8, "little")).digest()
+        state[i] = int.from_bytes(digest, "little")
+    return state
+
+
+def spans_equal(body: np.ndarray, starts: np.ndarray, ends: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Whether each byte range has the bytes of the range with the index ``other``."""
+    size = ends - starts
+    same = size == size[other]
+    eights = _eights(body)
+    live, done = np.flatnonzero(same & (size <= LONG) & (other != np.arange(len(size)))), 0
+    while len(live):
+        gap = (eights[starts[live] + done] ^ eights[starts[other[live]] + done]) & _KEEP[np.minimum(size[live] - done, 8)]
+        same[live[gap != 0]] = False
+        done += 8
+        live = live[(gap == 0) & (size[live] > done)]
+    for i in np.flatnonzero(same & (size > LONG)).tolist():
+        same[i] = other[i] == i or bool((body[starts[i] : ends[i]] == body[starts[other[i]] : ends[other[i]]]).all())
+    return same
+
+
+def distinct_spans(body: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(index of the first range of each kind, kind of each range); kinds are told apart by bytes, not by hashes."""
+    _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+    odd = np.flatnonzero(~spans_equal(body, starts, ends, first[which]))
+    if len(odd):
+        kinds: dict[tuple, int] = {}
+        more = []
+        for i in odd.tolist():
+            key = int(hashes[i]), body[starts[i] : ends[i]].tobytes()
+            if key not in kinds:
+                kinds[key] = len(first) + len(more)
+                more.append(i)
+            which[i] = kinds[key]
+        first = np.concatenate([first, np.array(more, first.dtype)])
+    return first, which
+
+
 def word_hashes(body: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = BASES[0]) -> np.ndarray:
-    return Spans(body, base).of(starts, ends)
+    return span_hashes(body, starts, ends, base)
 
 
 def window_hashes(words: np.ndarray, k: int, base: int = BASES[0]) -> np.ndarray:
@@ -133,6 +202,28 @@ def shingle_rows(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
     return shingles(word_hashes(body, starts, ends), first, k)
 
 
+def exact_shingles(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """As shingle_rows(), with numbers in place of hashes: two shingles have one number only if their words are the same."""
+    body, offsets = text_bytes(column)
+    starts, ends, first = word_spans(body, offsets)
+    hashes = word_hashes(body, starts, ends)
+    kind = distinct_spans(body, starts, ends, hashes)[1]
+    values, at = shingles(hashes, first, k)
+    row = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    place = first[row] + np.arange(len(values)) - at[row]
+    size = np.minimum(np.diff(first), k)[row]
+    _, index, which = np.unique(values, return_index=True, return_inverse=True)
+    rep = index[which]
+    same = size == size[rep]
+    padded = np.concatenate([kind, np.full(k, -1, kind.dtype)])
+    for j in range(k):
+        same &= (padded[place + j] == padded[place[rep] + j]) | (j >= size)
+    known: dict[tuple, int] = {}
+    for i in np.flatnonzero(~same).tolist():
+        which[i] = known.setdefault(tuple(padded[place[i] : place[i] + size[i]].tolist()), len(index) + len(known))
+    return which, at
+
+
 @cache
 def permutations(n: int, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
     """n universal hash permutations x -> a * x + b of the 32-bit numbers (a odd)."""

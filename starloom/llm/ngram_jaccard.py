@@ -1,18 +1,18 @@
 """Similarity join of documents by the Jaccard index of their word n-grams, with Bayesian pruning of candidates.
 
 1. Each text becomes the set of its five-word shingles and a MinHash signature (``fingerprints.py`` has the same
-   permutations).  Documents with one set form a class, represented by the smallest doc_id.
+   permutations).  Documents with one set form a node of a number of its own, whatever their doc_ids are.
 2. Representatives that share one of 32 bands of 4 values are candidates (a pair of similarity 0.8 shares none with
    probability 5e-8).  Inside a bucket the low bytes of the signatures are compared 16 values at a time; a pair is
    dropped as soon as the posterior probability that its similarity reaches the threshold is below ``TOLERANCE``.
    Only the edges that connect the rest leave a task, not the pairs.
-3. Within each connected component of what is left, the shingle sets themselves are intersected: links are counted
-   exactly, and edges of verified links give the classes.
+3. Within each connected component of what is left, the shingles themselves are intersected, told apart by their words:
+   links are counted exactly, and edges of verified links give the classes.
 
 Buckets and components of any size are dealt with in pairs of blocks of bounded size, so a hot group is spread over
 tasks.  Defined cases: null texts and texts without words link to nothing, not even to each other; a text of one to
-four words is one shingle; rows that repeat count as documents of their own; rows without doc_id have no class and no
-links; extra columns are ignored.
+four words is one shingle; rows that repeat count as documents of their own, and so do different texts of one doc_id;
+rows without doc_id have no class and no links; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 
 from starloom.llm.components import components
 from starloom.llm.fingerprints import BAND_ROWS, PERMUTATIONS, SHINGLE_WORDS, THRESHOLD, band_keys
-from starloom.llm.kernels import minhash, shingle_rows, text_bytes
-from starloom.llm.runtime import map_runs, map_texts, stage
+from starloom.llm.kernels import exact_shingles, minhash, shingle_rows, text_bytes
+from starloom.llm.runtime import map_runs, map_texts, maybe_among, stage
 
 TOLERANCE = 1e-8
 #: Signature values that are compared before a pair is judged again.
@@ -136,42 +136,63 @@ def _block_pairs(size: Column, block: int, key: Column, own: bool) -> Column:
     return pairs if own else F.when(count == 1, pairs).otherwise(F.filter(pairs, lambda p: p.low < p.high))
 
 
-def jaccard_links(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, class_id (smallest doc_id of all that links connect), n_links (documents at or above the threshold)."""
+def _set_keys(values: np.ndarray, first: np.ndarray) -> tuple[list[np.ndarray], list[bytes]]:
+    """The shingle set of each row, and a key of it."""
+    sets = [np.unique(values[a:b]) for a, b in zip(first[:-1], first[1:], strict=True)]
+    return sets, [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
+
+
+def _rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """doc_id, text, text_key (tells the texts of one doc_id apart)."""
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), text_key(F.col(text)).alias("text_key"))
+
+
+def text_key(text: Column) -> Column:
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
+
+
+def classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, text_key, group (of those that links connect; null: in none), class_id, n_links of each row."""
     needed = needed_matches(threshold, tolerance)
-    docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    docs = _rows(docs, doc_id, text)
 
     def make():
         def signed(part):
             values, first = shingle_rows(part.column("text"), SHINGLE_WORDS)
-            sets = [np.unique(values[a:b]) for a, b in zip(first[:-1], first[1:], strict=True)]
+            sets, keys = _set_keys(values, first)
             flat = minhash(values, first, PERMUTATIONS).tobytes()
             width = 4 * PERMUTATIONS
             return {
                 "doc_id": part.column("doc_id"),
+                "text_key": part.column("text_key"),
                 "n": pa.array([len(s) for s in sets], pa.int32()),
-                "set_key": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets],
+                "set_key": keys,
                 "signature": [flat[i : i + width] for i in range(0, len(flat), width)],
             }
 
         return signed
 
-    rows = stage(map_texts(docs, make, "doc_id long, n int, set_key binary, signature binary"), "jaccard-rows")
+    rows = stage(map_texts(docs, make, "doc_id long, text_key binary, n int, set_key binary, signature binary"), "jaccard-rows")
     heads = rows.filter("n > 0 and doc_id is not null").groupBy("set_key")
-    heads = stage(heads.agg(F.min("doc_id").alias("head"), F.count("*").alias("copies"), F.first("signature").alias("signature")), "jaccard-heads")
+    heads = heads.agg(F.min("doc_id").alias("low"), F.count("*").alias("copies"), F.first("signature").alias("signature"))
+    heads = stage(heads.select(F.monotonically_increasing_id().alias("head"), "*"), "jaccard-heads")
 
     near = components(_candidate_edges(heads.select("head", "signature"), needed))
-    checked = _checked(docs, heads.select("head", "copies"), near, threshold)
+    checked = _checked(docs, heads.select("head", "set_key", "low", "copies"), near, threshold)
     links = checked.groupBy("head").agg(F.sum("links").alias("links"))
-    classes = components(checked.filter("head <> root").select("head", "root"), "head", "root")
+    groups = components(checked.filter("head <> root").select("head", "root"), "head", "root")
 
-    known = heads.select("set_key", "head", "copies")
-    known = known.join(links, "head", "left").join(classes.withColumnsRenamed({"node": "head", "component": "class_id"}), "head", "left")
-    return rows.join(known.withColumnRenamed("set_key", "k"), rows.set_key.eqNullSafe(F.col("k")) & F.col("doc_id").isNotNull(), "left").select(
-        "doc_id",
-        F.coalesce("class_id", "head", "doc_id").alias("class_id"),
-        (F.coalesce("links", F.lit(0)) + F.coalesce(F.col("copies") - 1, F.lit(0))).cast("long").alias("n_links"),
-    )
+    known = heads.select("set_key", "head", "low", "copies").join(links, "head", "left")
+    known = known.join(groups.withColumnsRenamed({"node": "head", "component": "group"}), "head", "left").withColumn("group", F.coalesce("group", "head"))
+    lowest = known.groupBy("group").agg(F.min("low").alias("class_id"))
+    known = known.join(lowest, "group").select(F.col("set_key").alias("k"), "group", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"))
+    joined = rows.drop("signature").join(known, (rows.set_key == F.col("k")) & F.col("doc_id").isNotNull(), "left")
+    return joined.select("doc_id", "text_key", "group", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"))
+
+
+def jaccard_links(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, class_id (smallest doc_id of all that links connect), n_links (documents at or above the threshold)."""
+    return classes(docs, threshold, tolerance, doc_id, text).select("doc_id", "class_id", "n_links")
 
 
 def _candidate_edges(heads: DataFrame, needed: dict[int, int]) -> DataFrame:
@@ -206,15 +227,23 @@ def _candidate_edges(heads: DataFrame, needed: dict[int, int]) -> DataFrame:
 def _checked(docs: DataFrame, heads: DataFrame, near: DataFrame, threshold: float) -> DataFrame:
     """head, links, root: links counted in one pair of blocks, and the smallest head that they lead to there."""
     sizes = near.groupBy("component").agg(F.count("*").alias("size"))
-    members = near.join(sizes, "component").join(heads, F.col("node") == F.col("head"))
-    texts = docs.join(members, F.col("doc_id") == F.col("head")).dropDuplicates(["head"])
+    members = near.join(sizes, "component").join(heads, F.col("node") == F.col("head")).drop("node")
+
+    def make():
+        return lambda part: {"doc_id": part.column("doc_id"), "text": part.column("text"), "set_key": _set_keys(*shingle_rows(part.column("text"), SHINGLE_WORDS))[1]}
+
+    # the texts of the smallest doc_ids; where one has several, its keys say which of them is meant
+    ids = stage(members.select(F.col("low").alias("doc_id")).distinct(), "jaccard-wanted")
+    wanted = maybe_among(docs.select("doc_id", "text"), "doc_id", ids).filter("_maybe").join(ids, "doc_id", "left_semi").drop("_maybe")
+    texts = map_texts(wanted, make, "doc_id long, text string, set_key binary").withColumnsRenamed({"doc_id": "low", "set_key": "k"})
+    texts = texts.join(members.withColumnRenamed("low", "l"), (F.col("k") == F.col("set_key")) & (F.col("low") == F.col("l"))).dropDuplicates(["head"])
     pairs = F.explode(_block_pairs(F.col("size"), SET_BLOCK, F.col("head"), own=True)).alias("p")
     count = F.ceil(F.col("size") / SET_BLOCK).cast("int")
     dealt = texts.select("component", "head", "copies", "text", F.pmod(F.xxhash64("head"), count).cast("int").alias("block"), pairs)
     dealt = dealt.select("component", "p.low", "p.high", "block", "head", "copies", "text")
 
     def check(key, group):
-        values, first = shingle_rows(group.column("text"), SHINGLE_WORDS)
+        values, first = exact_shingles(group.column("text"), SHINGLE_WORDS)
         sets = [np.unique(values[a:b]) for a, b in zip(first[:-1], first[1:], strict=True)]
         heads, copies, block = (group.column(c).to_numpy() for c in ("head", "copies", "block"))
         linked = exact_links(sets, threshold) if len(sets) > 1 else np.zeros((1, 1), bool)
@@ -235,11 +264,20 @@ def _checked(docs: DataFrame, heads: DataFrame, near: DataFrame, threshold: floa
 def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` without those that links connect to a smaller doc_id; rows that repeat stay once.
 
-    Rows without doc_id, and texts without words, stay.
+    Of several texts of one doc_id, one of each class stays.  Rows without doc_id, and texts without words, stay.
     """
-    links = stage(jaccard_links(docs, threshold), "jaccard-classes")
-    heads = links.filter("doc_id = class_id").groupBy("doc_id").agg(F.count("*").alias("_rows"), F.max("n_links").alias("_links"))
-    kept = docs.join(heads, "doc_id")
-    again = F.expr("_rows > 1 and _links > 0")
-    columns = docs.columns
-    return kept.filter(~again).select(columns).union(kept.filter(again).dropDuplicates(["doc_id"]).select(columns)).union(docs.filter("doc_id is null"))
+    found = stage(classes(docs, threshold).filter("group is not null"), "jaccard-classes")
+    texts = found.groupBy("group", "doc_id", "text_key").agg(F.count("*").alias("_rows"))
+    best = texts.groupBy("group").agg(F.min(F.struct("doc_id", "text_key")).alias("_best"))
+    same = F.struct("doc_id", "text_key") == F.col("_best")
+    # only what goes, and what stays once of several rows, meets the documents
+    marked = texts.join(best, "group").filter(~same | (F.col("_rows") > 1)).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), same.alias("_stays"))
+    marked = stage(marked, "jaccard-marked")
+    on = lambda d: (F.col("_doc") == d["_id"]) & (text_key(F.col("text")) == d["_key"])
+    rows = maybe_among(docs.withColumn("_doc", F.col("doc_id").cast("long")), "_doc", marked.select("_id"))
+    kept = rows.filter("not _maybe").select(docs.columns).union(rows.filter("_maybe").join(marked, on(marked), "left_anti").select(docs.columns))
+    again = marked.filter("_stays")
+    if again.isEmpty():
+        return kept
+    once = rows.filter("_maybe").join(again, on(again)).dropDuplicates(["_id", "_key"]).select(docs.columns)
+    return kept.union(once)

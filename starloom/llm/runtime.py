@@ -126,3 +126,23 @@ def map_runs(df: DataFrame, keys: tuple[str, ...], f: Callable, schema: str) ->
 def scratch_partitions(spark: SparkSession) -> int:
     """Tasks that a shuffle of this session has at least."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+#: Bits of the filter of ``maybe_among``: 8 MB, whatever the number of keys.
+FILTER_BITS = 1 << 26
+
+
+def maybe_among(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """``df`` with ``_maybe``: false only where the value of ``key`` is surely not among ``keys`` (one column).
+
+    A bitmap of fixed size is sent to all tasks, so that rows that a join would drop, or keep as they are, need not be
+    shuffled.  With more keys than bits it says maybe everywhere, and the join after it has all rows again.
+    """
+    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS)) + 1
+    own = keys.select(bit(F.col(keys.columns[0])).alias("_bit"))
+    maps = own.groupBy(F.bitmap_bucket_number("_bit").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_bit")).alias("_bits"))
+    place = F.bitmap_bit_position(bit(F.col(key)))
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.call_function("shiftright", byte, (place % 8).cast("int")).bitwiseAND(F.lit(1)) == 1
+    marked = df.join(F.broadcast(maps), F.bitmap_bucket_number(bit(F.col(key))) == F.col("_bucket"), "left")
+    return marked.select(*df.columns, F.coalesce(hit, F.lit(False)).alias("_maybe"))

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.llm.kernels import BASES, U64, Spans, mix, text_bytes, window_hashes, word_spans
+from starloom.llm.kernels import BASES, U64, mix, text_bytes, window_hashes, word_hashes, word_spans
 from starloom.llm.runtime import chunks, map_runs, scratch_partitions, stage
 
 WINDOW = 13
@@ -55,7 +55,7 @@ class Page:
         self.offsets = np.frombuffer(offsets, np.int64)
         self.body = np.frombuffer(zstandard.decompress(blob, max_output_size=max(1, int(self.offsets[-1]))) if self.offsets[-1] else b"", np.uint8)
         self.starts, self.ends, self.first = word_spans(self.body, self.offsets)
-        self.words = Spans(self.body, BASES[0]).of(self.starts, self.ends)
+        self.words = word_hashes(self.body, self.starts, self.ends)
         self.row = np.repeat(np.arange(len(self.ids)), np.diff(self.first))
 
     def windows(self, size: int) -> np.ndarray:
@@ -206,7 +206,7 @@ def _verify(page: Page, size: int, rounds: int, answers: list[dict] | None, coun
     shared = _bits(answers, *_by_part(names, _short(names), count))
     at = at[shared[which]]
     key = window_hashes(page.words, size)[at]
-    other = window_hashes(Spans(page.body, BASES[1]).of(page.starts, page.ends), size, BASES[1])[at]
+    other = window_hashes(word_hashes(page.body, page.starts, page.ends, BASES[1]), size, BASES[1])[at]
     order = np.lexsort((other, key))
     new = np.ones(len(at), bool)
     new[1:] = (key[order][1:] != key[order][:-1]) | (other[order][1:] != other[order][:-1])

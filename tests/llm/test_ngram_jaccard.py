@@ -8,7 +8,13 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from starloom.llm.fingerprints import PERMUTATIONS
-from starloom.llm.ngram_jaccard import candidate_forest, exact_links, jaccard_links, needed_matches
+from starloom.llm.ngram_jaccard import candidate_forest, exact_links, jaccard_links, needed_matches, one_of_each
+
+
+def thue_morse(n):
+    """A word of n letters over two symbols, and its complement."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
 
 
 def shingle_set(text):
@@ -59,6 +65,28 @@ def test_null_ids(llm):
     assert sorted(map(tuple, jaccard_links(docs).collect()), key=repr) == [(4, 4, 0), (None, None, 0), (None, None, 0)]
 
 
+def test_texts_of_one_id(llm):
+    """Two texts of one doc_id are two documents; links of neither are lost."""
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    rows = [(1, a), (1, b), (2, a.replace("a59", "x")), (3, b.replace("b59", "x")), (4, b), (4, b), (5, "other words here"), (5, "other words here")]
+    for n in (1, 3):
+        docs = llm.createDataFrame(rows, "doc_id long, text string").repartition(n)
+        assert found(jaccard_links(docs)) == brute(rows)
+        assert sorted(map(tuple, one_of_each(docs).collect())) == [(1, a), (1, b), (5, "other words here")]
+
+
+def test_periodic_words(llm):
+    """Long words that a hash linear in the bytes cannot tell apart are different words."""
+    rows = []
+    for n in (512, 1024, 4096):
+        one, other = thue_morse(n)
+        common = " ".join(f"w{i}" for i in range(4))
+        rows += [(2 * n, f"{common} {one} {common}"), (2 * n + 1, f"{common} {other} {common}")]
+    docs = llm.createDataFrame(rows, "doc_id long, text string")
+    assert found(jaccard_links(docs, 0.2)) == brute(rows, 0.2)
+    assert found(jaccard_links(docs)) == brute(rows)
+
+
 def test_pruning_keeps_what_may_link():
     needed = needed_matches()
     assert list(needed) == list(range(16, PERMUTATIONS + 1, 16))

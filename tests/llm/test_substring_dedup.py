@@ -76,3 +76,16 @@ def test_word_spans():
     starts, ends, first = word_spans(body, offsets)
     assert [bytes(body[a:b]) for a, b in zip(starts, ends, strict=True)] == [b"a", b"b", b"c", b"d", b"e"]
     assert first.tolist() == [0, 2, 2, 2, 3, 4, 5]
+
+
+def test_periodic_words(llm):
+    """Passages that differ in one long periodic word are different passages."""
+    rows = []
+    for n in (512, 1024, 2048, 4096):
+        bits = [bin(i).count("1") % 2 for i in range(n)]
+        one, other = ("".join(s[b] for b in bits) for s in ("ab", "ba"))
+        common = [f"w{i}" for i in range(6)]
+        rows += [(2 * n, " ".join([*common, one, *common])), (2 * n + 1, " ".join([*common, other, *common])), (9000 + n, " ".join([*common, one, *common]))]
+    docs = llm.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(map(tuple, remove_repeats(docs).collect()))
+    assert got == brute(rows) and [r[2] for r in got] == [0] * 8 + [13] * 4
