@@ -21,6 +21,7 @@ import hashlib
 import re
 import zlib
 from functools import cache
+from os.path import commonprefix
 
 import numpy as np
 import public_tokenizers
@@ -35,6 +36,8 @@ MARK = "▁"
 #: Words and pairs of pieces that a Python worker keeps; beyond that it starts anew.
 TABLE_ENTRIES = 600_000
 PAIR_ENTRIES = 500_000
+#: Names of pieces lie below this, and above its negative.
+_NAMES = 1 << 21
 _WORD = re.compile(f"{MARK}+[^{MARK}]*")
 
 
@@ -52,14 +55,17 @@ class Pieces:
         self.scores = [model.get_score(i) for i in ids]
         self.ids = {self.texts[i]: i for i in ids if i not in special}
         self.byte_ids = [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
-        self.longest = max(map(len, self.ids))
+        # pieces, and ends of pieces (-1): looking back from a place stops where no piece can end any more
+        self.ends = {x[k:]: -1 for x in self.ids for k in range(1, len(x))} | self.ids
         self.unknown = min(self.scores[i] for i in self.ids.values()) - 10
         self.surface = [x.encode() for x in self.texts]
         for i in special:
             self.surface[i] = b""
         for b, i in enumerate(self.byte_ids):
             self.surface[i] = bytes([b])
-        self.agree: dict[tuple[str, str], bool] = {}
+        # ids as bytes, and the names of pieces while a word is cut: their ids, or less than -1 for a character without one
+        self.raw = [i.to_bytes(4, "little") for i in ids]
+        self.agree: dict[int, bool] = {}
         self.table: dict[str, bytes] = {}
 
     def merged(self, text: str) -> list[str]:
@@ -72,52 +78,51 @@ class Pieces:
             i = -max(ranked)[1]
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
 
-    def open(self, before: str, piece: str) -> bool:
-        """Whether ``piece`` may follow ``before`` (empty: the start of a word)."""
-        key = before, piece
-        if key not in self.agree:
-            if len(self.agree) > PAIR_ENTRIES:
-                self.agree.clear()
-            self.agree[key] = self.merged(before + piece) == ([before, piece] if before else [piece])
-        return self.agree[key]
-
-    def step(self, word: str, states: list[tuple[float, int]]) -> tuple[float, int]:
-        """State after one more character: score, and where the last piece starts; ``states`` has those before."""
+    def _text(self, name: int) -> str:
+        return self.texts[name] if name >= 0 else "" if name == -1 else chr(-2 - name)
+
+    def open(self, before: int, piece: int) -> bool:
+        """Whether ``piece`` may follow ``before`` (-1: the start of a word); kept in ``agree``."""
+        if len(self.agree) > PAIR_ENTRIES:
+            self.agree.clear()
+        a, b = self._text(before), self._text(piece)
+        known = self.agree[(before + _NAMES) * 2 * _NAMES + piece + _NAMES] = self.merged(a + b) == ([a, b] if a else [b])
+        return known
+
+    def step(self, word: str, states: list[tuple[float, int, bytes]]) -> tuple[float, int, bytes]:
+        """State after one more character: score, name of the last piece, all ids; ``states`` has those before."""
         end = len(states)
         best = None
-        for start in range(max(0, end - self.longest), end):
-            piece = word[start:end]
-            known = self.ids.get(piece)
-            if known is None and end - start > 1:
-                continue
-            score = states[start][0]
-            if self.unigram:
-                score += self.unknown if known is None else self.scores[known]
-            elif not self.open(word[states[start][1] : start], piece):
+        for start in range(end - 1, -1, -1):
+            name = self.ends.get(word[start:end])
+            if name is None or name < 0:
+                if start < end - 1:
+                    if name is None:
+                        break
+                    continue
+                name = -2 - ord(word[start])
+            score, before, ids = states[start]
+            if not self.unigram:
+                known = self.agree.get((before + _NAMES) * 2 * _NAMES + name + _NAMES)
+                if known or (known is None and self.open(before, name)):
+                    best = score, name, ids
+                    break  # the merges make one cut
                 continue
-            if best is None or score > best[0]:
-                best = score, start
-        return best
+            score += self.unknown if name < 0 else self.scores[name]
+            if best is None or score >= best[0]:
+                best = score, name, ids
+        score, name, ids = best
+        return score, name, ids + (self.raw[name] if name >= 0 else b"".join([self.raw[self.byte_ids[b]] for b in chr(-2 - name).encode()]))
 
     def learn(self, words: list[str]) -> None:
         """Add sorted words to the table."""
-        states, last = [(0.0, 0)], ""
+        states, last = [(0.0, -1, b"")], ""
         for word in words:
-            shared = 0
-            for a, b in zip(last, word, strict=False):
-                if a != b:
-                    break
-                shared += 1
+            shared = len(commonprefix((last, word)))
             del states[shared + 1 :]
             while len(states) <= len(word):
                 states.append(self.step(word, states))
-            cut, end = [], len(word)
-            while end:
-                start = states[end][1]
-                known = self.ids.get(word[start:end])
-                cut[:0] = [known] if known is not None else [self.byte_ids[b] for b in word[start:end].encode()]
-                end = start
-            self.table[word] = np.array(cut, "<u4").tobytes()
+            self.table[word] = states[-1][2]
             last = word
 
     def encode(self, texts: list[str]) -> list[bytes]:
