@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.joins import missing_keys
-from starloom.session import stage
+from starloom.session import fits_broadcast, stage
 from starloom.specs import DimRef, OpResult
 
 MISSING_REFS = "missing_refs"
@@ -43,6 +43,19 @@ def tag_orphans(df: DataFrame, dims: Mapping[str, DataFrame], refs: Iterable[Dim
     return _with_missing(out, df.columns, refs, hits)
 
 
+def missing_references(df: DataFrame, dims: Mapping[str, DataFrame], refs: Iterable[DimRef]) -> DataFrame:
+    """(ref, value) of all references that no dimension row has; ``ref`` is the place in ``refs``, ``value`` is text.
+
+    All references become one relation, reduced on the map side, and meet all
+    dimensions in one join, so ``df`` is read once whatever their number.
+    """
+    refs = list(refs)
+    pairs = F.array(*[F.struct(F.lit(i).alias("ref"), F.col(r.fk).cast("string").alias("value")) for i, r in enumerate(refs)])
+    keys = df.select(F.inline(pairs)).dropna().distinct()
+    known = [dims[r.dim].select(F.lit(i).alias("ref"), F.col(r.pk or r.fk).cast("string").alias("value")) for i, r in enumerate(refs)]
+    return keys.join(reduce(DataFrame.union, known), ["ref", "value"], "left_anti")
+
+
 def tag_orphans_by_missing_keys(
     df: DataFrame,
     dims: Mapping[str, DataFrame],
@@ -50,10 +63,10 @@ def tag_orphans_by_missing_keys(
     keys_of: DataFrame | None = None,
     scratch: str | None = None,
 ) -> DataFrame:
-    """Same result as ``tag_orphans`` for large dimensions.
+    """Same result as ``tag_orphans`` for large dimensions; reads ``df`` twice whatever their number.
 
     The distinct keys of ``df`` (reduced on the map side, so a hot key costs
-    one row per task) are checked against the dimension.  Only the missing
+    one row per task) are checked against the dimensions.  Only the missing
     keys are joined back.  They are staged first, so Spark knows their size:
     few keys are broadcast and the wide rows are not shuffled at all, many
     keys take an ordinary shuffle join.  ``keys_of`` names a cheaper frame
@@ -61,17 +74,13 @@ def tag_orphans_by_missing_keys(
     keys are computed by this call, into ``scratch``.
     """
     refs = _checked_refs(df, refs)
-    source = df if keys_of is None else keys_of
+    if not refs:
+        return _with_missing(df, df.columns, refs, [])
+    gone = stage(missing_references(df if keys_of is None else keys_of, dims, refs), "missing-keys", scratch)
     out, hits = df, []
     for i, ref in enumerate(refs):
-        dim, pk = dims[ref.dim], ref.pk or ref.fk
-        keys = source.select(ref.fk)
-        if df.schema[ref.fk].dataType != dim.schema[pk].dataType:
-            dim = dim.withColumn(pk, F.col(pk).cast("string"))
-            keys = keys.withColumn(ref.fk, F.col(ref.fk).cast("string"))
-        gone = stage(missing_keys(keys, ref.fk, dim, pk).withColumnRenamed(ref.fk, f"__gone{i}"), f"missing-{ref.dim}", scratch)
-        same = F.col(ref.fk).cast(gone.schema[0].dataType) == F.col(f"__gone{i}")
-        out = out.join(gone, same, "left")
+        lost = gone.filter(F.col("ref") == i).select(F.col("value").alias(f"__gone{i}"))
+        out = out.join(lost, F.col(ref.fk).cast("string") == F.col(f"__gone{i}"), "left")
         hits.append(F.col(f"__gone{i}").isNotNull())
     return _with_missing(out, df.columns, refs, hits)
 
@@ -107,8 +116,14 @@ def split_tagged_orphans(tagged: DataFrame) -> OpResult:
 
 
 def split_orphans(df: DataFrame, dims: Mapping[str, DataFrame], refs: Iterable[DimRef]) -> OpResult:
-    """Rows whose references all exist, and rows with at least one missing."""
-    return split_tagged_orphans(tag_orphans(df, dims, refs))
+    """Rows whose references all exist, and rows with at least one missing.
+
+    Dimensions that are surely below the broadcast threshold are joined as they are; if one may be larger, only the
+    missing keys meet the rows.
+    """
+    refs = _checked_refs(df, refs)
+    small = all(fits_broadcast(dims[r.dim].select(r.pk or r.fk)) for r in refs)
+    return split_tagged_orphans((tag_orphans if small else tag_orphans_by_missing_keys)(df, dims, refs))
 
 
 def comparable_columns(df: DataFrame, ignore: Iterable[str]) -> list[str]:
@@ -146,21 +161,15 @@ def tag_duplicates(df: DataFrame, stored: DataFrame, key: str, ignore: Iterable[
     """Flag rows that equal a stored row in every compared column, null equal to null.
 
     ``ignore`` names personal and date columns, which are not compared but
-    stay in the row.  The stored table is first cut down to the incoming keys,
-    so a large table is filtered by a small batch instead of being shuffled
-    whole wherever that batch fits the broadcast threshold.
+    stay in the row.  Each side is shuffled once; a stored table that is much
+    larger than the batch is cut down by ``stored_candidates`` before.
     """
     compared = [c for c in comparable_columns(df, ignore) if c in stored.columns]
     if key not in compared:
         compared.insert(0, key)
     types = {f.name: f.dataType for f in df.schema.fields}
-    keys = df.select(F.col(key).alias("__key")).dropna().distinct()
-    old = (
-        stored.select(*[F.col(c).cast(types[c]).alias(c) for c in compared])
-        .join(keys, F.col(key) == F.col("__key"), "left_semi")
-        .select(*[F.col(c).alias(f"__old_{c}") for c in compared])
-        .distinct()
-    )
+    old = stored.select(*[F.col(c).cast(types[c]).alias(f"__old_{c}") for c in compared])
+    old = old.filter(F.col(f"__old_{key}").isNotNull()).distinct()
     same = F.col(key) == F.col(f"__old_{key}")
     for c in compared:
         if c != key:

@@ -31,13 +31,23 @@ def _avg(column: str) -> Measure:
     )
 
 
-def _money(column: str) -> tuple[str, str]:
-    """Decimal sums do not depend on the order of the rows, so a repeated run gives the same digits."""
-    return (f"sum_{column}", f"sum(cast({column} as decimal(28, 6)))")
+def _money(column: str) -> tuple[tuple[str, str], tuple[str, str]]:
+    """Sums of whole units and of millionths, as 64-bit integers.
+
+    They do not depend on the order of the rows, so a repeated run gives the same digits.  Amounts are rounded at the
+    sixth decimal, one by one; the sum of their whole units must stay below 9.2e18.
+    """
+    fraction = f"{column} - floor({column})"
+    return (f"units_{column}", f"sum(cast(floor({column}) as bigint))"), (f"micros_{column}", f"sum(cast(round(({fraction}) * 1000000) as bigint))")
+
+
+def _total(column: str) -> str:
+    """Millionths of the sum, exactly."""
+    return f"(cast(units_{column} as decimal(38, 0)) * 1000000 + micros_{column})"
 
 
 def _sum(column: str) -> Measure:
-    return Measure((_money(column),), f"cast(sum_{column} as double)")
+    return Measure(_money(column), f"cast({_total(column)} / 1000000 as double)")
 
 
 # The measures of the semantic model.
@@ -53,10 +63,10 @@ MEASURES: dict[str, Measure] = {
     "total_sales": _sum("total_amount"),
     "total_revenue_impact": _sum("revenue_impact"),
     "net_profit": Measure(
-        (_money("total_amount"), _money("revenue_impact")),
+        (*_money("total_amount"), *_money("revenue_impact")),
         # a blank operand counts as 0, two blanks stay blank
-        "case when sum_total_amount is null and sum_revenue_impact is null then null "
-        "else cast(coalesce(sum_total_amount, 0) - coalesce(sum_revenue_impact, 0) as double) end",
+        "case when units_total_amount is null and units_revenue_impact is null then null "
+        f"else cast((coalesce({_total('total_amount')}, 0) - coalesce({_total('revenue_impact')}, 0)) / 1000000 as double) end",
     ),
 }
 

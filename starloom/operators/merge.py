@@ -41,6 +41,25 @@ def merge_upsert(target: DataFrame, updates: DataFrame, key: str, columns: Itera
     return target.join(new, F.col(key) == F.col("__key"), "full").select(*out)
 
 
+def changed_rows(target: DataFrame, updates: DataFrame, key: str, columns: Iterable[str] | None = None) -> DataFrame:
+    """The rows of ``merge_upsert`` that its updates change or insert, in the columns of ``target``.
+
+    This is what an upsert appends where the last row of a key counts.  ``target`` is read only for columns that are
+    not supplied, and then only the rows of the updated keys.
+    """
+    columns = list(columns) if columns is not None else [c for c in updates.columns if c != key]
+    unknown = [c for c in [key, *columns] if c not in target.columns]
+    if unknown:
+        raise ValueError(f"columns not in target: {unknown}")
+    types = {f.name: f.dataType for f in target.schema.fields}
+    new = updates.select(*[F.col(c).cast(types[c]).alias(c) for c in [key, *columns]])
+    others = [c for c in target.columns if c != key and c not in columns]
+    if not others:
+        return new.select(*target.columns)
+    old = target.select(F.col(key).alias("__key"), *others)
+    return new.join(old, F.col(key) == F.col("__key"), "left").select(*target.columns)
+
+
 def merge_small_update(
     target: DataFrame, updates: DataFrame, key: str, columns: Iterable[str] | None = None
 ) -> DataFrame:
@@ -150,11 +169,21 @@ def scd2_merge(history: DataFrame, snapshot: DataFrame, key: str, tracked: Itera
     key.  A change in a tracked column closes the current version at ``as_of``
     and opens a new one; keys missing from the snapshot stay current.
     """
+    versions = _scd2_versions(history, snapshot, key, tracked, as_of, True)
+    return history.filter(~F.col("is_current")).unionByName(versions)
+
+
+def scd2_changes(history: DataFrame, snapshot: DataFrame, key: str, tracked: Iterable[str], as_of: Column) -> DataFrame:
+    """The versions that ``scd2_merge`` closes or opens: what is appended where the last row of a surrogate key counts."""
+    return _scd2_versions(history, snapshot, key, tracked, as_of, False)
+
+
+def _scd2_versions(history: DataFrame, snapshot: DataFrame, key: str, tracked: Iterable[str], as_of: Column, unchanged: bool) -> DataFrame:
     business = [c for c in history.columns if c not in SCD2_COLUMNS]
     types = {f.name: f.dataType for f in history.schema.fields}
     current = history.filter("is_current").select(F.struct(*history.columns).alias("h"))
     fresh = snapshot.select(F.struct(*[F.col(c).cast(types[c]).alias(c) for c in business]).alias("s"))
-    joined = current.join(fresh, F.col(f"h.{key}") == F.col(f"s.{key}"), "full")
+    joined = current.join(fresh, F.col(f"h.{key}") == F.col(f"s.{key}"), "full" if unchanged else "right")
 
     same = F.lit(True)
     for c in tracked:
@@ -185,12 +214,8 @@ def scd2_merge(history: DataFrame, snapshot: DataFrame, key: str, tracked: Itera
             for c in history.columns
         ]
     )
-    versions = (
-        F.when(F.col("h").isNull(), F.array(opened))
-        .when(F.col("s").isNull() | same, F.array(kept))
-        .otherwise(F.array(expired, opened))
-    )
-    return history.filter(~F.col("is_current")).unionByName(joined.select(F.inline(versions)))
+    versions = F.when(F.col("h").isNull(), F.array(opened)).when(F.col("s").isNull() | same, F.array(kept) if unchanged else F.filter(F.array(kept), lambda _: F.lit(False)))
+    return joined.select(F.inline(versions.otherwise(F.array(expired, opened))))
 
 
 def scd2_counts(history: DataFrame, snapshot: DataFrame, key: str, tracked: Iterable[str]) -> DataFrame:

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StringType, StructField, StructType, TimestampNTZType
+from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType, TimestampNTZType
 
 from starloom.functions.masking import hash_pii
 from starloom.operators.lookups import MISSING_REFS, ORPHAN_REASON
@@ -37,6 +37,8 @@ ORPHAN_SCHEMA = StructType(
         StructField("quarantined_at", TimestampNTZType()),
         StructField("resolved", BooleanType()),
         StructField("resolved_at", TimestampNTZType()),
+        # which of several equal rows of its batch this one is, from 1
+        StructField("occurrence", LongType()),
     ]
 )
 ORPHAN_DAYS = 2
@@ -78,14 +80,31 @@ def to_rejected(
     )
 
 
+# copies of a row that are numbered by one row of the plan
+_COPIES = 1000
+
+
+def numbered_copies(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with equal rows numbered from 1.
+
+    Equal rows are counted on the map side and dealt out again in chunks, so any number of them is spread over tasks.
+    """
+    n, chunk = F.col("__copies"), F.col("__chunk")
+    counted = df.groupBy(*df.columns).agg(F.count("*").alias("__copies"))
+    chunks = counted.withColumn("__chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / _COPIES)))).hint("rebalance")
+    first = chunk * _COPIES + 1
+    return chunks.select(*df.columns, F.explode(F.sequence(first, F.least(first + (_COPIES - 1), n))).alias(name))
+
+
 def to_orphans(bad: DataFrame, fact_table: str, now: Column, source_file: Column | None = None) -> DataFrame:
-    """One quarantine row per missing reference of every orphan row."""
+    """One quarantine row per missing reference of every orphan row; equal rows are told apart by ``occurrence``."""
     body = [c for c in bad.columns if c not in (MISSING_REFS, ORPHAN_REASON)]
-    return bad.select(
+    rows = bad.select(
         payload(body).alias("record_payload"),
         (source_file if source_file is not None else F.lit(None).cast("string")).alias("source_file"),
-        F.explode(MISSING_REFS).alias("ref"),
-    ).select(
+        F.col(MISSING_REFS),
+    )
+    return numbered_copies(rows, "occurrence").withColumn("ref", F.explode(MISSING_REFS)).select(
         F.expr("uuid()").alias("quarantine_id"),
         "record_payload",
         F.lit(fact_table).alias("fact_table"),
@@ -96,6 +115,7 @@ def to_orphans(bad: DataFrame, fact_table: str, now: Column, source_file: Column
         now.cast("timestamp_ntz").alias("quarantined_at"),
         F.lit(False).alias("resolved"),
         F.lit(None).cast("timestamp_ntz").alias("resolved_at"),
+        "occurrence",
     )
 
 
@@ -135,11 +155,15 @@ def tag_retry(
     """Quarantine rows of one fact: is this reference found, and are all references of the payload (``ready``)?
 
     Each payload is judged by itself, so one that can be loaded does not wait
-    for, and is not lost to, another payload of the same fact key.
+    for, and is not lost to, another payload of the same fact key.  Equal rows
+    of one batch are payloads of their own (``occurrence``); a row that is sent
+    again in a later batch has the payload and the number of the first one.
     """
     mine = orphans.filter(F.col("fact_table") == fact_table)
     tagged = mark_resolved(mine, dims).withColumn(FACT_KEY, F.get_json_object("record_payload", f"$.{fact_key}"))
-    whole = W.partitionBy(FACT_KEY, "record_payload")
+    tagged = tagged.withColumn("occurrence", F.coalesce("occurrence", F.lit(1).cast("long")))
+    # a digest of fixed size is sorted instead of the texts
+    whole = W.partitionBy(F.md5("record_payload"), "occurrence")
     return tagged.withColumn(READY, F.min("ref_found").over(whole))
 
 
@@ -148,14 +172,15 @@ def retry_orphans(
 ) -> OpResult:
     """Orphans of one fact that can be loaded now, and the quarantine rows that stay.
 
-    ``good``: one row per distinct payload (``record_payload``) whose
-    references all exist now.  ``bad``: the quarantine without the rows whose
-    reference was found.
+    ``good``: one row (``record_payload``) for each quarantined row whose
+    references all exist now; what was sent again counts once.  ``bad``: the
+    quarantine without the rows whose reference was found.
     """
     tagged = tag_retry(orphans, dims, fact_table, fact_key)
     others = orphans.filter(~F.col("fact_table").eqNullSafe(F.lit(fact_table)))
     remaining = tagged.filter(~F.col("ref_found")).select(*orphans.columns)
-    return OpResult(tagged.filter(READY).select(FACT_KEY, "record_payload").distinct(), remaining.unionByName(others))
+    good = tagged.filter(READY).select(FACT_KEY, "record_payload", "occurrence").distinct()
+    return OpResult(good.drop("occurrence"), remaining.unionByName(others))
 
 
 def outdated(df: DataFrame, column: str, days: int, now: Column, unresolved_only: bool = False) -> Column:

@@ -22,7 +22,7 @@ from starloom.operators.lookups import (
     tag_duplicates,
     tag_orphans_by_missing_keys,
 )
-from starloom.operators.merge import SCD2_COLUMNS, merge_upsert, scd2_counts, scd2_merge
+from starloom.operators.merge import SCD2_COLUMNS, changed_rows, scd2_changes, scd2_counts
 from starloom.operators.metrics import batch_totals, percent, quality_metrics, threshold_alerts, with_rates
 from starloom.operators.quarantine import (
     ORPHAN_DAYS,
@@ -51,7 +51,7 @@ from starloom.operators.windows import latest_per_key
 from starloom.plans.build import Model, bad_rows, build_table, good_rows, table_schema
 from starloom.session import delete_folder, scratch_path, stage
 from starloom.sources.files import CORRUPT, SPARK_ERRORS, error_text, match_sources, scan, tables_with_files
-from starloom.sources.tables import BATCH_ID, SnapshotTable, StaleSnapshot
+from starloom.sources.tables import BATCH_ID, BatchTable
 from starloom.specs import FACT, SourceSpec, TableSpec, columns
 
 RUN_LOG_SCHEMA = columns(
@@ -64,7 +64,7 @@ ALERT_SCHEMA = columns(
     "file_name string, total_records bigint, orphan_count bigint, orphan_share double, alert string"
 )
 # what a retry is going to load and take out of the quarantine, written before it does either
-RETRY_SCHEMA = columns("quarantine_id string, fact_table string, record_payload string, loads boolean")
+RETRY_SCHEMA = columns("quarantine_id string, fact_table string, record_payload string, loads boolean, occurrence bigint")
 
 # what a row of the run log is about
 FILE, TABLE, BATCH = "file", "table", "batch"
@@ -82,44 +82,41 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str, model: Model, store_repeats: bool = False):
         """``store_repeats`` also keeps the dimension rows that a snapshot only sends again; they are always counted."""
         self.spark, self.root, self.model, self.store_repeats = spark, root.rstrip("/"), model, store_repeats
-        self._tables: dict[str, SnapshotTable] = {}
+        self._tables: dict[str, BatchTable] = {}
 
-    def _open(
-        self, name: str, schema: StructType, partition_by: Sequence[str] = (), key: str | None = None
-    ) -> SnapshotTable:
+    def _open(self, name: str, schema: StructType, **options) -> BatchTable:
         if name not in self._tables:
-            self._tables[name] = SnapshotTable(self.spark, f"{self.root}/{name}", schema, partition_by, key)
+            self._tables[name] = BatchTable(self.spark, f"{self.root}/{name}", schema, **options)
         return self._tables[name]
 
-    def refresh(self) -> None:
-        """Start of a run: see what other processes have published since the last one."""
-        for t in self._tables.values():
-            t.refresh()
-
-    def table(self, name: str) -> SnapshotTable:
+    def table(self, name: str) -> BatchTable:
+        """A fact holds all rows of its batches, a dimension the last row of each key (with history: of each version)."""
         spec = self.model.tables[name]
         if name in self._tables:
             return self._tables[name]
-        return self._open(name, table_schema(self.spark, spec, self.model.sources), spec.partition_by)
+        schema = table_schema(self.spark, spec, self.model.sources)
+        if spec.kind == FACT:
+            return self._open(name, schema, partition_by=spec.partition_by)
+        return self._open(name, schema, partition_by=spec.partition_by, key="surrogate_key" if spec.tracked else spec.key, latest=True)
 
     @property
-    def rejected(self) -> SnapshotTable:
-        return self._open("RejectedRecords", REJECTED_SCHEMA, key="rejected_id")
+    def rejected(self) -> BatchTable:
+        return self._open("RejectedRecords", REJECTED_SCHEMA, key="rejected_id", day_of="rejected_at")
 
     @property
-    def orphans(self) -> SnapshotTable:
-        return self._open("OrphanRecords", ORPHAN_SCHEMA, key="quarantine_id")
+    def orphans(self) -> BatchTable:
+        return self._open("OrphanRecords", ORPHAN_SCHEMA, key="quarantine_id", day_of="quarantined_at")
 
     @property
-    def retries(self) -> SnapshotTable:
+    def retries(self) -> BatchTable:
         return self._open("OrphanRetries", RETRY_SCHEMA)
 
     @property
-    def run_log(self) -> SnapshotTable:
+    def run_log(self) -> BatchTable:
         return self._open("PipelineRunLog", RUN_LOG_SCHEMA)
 
     @property
-    def alerts(self) -> SnapshotTable:
+    def alerts(self) -> BatchTable:
         return self._open("Alerts", ALERT_SCHEMA)
 
     def dims_of(self, table: TableSpec) -> dict[str, DataFrame]:
@@ -150,7 +147,6 @@ class _Run:
     """State of one run; every write is keyed by the batch, so a repeat replaces it."""
 
     def __init__(self, wh: Warehouse, batch_id: str, now: Column | None):
-        wh.refresh()
         self.wh, self.batch_id, self.now = wh, batch_id, _now_or(now)
         self.started = time.monotonic()
         self.scratch = scratch_path(wh.spark, "run")
@@ -253,7 +249,7 @@ class _Run:
             df = df.withColumn(_NEWEST, F.lit(True))
         ignore = [*self.wh.model.pii_of(table), *table.date_columns, _ROW, _NEWEST]
         # rows this batch wrote in an earlier attempt are not its duplicates
-        stored = store.read_batches().filter(F.col(BATCH_ID) != self.batch_id).drop(BATCH_ID)
+        stored = store.read(without=self.batch_id)
         if table.kind == FACT:
             stored = stored_candidates(df, stored, table.key, table.partition_by, self.scratch)
         if table.tracked:
@@ -343,17 +339,16 @@ def _load_table(run: _Run, table: TableSpec, prepared: Mapping[str, DataFrame |
             run._log(metrics, started, True, TABLE)
         else:
             rows, metrics = run.split(table, built, check_dimension_keys, _newest_first(built, table))
-            before = store.read()
+            before = store.read(without=run.batch_id)
             if table.tracked:
                 counts = scd2_counts(before, rows, table.key, table.tracked).first()
-                merged = scd2_merge(before, rows, table.key, table.tracked, run.now)
+                changes = scd2_changes(before, rows, table.key, table.tracked, run.now)
                 new, expired = F.lit(counts.scd_inserted_count), F.lit(counts.scd_expired_count)
             else:
-                merged, old_rows, expired = merge_upsert(before, rows, table.key), before.count(), F.lit(0)
-            store.replace(merged)
-            if not table.tracked:
-                # row counts come from the file footers
-                new = F.lit(store.read().count() - old_rows)
+                changes, expired = changed_rows(before, rows, table.key), F.lit(0)
+                known = store.read([table.key], without=run.batch_id).withColumnRenamed(table.key, "__known")
+                new = F.lit(rows.select(table.key).join(known, F.col(table.key) == F.col("__known"), "left_anti").count())
+            store.append(changes, run.batch_id)
             run._log(metrics, started, True, TABLE, new, expired)
         run.report.loaded.append(table.name)
     # a failing table is recorded; the others go on
@@ -361,7 +356,7 @@ def _load_table(run: _Run, table: TableSpec, prepared: Mapping[str, DataFrame |
         if table.kind == FACT:
             run.set_aside(table, inputs, str(e))
         run.fail(table.name, [str(e)], started, TABLE)
-    except (*SPARK_ERRORS, StaleSnapshot) as e:
+    except SPARK_ERRORS as e:
         run.broken(table.name, e, started, TABLE)
 
 
@@ -388,7 +383,7 @@ def run_batch(
 
 def load_calendar(wh: Warehouse, start: str, end: str, name: str = "DateDim") -> None:
     """Fill the generated date dimension."""
-    wh.table(name).replace(date_dimension(day_range(wh.spark, start, end)))
+    wh.table(name).append(date_dimension(day_range(wh.spark, start, end)), "calendar")
 
 
 def run_micro_batch(wh: Warehouse, paths: Iterable[str], batch_id: str, now: Column | None = None) -> RunReport:
@@ -400,7 +395,8 @@ def run_micro_batch(wh: Warehouse, paths: Iterable[str], batch_id: str, now: Col
 
 def _apply_retry(wh: Warehouse, plan: DataFrame, retry_id: str) -> None:
     """Load a planned retry and take its rows out of the quarantine; doing it again changes nothing."""
-    loads = plan.filter("loads").select("fact_table", "record_payload").distinct()
+    # equal rows of one batch are loaded as often as they came, a row that was sent again once
+    loads = plan.filter("loads").select("fact_table", "record_payload", "occurrence").distinct()
     for table in wh.model.tables.values():
         if table.kind == FACT:
             store = wh.table(table.name)
@@ -430,7 +426,7 @@ def retry_quarantine(wh: Warehouse) -> None:
             refs = {r.dim: (wh.table(r.dim).read(), r.pk or r.fk) for r in table.dims if isinstance(r.fk, str)}
             if refs:
                 tagged = tag_retry(wh.orphans.read(), refs, table.name, table.key).filter("ref_found")
-                plans.append(tagged.select("quarantine_id", "fact_table", "record_payload", F.col(READY).alias("loads")))
+                plans.append(tagged.select("quarantine_id", "fact_table", "record_payload", F.col(READY).alias("loads"), "occurrence"))
     if not plans:
         return
     plan = plans[0]
@@ -445,16 +441,13 @@ def retry_quarantine(wh: Warehouse) -> None:
 
 
 def apply_retention(wh: Warehouse, now: Column) -> None:
-    """Leave out old unresolved orphans and old rejected rows from now on; rows appended meanwhile stay."""
+    """Drop old unresolved orphans and old rejected rows, whole days as folders; rows appended meanwhile stay."""
     removal = f"retention-{uuid.uuid4().hex}"
     for store, column, days, unresolved in (
         (wh.orphans, "quarantined_at", ORPHAN_DAYS, True),
         (wh.rejected, "rejected_at", REJECTED_DAYS, False),
     ):
-        held = store.read()
-        old = held.filter(outdated(held, column, days, now, unresolved)).select(store.key)
-        if not old.isEmpty():
-            store.remove(old, removal)
+        store.expire(outdated(store.read(), column, days, now, unresolved), removal)
 
 
 def batch_summary(wh: Warehouse, batch_id: str) -> DataFrame:

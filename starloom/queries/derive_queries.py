@@ -245,8 +245,9 @@ def required_null_split(spark, sf):
     "validation_stats",
     _TAGGED_SQL
     + """SELECT count(*) AS total_rows, count(*) FILTER (rejected_reason IS NULL) AS passed_count,
-                count(*) FILTER (rejected_reason LIKE 'Missing%') AS null_count,
-                count(*) FILTER (rejected_reason LIKE 'Column%') AS quarantined_count FROM tagged""",
+                count(*) FILTER (customer_id IS NULL OR price IS NULL) AS null_count,
+                count(*) FILTER (rejected_reason IS NOT NULL AND customer_id IS NOT NULL AND price IS NOT NULL) AS quarantined_count
+         FROM tagged""",
 )
 def validation_stats_query(spark, sf):
     return validation_stats(tag_rows(_raw_orders(spark, sf), _SPEC))

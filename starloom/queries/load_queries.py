@@ -258,7 +258,7 @@ def _loaded_dims(spark: SparkSession, sf: str, wh: Warehouse) -> None:
 
 def _stored_dims(spark: SparkSession, sf: str, wh: Warehouse) -> None:
     """The same dimension written directly."""
-    wh.table("CustomersDim").replace(dim_table_build(spark, sf).filter("c_acctbal >= 0"))
+    wh.table("CustomersDim").append(dim_table_build(spark, sf).filter("c_acctbal >= 0"), "first")
 
 
 def _warehouse(spark: SparkSession, name: str) -> Warehouse:

@@ -16,6 +16,7 @@ from starloom.operators.finders import (
 )
 from starloom.operators.lookups import split_duplicates, split_orphans
 from starloom.operators.merge import (
+    changed_rows,
     delete_orphaned_fk,
     delete_by_id,
     delete_keys,
@@ -36,7 +37,7 @@ from starloom.operators.windows import dedup_keep_first, latest_per_key, reopene
 from starloom.queries.registry import query
 from starloom.queries.roles import FACT_SQL, TICKETS_SQL, fact, table, tickets
 from starloom.session import scratch_path, stage
-from starloom.sources.tables import SnapshotTable
+from starloom.sources.tables import BatchTable
 from starloom.specs import DimRef, columns
 
 NOW = "timestamp_ntz '2024-01-31 00:00:00'"
@@ -392,7 +393,7 @@ def _line_retries(spark, sf):
 
 @query(
     "orphan_retry_by_payload",
-    f"""SELECT DISTINCT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, CASE WHEN l_partkey % 5 = 0 THEN 2 ELSE 1 END AS retry
+    f"""SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, CASE WHEN l_partkey % 5 = 0 THEN 2 ELSE 1 END AS retry
         FROM lineitem WHERE {_LATE_SQL}""",
 )
 def orphan_retry_by_payload(spark, sf):
@@ -403,6 +404,24 @@ def orphan_retry_by_payload(spark, sf):
     return rows.select("r.*", "retry")
 
 
+# few columns, so that many lines are equal rows
+_BAG = columns("l_partkey bigint, l_suppkey bigint, l_returnflag string")
+
+
+@query("orphan_retry_bag", "SELECT l_suppkey % 20 AS l_partkey, l_suppkey, l_returnflag FROM lineitem")
+def orphan_retry_bag(spark, sf):
+    """What was clean and what a retry loads are the input again, equal rows as often as they came, also when a batch was sent twice."""
+    lines = table(spark, sf, "lineitem").select((F.col("l_suppkey") % 20).alias("l_partkey"), "l_suppkey", "l_returnflag")
+    parts = table(spark, sf, "part").select("p_partkey").union(spark.range(1).toDF("p_partkey"))
+    suppliers = table(spark, sf, "supplier").select("s_suppkey")
+    refs = [DimRef("PartsDim", "l_partkey", "p_partkey"), DimRef("SuppliersDim", "l_suppkey", "s_suppkey")]
+    split = split_orphans(lines, {"PartsDim": parts.filter("p_partkey % 5 <> 0"), "SuppliersDim": suppliers.filter("s_suppkey % 4 <> 0")}, refs)
+    sent = [stage(to_orphans(split.bad, "FactLines", _now(), F.lit(f)), "bag-held") for f in ("first.csv", "again.csv")]
+    found = {"PartsDim": (parts, "p_partkey"), "SuppliersDim": (suppliers, "s_suppkey")}
+    late = unpack(retry_orphans(sent[0].unionByName(sent[1]), found, "FactLines", "l_suppkey").good, "record_payload", _BAG)
+    return split.good.unionByName(late)
+
+
 @query(
     "delete_orphaned_fk",
     _QUARANTINE_SQL + "SELECT event_id, source_table, orphaned_fk_value FROM q WHERE NOT (orphaned_fk_column = 'event_type' AND orphaned_fk_value = 'error')",
@@ -410,9 +429,11 @@ def orphan_retry_by_payload(spark, sf):
 def delete_orphaned_fk_query(spark, sf):
     """The quarantine without one foreign key, written and read back."""
     held = stage(_quarantine(spark, sf), "held")
-    store = SnapshotTable(spark, scratch_path(spark, "orphans"), held.schema, key="quarantine_id")
+    store = BatchTable(spark, scratch_path(spark, "orphans"), held.schema, key="quarantine_id")
     store.append(held, "all")
-    store.replace(delete_orphaned_fk(store.read(), "event_type", "error"))
+    # the rows that the delete drops are removed by key
+    left = delete_orphaned_fk(store.read(), "event_type", "error").select(F.col("quarantine_id").alias("__left"))
+    store.remove(store.read(["quarantine_id"]).join(left, F.col("quarantine_id") == F.col("__left"), "left_anti"), "deleted")
     return store.read().select(F.get_json_object("record_payload", "$.event_id").cast("long").alias("event_id"), "source_table", "orphaned_fk_value")
 
 
@@ -425,7 +446,7 @@ def retention_keeps_later_appends(spark, sf):
     """One writer expires what it has read while another appends."""
     rows = table(spark, sf, "events").select("event_id", F.col("ts").alias("rejected_at"))
     path = scratch_path(spark, "rejected")
-    one, two = (SnapshotTable(spark, path, rows.schema, key="event_id") for _ in range(2))
+    one, two = (BatchTable(spark, path, rows.schema, key="event_id") for _ in range(2))
     one.append(rows.filter("event_id % 2 = 0"), "first")
     seen = two.read()
     old = seen.filter(outdated(seen, "rejected_at", 30, F.expr("timestamp_ntz '2024-02-05 00:00:00'"))).select("event_id")
@@ -440,12 +461,15 @@ def retention_keeps_later_appends(spark, sf):
        FROM customer WHERE c_mktsegment <> 'BUILDING'""",
 )
 def table_update_delete(spark, sf):
-    """An update and a delete, each a snapshot that is read back."""
+    """An update appends the changed rows, a delete their keys; then the batches are put together."""
     customers = table(spark, sf, "customer")
-    store = SnapshotTable(spark, scratch_path(spark, "customers"), customers.schema)
-    store.replace(customers)
-    store.replace(update_where(store.read(), F.col("c_acctbal") < 0, {"c_acctbal": 0.0}))
-    store.replace(delete_where(store.read(), F.col("c_mktsegment") == "BUILDING"))
+    store = BatchTable(spark, scratch_path(spark, "customers"), customers.schema, key="c_custkey", latest=True)
+    store.append(customers, "all")
+    in_debt = F.col("c_acctbal") < 0
+    store.append(update_where(store.read().filter(in_debt), in_debt, {"c_acctbal": 0.0}), "no-debt")
+    left = delete_where(store.read(["c_custkey", "c_mktsegment"]), F.col("c_mktsegment") == "BUILDING")
+    store.remove(store.read(["c_custkey"]).exceptAll(left.select("c_custkey")), "no-building")
+    store.compact()
     return store.read()
 
 
@@ -516,7 +540,7 @@ def union_bad_rows_query(spark, sf):
 def append_idempotent(spark, sf):
     """Three batches appended, one of them twice."""
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
-    store = SnapshotTable(spark, scratch_path(spark, "append"), orders.schema)
+    store = BatchTable(spark, scratch_path(spark, "append"), orders.schema)
     for status in ("F", "O", "P", "O"):
         store.append(orders.filter(F.col("o_orderstatus") == status), f"load-{status.lower()}")
     return store.read_batches()
@@ -530,7 +554,7 @@ def append_idempotent(spark, sf):
 def stored_date_range(spark, sf):
     """A date range on a table stored by date: only its folders are read."""
     events = table(spark, sf, "events").select("event_id", "ts", date_to_key("ts").alias("date_key"))
-    store = SnapshotTable(spark, scratch_path(spark, "by-date"), events.schema, partition_by=("date_key",))
+    store = BatchTable(spark, scratch_path(spark, "by-date"), events.schema, partition_by=("date_key",))
     store.append(events, "all")
     return in_range(store.read(), "date_key", 20240108, 20240114)
 
@@ -540,10 +564,35 @@ def stored_date_range(spark, sf):
     _MERGE_SQL + "SELECT * FROM u UNION ALL SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM u WHERE u.c_custkey = t.c_custkey)",
 )
 def upsert_sink(spark, sf):
-    """The merge through a written table: two snapshots, the second one read back."""
-    store = SnapshotTable(spark, scratch_path(spark, "upsert"), table(spark, sf, "customer").schema)
+    """The merge through a written table: changed rows are appended, the last row of each key is read back."""
+    store = BatchTable(spark, scratch_path(spark, "upsert"), table(spark, sf, "customer").schema, key="c_custkey", latest=True)
     store.append(_stored(spark, sf), "first")
-    store.replace(merge_upsert(store.read(), _snapshot(spark, sf), "c_custkey"))
+    store.append(changed_rows(store.read(), _snapshot(spark, sf), "c_custkey"), "second")
+    return store.read()
+
+
+@query("upsert_sink_partial", _PARTIAL_SQL)
+def upsert_sink_partial(spark, sf):
+    """The same with two columns supplied: the others are taken from the stored row."""
+    store = BatchTable(spark, scratch_path(spark, "upsert"), table(spark, sf, "customer").schema, key="c_custkey", latest=True)
+    store.append(_stored(spark, sf), "first")
+    store.append(changed_rows(store.read(), _snapshot(spark, sf), "c_custkey", ["c_name", "c_acctbal"]), "second")
+    return store.read()
+
+
+@query(
+    "retention_by_day",
+    """SELECT event_id, ts AS rejected_at, event_id % 3 = 0 AS resolved FROM events
+       WHERE NOT (ts < timestamp '2024-02-10 12:00:00' - INTERVAL 30 DAY AND event_id % 3 <> 0)""",
+)
+def retention_by_day(spark, sf):
+    """Outdated rows of a table stored by day: whole days go as folders, the day at the border by key; what is left is read back."""
+    rows = table(spark, sf, "events").select("event_id", F.col("ts").alias("rejected_at"), (F.col("event_id") % 3 == 0).alias("resolved"))
+    store = BatchTable(spark, scratch_path(spark, "by-day"), rows.schema, key="event_id", day_of="rejected_at")
+    for kept in (True, False):
+        store.append(rows.filter(F.col("resolved") == kept), f"resolved-{kept}")
+    now = F.expr("timestamp_ntz '2024-02-10 12:00:00'")
+    store.expire(outdated(store.read(), "rejected_at", 30, now, unresolved_only=True), "expired")
     return store.read()
 
 

@@ -67,6 +67,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/starloom/{name}-{uuid.uuid4().hex}"
 
 
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether the planner's estimate of ``df`` (an upper bound, from file sizes) is below the session's broadcast threshold."""
+    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(str(estimate)) <= limit
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder in whatever store Spark writes to; an absent one is fine."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

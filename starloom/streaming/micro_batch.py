@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 from starloom.plans.build import sources_of
 from starloom.plans.runner import RunReport, Warehouse, run_micro_batch
 from starloom.sources.files import date_of, hour_of, list_files, logical_file_of, parts_folder
-from starloom.sources.tables import BATCH_ID, SnapshotTable
+from starloom.sources.tables import BATCH_ID, BatchTable
 from starloom.specs import FACT, columns
 
 ARRIVED_SCHEMA = columns("file_date string, file_hour string, file_name string, path string")
@@ -43,9 +43,9 @@ class Arrivals:
 
     def __init__(self, spark: SparkSession, root: str, required: Sequence[str]):
         self.required = list(required)
-        self.files = SnapshotTable(spark, f"{root}/ArrivedFiles", ARRIVED_SCHEMA)
-        self.loaded = SnapshotTable(spark, f"{root}/LoadedFolders", LOADED_SCHEMA)
-        self.late = SnapshotTable(spark, f"{root}/LateFiles", ARRIVED_SCHEMA)
+        self.files = BatchTable(spark, f"{root}/ArrivedFiles", ARRIVED_SCHEMA)
+        self.loaded = BatchTable(spark, f"{root}/LoadedFolders", LOADED_SCHEMA)
+        self.late = BatchTable(spark, f"{root}/LateFiles", ARRIVED_SCHEMA)
 
     def _with_all_parts(self, batch: DataFrame) -> DataFrame:
         """The paths of the trigger; of a file in parts also those that wait for a later trigger, so that it is loaded whole."""

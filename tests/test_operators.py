@@ -29,11 +29,11 @@ from starloom.operators.merge import (
     update_by_id,
 )
 from starloom.operators.metrics import batch_rollup, null_counts, quality_metrics, threshold_alerts, with_rates
-from starloom.operators.quarantine import expire_orphans, retry_orphans, to_orphans, to_rejected, unpack
+from starloom.operators.quarantine import expire_orphans, numbered_copies, retry_orphans, to_orphans, to_rejected, unpack
 from starloom.operators.shape import align_to, drop_repeated_names, filter_not_equal, hierarchy_slicer, keep_columns
 from starloom.operators.validation import schema_errors, split_rows, validate
 from starloom.operators.windows import latest_per_key, neighbour_value, reopened_by_transition, reopened_events, with_even_buckets
-from starloom.sources.tables import SnapshotTable
+from starloom.sources.tables import BatchTable
 from starloom.specs import DimRef, JoinStep, Rule, SourceSpec, columns
 
 slow = settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -214,7 +214,7 @@ def test_duplicate_split_is_null_safe(spark, rows):
 
 
 def test_stored_candidates_read_only_the_hit_folders(spark, tmp_path, rows):
-    store = SnapshotTable(spark, str(tmp_path / "t"), columns("k int, day int, v string"), partition_by=("day",))
+    store = BatchTable(spark, str(tmp_path / "t"), columns("k int, day int, v string"), partition_by=("day",))
     data = [(1, 20240101, "a"), (2, 20240102, "b"), (3, 20240103, "c"), (4, None, "d")]
     store.append(spark.createDataFrame(data, "k int, day int, v string"), "b1")
     new = spark.createDataFrame([(2, 20240109, "b"), (4, None, "d"), (9, 20240101, "x"), (None, None, "n")], "k int, day int, v string")
@@ -388,6 +388,13 @@ def test_rejected_keeps_each_reason(spark, rows):
     assert out.select("rejected_id").distinct().count() == 2
 
 
+def test_numbered_copies(spark, rows, monkeypatch):
+    monkeypatch.setattr("starloom.operators.quarantine._COPIES", 3)
+    df = spark.createDataFrame([("a", 1)] * 8 + [("a", None)] * 3 + [("b", 1)], "s string, x int").repartition(3)
+    want = [("a", 1, i) for i in range(1, 9)] + [("a", None, i) for i in range(1, 4)] + [("b", 1, 1)]
+    assert rows(numbered_copies(df, "occurrence")) == sorted(want, key=repr)
+
+
 def test_orphan_retention(spark, rows):
     df = spark.sql(
         "select * from values (1, timestamp_ntz'2024-01-01', false), (2, timestamp_ntz'2024-01-01', true), "

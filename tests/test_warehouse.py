@@ -15,7 +15,7 @@ from starloom.plans.runner import Warehouse, apply_retention, batch_summary, loa
 from starloom.plans.support_tickets import MODEL
 from starloom.queries import load_queries
 from starloom.sources.files import counted, list_files, logical_file, match_sources, read_source, scan, tables_with_files
-from starloom.sources.tables import SnapshotTable, StaleSnapshot
+from starloom.sources.tables import BatchTable
 from starloom.specs import SourceSpec, columns
 from starloom.streaming.micro_batch import Arrivals, fact_files, start_stream
 
@@ -412,76 +412,107 @@ def test_list_files(spark, tmp_path, rows):
 # ---- tables
 
 
-def test_snapshot_table(spark, tmp_path, rows):
-    store = SnapshotTable(spark, str(tmp_path / "t"), columns("id int, v string"), key="id")
-    assert store.version() == 0 and store.read().count() == 0
-    a = spark.createDataFrame([(1, "a")], "id int, v string")
-    store.append(a, "b1")
-    store.append(a, "b1")
-    store.append(a.withColumn("id", F.lit(2)), "b2")
-    assert rows(store.read_batches()) == [(1, "a", "b1"), (2, "a", "b2")]
-    # a snapshot computed from the table itself
-    assert store.replace(store.read().filter("id = 2")) == 1
-    assert rows(store.read()) == [(2, "a")]
-    other = SnapshotTable(spark, store.path, store.schema, key="id")
-    assert other.version() == 1
-    store.append(a.withColumn("id", F.lit(3)), "b3")
-    assert rows(other.read(), "id") == [(2,), (3,)]
-    store.remove(store.read().filter("id = 3").select("id"), "r1")
-    store.remove(store.read().filter("id = 3").select("id"), "r1")
-    assert rows(store.read(), "id") == [(2,), (3,)]  # the same removal again replaces the first one: here it was empty
-    store.remove(a.select((F.col("id") + 2).alias("id")), "r2")
-    assert rows(other.read(), "id") == [(2,)]
+def one_row(spark, i, v="x"):
+    return spark.createDataFrame([(i, v)], "id int, v string")
+
+
+def folders(path):
+    return sorted(p.relative_to(path).as_posix() for p in path.rglob("*") if p.is_dir() and "=" in p.name)
+
+
+def test_batches(spark, tmp_path, rows):
+    store = BatchTable(spark, str(tmp_path / "t"), columns("id int, v string"), key="id")
+    assert store.read().count() == 0 and store.read_batches().columns == ["id", "v", "batch_id"]
+    store.append(one_row(spark, 1), "b1")
+    store.append(one_row(spark, 1), "b1")
+    store.append(one_row(spark, 2), "b2")
+    assert rows(store.read_batches()) == [(1, "x", "b1"), (2, "x", "b2")]
+    assert rows(store.read(["id"], without="b1")) == [(2,)]
+    store.remove(store.read(["id"]).filter("id = 2"), "r1")
+    assert rows(BatchTable(spark, store.path, store.schema, key="id").read()) == [(1, "x")]
+    # written again after its removal
+    store.append(one_row(spark, 2, "again"), "b3")
+    assert rows(store.read()) == [(1, "x"), (2, "again")]
+    with pytest.raises(ValueError):
+        BatchTable(spark, store.path, store.schema).remove(one_row(spark, 1), "r")
+
+
+def test_the_last_row_of_a_key_counts(spark, tmp_path, rows):
+    path, schema = str(tmp_path / "t"), columns("id int, v string")
+    one, two = (BatchTable(spark, path, schema, key="id", latest=True) for _ in range(2))
+    one.append(one_row(spark, 1, "a").union(one_row(spark, 2, "a")), "b1")
+    two.append(one_row(spark, 2, "b").union(one_row(spark, 3, None)), "b2")
+    assert rows(one.read()) == rows(two.read()) == [(1, "a"), (2, "b"), (3, None)]
+    assert rows(one.read_batches(["id"], without="b2")) == [(1, "b1"), (2, "b1")]
+    one.remove(one_row(spark, 1).select("id"), "r1")
+    two.append(one_row(spark, 2, "c"), "b3")
+    assert rows(one.read()) == [(2, "c"), (3, None)]
+    two.append(one_row(spark, 1, "back"), "b4")
+    assert rows(one.read(["v", "id"])) == [("back", 1), ("c", 2), (None, 3)]
+
+
+def test_compaction_leaves_what_others_append(spark, tmp_path, rows, monkeypatch):
+    path, schema = str(tmp_path / "t"), columns("id int, v string")
+    one, two = (BatchTable(spark, path, schema, key="id", latest=True) for _ in range(2))
+    for k in range(4):
+        one.append(one_row(spark, k % 2, f"v{k}").union(one_row(spark, 7, f"w{k}")), f"b{k}")
+    one.remove(one_row(spark, 7).select("id"), "r")
+    want = [(0, "v2"), (1, "v3")]
+    write = BatchTable._write
+
+    def meanwhile(self, df, batch_id):
+        two._write(one_row(spark, 9, "late").withColumn("__written", F.lit(two._moment())), "other") if batch_id.startswith("compacted") else None
+        write(self, df, batch_id)
+        assert rows(two.read()) == [*want, (9, "late")]  # both the batches and what they were put together to are there
+
+    with monkeypatch.context() as m:
+        m.setattr(BatchTable, "_write", meanwhile)
+        m.setattr(two, "_write", lambda df, b: write(two, df, b))
+        assert set(one.compact()) == {"b0", "b1", "b2", "b3"}
+    assert rows(one.read()) == [*want, (9, "late")]
+    names = folders(tmp_path / "t")
+    assert len(names) == 2 and "batches/batch_id=other" in names
+    # rows written before the compaction do not win over it
+    two.append(one_row(spark, 0, "newer"), "b9")
+    one.compact()
+    assert rows(two.read()) == [(0, "newer"), (1, "v3"), (9, "late")] and len(folders(tmp_path / "t")) == 1
 
 
 def test_two_writers(spark, tmp_path, rows):
-    """Appends of one writer survive snapshots, removals and retention of another."""
+    """Appends of one writer survive removals and retention of another."""
     path, schema = str(tmp_path / "t"), columns("id int, v string")
-    one, two = (SnapshotTable(spark, path, schema, key="id") for _ in range(2))
-    row = lambda i: spark.createDataFrame([(i, "x")], "id int, v string")
-    one.append(row(1), "b1")
+    one, two = (BatchTable(spark, path, schema, key="id") for _ in range(2))
+    one.append(one_row(spark, 1), "b1")
     seen = two.read()
-    one.append(row(2), "b2")
+    one.append(one_row(spark, 2), "b2")
     two.remove(seen.select("id"), "expired")
-    one.append(row(3), "b3")
+    one.append(one_row(spark, 3), "b3")
     assert rows(one.read(), "id") == rows(two.read(), "id") == [(2,), (3,)]
-    # a snapshot hides what was there when it was made, not what comes later
-    two.replace(two.read().filter("id = 2"))
-    one.append(row(4), "b4")
-    one.refresh()
-    assert rows(one.read(), "id") == rows(two.read(), "id") == [(2,), (4,)]
-    # a writer that worked on an older snapshot is refused
-    assert one.replace(one.read()) == 2
-    with pytest.raises(StaleSnapshot):
-        two.replace(row(9))
-    assert two.replace(two.read()) == 3 and rows(two.read(), "id") == [(2,), (4,)]
-    assert len(two.expire_snapshots(keep=1)) == 2 and rows(two.read(), "id") == [(2,), (4,)]
-
-
-def test_appends_between_read_and_replace_stay(spark, tmp_path, rows):
-    path, schema = str(tmp_path / "t"), columns("id int, v string")
-    one, two = (SnapshotTable(spark, path, schema, key="id") for _ in range(2))
-    row = lambda i: spark.createDataFrame([(i, "x")], "id int, v string")
-    # the table has no batch yet when it is read
-    before = two.read()
-    one.append(row(1), "b1")
-    assert two.replace(before) == 1
-    one.refresh()
-    assert rows(one.read(), "id") == rows(two.read(), "id") == [(1,)]
-    # a batch that comes after the read is not in the snapshot, one that was read is not there twice
-    before = two.read().filter("id > 0")
-    one.append(row(2), "b2")
-    assert two.replace(before) == 2
-    one.refresh()
-    assert rows(one.read(), "id") == rows(two.read(), "id") == [(1,), (2,)]
-    # batches of earlier snapshots stay absorbed
-    before = two.read().filter("id = 2")
-    one.append(row(3), "b3")
-    assert two.replace(before) == 3 and rows(two.read(), "id") == [(2,), (3,)]
-    # without a read, the rows stand for all there is
-    assert two.replace(row(9)) == 4
-    two.refresh()
-    assert two.replace(row(8)) == 5 and rows(two.read(), "id") == [(8,)]
+
+
+def test_expiry_deletes_days(spark, tmp_path, rows):
+    made = "id int, at timestamp_ntz, open boolean"
+    store = BatchTable(spark, str(tmp_path / "t"), columns("id int, at timestamp_ntz, open boolean"), key="id", day_of="at")
+    days = spark.createDataFrame([(i, f"2024-01-0{1 + i // 4} 0{i % 4}:00:00", i != 1) for i in range(16)], "id int, at string, open boolean")
+    days = days.withColumn("at", F.col("at").cast("timestamp_ntz"))
+    assert days.schema.simpleString() == columns(made).simpleString()
+    store.append(days.filter("id % 2 = 0"), "even")
+    store.append(days.filter("id % 2 = 1"), "odd")
+    store.append(spark.createDataFrame([(99, None, True)], made), "timeless")
+    store.remove(days.filter("id = 13").select("id"), "resolved")
+    size = sum(f.stat().st_size for f in tmp_path.rglob("*.parquet"))
+    old = (F.col("at") < F.lit("2024-01-03 01:00:00").cast("timestamp_ntz")) & F.col("open")
+    gone = store.expire(old, "e1")
+    # row 1 is not open: its day of its batch stays, without the others
+    assert sorted(r.id for r in store.read().collect()) == [1, 9, 10, 11, 12, 14, 15, 99]
+    assert sorted(g.split("batches/")[1] for g in gone) == [f"batch_id={b}/__day=2024-01-0{d}" for b, d in (("even", 1), ("even", 2), ("odd", 2))]
+    assert all(not os.path.exists(g) for g in gone) and sum(f.stat().st_size for f in tmp_path.rglob("*.parquet")) < size
+    assert "removed/batch_id=resolved" in folders(tmp_path / "t")
+    assert store.expire(F.col("at") < F.lit("2024-02-01").cast("timestamp_ntz"), "e2")
+    # the last rows, and with them the keys that were removed, are gone
+    assert rows(store.read(), "id") == [(99,)]
+    assert folders(tmp_path / "t") == ["batches/batch_id=even", "batches/batch_id=odd", "batches/batch_id=timeless", "batches/batch_id=timeless/__day=__HIVE_DEFAULT_PARTITION__"]
+    assert store.expire(F.lit(True), "e3") and store.read().count() == 0
 
 
 def test_retry_and_retention_keep_what_another_run_appends(warehouse, rows):
@@ -499,12 +530,28 @@ def test_retry_and_retention_keep_what_another_run_appends(warehouse, rows):
     assert rows(wh.orphans.read(), "orphaned_fk_value") == [("8",)]
 
 
+def test_equal_rows_are_loaded_as_often_as_they_came(warehouse, rows):
+    """Late or in time, two equal tickets are two tickets; an hour that is sent again adds nothing."""
+    wh, _, tmp_path = warehouse
+    records = fact_records([1, 9])
+    folder = str(tmp_path / "a")
+    for again in ("a", "b"):
+        paths = [write_csv(f"{folder}/tickets.csv", [t for t in records["tickets.csv"] for _ in range(2)])]
+        paths += [write_json(f"{folder}/{n}", records[n]) for n in ("orders.json", "ticket_events.json")]
+        run_micro_batch(wh, paths, again, moment())
+    assert rows(wh.table("FactTickets").read(), "ticket_id") == [("t1",), ("t1",)]
+    assert rows(wh.orphans.read(), "occurrence") == [(1,), (1,), (2,), (2,)]
+    run_batch(wh, dimension_files(str(tmp_path / "batch/2024-01-02"), (1, 2, 9)), "day2", moment())
+    assert rows(wh.table("FactTickets").read(), "ticket_id") == [("t1",), ("t1",), ("t2",), ("t2",)]
+    assert wh.orphans.read().count() == 0
+
+
 def test_interrupted_retry_is_finished_once(warehouse, rows, monkeypatch):
     wh, _, tmp_path = warehouse
     run_micro_batch(wh, fact_files_in(str(tmp_path / "a"), [1, 9]), "a", moment())
     broken = lambda self, keys, batch_id: (_ for _ in ()).throw(OSError("lost"))
     with monkeypatch.context() as m:
-        m.setattr(SnapshotTable, "remove", broken)
+        m.setattr(BatchTable, "remove", broken)
         with pytest.raises(OSError):
             run_batch(wh, dimension_files(str(tmp_path / "batch/2024-01-02"), (1, 2, 9)), "day2", moment())
     assert wh.orphans.read().count() == 1
