@@ -10,8 +10,9 @@ split applies to them.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.specs import DimRef, JoinStep
@@ -103,6 +104,66 @@ def cross_filter(dim: DataFrame, fact: DataFrame, dim_key: str, fk: str) -> Data
     return dim.join(used, F.col(dim_key) == F.col(_KEY), "left_semi")
 
 
+@dataclass(frozen=True)
+class Edge:
+    """A relationship of a model: ``fk`` of the table ``many`` names a row of the table ``one`` by its ``pk``.
+
+    Filters go from ``one`` to ``many``, and with ``both`` back as well.
+    """
+
+    many: str
+    fk: str
+    one: str
+    pk: str
+    both: bool = False
+
+
+def cross_filter_all(tables: Mapping[str, DataFrame], edges: Iterable[Edge], slicers: Mapping[str, Column]) -> dict[str, DataFrame]:
+    """Every table cut to what the slicers of all tables leave of it.
+
+    Filters travel along the relationships, through any number of tables, by
+    semi-joins on distinct keys.  The relationships must not form a circle; a
+    branch without slicers costs nothing.
+    """
+    edges = list(edges)
+    links: dict[str, list[tuple[str, str, str, bool]]] = {t: [] for t in tables}
+    for e in edges:
+        # (neighbour, own key, its key, whether its filter reaches this table)
+        links[e.many].append((e.one, e.fk, e.pk, True))
+        links[e.one].append((e.many, e.pk, e.fk, e.both))
+    _refuse_circles(links)
+
+    def sliced(name: str, origin: str | None) -> bool:
+        return name in slicers or any(reaches and sliced(n, name) for n, _, _, reaches in links[name] if n != origin)
+
+    def cut(name: str, origin: str | None) -> DataFrame:
+        out = tables[name].filter(slicers[name]) if name in slicers else tables[name]
+        for n, own, other, reaches in links[name]:
+            if n != origin and reaches and sliced(n, name):
+                keys = cut(n, name).select(F.col(other).alias(_KEY)).distinct()
+                out = out.join(keys, F.col(own) == F.col(_KEY), "left_semi")
+        return out
+
+    return {name: cut(name, None) for name in tables}
+
+
+def _refuse_circles(links: Mapping[str, list[tuple[str, str, str, bool]]]) -> None:
+    seen: set[str] = set()
+    for start in links:
+        if start in seen:
+            continue
+        todo: list[tuple[str, str | None]] = [(start, None)]
+        while todo:
+            name, origin = todo.pop()
+            if name in seen:
+                raise ValueError(f"the relationships form a circle at {name!r}")
+            seen.add(name)
+            neighbours = [n for n, *_ in links[name]]
+            if origin is not None:
+                neighbours.remove(origin)
+            todo += [(n, name) for n in neighbours]
+
+
 def existing_keys(keys: DataFrame, column: str, table: DataFrame, pk: str) -> DataFrame:
     """Distinct values of ``column`` that occur as ``pk`` in the table."""
     known = table.select(F.col(pk).alias(_KEY))

@@ -9,7 +9,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DateType, NumericType, StringType, TimestampNTZType, TimestampType
 
 from starloom.functions.derive import elapsed_seconds
 
@@ -37,7 +37,7 @@ def dedup_keep_first(df: DataFrame, keys: Iterable[str], order: Iterable[str]) -
 
 
 def _as_double(df: DataFrame, column: str) -> Column:
-    """Order-preserving number for a numeric, date or timestamp column."""
+    """Number in the order of a numeric, date, timestamp or text column (of texts, by the first six bytes)."""
     dtype, c = df.schema[column].dataType, F.col(column)
     if isinstance(dtype, (DateType, TimestampNTZType)):
         return elapsed_seconds(F.lit("1970-01-01"), c)
@@ -45,6 +45,8 @@ def _as_double(df: DataFrame, column: str) -> Column:
         return F.unix_micros(c).cast("double")
     if isinstance(dtype, NumericType):
         return c.cast("double")
+    if isinstance(dtype, StringType):
+        return F.conv(F.rpad(F.hex(F.substring(c.cast("binary"), 1, 6)), 12, "0"), 16, 10).cast("double")
     raise ValueError(f"no even buckets over {column!r} of type {dtype.simpleString()}; pass a bucket")
 
 
@@ -53,27 +55,45 @@ def bucket_count(df: DataFrame) -> int:
     return BUCKETS_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def with_even_buckets(df: DataFrame, column: str, name: str, buckets: int | None = None) -> DataFrame:
-    """Number the rows' buckets so that each holds about the same share of all rows.
+#: Stands for no value, below all others.
+_NOTHING = -1.7e308
+#: Order columns that buckets look at, so that a bucket's number fits 64 bits.
+_DEEPEST = 3
 
-    The borders are quantiles of the whole column (one pass over it, a list of
-    at most ``buckets`` numbers), so a bucket, and with it every (key, bucket)
-    group, is bounded by 1.5 times its share of the table however the keys are
-    spread.  Rows without a value come first, as they do in an ascending order.
+
+def with_even_buckets(df: DataFrame, columns: str | Iterable[str], name: str, buckets: int | None = None) -> DataFrame:
+    """Number the rows' buckets so that each holds about the same share of all rows, in the order of ``columns``.
+
+    The borders are quantiles of the whole first column (one pass over it, a
+    list of at most ``buckets`` numbers), so a bucket, and with it every (key,
+    bucket) group, is bounded by 1.5 times its share of the table however the
+    keys are spread.  A value that fills more than a bucket gets buckets of its
+    own, with borders from the next column; only then is there another pass.
+    Rows without a value come first, as they do in an ascending order.
     """
+    columns = [columns] if isinstance(columns, str) else list(columns)[:_DEEPEST]
     n = buckets or bucket_count(df)
-    numbered = df.withColumn("__position", _as_double(df, column))
-    borders = numbered.approxQuantile("__position", [i / n for i in range(1, n)], 1 / (4 * n))
-    if not borders:
-        return df.withColumn(name, F.lit(0))
-    cut = Bucketizer(
-        splits=[-math.inf, *sorted(set(borders)), math.inf],
-        inputCol="__position",
-        outputCol="__quantile",
-        handleInvalid="keep",
-    )
-    bucket = F.when(F.col("__position").isNull(), F.lit(-1)).otherwise(F.col("__quantile").cast("int"))
-    return cut.transform(numbered).withColumn(name, bucket).drop("__position", "__quantile")
+    numbered, rest, number = df, df, F.lit(0).cast("long")
+    helpers: list[str] = []
+    for depth, column in enumerate(columns):
+        position = F.coalesce(_as_double(df, column), F.lit(_NOTHING))
+        place, cell = f"__position{depth}", f"__quantile{depth}"
+        found = rest.select(position.alias(place)).approxQuantile(place, [i / n for i in range(1, n)], 1 / (4 * n))
+        heavy = sorted({a for a, b in zip(found, found[1:]) if a == b})
+        cut = Bucketizer(splits=[-math.inf, *sorted(set(found) - {-math.inf, math.inf}), math.inf], inputCol=place, outputCol=cell, handleInvalid="keep") if found else None
+        numbered = numbered.withColumn(place, position)
+        numbered = numbered.withColumn(cell, F.lit(0.0)) if cut is None else cut.transform(numbered)
+        # a heavy value is the lower border of its cell; what else is in the cell comes after it
+        own = F.col(cell).cast("long") * 2 + F.when(F.col(place).isin(heavy), 0).otherwise(1)
+        helpers += [place, cell]
+        within = F.lit(True) if depth == 0 else F.col(f"__heavy{depth - 1}")
+        number = number * (2 * n + 4) + F.when(within, own).otherwise(0)
+        if not heavy:
+            break
+        numbered = numbered.withColumn(f"__heavy{depth}", within & F.col(place).isin(heavy))
+        helpers.append(f"__heavy{depth}")
+        rest = rest.filter(position.isin(heavy))
+    return numbered.withColumn(name, number).drop(*helpers)
 
 
 def neighbour_value(
@@ -89,10 +109,10 @@ def neighbour_value(
 
     Windows run per (key, bucket); the value that crosses a bucket border
     comes from a summary of one row per (key, bucket).  Without a ``bucket``
-    the first order column is cut into even ones.  A given bucket must not
+    the order columns are cut into even ones.  A given bucket must not
     decrease along the order.
     """
-    cut = with_even_buckets(df, order[0], "__bucket") if bucket is None else df.withColumn("__bucket", bucket)
+    cut = with_even_buckets(df, order, "__bucket") if bucket is None else df.withColumn("__bucket", bucket)
     parts = keys + ["__bucket"]
     w = W.partitionBy(*parts).orderBy(*order)
     step = F.lead if following else F.lag

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.calendar import calendar_for, date_dimension, with_hierarchy
 from starloom.operators.joins import (
+    Edge,
     cross_filter,
+    cross_filter_all,
     date_part_join,
     existing_keys,
     join_chain,
@@ -207,6 +212,35 @@ def cross_filter_dim(spark, sf):
     return cross_filter(table(spark, sf, "supplier").select("s_suppkey", "s_name"), lines, "s_suppkey", "l_suppkey")
 
 
+_MODEL_SQL = """WITH lines AS (SELECT * FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+    JOIN nation ON c_nationkey = n_nationkey JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
+  WHERE n_name IN (SELECT n_name FROM nation ORDER BY n_nationkey LIMIT 3) AND p_size < 10)
+SELECT 'part' AS dim, CAST(p_partkey AS BIGINT) AS id FROM part WHERE p_size < 10 AND EXISTS (SELECT 1 FROM lines WHERE lines.l_partkey = part.p_partkey)
+UNION ALL SELECT 'supplier', s_suppkey FROM supplier WHERE EXISTS (SELECT 1 FROM lines WHERE lines.l_suppkey = supplier.s_suppkey)
+UNION ALL SELECT 'orders', o_orderkey FROM orders WHERE EXISTS (SELECT 1 FROM lines WHERE lines.l_orderkey = orders.o_orderkey)
+UNION ALL SELECT 'customer', c_custkey FROM customer WHERE EXISTS (SELECT 1 FROM lines WHERE lines.o_custkey = customer.c_custkey)
+UNION ALL SELECT 'region', r_regionkey FROM region"""
+
+
+@query("cross_filter_model", _MODEL_SQL)
+def cross_filter_model(spark, sf):
+    """Slicers on nations and parts cut all tables that filters reach; regions are filtered by nobody."""
+    names = ("region", "nation", "customer", "orders", "lineitem", "part", "supplier")
+    tables = {t: table(spark, sf, t) for t in names}
+    edges = [
+        Edge("nation", "n_regionkey", "region", "r_regionkey"),
+        Edge("customer", "c_nationkey", "nation", "n_nationkey", both=True),
+        Edge("orders", "o_custkey", "customer", "c_custkey", both=True),
+        Edge("lineitem", "l_orderkey", "orders", "o_orderkey", both=True),
+        Edge("lineitem", "l_partkey", "part", "p_partkey", both=True),
+        Edge("lineitem", "l_suppkey", "supplier", "s_suppkey", both=True),
+    ]
+    left = cross_filter_all(tables, edges, {"nation": F.col("n_nationkey") < 3, "part": F.col("p_size") < 10})
+    keys = {"part": "p_partkey", "supplier": "s_suppkey", "orders": "o_orderkey", "customer": "c_custkey", "region": "r_regionkey"}
+    frames = [left[t].select(F.lit(t).alias("dim"), F.col(k).cast("long").alias("id")) for t, k in keys.items()]
+    return reduce(DataFrame.unionByName, frames)
+
+
 @query(
     "existing_keys",
     """SELECT DISTINCT o_custkey AS custkey FROM orders

@@ -306,6 +306,20 @@ def stream_restart_new_checkpoint(spark, sf):
     return wh.table("FactEvents").read()
 
 
+@query("late_files_loaded", _STREAM_SQL)
+def late_files_loaded(spark, sf):
+    """A third of the events comes when their hour folders are loaded already: the fact is that of a timely load."""
+    wh = _warehouse(spark, "late")
+    _stored_dims(spark, sf, wh)
+    events, hours = table(spark, sf, "events"), f"{wh.root}-raw/stream"
+    late = F.col("event_id") % 3 == 0
+    _write_folders(events.filter(~late), f"{hours}/a")
+    _stream(spark, wh, hours, "first")
+    _write_folders(events.filter(late), f"{hours}/b")
+    _stream(spark, wh, hours, "first")
+    return wh.table("FactEvents").read()
+
+
 @query("stream_replay_idempotent", _STREAM_SQL)
 def stream_replay_idempotent(spark, sf):
     """The same folders sent again by a second stream: its rows are duplicates."""

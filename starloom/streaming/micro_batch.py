@@ -70,7 +70,7 @@ class Arrivals:
         seen = seen.select(F.col("file_date").alias("__date"), F.col("path").alias("__path"))
         known = F.col("file_date").eqNullSafe(F.col("__date")) & (F.col("path") == F.col("__path"))
         self.files.append(found.join(seen, known, "left_anti"), batch_id)
-        # files of a folder loaded earlier are noted, never deleted
+        # files of a folder loaded earlier are noted and never deleted; the folder is loaded again
         mine = self.files.read_batches().filter(F.col(BATCH_ID) == batch_id)
         self.late.append(mine.join(self._loaded_before(batch_id), GROUP, "left_semi"), batch_id)
 
@@ -90,6 +90,15 @@ class Arrivals:
         """Files of the complete folders not loaded before."""
         return self._open_files(batch_id).join(self._complete(batch_id), GROUP, "left_semi")
 
+    def reopened(self, batch_id: str) -> DataFrame:
+        """(batch_id, path): all files of the folders of those triggers to whose folders this one has added files."""
+        late = self.late.read_batches().filter(F.col(BATCH_ID) == batch_id).filter(F.col("file_name").isin(*self.required))
+        loaded = self.loaded.read_batches().withColumnRenamed(BATCH_ID, "__trigger")
+        triggers = loaded.join(late.select(*GROUP).distinct(), GROUP, "left_semi").select("__trigger").distinct()
+        folders = loaded.join(triggers, "__trigger").filter(F.col("__trigger") != batch_id).distinct()
+        known = self.files.read().filter(F.col("file_name").isin(*self.required))
+        return known.join(folders, GROUP).select(F.col("__trigger").alias(BATCH_ID), "path").distinct()
+
     def pending(self) -> DataFrame:
         """Files waiting for the rest of their folder."""
         return self.files.read().join(self.loaded.read().distinct(), GROUP, "left_anti")
@@ -104,8 +113,13 @@ def fact_files(wh: Warehouse) -> list[str]:
 def load_arrivals(
     wh: Warehouse, arrivals: Arrivals, batch: DataFrame, batch_id: str, now: Column | None = None
 ) -> RunReport | None:
-    """One trigger: note the arrivals, load every complete folder, note the folders."""
+    """One trigger: note the arrivals, load every complete folder, note the folders.
+
+    Files that come late for loaded folders load these again, under the name of the trigger that had loaded them: its
+    rows are replaced by what a timely load would have given.
+    """
     arrivals.record(batch, batch_id)
+    _load_late(wh, arrivals, batch_id, now)
     ready = arrivals.ready(batch_id)
     # paths only, bounded by the files per trigger and the open folders
     paths = [r.path for r in ready.select("path").distinct().collect()]
@@ -119,6 +133,16 @@ def load_arrivals(
     return report
 
 
+def _load_late(wh: Warehouse, arrivals: Arrivals, batch_id: str, now: Column | None) -> None:
+    again: dict[str, list[str]] = {}
+    for r in arrivals.reopened(batch_id).collect():  # paths of the folders of the triggers concerned
+        again.setdefault(r[0], []).append(r.path)
+    for trigger, paths in sorted(again.items()):
+        report = run_micro_batch(wh, sorted(paths), trigger, now)
+        if report.errors:
+            raise RuntimeError(f"late files of {trigger} are incomplete: {report.failed}")
+
+
 def arrival_stream(
     spark: SparkSession, root: str, max_files: int = MAX_FILES, archive_dir: str | None = None
 ) -> DataFrame:

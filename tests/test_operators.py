@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions.rules import email_ok, in_range, one_of
 from starloom.operators import finders
-from starloom.operators.joins import cross_filter, join_chain, join_step, star_join
+from starloom.operators.joins import Edge, cross_filter_all, cross_filter, join_chain, join_step, star_join
 from starloom.operators.lookups import (
     split_duplicates,
     split_orphans,
@@ -388,6 +388,23 @@ def test_rejected_keeps_each_reason(spark, rows):
     assert out.select("rejected_id").distinct().count() == 2
 
 
+def test_cross_filter_directions(spark, rows):
+    tables = {
+        "region": spark.createDataFrame([(1,), (2,)], "r int"),
+        "shop": spark.createDataFrame([(1, 1), (2, 2), (3, 1)], "s int, r int"),
+        "sale": spark.createDataFrame([(1, 7), (2, 7), (3, 8), (None, 9)], "s int, g int"),
+        "good": spark.createDataFrame([(7,), (8,), (9,)], "g int"),
+    }
+    edges = [Edge("shop", "r", "region", "r"), Edge("sale", "s", "shop", "s"), Edge("sale", "g", "good", "g", both=True)]
+    left = cross_filter_all(tables, edges, {"region": F.col("r") == 1})
+    assert {t: rows(d) for t, d in left.items()} == {"region": [(1,)], "shop": [(1, 1), (3, 1)], "sale": [(1, 7), (3, 8)], "good": [(7,), (8,)]}
+    # a filter on goods reaches the sales, and not the shops, which do not listen
+    left = cross_filter_all(tables, edges, {"good": F.col("g") == 8})
+    assert rows(left["sale"]) == [(3, 8)] and left["shop"].count() == 3 and left["region"].count() == 2
+    with pytest.raises(ValueError, match="circle"):
+        cross_filter_all(tables, [*edges, Edge("good", "g", "region", "r")], {})
+
+
 def test_numbered_copies(spark, rows, monkeypatch):
     monkeypatch.setattr("starloom.operators.quarantine._COPIES", 3)
     df = spark.createDataFrame([("a", 1)] * 8 + [("a", None)] * 3 + [("b", 1)], "s string, x int").repartition(3)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from starloom.operators.joins import join_step
 from starloom.operators.lookups import split_duplicates, tag_orphans
+from starloom.operators.windows import neighbour_value, with_even_buckets
 from starloom.specs import DimRef, JoinStep
 
 SMALL_LIMITS = {
@@ -68,3 +69,21 @@ def test_copies_of_one_row(hot):
     out = split_duplicates(copies, stored, "k")
     assert out.bad.count() + out.good.count() == 60_000
     assert out.bad.filter("k = 0").count() == hot.filter("k = 0").count() > 20_000
+
+
+def test_one_order_value_is_cut_by_the_next_column(no_broadcast):
+    """All rows of one key share the first order value (or have none): the groups stay even, the neighbours right."""
+    df = no_broadcast.range(0, 20_000, 1, 8).select(
+        F.lit(1).alias("k"), F.expr("if(id % 5 = 4, null, if(id % 5 = 3, id, 7))").alias("day"), F.concat(F.lit("t"), F.lpad(F.col("id").cast("string"), 6, "0")).alias("name"), F.col("id").alias("v")
+    )
+    cut = with_even_buckets(df, ["day", "name"], "b", 20)
+    assert cut.columns == [*df.columns, "b"]
+    sizes = [r["count"] for r in cut.groupBy("b").count().collect()]
+    assert max(sizes) <= 2 * 20_000 / 20
+    # the buckets follow the order
+    edges = sorted((r.b, r.low, r.high) for r in cut.groupBy("b").agg(F.min(F.struct("day", "name")).alias("low"), F.max(F.struct("day", "name")).alias("high")).collect())
+    key = lambda x: (x.day is not None, x.day or 0, x.name)
+    assert all(key(a[2]) < key(b[1]) for a, b in zip(edges, edges[1:]))
+    got = neighbour_value(df, ["k"], ["day", "name"], "v", "before")
+    rows = sorted(got.collect(), key=key)
+    assert [r.before for r in rows] == [None, *[r.v for r in rows[:-1]]]
