@@ -47,9 +47,9 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of 1024 ids."""
+    """Pieces of documents in sequences of 1024 ids, with the ids (little-endian, 32 bits each)."""
     prepare(spark)
-    return pieces(docs)
+    return pieces(docs, with_ids=True)
 
 
 STAGES = [
