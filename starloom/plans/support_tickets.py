@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
+from pyspark.sql import functions as F
+
+from starloom.functions.rules import date_ok, email_ok, in_range, one_of, phone_ok
 from starloom.plans.build import Model
 from starloom.specs import (
     DYNAMIC_DIMENSION,
@@ -12,7 +17,9 @@ from starloom.specs import (
     DateDiff,
     DateKey,
     DimRef,
+    Expr,
     JoinStep,
+    Rule,
     SourceSpec,
     TableSpec,
     Term,
@@ -306,3 +313,31 @@ TABLES = {
 }
 
 MODEL = Model(SOURCES, TABLES)
+
+# The documented row rules, the columns whose history is kept, and the statuses of tickets.
+STATUSES = ("open", "pending", "resolved", "closed")
+TRACKED_CUSTOMER = ("full_name", "email", "phone", "segment_name")
+RULES = {
+    "agents": (("email format", "agent_email", email_ok), ("phone format", "agent_phone", phone_ok), ("date", "hire_date", date_ok)),
+    "customers": (("email format", "email", email_ok), ("phone format", "phone", phone_ok), ("date", "signup_date", date_ok)),
+    "drivers": (("phone format", "driver_phone", phone_ok), ("rating range", "rating_avg", lambda c: in_range(c.try_cast("double"), 0, 5))),
+    "restaurants": (("rating range", "rating_avg", lambda c: in_range(c.try_cast("double"), 0, 5)),),
+    "orders": tuple((f"{c} range", c, lambda x: in_range(x.try_cast("double"), 0)) for c in ("order_amount", "delivery_fee", "discount_amount", "total_amount")),
+    "tickets": (("status values", "status", lambda c: one_of(F.lower(c), STATUSES)), ("refund range", "refund_amount", lambda c: in_range(c.try_cast("double"), 0))),
+}
+
+
+def documented_model() -> Model:
+    """``MODEL`` with all that is documented for it: row rules, history of customers, reopened tickets.
+
+    The event of a ticket carries its old and its new status; a ticket that leaves a closed status for an open one is
+    reopened.
+    """
+    sources = {n: replace(s, rules=tuple(Rule(*r) for r in RULES[n])) if n in RULES else s for n, s in SOURCES.items()}
+    fact = TABLES["FactTickets"]
+    reopened = Expr("is_reopened", "coalesce(old_status in ('resolved', 'closed') and new_status in ('open', 'reopened'), false)")
+    changed = {
+        "CustomersDim": replace(TABLES["CustomersDim"], tracked=TRACKED_CUSTOMER),
+        "FactTickets": replace(fact, derived=(*fact.derived, reopened), keep=(*fact.keep, "is_reopened")),
+    }
+    return Model(sources, {**TABLES, **changed})

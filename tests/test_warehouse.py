@@ -5,6 +5,7 @@ import json
 import os
 import shutil
 from dataclasses import replace
+from datetime import date
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from starloom.plans.build import Model, build_table, table_schema
 from starloom.plans.runner import Warehouse, apply_retention, batch_summary, load_calendar, run_batch, run_micro_batch
-from starloom.plans.support_tickets import MODEL
+from starloom.plans.support_tickets import MODEL, documented_model
 from starloom.queries import load_queries
 from starloom.sources.files import counted, list_files, logical_file, match_sources, read_source, scan, tables_with_files
 from starloom.sources.tables import BatchTable
@@ -306,6 +307,33 @@ def test_generated_dates(spark, tmp_path, rows):
     assert rows(days.filter("date_id = 20240229"), "day", "month", "quarter", "year") == [("Thursday", "February", "Q1", 2024)]
 
 
+def test_documented_model(spark, tmp_path, rows):
+    """Row rules, history of customers, reopened tickets."""
+    wh = Warehouse(spark, str(tmp_path / "wh"), documented_model())
+    days = [str(tmp_path / f"batch/2024-01-0{d}") for d in (1, 2)]
+    assert run_batch(wh, dimension_files(days[0], (1, 2)), "day1", moment("2024-01-01 00:00:00")).failed == {}
+    paths = dimension_files(days[1], (1, 2, 3))
+    with open(f"{days[1]}/customers.csv") as f:
+        changed = f.read().replace("Customer 2", "Customer Two").replace("c3@x.org", "c3-at-x")
+    with open(f"{days[1]}/customers.csv", "w") as f:
+        f.write(changed)
+    run_batch(wh, paths, "day2", moment("2024-01-02 00:00:00"))
+    versions = wh.table("CustomersDim").read()
+    assert rows(versions, "customer_id", "full_name", "is_current") == [(1, "Customer 1", True), (2, "Customer 2", False), (2, "Customer Two", True)]
+    assert rows(versions.filter("not is_current"), "valid_from", "valid_to") == [(date(2024, 1, 1), date(2024, 1, 2))]
+    bad = wh.rejected.read().filter("batch_source = 'customers.csv'")
+    assert rows(bad, "rejected_reason") == [("Rule 'email format' failed on 'email'",)]
+
+    records = fact_records([1, 2, 1])
+    records["tickets.csv"][2]["status"] = "lost"
+    records["ticket_events.json"][1].update(old_status="closed", new_status="open")
+    folder = str(tmp_path / "h")
+    paths = [(write_csv if n.endswith("csv") else write_json)(f"{folder}/{n}", r) for n, r in records.items()]
+    run_micro_batch(wh, paths, "h", moment())
+    assert rows(wh.table("FactTickets").read(), "ticket_id", "is_reopened") == [("t1", False), ("t2", True)]
+    assert rows(wh.rejected.read().filter("batch_source = 'tickets.csv'"), "rejected_reason") == [("Rule 'status values' failed on 'status'",)]
+
+
 def test_history_of_tracked_columns(spark, tmp_path, rows):
     """A dimension with tracked columns keeps its versions."""
     table = replace(MODEL.tables["ChannelsDim"], tracked=("channel_name",))
