@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -272,6 +274,46 @@ def batch_run_dimension(spark, sf):
     return wh.table("CustomersDim").read()
 
 
+@query(
+    "batch_rejections",
+    """SELECT c_custkey AS id, 'no value in c_name' AS reason, 'customer.parquet' AS batch_source FROM customer WHERE c_mktsegment = 'BUILDING'
+       UNION ALL SELECT c_custkey, 'no value in region_name', 'CustomersDim' FROM customer WHERE c_mktsegment <> 'BUILDING' AND c_nationkey >= 20""",
+)
+def batch_rejections(spark, sf):
+    """Rows that a batch rejects: in the source for its required fields, in the built table for its own."""
+    table_ = replace(_CUSTOMERS_DIM, required=(*_CUSTOMERS_DIM.required, "region_name"))
+    wh = Warehouse(spark, scratch_path(spark, "rejections"), Model({s.name: s for s in (_CUSTOMERS, _NATIONS)}, {table_.name: table_}))
+    day = f"{wh.root}-raw/batch/2024-01-01"
+    nameless = F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_name"))
+    table(spark, sf, "customer").withColumn("c_name", nameless).write.parquet(f"{day}/customer.parquet")
+    table(spark, sf, "nation").filter("n_nationkey < 20").write.parquet(f"{day}/nation.parquet")
+    run_batch(wh, [f"{day}/customer.parquet", f"{day}/nation.parquet"], "2024-01-01", F.expr(NOW))
+    key = F.coalesce(*[F.get_json_object("record_payload", f"$.{c}") for c in ("c_custkey", "customer_id")]).cast("long")
+    return wh.rejected.read().select(key.alias("id"), F.col("rejected_reason").alias("reason"), "batch_source")
+
+
+@query(
+    "batch_fault_isolation",
+    """SELECT 'customer.parquet' AS file_name, TRUE AS file_success, count(*) AS total_records FROM customer
+       UNION ALL SELECT 'CustomersDim', TRUE, count(*) FROM customer
+       UNION ALL SELECT 'nation.parquet', FALSE, 0 UNION ALL SELECT 'NationsDim', FALSE, 0""",
+)
+def batch_fault_isolation(spark, sf):
+    """A file that cannot be read and the table that needs it are recorded as failed; the other table is loaded."""
+    tables = (
+        replace(_CUSTOMERS_DIM, sources=("customers",), joins=(), keep=("customer_id", "full_name", "segment_name")),
+        TableSpec("NationsDim", DYNAMIC_DIMENSION, "n_nationkey", ("nations",)),
+    )
+    wh = Warehouse(spark, scratch_path(spark, "faults"), Model({s.name: s for s in (_CUSTOMERS, _NATIONS)}, {t.name: t for t in tables}))
+    day = f"{wh.root}-raw/batch/2024-01-01"
+    table(spark, sf, "customer").write.parquet(f"{day}/customer.parquet")
+    # text in files that are named as parquet
+    table(spark, sf, "nation").select("n_name").write.text(f"{day}/nation.parquet")
+    files = [r.path for r in list_files(spark, day).collect()]  # a few files
+    run_batch(wh, files, "2024-01-01", F.expr(NOW))
+    return wh.run_log.read().filter("stage <> 'batch'").select("file_name", "file_success", "total_records")
+
+
 _STREAM_SQL = """SELECT event_id, user_id AS customer_id, event_type, value, ts, CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS date_key
   FROM events WHERE user_id IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)"""
 

@@ -10,6 +10,7 @@ from starloom.operators.finders import (
     any_true,
     attribute_lookup,
     columns_by_keys,
+    columns_of,
     distinct_values,
     in_range,
     point_lookup,
@@ -631,6 +632,11 @@ def columns_by_ids(spark, sf):
     return columns_by_keys(table(spark, sf, "part"), ["p_partkey", "p_name", "p_brand"], keys, "p_partkey")
 
 
+@query("column_scan", "SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders")
+def column_scan(spark, sf):
+    return columns_of(table(spark, sf, "orders"), ["o_orderkey", "o_orderpriority", "o_totalprice"])
+
+
 @query("all_ids", "SELECT DISTINCT l_orderkey FROM lineitem")
 def all_ids(spark, sf):
     return all_keys(table(spark, sf, "lineitem"), "l_orderkey")
