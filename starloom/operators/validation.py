@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,14 +22,19 @@ def missing_columns(df: DataFrame, spec: SourceSpec) -> list[str]:
     return [c for c in spec.required if c not in df.columns]
 
 
-def type_counts(df: DataFrame, model: StructType) -> DataFrame:
-    """One row: per model column the non-null and the castable count, in one pass."""
-    aggs = []
+def gate_counts(names: Iterable[str], model: StructType) -> list[Column]:
+    """Aggregates of the file gate: per model column the non-null and the castable values."""
+    names, aggs = set(names), []
     for f in model.fields:
-        if f.name in df.columns:
+        if f.name in names:
             aggs.append(F.count(f.name).alias(f"{f.name}_values"))
             aggs.append(F.count_if(type_ok(F.col(f.name), f.dataType)).alias(f"{f.name}_castable"))
-    return df.agg(*aggs)
+    return aggs
+
+
+def type_counts(df: DataFrame, model: StructType) -> DataFrame:
+    """One row: per model column the non-null and the castable count, in one pass."""
+    return df.agg(*gate_counts(df.columns, model))
 
 
 def schema_gate(df: DataFrame, model: StructType) -> DataFrame:
@@ -61,9 +66,14 @@ def schema_errors(df: DataFrame, spec: SourceSpec) -> list[str]:
     missing = missing_columns(df, spec)
     if missing:
         return [f"lacks the columns {missing}"]
-    # one row per column of the model: bounded by the schema, not by the data
-    failed = schema_gate(df, spec.schema).filter(~F.col("passes")).collect()
-    return [f"no value of {r.column_name} is of type {r.expected_type}" for r in failed]
+    # one row, two numbers a column of the model: bounded by the schema, not by the data
+    return gate_errors(type_counts(df, spec.schema).first().asDict(), spec)
+
+
+def gate_errors(counts: Mapping[str, int], spec: SourceSpec) -> list[str]:
+    """Why the whole file must be rejected, from its ``gate_counts``."""
+    failed = [f for f in spec.schema.fields if counts.get(f"{f.name}_values", 0) and not counts[f"{f.name}_castable"]]
+    return [f"no value of {f.name} is of type {type_label(f.dataType)}" for f in failed]
 
 
 def required_reason(required: Iterable[str]) -> Column:

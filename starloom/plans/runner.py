@@ -8,7 +8,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -43,6 +43,9 @@ from starloom.operators.validation import (
     OUTCOME,
     PASSED,
     REASON,
+    gate_counts,
+    gate_errors,
+    missing_columns,
     required_reason,
     schema_errors,
     tag_rows,
@@ -211,14 +214,22 @@ class _Run:
                 self.fail(spec.file, read.errors, started)
                 return None
             raw = read.df
-            errors = schema_errors(raw.drop(CORRUPT), spec) if spec.validate else []
+            errors = missing_columns(raw, spec) if spec.validate else []
+            if errors:
+                errors = schema_errors(raw.drop(CORRUPT), spec)
+                tagged = raw
+            else:
+                # one scan: the frame that forks into good rows, bad rows and counts is written, and the gate counts on the way
+                gate = Observation(f"gate-{spec.name}")
+                counts = gate_counts(raw.columns, spec.schema) if spec.validate else []
+                tagged = stage(tag_rows(raw.observe(gate, *counts) if counts else raw, spec), spec.name, self.scratch)
+                errors = gate_errors(gate.get, spec) if counts else []
             if errors:
                 # the whole file is quarantined under the shared reason
-                self.rejected.append(to_rejected(raw, spec.file, self.now, F.lit("; ".join(errors)), spec.pii))
+                whole = tagged.select(*raw.columns)
+                self.rejected.append(to_rejected(whole, spec.file, self.now, F.lit("; ".join(errors)), spec.pii))
                 self.fail(spec.file, errors, started)
                 return None
-            # the frame forks into good rows, bad rows and counts: compute it once
-            tagged = stage(tag_rows(raw, spec), spec.name, self.scratch)
         except SPARK_ERRORS as e:
             self.broken(spec.file, e, started)
             return None

@@ -26,6 +26,7 @@ from starloom.specs import FACT, columns
 
 ARRIVED_SCHEMA = columns("file_date string, file_hour string, file_name string, path string")
 LOADED_SCHEMA = columns("file_date string, file_hour string")
+DATES_SCHEMA = columns("file_date string, waits boolean")
 GROUP = ["file_date", "file_hour"]
 
 # the columns of Spark's binary file source; the content is never selected
@@ -38,14 +39,42 @@ POLL_SECONDS = 20
 MAX_FILES = 10_000
 
 
+def _on(dates: Sequence[str | None]) -> Column:
+    """On one of these dates; the other folders are not read."""
+    known = F.col("file_date").isin(*[d for d in dates if d is not None])
+    return known | F.col("file_date").isNull() if None in dates else known
+
+
 class Arrivals:
-    """Arrived files, loaded folders and late files of one stream."""
+    """Arrived files, loaded folders and late files of one stream.
+
+    The tables lie in date folders, and a ledger says which dates have folders that wait for files: a trigger reads the
+    dates of its own files and the open ones, not the history.
+    """
 
     def __init__(self, spark: SparkSession, root: str, required: Sequence[str]):
         self.required = list(required)
-        self.files = BatchTable(spark, f"{root}/ArrivedFiles", ARRIVED_SCHEMA)
-        self.loaded = BatchTable(spark, f"{root}/LoadedFolders", LOADED_SCHEMA)
-        self.late = BatchTable(spark, f"{root}/LateFiles", ARRIVED_SCHEMA)
+        self.files = BatchTable(spark, f"{root}/ArrivedFiles", ARRIVED_SCHEMA, partition_by=("file_date",))
+        self.loaded = BatchTable(spark, f"{root}/LoadedFolders", LOADED_SCHEMA, partition_by=("file_date",))
+        self.late = BatchTable(spark, f"{root}/LateFiles", ARRIVED_SCHEMA, partition_by=("file_date",))
+        # one row a date, the last one counts
+        self.dates = BatchTable(spark, f"{root}/OpenDates", DATES_SCHEMA, key="file_date", latest=True)
+
+    def _dates(self, batch_id: str) -> list[str | None]:
+        """Dates of the trigger's files, and those that were open before it."""
+        # one value a date: bounded by the files per trigger, and by the days with incomplete folders
+        own = self.files.read_batches(["file_date"]).filter(F.col(BATCH_ID) == batch_id).select("file_date").distinct()
+        waiting = self.dates.read(without=batch_id).filter("waits").select("file_date")
+        return [r[0] for r in own.union(waiting).distinct().collect()]
+
+    def note_dates(self, batch_id: str) -> None:
+        """Note which of the dates that the trigger has looked at still wait for files."""
+        dates = self._dates(batch_id)
+        waits = self.pending(dates).select(F.col("file_date").alias("__date")).distinct()
+        looked = self.files.read(["file_date"]).filter(_on(dates)).distinct()
+        noted = looked.join(waits, F.col("file_date").eqNullSafe(F.col("__date")), "left")
+        # paths without a date share one entry, which is never closed
+        self.dates.append(noted.select("file_date", (F.col("__date").isNotNull() | F.col("file_date").isNull()).alias("waits")), batch_id)
 
     def _with_all_parts(self, batch: DataFrame) -> DataFrame:
         """The paths of the trigger; of a file in parts also those that wait for a later trigger, so that it is loaded whole."""
@@ -66,42 +95,46 @@ class Arrivals:
             "path",
         )
         # a stream with a new checkpoint lists the same files again
-        seen = self.files.read_batches().filter(F.col(BATCH_ID) != batch_id)
+        dates = [r[0] for r in found.select("file_date").distinct().collect()]
+        seen = self.files.read_batches().filter(_on(dates)).filter(F.col(BATCH_ID) != batch_id)
         seen = seen.select(F.col("file_date").alias("__date"), F.col("path").alias("__path"))
         known = F.col("file_date").eqNullSafe(F.col("__date")) & (F.col("path") == F.col("__path"))
         self.files.append(found.join(seen, known, "left_anti"), batch_id)
         # files of a folder loaded earlier are noted and never deleted; the folder is loaded again
         mine = self.files.read_batches().filter(F.col(BATCH_ID) == batch_id)
-        self.late.append(mine.join(self._loaded_before(batch_id), GROUP, "left_semi"), batch_id)
+        self.late.append(mine.join(self._loaded_before(batch_id, dates), GROUP, "left_semi"), batch_id)
 
-    def _loaded_before(self, batch_id: str) -> DataFrame:
-        return self.loaded.read_batches().filter(F.col(BATCH_ID) != batch_id).select(*GROUP).distinct()
-
-    def _open_files(self, batch_id: str) -> DataFrame:
-        known = self.files.read().filter(F.col("file_name").isin(*self.required))
-        return known.join(self._loaded_before(batch_id), GROUP, "left_anti")
-
-    def _complete(self, batch_id: str) -> DataFrame:
-        open_files = self._open_files(batch_id)
-        counted = open_files.groupBy(*GROUP).agg(F.count_distinct("file_name").alias("n"))
-        return counted.filter(F.col("n") == len(self.required)).select(*GROUP)
+    def _loaded_before(self, batch_id: str, dates: Sequence[str | None]) -> DataFrame:
+        return self.loaded.read_batches().filter(_on(dates)).filter(F.col(BATCH_ID) != batch_id).select(*GROUP).distinct()
 
     def ready(self, batch_id: str) -> DataFrame:
         """Files of the complete folders not loaded before."""
-        return self._open_files(batch_id).join(self._complete(batch_id), GROUP, "left_semi")
+        dates = self._dates(batch_id)
+        known = self.files.read().filter(_on(dates)).filter(F.col("file_name").isin(*self.required))
+        open_files = known.join(self._loaded_before(batch_id, dates), GROUP, "left_anti")
+        counted = open_files.groupBy(*GROUP).agg(F.count_distinct("file_name").alias("n"))
+        complete = counted.filter(F.col("n") == len(self.required)).select(*GROUP)
+        return open_files.join(complete, GROUP, "left_semi")
 
     def reopened(self, batch_id: str) -> DataFrame:
         """(batch_id, path): all files of the folders of those triggers to whose folders this one has added files."""
         late = self.late.read_batches().filter(F.col(BATCH_ID) == batch_id).filter(F.col("file_name").isin(*self.required))
+        groups = late.select(*GROUP).distinct()
+        dates = [r[0] for r in groups.select("file_date").distinct().collect()]  # bounded by the files per trigger
         loaded = self.loaded.read_batches().withColumnRenamed(BATCH_ID, "__trigger")
-        triggers = loaded.join(late.select(*GROUP).distinct(), GROUP, "left_semi").select("__trigger").distinct()
-        folders = loaded.join(triggers, "__trigger").filter(F.col("__trigger") != batch_id).distinct()
-        known = self.files.read().filter(F.col("file_name").isin(*self.required))
+        triggers = loaded.filter(_on(dates)).join(groups, GROUP, "left_semi").select("__trigger").distinct()
+        triggers = [r[0] for r in triggers.collect() if r[0] != batch_id]
+        folders = loaded.filter(F.col("__trigger").isin(triggers)).distinct()
+        dates = [r[0] for r in folders.select("file_date").distinct().collect()] if triggers else []
+        known = self.files.read().filter(_on(dates)).filter(F.col("file_name").isin(*self.required))
         return known.join(folders, GROUP).select(F.col("__trigger").alias(BATCH_ID), "path").distinct()
 
-    def pending(self) -> DataFrame:
+    def pending(self, dates: Sequence[str | None] | None = None) -> DataFrame:
         """Files waiting for the rest of their folder."""
-        return self.files.read().join(self.loaded.read().distinct(), GROUP, "left_anti")
+        files, loaded = self.files.read(), self.loaded.read()
+        if dates is not None:
+            files, loaded = files.filter(_on(dates)), loaded.filter(_on(dates))
+        return files.join(loaded.distinct(), GROUP, "left_anti")
 
 
 def fact_files(wh: Warehouse) -> list[str]:
@@ -124,12 +157,14 @@ def load_arrivals(
     # paths only, bounded by the files per trigger and the open folders
     paths = [r.path for r in ready.select("path").distinct().collect()]
     if not paths:
+        arrivals.note_dates(batch_id)
         return None
     report = run_micro_batch(wh, paths, batch_id, now)
     if report.errors:
         # not noted as loaded: the trigger is repeated when the stream is started again
         raise RuntimeError(f"{batch_id} is incomplete: {report.failed}")
     arrivals.loaded.append(ready.select(*GROUP).distinct(), batch_id)
+    arrivals.note_dates(batch_id)
     return report
 
 

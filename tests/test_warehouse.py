@@ -3,6 +3,7 @@
 import csv
 import json
 import os
+import re
 import shutil
 from dataclasses import replace
 from datetime import date
@@ -285,6 +286,37 @@ def test_stream_of_hour_folders(warehouse, rows):
     ]
 
 
+def test_triggers_read_open_dates_only(spark, tmp_path, rows):
+    """Whatever has been loaded before, a trigger reads the dates of its files and those that wait for files."""
+    arrivals = Arrivals(spark, str(tmp_path / "state"), ["a.csv", "b.csv"])
+    path = "/in/{}/{}/{}"
+
+    def trigger(name, *files):
+        arrivals.record(spark.createDataFrame([(path.format(*f),) for f in files], "path string"), name)
+        ready = arrivals.ready(name)
+        scans = re.findall(r"PartitionFilters: \[(.*?)\], PushedFilters", ready._jdf.queryExecution().executedPlan().toString())
+        dates = [set(re.findall(r"\d{4}-\d\d-\d\d", x)) for x in scans]
+        assert len(scans) >= 2 and all(d == dates[0] for d in dates)
+        read = dates[0]
+        arrivals.loaded.append(ready.select("file_date", "file_hour").distinct(), name)
+        arrivals.note_dates(name)
+        return sorted(r.path for r in ready.collect()), read
+
+    for d in range(1, 6):
+        day = f"2024-01-0{d}"
+        got, read = trigger(f"s-{d}", (day, "10", "a.csv"), (day, "10", "b.csv"), *([(day, "11", "a.csv")] if d == 2 else []))
+        assert got == [path.format(day, "10", f) for f in ("a.csv", "b.csv")]
+        assert read == ({day} if d < 3 else {day, "2024-01-02"})
+    # the folder that waited is completed; its date is closed from now on
+    got, _ = trigger("s-6", ("2024-01-02", "11", "b.csv"))
+    assert got == [path.format("2024-01-02", "11", f) for f in ("a.csv", "b.csv")]
+    got, read = trigger("s-7", ("2024-01-07", "10", "a.csv"))
+    assert got == [] and read == {"2024-01-07"}
+    # a late file names the trigger that had loaded its folder, with all files of that trigger
+    arrivals.record(spark.createDataFrame([("/in/2024-01-03/10/late/a.csv",)], "path string"), "s-8")
+    assert rows(arrivals.reopened("s-8")) == [("s-3", f"/in/2024-01-03/10/{f}") for f in ("a.csv", "b.csv", "late/a.csv")]
+
+
 def test_dimension_keys_are_checked_on_request(spark, tmp_path, rows):
     wh = Warehouse(spark, str(tmp_path / "wh"), MODEL)
     folder = str(tmp_path / "b")
