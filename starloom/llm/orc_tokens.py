@@ -38,15 +38,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end_id:
     """Tokenize ``docs`` and write the files in ascending doc_id order."""
     ordered = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
 
-    def widen(batches):
-        for batch in batches:
-            width = batch.column("width").to_pylist()
-            ids = [np.frombuffer(x.as_py(), f"<u{w}").astype(np.int32) for x, w in zip(batch.column("ids"), width, strict=True)]
-            ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32)))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "part", "begin", "n_tokens")), lists], names=["doc_id", "part", "begin", "n_tokens", "ids"])
-
-    tokenized(ordered, tokenizer, end_id).mapInArrow(widen, SCHEMA).write.format("orc").options(**FORMAT).save(path)
+    tokenized(ordered, tokenizer, end_id, arrays=True).write.format("orc").options(**FORMAT).save(path)
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:

@@ -33,8 +33,11 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 CHUNK_BYTES = 3 << 20
 
 
-def tokenized(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int = END_ID, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, part, begin (in the part), n_tokens, width (bytes of an id), ids; in the order of the rows."""
+def tokenized(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int = END_ID, doc_id: str = "doc_id", text: str = "text", arrays: bool = False) -> DataFrame:
+    """doc_id, part, begin (in the part), n_tokens, ids, in the order of the rows.
+
+    The ids are an array of int with ``arrays``; else the bytes of all of them, and ``width`` says how many an id has.
+    """
 
     def run(batches):
         coder, part, begin = encoder(tokenizer), TaskContext.get().partitionId(), 0
@@ -43,15 +46,17 @@ def tokenized(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int = END_ID,
             for piece in chunks(batch, "text", CHUNK_BYTES):
                 ids, at = coder.column(piece.column("text"), end_id)
                 count = np.diff(at)
-                raw = pa.Array.from_buffers(pa.binary(), len(count), [None, pa.py_buffer((at * width).astype(np.int32)), pa.py_buffer(ids)])
-                yield pa.RecordBatch.from_arrays(
-                    [piece.column("doc_id"), pa.array([part] * len(count), pa.int32()), pa.array(begin + at[:-1]), pa.array(count), pa.array([width] * len(count), pa.int32()), raw],
-                    names=["doc_id", "part", "begin", "n_tokens", "width", "ids"],
-                )
+                made = {"doc_id": piece.column("doc_id"), "part": pa.array(np.full(len(count), part, np.int32)), "begin": pa.array(begin + at[:-1]), "n_tokens": pa.array(count)}
+                if arrays:
+                    made["ids"] = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids.astype(np.int32)))
+                else:
+                    made["width"] = pa.array(np.full(len(count), width, np.int32))
+                    made["ids"] = pa.Array.from_buffers(pa.binary(), len(count), [None, pa.py_buffer((at * width).astype(np.int32)), pa.py_buffer(ids)])
+                yield pa.RecordBatch.from_arrays(list(made.values()), names=list(made))
                 begin += len(ids)
 
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return docs.mapInArrow(run, "doc_id long, part int, begin long, n_tokens long, width int, ids binary")
+    return docs.mapInArrow(run, "doc_id long, part int, begin long, n_tokens long, " + ("ids array<int>" if arrays else "width int, ids binary"))
 
 
 def part_offsets(rows: DataFrame) -> DataFrame:

@@ -26,6 +26,18 @@ def test_encoder_is_the_tokenizer(path, texts):
     assert got == [PLAIN[path].encode(t, add_special_tokens=False).ids for t in texts]
 
 
+@pytest.mark.parametrize("path", [BYTES, LOWER])
+@pytest.mark.parametrize("n", [512, 1024, 4096])
+def test_periodic_pieces(path, n):
+    """Long pieces that a hash linear in the bytes cannot tell apart, in one batch and in a later one."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    made = ["".join(s[b] for b in bits) for s in ("ab", "ba", "xy", "yx")]
+    coder = Encoder(path)
+    for texts in ([f"{a} {b} end" for a in made[:2] for b in made], made[::-1]):
+        got = [np.frombuffer(x, coder.dtype).tolist() for x in coder.encode(texts)]
+        assert got == [PLAIN[path].encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_encoder_starts_anew(monkeypatch):
     monkeypatch.setattr("starloom.llm.tokens.TABLE_ENTRIES", 3)
     coder = Encoder(BYTES)
