@@ -1,7 +1,7 @@
 """Quality rules as a ledger: every rule is evaluated once, policies and ablations read its bits.
 
 ``ledger`` measures each text and stores the measurements and one failure bit for each rule.  A policy is a version and
-a mask of the rules that count; ``apply_policy`` is one bitwise and.  ``ablations`` reduces the ledger to its distinct
+a mask of the rules that count; ``apply_policy`` is one bitwise and, and each verdict names the policies that keep a text.  ``ablations`` reduces the ledger to its distinct
 bit patterns (2 ** rules at most) and asks of each policy and each of its rules what would change without the rule.
 All of it is column expressions; nothing is shuffled but the counts of patterns.
 
@@ -135,7 +135,26 @@ def ablations(entries: DataFrame, policies: tuple[Policy, ...] = POLICIES) -> Da
     )
 
 
+def sole_rule(policy: Policy = DEFAULT) -> Column:
+    """The rule that alone rejects a text of ``apply_policy``, null if none or several do."""
+    return F.coalesce(*[F.when(F.col("counted") == 1 << k, F.lit(name)) for k, name in enumerate(RULES) if policy.mask >> k & 1])
+
+
+def kept_by(policies: tuple[Policy, ...] = POLICIES) -> Column:
+    """The versions of the policies that keep a text, joined by commas."""
+    return F.concat_ws(",", *[F.when(F.col("failed").bitwiseAND(F.lit(p.mask)) == 0, F.lit(p.version)) for p in policies])
+
+
 def verdicts(docs: DataFrame, policy: Policy = DEFAULT) -> DataFrame:
-    """The ledger of ``docs``, written once, under a policy."""
-    judged = apply_policy(stage(ledger(docs), "quality-ledger"), policy)
-    return judged.withColumn("base_failed", F.col("failed").bitwiseAND(F.lit(mask(*BASE_RULES))) != 0)
+    """The ledger of ``docs``, written once, under a policy, with the ablation of the rule that decides a text.
+
+    ``sole_rule`` is the rule that alone rejects the text (null: none, or several); ``n_only`` counts the texts that this
+    rule alone rejects, ``n_kept_without`` those that the policy would keep without it.
+    """
+    entries = stage(ledger(docs), "quality-ledger")
+    judged = apply_policy(entries, policy).withColumns(
+        {"base_failed": F.col("failed").bitwiseAND(F.lit(mask(*BASE_RULES))) != 0, "kept_by": kept_by(), "sole_rule": sole_rule(policy)}
+    )
+    # one row a rule
+    without = ablations(entries, (policy,)).select(F.col("rule").alias("sole_rule"), "n_only", "n_kept_without")
+    return judged.join(F.broadcast(without), "sole_rule", "left")

@@ -11,7 +11,7 @@ from starloom.llm.orc_tokens import checksums, read_tokens, write_tokens
 from starloom.llm.packing import pieces
 from starloom.llm.piece_viterbi import round_trip
 from starloom.llm.prefix_trie import shared_openings, trie_nodes, turn_lists
-from starloom.llm.quality_ledger import BASE_RULES, DEFAULT, RULES, mask, verdicts
+from starloom.llm.quality_ledger import BASE_RULES, DEFAULT, POLICIES, RULES, mask, verdicts
 from starloom.llm.runtime import prepare, table
 from starloom.llm.secret_scan import listed, scan
 from starloom.llm.subspace_join import near_vectors
@@ -113,9 +113,14 @@ _WORDS_SQL = r"""WITH d AS (SELECT doc_id, row_number() OVER () AS r, coalesce(t
 
 def _quality_sql() -> str:
     bits = " + ".join(f"CASE WHEN {rule} THEN {1 << k} ELSE 0 END" for k, rule in enumerate(RULES.values()))
-    return f"""{_WORDS_SQL} bits AS (SELECT *, {bits} AS failed FROM m)
+    sole = " ".join(f"WHEN {1 << k} THEN '{name}'" for k, name in enumerate(RULES) if DEFAULT.mask >> k & 1)
+    versions = ", ".join(f"CASE WHEN failed & {p.mask} = 0 THEN '{p.version}' END" for p in POLICIES)
+    return f"""{_WORDS_SQL} bits AS (SELECT *, {bits} AS failed FROM m),
+      judged AS (SELECT *, failed & {DEFAULT.mask} = 0 AS kept, CASE failed & {DEFAULT.mask} {sole} END AS sole_rule FROM bits),
+      rules AS (SELECT sole_rule, count(*) AS n_only FROM judged WHERE sole_rule IS NOT NULL GROUP BY sole_rule)
       SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed & {mask(*BASE_RULES)} <> 0 AS base_failed,
-             failed & {DEFAULT.mask} = 0 AS kept, CAST(failed AS BIGINT) AS failed, '{DEFAULT.version}' AS policy FROM bits"""
+             kept, CAST(failed AS BIGINT) AS failed, '{DEFAULT.version}' AS policy, concat_ws(',', {versions}) AS kept_by, sole_rule,
+             n_only, n_only + (SELECT count(*) FROM judged WHERE kept) AS n_kept_without FROM judged LEFT JOIN rules USING (sole_rule)"""
 
 
 ORACLES["op7_quality_rules"] = _quality_sql()
@@ -123,9 +128,10 @@ ORACLES["op7_quality_rules"] = _quality_sql()
 
 @query("op7_quality_rules")
 def op7(spark, sf_dir):
-    """Measurements, failed rules and verdict of each text."""
-    columns = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "failed", "policy")
-    return verdicts(table(spark, sf_dir, "documents")).select(*columns)
+    """Measurements, failed rules and verdict of each text, and the ablation of the rule that alone rejects it."""
+    columns = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    more = ("failed", "policy", "kept_by", "sole_rule", "n_only", "n_kept_without")
+    return verdicts(table(spark, sf_dir, "documents")).select(*columns, *more)
 
 
 @query("op9_secret_scans")

@@ -70,6 +70,20 @@ def test_ablations(docs, texts):
     assert got == want
 
 
+def test_verdicts_hold_their_ablation(docs, texts):
+    bits = [failed(measured(t)) for t in texts]
+    for policy in POLICIES:
+        counted = [b & policy.mask for b in bits]
+        got = {r.doc_id: r for r in verdicts(docs, policy).collect()}
+        assert len(got) == len(texts)
+        for i, b in enumerate(bits):
+            sole = [r for k, r in enumerate(RULES) if counted[i] == 1 << k]
+            want = (sole[0], counted.count(counted[i]), counted.count(0) + counted.count(counted[i])) if sole else (None, None, None)
+            assert (got[i].sole_rule, got[i].n_only, got[i].n_kept_without) == want
+            assert got[i].kept_by == ",".join(p.version for p in POLICIES if b & p.mask == 0)
+    assert any(r.sole_rule for r in got.values())
+
+
 def test_empty_and_plan(docs, no_docs):
     assert verdicts(no_docs).collect() == []
     plan = ledger(docs.sparkSession.createDataFrame([(1, "a")], "doc_id long, text string"))._jdf.queryExecution().executedPlan().toString()
