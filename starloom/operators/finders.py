@@ -29,6 +29,11 @@ def distinct_values(table: DataFrame, column: str) -> DataFrame:
     return table.select(column).dropna().distinct()
 
 
+def distinct_rows(table: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
+    """Each combination of ``columns`` (default: all) once, null equal to null; reduced before the shuffle."""
+    return (table.select(*columns) if columns else table).distinct()
+
+
 def columns_by_keys(table: DataFrame, columns: Iterable[str], keys: DataFrame, key: str) -> DataFrame:
     """Columns of the rows whose key is in ``keys`` (a frame with column ``key``)."""
     wanted = keys.select(F.col(key).alias("__key")).distinct()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -56,9 +56,9 @@ def payload(columns: Iterable[str]) -> Column:
     return F.to_json(F.struct(*columns), JSON_OPTIONS)
 
 
-def unpack(df: DataFrame, column: str, schema: StructType) -> DataFrame:
-    """Payload text back to typed columns."""
-    return df.select(F.from_json(F.col(column), schema, JSON_OPTIONS).alias("__row")).select("__row.*")
+def unpack(df: DataFrame, column: str, schema: StructType, beside: Sequence[str] = ()) -> DataFrame:
+    """Payload text back to typed columns, behind the columns ``beside`` it."""
+    return df.select(*beside, F.from_json(F.col(column), schema, JSON_OPTIONS).alias("__row")).select(*beside, "__row.*")
 
 
 def to_rejected(

@@ -7,13 +7,16 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.operators.finders import distinct_rows
 from starloom.operators.validation import to_model
 from starloom.plans.build import Model, build_table, prepare_source
+from starloom.plans.mapping import model_from_mapping
 from starloom.plans.runner import Warehouse, run_batch, stream_summary
 from starloom.queries.registry import query
 from starloom.queries.roles import FACT_SQL, table
 from starloom.session import scratch_path
 from starloom.sources.files import date_hour_from_path, list_files, read_source
+from starloom.sources.tables import BatchTable
 from starloom.specs import (
     DYNAMIC_DIMENSION,
     FACT,
@@ -142,12 +145,17 @@ def path_partitions(spark, sf):
 
 @query("table_scan", "SELECT * FROM part")
 def table_scan(spark, sf):
-    return table(spark, sf, "part")
+    """A whole warehouse table, written in two batches."""
+    part = table(spark, sf, "part")
+    store = BatchTable(spark, scratch_path(spark, "table-scan"), part.schema)
+    store.append(part.filter("p_size < 25"), "small")
+    store.append(part.filter("p_size >= 25 or p_size is null"), "others")
+    return store.read()
 
 
 @query("dedup_rows_scan", "SELECT DISTINCT * FROM lineitem")
 def dedup_rows_scan(spark, sf):
-    return table(spark, sf, "lineitem").distinct()
+    return distinct_rows(table(spark, sf, "lineitem"))
 
 
 # ---- declarative builds: the driver tables as prepared sources
@@ -334,6 +342,52 @@ def stream_micro_batch(spark, sf):
     return wh.table("FactEvents").read()
 
 
+# the same warehouse as a mapping, as it would be read from a file
+_EVENT_MAPPING = {
+    "files": {
+        "customers": {"file_name": "customer.parquet", "model_class": "Customer", "required_fields": ["c_custkey", "c_name"], "pii_fields": ["c_name"]},
+        "nations": {"file_name": "nation.parquet", "file_type": "static", "model_class": "Nation"},
+        "events": {"file_name": "events.json", "file_type": "dynamic", "model_class": "Event", "required_fields": ["event_id", "user_id"], "json_lines": True},
+    },
+    "tables": {
+        "CustomersDim": {
+            "source": ["customers", "nations"],
+            "joins": [{"left": "customers", "right": ["nations"], "left_keys": ["c_nationkey"], "right_keys": ["n_nationkey"], "type": "left"}],
+            "renamed_columns": {"c_custkey": "CUSTOMER_ID", "c_name": "full_name", "n_name": "region_name", "c_mktsegment": "segment_name"},
+            "table_type": "dynamic_dimension",
+            "primary_key": "customer_id",
+            "keep_columns": ["CUSTOMER_ID", "full_name", "region_name", "segment_name", "c_acctbal"],
+            "required_fields": ["customer_id", "full_name"],
+        },
+        "FactEvents": {
+            "source": "events",
+            "renamed_columns": {"user_id": "customer_id", "date_key_event": "DATE_KEY"},
+            "dimension_sources": [{"dim": "CustomersDim", "fk": "customer_id", "type": "left"}],
+            "table_type": "fact",
+            "primary_key": "event_id",
+            "keep_columns": ["event_id", "customer_id", "event_type", "value", "ts", "DATE_KEY"],
+            "date_columns": ["ts", "DATE_KEY"],
+            "aggregated_columns": [
+                {"component": "Transformer", "actions": [{"name": "date_key_event", "type": "date_to_key", "params": {"column": "ts"}}]}
+            ],
+        },
+        "RejectedRecords": {"table_type": "quarantine_zone", "primary_key": "rejected_id"},
+    },
+}
+_EVENT_SCHEMAS = {"Customer": _CUSTOMERS.schema, "Nation": _NATIONS.schema, "Event": EVENTS_JSON.schema}
+
+
+@query("mapped_model_run", _STREAM_SQL)
+def mapped_model_run(spark, sf):
+    """A warehouse from a mapping: the daily snapshot of its dimension, then its fact from hour folders."""
+    wh = Warehouse(spark, scratch_path(spark, "mapped"), model_from_mapping(_EVENT_MAPPING, _EVENT_SCHEMAS))
+    _loaded_dims(spark, sf, wh)
+    hours = f"{wh.root}-raw/stream"
+    _write_folders(table(spark, sf, "events"), hours)
+    _stream(spark, wh, hours, "mapped")
+    return wh.table("FactEvents").read()
+
+
 @query("stream_restart_new_checkpoint", _STREAM_SQL)
 def stream_restart_new_checkpoint(spark, sf):
     """A stream of the same name with a new checkpoint adds to what the first one has loaded."""

@@ -11,6 +11,7 @@ from starloom.operators.finders import (
     attribute_lookup,
     columns_by_keys,
     columns_of,
+    distinct_rows,
     distinct_values,
     in_range,
     point_lookup,
@@ -496,7 +497,7 @@ def payload_json(spark, sf):
 
 @query("payload_field", "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")
 def payload_field(spark, sf):
-    return table(spark, sf, "events").select("event_id", F.get_json_object("props", "$.k").alias("k"))
+    return unpack(table(spark, sf, "events"), "props", columns("k string"), ["event_id"])
 
 
 @query(
@@ -661,7 +662,7 @@ def date_key_range(spark, sf):
 )
 def ts_range(spark, sf):
     low, high = F.expr("timestamp_ntz '2024-01-10 06:00:00'"), F.expr("timestamp_ntz '2024-01-20 18:00:00'")
-    return table(spark, sf, "events").select("event_id", "ts").filter(F.col("ts").between(low, high))
+    return columns_of(in_range(table(spark, sf, "events"), "ts", low, high), ["event_id", "ts"])
 
 
 @query(
@@ -713,5 +714,5 @@ def slicer_hierarchy(spark, sf):
 
 
 @query("distinct_rows", "SELECT DISTINCT l_suppkey, l_returnflag, l_linestatus FROM lineitem")
-def distinct_rows(spark, sf):
-    return table(spark, sf, "lineitem").select("l_suppkey", "l_returnflag", "l_linestatus").distinct()
+def distinct_rows_query(spark, sf):
+    return distinct_rows(table(spark, sf, "lineitem"), ["l_suppkey", "l_returnflag", "l_linestatus"])
