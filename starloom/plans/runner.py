@@ -52,7 +52,7 @@ from starloom.operators.validation import (
 )
 from starloom.operators.windows import latest_per_key
 from starloom.plans.build import Model, bad_rows, build_table, good_rows, table_schema
-from starloom.session import delete_folder, scratch_path, stage
+from starloom.session import delete_folder, exclusive, scratch_path, stage
 from starloom.sources.files import CORRUPT, SPARK_ERRORS, error_text, match_sources, scan, tables_with_files
 from starloom.sources.tables import BATCH_ID, BatchTable
 from starloom.specs import FACT, SourceSpec, TableSpec, columns
@@ -75,6 +75,9 @@ FILE, TABLE, BATCH = "file", "table", "batch"
 
 _ROW, _NEWEST = "__row", "__newest"
 
+# seconds after which the mark of a running retry is taken for that of a dead one
+RETRY_LEASE = 24 * 3600
+
 # tables or sources whose jobs are submitted at the same time
 PARALLEL_LOADS = 8
 
@@ -139,6 +142,8 @@ class RunReport:
     loaded: list[str] = field(default_factory=list)
     failed: dict[str, list[str]] = field(default_factory=dict)
     errors: list[str] = field(default_factory=list)
+    # quarantined facts were tried again; not if another run is doing it
+    retried: bool = False
 
 
 def _now_or(now: Column | None) -> Column:
@@ -388,7 +393,7 @@ def run_batch(
     run = _Run(wh, batch_id or f"batch-{uuid.uuid4().hex}", now)
     _load(run, False, paths, check_dimension_keys)
     report = run.finish()
-    retry_quarantine(wh)
+    report.retried = retry_quarantine(wh)
     return report
 
 
@@ -417,14 +422,22 @@ def _apply_retry(wh: Warehouse, plan: DataFrame, retry_id: str) -> None:
     wh.orphans.remove(plan.select("quarantine_id"), retry_id)
 
 
-def retry_quarantine(wh: Warehouse) -> None:
-    """Load orphans whose dimensions have arrived.
+def retry_quarantine(wh: Warehouse) -> bool:
+    """Load orphans whose dimensions have arrived; false if another retry of the warehouse is running.
 
     What is going to be loaded is written down first, under a name of its own.
     A retry that stops halfway is finished by the next one under that name, so
     nothing is loaded twice; rows quarantined meanwhile are not touched.  One
-    retry runs at a time.
+    retry runs at a time: two at once would both load what both find ready.
+    What a retry leaves because another one runs, the next one finds.
     """
+    with exclusive(wh.spark, f"{wh.root}/OrphanRetries.running", RETRY_LEASE) as alone:
+        if alone:
+            _retry(wh)
+    return alone
+
+
+def _retry(wh: Warehouse) -> None:
     held = wh.orphans.read()
     open_ids = held.select("quarantine_id")
     begun = wh.retries.read_batches().join(open_ids, "quarantine_id", "left_semi").select(BATCH_ID).distinct()

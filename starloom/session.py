@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings every job of this library wants.  They only let Spark
@@ -80,6 +84,41 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+@contextmanager
+def exclusive(spark: SparkSession, path: str, lease_seconds: float) -> Iterator[bool]:
+    """Whether this run alone holds the file ``path``, which it creates and in the end deletes.
+
+    Rests on the exclusive create of the store.  A file older than the lease is left from a run that died, and is taken
+    over.
+    """
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = file.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def create() -> bool:
+        try:
+            store.create(file, False).close()
+        except Py4JJavaError:
+            if store.exists(file):
+                return False
+            raise
+        return True
+
+    def made() -> int | None:
+        return store.getFileStatus(file).getModificationTime() if store.exists(file) else None
+
+    held = create()
+    if not held and (since := made()) is not None and time.time() - since / 1000 > lease_seconds:
+        store.delete(file, False)
+        held = create()
+    since = made() if held else None
+    try:
+        yield held
+    finally:
+        # not that of a run that has taken over
+        if held and made() == since:
+            store.delete(file, False)
+
+
 def stage(df: DataFrame, name: str, scratch: str | None = None) -> DataFrame:
     """Write ``df`` to the shared scratch area and read it back.
 

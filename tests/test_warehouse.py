@@ -12,10 +12,12 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from starloom.plans import runner
 from starloom.plans.build import Model, build_table, table_schema
 from starloom.plans.runner import Warehouse, apply_retention, batch_summary, load_calendar, run_batch, run_micro_batch
 from starloom.plans.support_tickets import MODEL, documented_model
 from starloom.queries import load_queries
+from starloom.session import exclusive
 from starloom.sources.files import counted, list_files, logical_file, match_sources, read_source, scan, tables_with_files
 from starloom.sources.tables import BatchTable
 from starloom.specs import SourceSpec, columns
@@ -621,6 +623,46 @@ def test_interrupted_retry_is_finished_once(warehouse, rows, monkeypatch):
     assert wh.orphans.read().count() == 0
 
 
+def test_one_retry_at_a_time(warehouse, rows, monkeypatch):
+    """A retry that begins while another one loads does nothing; what it leaves, the next one finds."""
+    wh, _, tmp_path = warehouse
+    run_micro_batch(wh, fact_files_in(str(tmp_path / "a"), [1, 9, 8]), "a", moment())
+    apply, seen = runner._apply_retry, []
+
+    def meanwhile(*args):
+        if not seen:
+            seen.append(None)
+            later = run_batch(Warehouse(wh.spark, wh.root, MODEL), dimension_files(str(tmp_path / "batch/2024-01-03"), (1, 2, 8, 9)), "day3", moment())
+            seen[0] = (later.loaded != [], later.retried)
+        apply(*args)
+
+    with monkeypatch.context() as m:
+        m.setattr(runner, "_apply_retry", meanwhile)
+        first = run_batch(wh, dimension_files(str(tmp_path / "batch/2024-01-02"), (1, 2, 9)), "day2", moment())
+    assert first.retried and seen == [(True, False)]
+    assert rows(wh.table("FactTickets").read(), "ticket_id") == [("t1",), ("t2",)]
+    assert runner.retry_quarantine(wh)
+    assert rows(wh.table("FactTickets").read(), "ticket_id") == [("t1",), ("t2",), ("t3",)]
+    assert wh.orphans.read().count() == 0
+
+
+def test_exclusive(spark, tmp_path):
+    path = f"{tmp_path}/deep/running"
+    with exclusive(spark, path, 60) as one:
+        with exclusive(spark, path, 60) as two:
+            assert (one, two) == (True, False)
+        assert os.path.exists(path)
+    assert not os.path.exists(path)
+    with pytest.raises(KeyError), exclusive(spark, path, 60):
+        raise KeyError
+    assert not os.path.exists(path)
+    # the mark of a dead run, and a run that outlives its lease
+    with exclusive(spark, path, 60) as slow:
+        os.utime(path, (0, 0))
+        with exclusive(spark, path, 60) as taken:
+            assert slow and taken and os.path.getmtime(path) > 0
+
+
 def test_new_checkpoint_adds(warehouse, rows):
     wh, _, tmp_path = warehouse
     root = str(tmp_path / "stream")
