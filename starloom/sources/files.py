@@ -109,6 +109,11 @@ def _csv(spark: SparkSession, spec: SourceSpec, paths: list[str]) -> DataFrame:
     return reader.schema(schema).csv(paths).withColumn(CORRUPT, extra_field)
 
 
+# Parsed as a stream (multiLine), a file is opened again for each number in it, to keep the digits as they were written.  As
+# one long line it is read once.  Spark cuts lines at this byte, which no JSON text in UTF-8 has
+WHOLE_FILE = {"lineSep": "\0"}
+
+
 def read_source(
     spark: SparkSession, spec: SourceSpec, paths: Sequence[str], with_file: bool = False, with_corrupt: bool = False
 ) -> DataFrame:
@@ -126,7 +131,7 @@ def read_source(
     elif spec.format in ("json", "jsonl"):
         lines = spec.json_lines or spec.format == "jsonl"
         schema = StructType([*text_schema(spec).fields, StructField(CORRUPT, StringType())])
-        df = spark.read.schema(schema).options(multiLine=str(not lines).lower(), columnNameOfCorruptRecord=CORRUPT).json(paths)
+        df = spark.read.schema(schema).options(columnNameOfCorruptRecord=CORRUPT, **({} if lines else WHOLE_FILE)).json(paths)
     elif spec.format == "parquet":
         df = spark.read.parquet(*paths)
         df = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns], F.lit(None).cast("string").alias(CORRUPT))

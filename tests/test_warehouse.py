@@ -717,6 +717,25 @@ def test_json_arrays_are_bounded(spark, tmp_path, rows, monkeypatch):
     assert sum(map(len, arrays)) == 100 and max(map(len, arrays)) <= 16
 
 
+def test_json_arrays_are_read_once(spark, tmp_path, rows):
+    made = [{"a": i, "b": i / 7, "c": "é\n"} for i in range(2000)]
+    file = tmp_path / "x.json"
+    file.write_text(json.dumps(made, indent=1, ensure_ascii=False).replace('"a": 7,', '"a": 7.10,'))
+    # not UTF-8: malformed, never other values
+    (tmp_path / "y.json").write_bytes('[{"a": 7.10}]'.encode("utf-16"))
+    spec = SourceSpec("x", "x.json", columns("a string, b string, c string"))
+
+    def bytes_read():
+        return sum(s.getBytesRead() for s in spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics())
+
+    before = bytes_read()
+    got = rows(read_source(spark, spec, [str(file)]))
+    assert bytes_read() - before < 3 * file.stat().st_size
+    assert got == sorted([("7.10" if r["a"] == 7 else str(r["a"]), repr(r["b"]), r["c"]) for r in made], key=repr)
+    other = read_source(spark, spec, [str(tmp_path / "y.json")], with_corrupt=True).collect()
+    assert other and all(r.malformed_record is not None for r in other)
+
+
 def test_malformed_records_are_kept_as_text(spark, tmp_path, rows):
     wh = Warehouse(spark, str(tmp_path / "wh"), MODEL)
     folder = tmp_path / "b"
