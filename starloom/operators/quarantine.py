@@ -87,11 +87,13 @@ _COPIES = 1000
 def numbered_copies(df: DataFrame, name: str) -> DataFrame:
     """``df`` with equal rows numbered from 1.
 
-    Equal rows are counted on the map side and dealt out again in chunks, so any number of them is spread over tasks.
+    Equal rows are counted on the map side and dealt out again in chunks, so any number of them is spread over tasks.  All
+    partitions are kept: a chunk of many rows is of few bytes, and Spark would put them together by their bytes.
     """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     n, chunk = F.col("__copies"), F.col("__chunk")
     counted = df.groupBy(*df.columns).agg(F.count("*").alias("__copies"))
-    chunks = counted.withColumn("__chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / _COPIES)))).hint("rebalance")
+    chunks = counted.withColumn("__chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / _COPIES)))).repartition(tasks)
     first = chunk * _COPIES + 1
     return chunks.select(*df.columns, F.explode(F.sequence(first, F.least(first + (_COPIES - 1), n))).alias(name))
 

@@ -412,6 +412,12 @@ def test_numbered_copies(spark, rows, monkeypatch):
     assert rows(numbered_copies(df, "occurrence")) == sorted(want, key=repr)
 
 
+def test_copies_of_few_rows_are_spread(spark):
+    df = spark.range(50_000).select(F.lit("a").alias("x"))
+    parts = numbered_copies(df, "occurrence").groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in parts) == 50_000 and len(parts) > 4
+
+
 def test_orphan_retention(spark, rows):
     df = spark.sql(
         "select * from values (1, timestamp_ntz'2024-01-01', false), (2, timestamp_ntz'2024-01-01', true), "
