@@ -5,7 +5,8 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
 
 from conftest import prose
 from starloom.llm.toxicity import fit, threshold, toxicity
@@ -50,6 +51,19 @@ def test_held_out_labels_are_not_learned(llm):
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
 
 
+def test_every_labelled_row_is_learned_from(llm, monkeypatch):
+    # of more than 3,000 toxic rows, those with the largest hashes have a word of their own
+    monkeypatch.setattr("starloom.llm.toxicity.SHARD_BYTES", 200_000)
+    r = F.row_number().over(W.partitionBy("toxic").orderBy(F.xxhash64("id")))
+    made = llm.range(9000).withColumn("toxic", (F.col("id") % 2).cast("int")).withColumn("late", (r > 4000) & (F.col("toxic") == 1))
+    word = F.when(F.col("late"), "rareling").when(F.col("toxic") == 1, "nastor").otherwise(F.concat(F.lit("plain"), F.col("id") % 7))
+    docs = made.select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit("the river"), word, F.lit("runs by")).alias("text"), F.lit("en").alias("lang"))
+    labels = made.select(F.col("id").alias("doc_id"), "toxic")
+    got = toxicity(docs, labels).join(made, F.col("doc_id") == F.col("id"))
+    assert got.filter("late").count() == 500
+    assert got.filter("predicted <> toxic").count() == 0
+
+
 def test_awkward_rows(llm, awkward_docs, awkward, no_docs):
     labels = llm.createDataFrame([(1, 1), (2, 0), (3, None), (None, 1), (4, 0), (6, 1), (999, 1)], "doc_id long, toxic int")
     got = toxicity(awkward_docs, labels).collect()
