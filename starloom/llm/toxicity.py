@@ -9,7 +9,8 @@ The decision threshold is calibrated for each language on training rows that the
 At scoring, the language is guessed from the words of the text; the columns lang, source and labels are not read.
 
 The fit takes every labelled row outside the held-out fold, whole texts.  They are dealt into shards of about
-``SHARD_BYTES`` by hash of the doc_id.  In each of ``ROUNDS`` rounds a shard trains on its rows from the common model, and
+``SHARD_BYTES`` by hash of the doc_id; the shuffle that brings them to their labels deals them, each shard is written to one
+file, and everything after it reads these files, so a text is shuffled once.  In each of ``ROUNDS`` rounds a shard trains on its rows from the common model, and
 the changes are averaged over the shards that made them, block by block; one row in five is left to the thresholds, which
 are read from counts by log odds in steps of 1 / ``STEPS``.  Only the model and such counts, of fixed size for each
 language, reach the driver.  All sums are taken in the order of the shards, so a repeated run gives the same scores.
@@ -27,11 +28,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.kernels import U64, Spans, text_bytes, word_spans
-from starloom.llm.runtime import chunks, crc_mod, map_runs, map_texts, maybe_among, stage
+from starloom.llm.runtime import chunks, crc_mod, map_runs, map_texts, maybe_among, runs, stage
 
 #: Bytes of text that train together in one task, all of them being shared out.
 SHARD_BYTES = 16 << 20
@@ -263,13 +265,25 @@ def threshold(logits: np.ndarray, toxic: np.ndarray, otherwise: float = 0.0, lea
     return float(value[k] - 1 if k + 1 == len(value) else (value[k] + value[k + 1]) / 2)
 
 
+def _labelled(texts: pa.Table, known: pa.Table) -> pa.Table:
+    """The texts of a shard that have a label, with it, in an order that does not depend on how they came."""
+    known = known.group_by("doc_id").aggregate([("toxic", "max")])
+    place = pc.index_in(texts["doc_id"], known["doc_id"])
+    toxic = pc.not_equal(known["toxic_max"].take(place), 0).cast(pa.int32())
+    texts = texts.append_column("toxic", toxic).filter(place.is_valid())
+    return texts.select(["doc_id", "text", "lang", "toxic", "shard"]).sort_by([(c, "ascending") for c in ("doc_id", "text", "lang")])
+
+
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, text, lang, toxic (0 or 1) of all labelled rows outside the held-out fold."""
+    """doc_id, text, lang, toxic (0 or 1), shard of all labelled rows outside the held-out fold; a shard in one partition."""
     known = labels.filter("toxic is not null and doc_id is not null").filter(crc_mod("doc_id", FOLDS) != 0)
-    known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.max("toxic") != 0).cast("int").alias("toxic"))
+    known = known.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("double").alias("toxic"))
     # only texts that may have a label are shuffled
     own = maybe_among(docs.select("doc_id", "text", "lang"), "doc_id", known.select("doc_id")).filter("_maybe").drop("_maybe")
-    return own.join(known, "doc_id")
+    size = own.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 64)).first()[0] or 0
+    shards = 1 + size // SHARD_BYTES
+    dealt = [df.withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(shards))).repartition(shards, "shard").groupBy("shard") for df in (own, known)]
+    return dealt[0].cogroup(dealt[1]).applyInArrow(_labelled, "doc_id long, text string, lang string, toxic int, shard long")
 
 
 _PARTS = "block int, shard long, part binary, width int"
@@ -288,14 +302,14 @@ def _blocks(made: np.ndarray, shard: int) -> dict:
 
 
 def _of_shards(rows: DataFrame, f: Callable[[int, np.ndarray, np.ndarray, pa.Table], np.ndarray]) -> DataFrame:
-    """Blocks of ``f(shard, buckets, first, table)``, an array of numbers."""
+    """Blocks of ``f(shard, buckets, first, table)``, an array of numbers; ``rows`` come from files that hold shards whole."""
 
-    def of_shard(key, part):
-        # the order of the rows does not depend on how they came
-        part = part.sort_by([(c, "ascending") for c in ("place", "doc_id", "text", "lang", "toxic")]).combine_chunks()
-        return _blocks(f(int(key[0]), *_all_features(part.column("text").combine_chunks()), part), int(key[0]))
+    def run(batches):
+        # a file that is too large for one task comes in pieces, each trains as a shard
+        for (shard,), part in runs(batches, ("shard",)):
+            yield pa.RecordBatch.from_pydict(_blocks(f(int(shard), *_all_features(part.column("text").combine_chunks()), part), int(shard)))
 
-    return map_runs(rows, ("shard",), of_shard, _PARTS)
+    return rows.mapInArrow(run, _PARTS)
 
 
 def _counts(rows: DataFrame, names: list[str]) -> DataFrame:
@@ -317,7 +331,7 @@ def _summed(made: DataFrame) -> np.ndarray:
     """The sum of arrays that come in blocks, added up in tasks in the order of the shards."""
 
     def add(key, part):
-        part = part.sort_by("shard")
+        part = part.sort_by([("shard", "ascending"), ("part", "ascending")])
         total = sum(np.frombuffer(x.as_py(), np.float32).astype(np.float64) for x in part.column("part"))
         return {"block": pa.array([int(key[0])], pa.int32()), "part": pa.array([total.tobytes()], pa.binary()), "width": part.column("width").combine_chunks()[:1]}
 
@@ -335,7 +349,7 @@ def _dense(state: dict, weights: np.ndarray, bias: float) -> np.ndarray:
 
 
 def _train_shard(model: Model, squares: dict, share: float, shard: int, turn: int, buckets, first, part: pa.Table) -> np.ndarray:
-    """What training on a shard adds to the embeddings and their squares, which rows it touched; then the other parameters."""
+    """What training on a shard adds to the embeddings and their squares, which rows it touched; then the other parameters and a one."""
     before, old = copy.deepcopy(model), copy.deepcopy(squares)
     toxic = part.column("toxic").to_numpy().astype(np.float64)
     own, at = _cut(buckets, first, np.flatnonzero(~part.column("held").to_numpy()))
@@ -344,19 +358,22 @@ def _train_shard(model: Model, squares: dict, share: float, shard: int, turn: in
     table = np.concatenate([model.embedding - before.embedding, more, more.any(axis=1, keepdims=True)], axis=1)
     moved = _dense(model.filters, model.weights, model.bias) - _dense(before.filters, before.weights, before.bias)
     grown = _dense(squares, squares["weights"], squares["bias"]) - _dense(old, old["weights"], old["bias"])
-    rest = np.zeros((-(-len(moved) // table.shape[1]) * 2, table.shape[1]))
+    rows = -(-len(moved) // table.shape[1])
+    rest = np.zeros((2 * rows + 1, table.shape[1]))
     for i, values in enumerate((moved, grown)):
-        rest[i * len(rest) // 2 :].ravel()[: len(values)] = values
+        rest[i * rows :].ravel()[: len(values)] = values
+    rest[-1, 0] = 1
     return np.concatenate([table, rest])
 
 
-def _move(model: Model, squares: dict, total: np.ndarray, shards: int) -> None:
+def _move(model: Model, squares: dict, total: np.ndarray) -> None:
     """Apply the sums of ``_train_shard``: the mean over the shards that touched a bucket, of the others over all."""
     touched = np.maximum(total[:BUCKETS, 2 * DIMENSIONS :][:, :1], 1)
     model.embedding += (total[:BUCKETS, :DIMENSIONS] / touched).astype(np.float32)
     squares["embedding"] += (total[:BUCKETS, DIMENSIONS : 2 * DIMENSIONS] / touched).astype(np.float32)
     size = len(_dense(model.filters, model.weights, model.bias))
     rows = -(-size // total.shape[1])
+    shards = max(1, total[BUCKETS + 2 * rows, 0])
     for state, weights, at in ((model.filters, model.weights, BUCKETS), (squares, squares["weights"], BUCKETS + rows)):
         change, i = (total[at : at + rows].ravel()[:size] / shards).astype(np.float32), 0
         for target in (*[state[w] for w in WIDTHS], weights):
@@ -370,27 +387,23 @@ def _move(model: Model, squares: dict, total: np.ndarray, shards: int) -> None:
 
 def fit_rows(rows: DataFrame) -> Model:
     """Train on all of ``rows`` (see ``training_rows``), which are written to the shared folder."""
-    place = F.xxhash64("doc_id", F.lit(1))
     held = F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(5)) == 0
-    rows = stage(rows.withColumns({"place": place, "held": held, "toxic": F.col("toxic").cast("int")}), "toxic-training")
-    size = F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 64)
-    n, toxic, own, own_toxic, size = rows.agg(F.count("*"), F.sum("toxic"), F.count_if(~F.col("held")), F.sum(F.when(~F.col("held"), F.col("toxic"))), size).first()
+    rows = stage(rows.withColumn("held", held), "toxic-training")
+    n, toxic, own, own_toxic = rows.agg(F.count("*"), F.sum("toxic"), F.count_if(~F.col("held")), F.sum(F.when(~F.col("held"), F.col("toxic")))).first()
     share = toxic / n if n else 0.0
     model = blank(share)
     if share in (0.0, 1.0):
         return model
     context = rows.sparkSession.sparkContext
     names = sorted(r[0] for r in rows.select("lang").distinct().collect() if r[0])
-    rows = rows.withColumn("shard", F.pmod(F.col("place"), F.lit(1 + size // SHARD_BYTES)))
     learning = rows.filter("not held")
-    shards = learning.select("shard").distinct().count()
 
     seen = np.zeros((BUCKETS, 2 + len(names)))
     total = _summed(_counts(rows, names))
     if total.shape[1] == seen.shape[1]:
         seen[: len(total)] = total[:BUCKETS]
     squares = inform(model, seen, own - (own_toxic or 0), own_toxic or 0, names)
-    for turn in range(ROUNDS if shards else 0):
+    for turn in range(ROUNDS if own else 0):
         sent = context.broadcast((model, squares))  # BUCKETS fixes its size
 
         def trained(shard, buckets, first, part, sent=sent, turn=turn):
@@ -398,7 +411,7 @@ def fit_rows(rows: DataFrame) -> Model:
 
         total = _summed(_of_shards(learning, trained))
         size = BUCKETS + 2 * BLOCK
-        _move(model, squares, np.pad(total, ((0, max(0, size - len(total))), (0, max(0, 2 * DIMENSIONS + 1 - total.shape[1])))), shards)
+        _move(model, squares, np.pad(total, ((0, max(0, size - len(total))), (0, max(0, 2 * DIMENSIONS + 1 - total.shape[1])))))
         sent.unpersist()
     sent = context.broadcast(model)
 

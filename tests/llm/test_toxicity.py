@@ -9,7 +9,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from conftest import prose
-from starloom.llm.toxicity import fit, threshold, toxicity
+from starloom.llm.runtime import stage
+from starloom.llm.toxicity import _of_shards, fit, threshold, toxicity, training_rows
 
 
 def rows(n, seed=1):
@@ -64,6 +65,23 @@ def test_every_labelled_row_is_learned_from(llm, monkeypatch):
     assert got.filter("predicted <> toxic").count() == 0
 
 
+def test_texts_are_shuffled_once(llm, monkeypatch):
+    # a shard lies in one file, and the rounds read the files
+    monkeypatch.setattr("starloom.llm.toxicity.SHARD_BYTES", 20_000)
+    made = rows(400, 3)
+    docs = llm.createDataFrame([(i, t, x) for i, t, x, _ in made], "doc_id long, text string, lang string")
+    found = training_rows(docs, llm.createDataFrame([(i, y) for i, _, _, y in made], "doc_id long, toxic int"))
+    staged = stage(found, "shards")
+    own = staged.select("shard", F.input_file_name().alias("file"))
+    files = own.groupBy("shard").agg(F.count_distinct("file").alias("n"), F.count("*").alias("rows")).collect()
+    assert len(files) > 3 and all(r.n == 1 for r in files)
+    assert sum(r.rows for r in files) == sum(zlib.crc32(str(i).encode()) % 5 != 0 for i, *_ in made)
+    sizes = _of_shards(staged, lambda shard, buckets, first, part: np.array([[part.num_rows]]))
+    assert "Exchange" not in sizes._jdf.queryExecution().executedPlan().toString()
+    got = {r.shard: np.frombuffer(r.part, np.float32)[0] for r in sizes.collect()}
+    assert got == {r.shard: r.rows for r in files}
+
+
 def test_awkward_rows(llm, awkward_docs, awkward, no_docs):
     labels = llm.createDataFrame([(1, 1), (2, 0), (3, None), (None, 1), (4, 0), (6, 1), (999, 1)], "doc_id long, toxic int")
     got = toxicity(awkward_docs, labels).collect()
