@@ -110,7 +110,8 @@ class BatchTable:
         rows = self._batches()
         if rows is None:
             types = StructType([*self.schema.fields, StructField(BATCH_ID, StringType())])
-            return self.spark.createDataFrame([], StructType([types[c] for c in columns]))
+            # the planner sees that this is empty, and drops the joins with it
+            return self.spark.range(1).filter(F.lit(False)).select(*[F.lit(None).cast(types[c].dataType).alias(c) for c in columns])
         if without is not None:
             rows = rows.filter(F.col(BATCH_ID) != without)
         return self._resolved(rows, columns)
