@@ -52,7 +52,7 @@ from starloom.operators.validation import (
 )
 from starloom.operators.windows import latest_per_key
 from starloom.plans.build import Model, bad_rows, build_table, good_rows, table_schema
-from starloom.session import delete_folder, exclusive, scratch_path, stage
+from starloom.session import delete_folder, exclusive, scratch_path, spread, stage
 from starloom.sources.files import CORRUPT, SPARK_ERRORS, error_text, match_sources, scan, tables_with_files
 from starloom.sources.tables import BATCH_ID, BatchTable
 from starloom.specs import FACT, SourceSpec, TableSpec, columns
@@ -126,7 +126,12 @@ class Warehouse:
         return self._open("Alerts", ALERT_SCHEMA)
 
     def dims_of(self, table: TableSpec) -> dict[str, DataFrame]:
-        return {r.dim: self.table(r.dim).read() for r in table.dims if isinstance(r.fk, str)}
+        """The dimensions that the table refers to, of each the key columns alone."""
+        keys: dict[str, list[str]] = {}
+        for r in table.dims:
+            if isinstance(r.fk, str):
+                keys.setdefault(r.dim, []).append(r.pk or r.fk)
+        return {dim: self.table(dim).read(list(dict.fromkeys(names))) for dim, names in keys.items()}
 
 
 @dataclass
@@ -218,7 +223,7 @@ class _Run:
                 self.report.errors.append(spec.file)
                 self.fail(spec.file, read.errors, started)
                 return None
-            raw = read.df
+            raw = spread(read.df)
             errors = missing_columns(raw, spec) if spec.validate else []
             if errors:
                 errors = schema_errors(raw.drop(CORRUPT), spec)
@@ -256,7 +261,11 @@ class _Run:
         order is loaded; the others are counted and quarantined as duplicates.
         """
         store = self.wh.table(table.name)
-        df = stage(built.withColumn(_ROW, F.monotonically_increasing_id()), table.name, self.scratch)
+        if newest or len(table.sources) > 1:
+            df = stage(built.withColumn(_ROW, F.monotonically_increasing_id()), table.name, self.scratch)
+        else:
+            # expressions over a staged source: the keys are computed again, instead of writing all rows once more
+            df = built.withColumn(_ROW, F.lit(None).cast("long"))
         if newest:
             # one row a key and task is shuffled; the join back is on unique row numbers
             first = latest_per_key(df.filter(F.col(table.key).isNotNull()), [table.key], newest).select(_ROW, F.lit(True).alias(_NEWEST))
@@ -447,7 +456,8 @@ def _retry(wh: Warehouse) -> None:
     plans = []
     for table in wh.model.tables.values():
         if table.kind == FACT:
-            refs = {r.dim: (wh.table(r.dim).read(), r.pk or r.fk) for r in table.dims if isinstance(r.fk, str)}
+            dims = wh.dims_of(table)
+            refs = {r.dim: (dims[r.dim], r.pk or r.fk) for r in table.dims if isinstance(r.fk, str)}
             if refs:
                 tagged = tag_retry(wh.orphans.read(), refs, table.name, table.key).filter("ref_found")
                 plans.append(tagged.select("quarantine_id", "fact_table", "record_payload", F.col(READY).alias("loads"), "occurrence"))

@@ -71,11 +71,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/starloom/{name}-{uuid.uuid4().hex}"
 
 
+def _estimate(df: DataFrame) -> int:
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether the planner's estimate of ``df`` (an upper bound, from file sizes) is below the session's broadcast threshold."""
-    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return int(str(estimate)) <= limit
+    return _estimate(df) <= limit
+
+
+# Fixed value: bytes of files, by the planner's estimate, that are worth a task of their own.
+TASK_BYTES = 1 << 18
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df``, a scan, dealt over more tasks where its files make few of them.
+
+    Spark cuts files into parts of some MB, and a parquet file of one row group not at all; the work on a row costs more
+    than reading it.  No more tasks than cores, and none for less than ``TASK_BYTES``.
+    """
+    tasks = min(df.sparkSession.sparkContext.defaultParallelism, _estimate(df) // TASK_BYTES)
+    return df.repartition(tasks) if tasks > 1 and df.rdd.getNumPartitions() < tasks else df
 
 
 def delete_folder(spark: SparkSession, path: str) -> None:

@@ -17,7 +17,7 @@ from starloom.plans.build import Model, build_table, table_schema
 from starloom.plans.runner import Warehouse, apply_retention, batch_summary, load_calendar, run_batch, run_micro_batch
 from starloom.plans.support_tickets import MODEL, documented_model
 from starloom.queries import load_queries
-from starloom.session import exclusive
+from starloom.session import exclusive, spread
 from starloom.sources.files import counted, list_files, logical_file, match_sources, read_source, scan, tables_with_files
 from starloom.sources.tables import BatchTable
 from starloom.specs import SourceSpec, columns
@@ -786,3 +786,37 @@ def test_table_schema(spark):
 def test_build_needs_its_sources(spark):
     with pytest.raises(ValueError, match="base table"):
         build_table({}, MODEL.tables["AgentsDim"])
+
+
+def test_an_absent_table_is_empty_to_the_planner(spark, tmp_path):
+    store = BatchTable(spark, str(tmp_path / "none"), columns("id bigint, v string"))
+    joined = spark.range(5).join(store.read(), "id", "left_semi")
+    assert "Join" not in joined._jdf.queryExecution().optimizedPlan().toString()
+    assert store.read().schema == store.schema and joined.count() == 0
+
+
+def test_references_are_checked_by_the_keys_alone(warehouse):
+    wh, *_ = warehouse
+    fact = next(t for t in wh.model.tables.values() if t.kind == runner.FACT)
+    dims = wh.dims_of(fact)
+    assert dims and all(set(d.columns) <= {r.pk or r.fk for r in fact.dims} for d in dims.values())
+
+
+def test_small_files_are_spread_over_tasks(spark, tmp_path):
+    big, small = str(tmp_path / "big"), str(tmp_path / "small")
+    spark.range(400_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("v")).coalesce(1).write.parquet(big)
+    spark.range(10).coalesce(1).write.parquet(small)
+    made = spread(spark.read.parquet(big).coalesce(1))
+    assert made.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism > 1 and made.count() == 400_000
+    assert spread(spark.read.parquet(small)).rdd.getNumPartitions() == 1
+
+
+def test_a_fact_of_one_source_is_staged_once(spark, tmp_path, monkeypatch):
+    names, kept = [], runner.stage
+    monkeypatch.setattr(runner, "stage", lambda df, name, scratch=None: names.append(name) or kept(df, name, scratch))
+    wh = Warehouse(spark, str(tmp_path / "wh"), load_queries._EVENT_MODEL)
+    load_queries._stored_dims(spark, SF_DIR, wh)
+    path = f"{tmp_path}/events.json"
+    spark.read.parquet(f"{SF_DIR}/events.parquet").write.option("timestampNTZFormat", load_queries.TIMESTAMP).json(path)
+    assert not run_micro_batch(wh, [path], "a").failed
+    assert sorted(names) == ["FactEvents-tagged", "events"]
